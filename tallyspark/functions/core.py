@@ -66,3 +66,15 @@ def as_long(c: str | Column) -> Column:
 
 def ntz(c: Column) -> Column:
     return c.cast("timestamp_ntz")
+
+
+def pop_std(s1: str | Column, s2: str | Column, n: str | Column) -> Column:
+    """Population standard deviation from exact moments: sum(x), sum(x*x) and count.
+
+    The moments are exact decimal sums (mergeable, map-side combined); the final
+    arithmetic is a fixed sequence of IEEE-754 operations, written identically in the
+    oracle. Negative rounding residue is clamped to 0.
+    """
+    mean = ratio(s1, n)
+    var = ratio(s2, n) - mean * mean
+    return F.sqrt(F.when(var < 0, F.lit(0.0)).otherwise(var))

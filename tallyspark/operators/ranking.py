@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyspark.session import ensure_checkpoint_dir
+
 _PID, _IDX, _OFF, _CNT = "_rk_pid", "_rk_idx", "_rk_off", "_rk_cnt"
 POS, TOTAL = "_rk_pos", "_rk_n"
 
@@ -47,6 +49,12 @@ def positions(df: DataFrame, order: list[Column], parts: int | None = None) -> D
         pid.alias(_PID),
         (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_IDX),
     )
+    # Range bounds come from sampling and are not reproducible between evaluations (Spark
+    # re-samples unbalanced partitions with a seed drawn from the RDD id), so the tagged
+    # rows are written once to the reliable checkpoint directory; the counts and every
+    # later consumer read that one copy, which also survives the loss of an executor.
+    ensure_checkpoint_dir(df.sparkSession)
+    tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
     # At most P rows (one per range): a window without PARTITION BY is bounded here.
     before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
@@ -121,3 +129,42 @@ def percent_rank(df: DataFrame, value: Column, tie_break: str, out: str) -> Data
         (F.col("_rk_first") - 1).cast("double") / (F.col(TOTAL) - 1).cast("double")
     )
     return joined.select(*df.columns, pr.alias(out))
+
+
+def row_positions(df: DataFrame, by: list[str], order: list[Column], rn: str = "rn", n: str = "cnt") -> DataFrame:
+    """ROW_NUMBER() OVER (PARTITION BY by ORDER BY order) and COUNT(*) OVER (PARTITION BY by).
+
+    Positions are taken over the total order (by..., order...), so a large group is cut
+    across several ranges instead of one window task; the group's first position and size
+    come from a grouped aggregate (map-side combined) joined back on the group key.
+    """
+    pos = positions(df, [*[F.col(c).asc_nulls_first() for c in by], *order])
+    alias = {c: f"_rk_g{i}" for i, c in enumerate(by)}
+    start = pos.groupBy(*[F.col(c).alias(alias[c]) for c in by]).agg(
+        F.min(POS).alias("_rk_start"), F.count(F.lit(1)).alias(n)
+    )
+    cond = None
+    for c in by:
+        e = F.col(c).eqNullSafe(F.col(alias[c]))
+        cond = e if cond is None else cond & e
+    return (
+        pos.join(start, cond)
+        .withColumn(rn, F.col(POS) - F.col("_rk_start") + 1)
+        .drop(POS, TOTAL, "_rk_start", *alias.values())
+    )
+
+
+def percent_rank_within(df: DataFrame, by: list[str], value: str, tie_break: str, out: str) -> DataFrame:
+    """PERCENT_RANK() OVER (PARTITION BY by ORDER BY value) without gathering a group in a task."""
+    rows = row_positions(df, by, [F.col(value).asc_nulls_first(), F.col(tie_break).asc()], "_rk_rn", "_rk_cnt")
+    keys = [*by, value]
+    alias = {c: f"_rk_f{i}" for i, c in enumerate(keys)}
+    first = rows.groupBy(*[F.col(c).alias(alias[c]) for c in keys]).agg(F.min("_rk_rn").alias("_rk_first"))
+    cond = None
+    for c in keys:
+        e = F.col(c).eqNullSafe(F.col(alias[c]))
+        cond = e if cond is None else cond & e
+    pr = F.when(F.col("_rk_cnt") <= 1, F.lit(0.0)).otherwise(
+        (F.col("_rk_first") - 1).cast("double") / (F.col("_rk_cnt") - 1).cast("double")
+    )
+    return rows.join(first, cond).select(*df.columns, pr.alias(out))
