@@ -142,11 +142,12 @@ def _top_tx_per_customer(b: Bank, order) -> DataFrame:
     ).drop("rn")
 
 
-LARGEST_FIRST = [F.desc("amt"), F.desc("transaction_date"), F.desc("transaction_id")]
+def largest_first():
+    return [F.desc("amt"), F.desc("transaction_date"), F.desc("transaction_id")]
 
 
 def q36_customers_largest_tx_withdrawal(b: Bank) -> DataFrame:
-    top = _top_tx_per_customer(b, LARGEST_FIRST).where(lc("transaction_type") == "withdrawal")
+    top = _top_tx_per_customer(b, largest_first()).where(lc("transaction_type") == "withdrawal")
     return top.select("customer_id").join(customer_names(b), "customer_id")
 
 

@@ -33,7 +33,7 @@ def plan_functions() -> dict[str, Callable[..., DataFrame]]:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
         def run(spark: SparkSession, sf_dir: str, **params) -> DataFrame:
-            return fn(Bank(spark, sf_dir), **params)
+            return fn(Bank.shared(spark, sf_dir), **params)
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions.core import avg_of, fround, lc, money, month_label, pop_std, ratio
 from tallyspark.operators import ranking
 from tallyspark.operators.relational import branch_names, customer_names, owners
-from tallyspark.plans.joins import LARGEST_FIRST, _top_tx_per_customer, branch_default_rates
+from tallyspark.plans.joins import _top_tx_per_customer, largest_first, branch_default_rates
 from tallyspark.sources.banking import Bank
 
 OUTLIER_PR = 0.95
@@ -27,7 +27,8 @@ INCREASES = 3
 DORMANT_MONTHS = 12
 TAIL_TENTHS = 9  # last 10 % of the timeline: row >= ceil(0.9 * n)
 
-LEDGER_ORDER = [F.col("transaction_date").asc(), F.col("transaction_id").asc()]
+def ledger_order():
+    return [F.col("transaction_date").asc(), F.col("transaction_id").asc()]
 
 
 def ledger_columns() -> list[Column]:
@@ -38,7 +39,7 @@ def ledger_columns() -> list[Column]:
 
 
 def by_account(frame: bool = True) -> Window:
-    w = Window.partitionBy("account_id").orderBy(*LEDGER_ORDER)
+    w = Window.partitionBy("account_id").orderBy(*ledger_order())
     return w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if frame else w
 
 
@@ -82,7 +83,7 @@ def q68_rank_tx_within_account(b: Bank) -> DataFrame:
 
 
 def q69_top_tx_per_customer(b: Bank) -> DataFrame:
-    top = _top_tx_per_customer(b, LARGEST_FIRST)
+    top = _top_tx_per_customer(b, largest_first())
     return top.join(customer_names(b), "customer_id").select(
         "customer_id", "customer_name", "transaction_id", "transaction_date", money("amount").alias("amount")
     )
@@ -275,7 +276,7 @@ def q88_largest_tx_in_last_tenth(b: Bank) -> DataFrame:
     t = owners(b, b.transactions.select("account_id", "transaction_id", "transaction_date", F.abs("amount").alias("amt")))
     # Timeline position per customer (date, then id) from distributed positions; the
     # customer's largest amount from a grouped MAX joined back.
-    pos = ranking.row_positions(t, ["customer_id"], LEDGER_ORDER, "rn_time", "total_txn")
+    pos = ranking.row_positions(t, ["customer_id"], ledger_order(), "rn_time", "total_txn")
     big = t.groupBy(F.col("customer_id").alias("_c")).agg(F.max("amt").alias("max_amt"))
     x = pos.join(big, F.col("customer_id") == F.col("_c")).where(
         (F.col("amt") == F.col("max_amt"))

@@ -59,6 +59,9 @@ def _pick(key: Column, values: list[str]) -> Column:
     return expr
 
 
+_SHARED: dict[tuple, "Bank"] = {}
+
+
 class Bank:
     """Lazy access to the staged banking tables of one scale-factor directory."""
 
@@ -66,9 +69,22 @@ class Bank:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.as_of = as_of
+        self._sources: dict[str, DataFrame] = {}
+
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> Bank:
+        """One Bank per (session, directory, as_of): staged tables are lazy plans, so
+        reusing them only saves re-reading Parquet footers and re-analysing the mapping."""
+        key = (id(spark), sf_dir.rstrip("/"), as_of)
+        bank = _SHARED.get(key)
+        if bank is None or bank.spark is not spark:
+            bank = _SHARED[key] = cls(spark, sf_dir, as_of)
+        return bank
 
     def src(self, name: str, *cols: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = self._sources.get(name)
+        if df is None:
+            df = self._sources[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return df.select(*cols) if cols else df
 
     @property
@@ -274,3 +290,17 @@ class Bank:
         "customers", "accounts", "customer_accounts", "transactions", "branches",
         "employees", "loans", "cards", "fees", "transfers",
     )
+
+
+class FixtureBank(Bank):
+    """A Bank over given DataFrames (unit fixtures); missing tables are empty."""
+
+    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame], as_of: dt.date = AS_OF):
+        super().__init__(spark, "<fixtures>", as_of)
+        from tallyspark.sources.schema import SCHEMAS
+
+        for name in self.TABLES:
+            df = tables.get(name)
+            if df is None:
+                df = spark.createDataFrame([], SCHEMAS[name])
+            self.__dict__[name] = conform(df, name)
