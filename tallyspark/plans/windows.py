@@ -5,8 +5,9 @@
   window.
 * Month rollups aggregate first; the lag/rolling windows then run over one row per
   (key, month), so a window partition is bounded by the months covered, not by activity.
-* Per-account ledger windows (running sums, lag, 10-row rolling frame) use
-  ``Window.partitionBy('account_id')``: one task sorts one account's rows.
+* Per-account ledger windows (running sums, lag, 10-row rolling frame) run per
+  (account, hour) with a carry from earlier hours (``operators.ledger``), so a hot account
+  is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.core import avg_of, fround, lc, money, month_label, pop_std, ratio
-from tallyspark.operators import ranking
+from tallyspark.operators import ledger, ranking
 from tallyspark.operators.relational import branch_names, customer_names, owners
 from tallyspark.plans.joins import _top_tx_per_customer, largest_first, branch_default_rates
 from tallyspark.sources.banking import Bank
@@ -38,11 +39,6 @@ def ledger_columns() -> list[Column]:
     ]
 
 
-def by_account(frame: bool = True) -> Window:
-    w = Window.partitionBy("account_id").orderBy(*ledger_order())
-    return w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if frame else w
-
-
 def top_customers(b: Bank, per_cust: DataFrame, value: str, tiles: int) -> DataFrame:
     """Customers in NTILE(tiles) bucket 1 by ``value`` desc, customer_id as tie-break."""
     top = ranking.top_bucket(per_cust, [F.col(value).desc_nulls_last(), F.col("customer_id").asc()], tiles)
@@ -68,12 +64,12 @@ def q66_rank_customers_by_value(b: Bank) -> DataFrame:
 
 
 def q67_running_balance(b: Bank) -> DataFrame:
-    t = b.transactions
-    x = t.select(
+    t = b.transactions.select("account_id", "transaction_date", "transaction_id", "amount")
+    x = ledger.running_sums(t, "account_id", ledger_order(), {"running_balance": F.col("amount")})
+    return x.select(
         "account_id", "transaction_date", "transaction_id", money("amount").alias("amount"),
-        money(F.sum("amount").over(by_account())).alias("running_balance"),
-    )
-    return x.orderBy("account_id", "transaction_date", "transaction_id")
+        money("running_balance").alias("running_balance"),
+    ).orderBy("account_id", "transaction_date", "transaction_id")
 
 
 def q68_rank_tx_within_account(b: Bank) -> DataFrame:
@@ -128,12 +124,14 @@ def q73_cumulative_deposit_withdrawal(b: Bank) -> DataFrame:
     t = b.transactions
     dep = F.when(lc("transaction_type") == "deposit", F.col("amount")).otherwise(F.lit(0))
     wd = F.when(lc("transaction_type") == "withdrawal", F.abs("amount")).otherwise(F.lit(0))
-    w = by_account()
-    x = t.select(
-        "account_id", "transaction_date", "transaction_id",
-        money(F.sum(dep).over(w)).alias("cum_deposit"), money(F.sum(wd).over(w)).alias("cum_withdrawal"),
+    x = ledger.running_sums(
+        t.select("account_id", "transaction_date", "transaction_id", "transaction_type", "amount"),
+        "account_id", ledger_order(), {"cum_deposit": dep, "cum_withdrawal": wd},
     )
-    return x.orderBy("account_id", "transaction_date", "transaction_id")
+    return x.select(
+        "account_id", "transaction_date", "transaction_id",
+        money("cum_deposit").alias("cum_deposit"), money("cum_withdrawal").alias("cum_withdrawal"),
+    ).orderBy("account_id", "transaction_date", "transaction_id")
 
 
 def q74_month_balance_drop(b: Bank) -> DataFrame:
@@ -195,11 +193,9 @@ def q79_rank_employees_in_branch(b: Bank) -> DataFrame:
 
 def q80_gap_between_transactions(b: Bank) -> DataFrame:
     t = b.transactions.select("account_id", "transaction_id", "transaction_date")
-    x = t.withColumn("prev_dt", F.lag("transaction_date").over(by_account(frame=False))).where(
-        F.col("prev_dt").isNotNull()
-    )
+    x = ledger.previous_order_value(t, "account_id", ledger_order(), "transaction_date", "prev_dt")
     # TIMESTAMPDIFF(DAY): whole elapsed 24-hour days (23 hours -> 0), not calendar days.
-    return x.select(
+    return x.where(F.col("prev_dt").isNotNull()).select(
         "account_id", "transaction_id", "transaction_date", "prev_dt",
         F.timestamp_diff("DAY", "prev_dt", "transaction_date").alias("gap_days"),
     )
@@ -239,9 +235,9 @@ def q84_customers_top10pct_account_count(b: Bank) -> DataFrame:
 
 
 def q85_transaction_spikes(b: Bank, factor: int = SPIKE_FACTOR, rows: int = SPIKE_ROWS) -> DataFrame:
-    w = by_account(frame=False).rowsBetween(-rows, -1)
     amt = F.abs("amount")
-    x = b.transactions.withColumn("_ravg", ratio(F.sum(amt).over(w), F.count(amt).over(w)))
+    x = ledger.preceding_rows_sum_count(b.transactions, "account_id", ledger_order(), amt, rows, "_s", "_n")
+    x = x.withColumn("_ravg", ratio("_s", "_n"))
     x = x.where(F.col("_ravg").isNotNull() & (amt.cast("double") > factor * F.col("_ravg")))
     return x.select(*ledger_columns(), fround("_ravg", 4).alias("rolling_avg"))
 
