@@ -1,0 +1,7 @@
+"""Streaming entry points.
+
+Every operator of this package is a batch query over the banking tables (no watermark,
+event-time window or stateful operator exists in the operator inventory), so nothing is
+defined here. A streaming deployment would land the ledger as a Delta/Parquet table with
+Structured Streaming and run the batch operators over it; no separate operator is needed.
+"""
