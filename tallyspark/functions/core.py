@@ -33,6 +33,13 @@ def month_label(c: str | Column) -> Column:
     return F.date_format(col(c), "yyyy-MM")
 
 
+def month_start(c: str | Column) -> Column:
+    """First day of the month as a DATE: the grouping key for month rollups. Grouping on a
+    date is cheaper than formatting a 'yyyy-MM' string per ledger row; the label is made
+    after aggregation, once per group, and sorts in the same order."""
+    return F.trunc(col(c), "MM")
+
+
 def money(c: str | Column) -> Column:
     return col(c).cast("double")
 

@@ -31,9 +31,10 @@ POS, TOTAL = "_rk_pos", "_rk_n"
 
 
 def _parts(df: DataFrame, parts: int | None) -> int:
-    if parts:
-        return parts
-    return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    """Number of ranges: ``parts`` when the caller sizes it (ledger-sized inputs pass their
+    scan's split count, so a range holds about one input split), else the shuffle setting."""
+    configured = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return max(configured, parts or 0)
 
 
 def positions(df: DataFrame, order: list[Column], parts: int | None = None) -> DataFrame:
@@ -76,7 +77,8 @@ def _key(c: Column, descending: bool) -> Column:
 
 
 def dense_rank(
-    df: DataFrame, value: str, out: str, descending: bool = True, by: list[str] | None = None
+    df: DataFrame, value: str, out: str, descending: bool = True, by: list[str] | None = None,
+    parts: int | None = None,
 ) -> DataFrame:
     """DENSE_RANK() OVER ([PARTITION BY by] ORDER BY value [DESC]) without a single-task window.
 
@@ -90,7 +92,7 @@ def dense_rank(
     # Fresh column names on the ranked side keep the join back unambiguous (it is a self-join).
     pairs = df.select(*[F.col(k).alias(alias[k]) for k in keys]).distinct()
     order = [F.col(alias[b]).asc_nulls_first() for b in by] + [_key(F.col(alias[value]), descending)]
-    ranked = positions(pairs, order)
+    ranked = positions(pairs, order, parts)
     if by:
         start = ranked.groupBy(*[alias[b] for b in by]).agg(F.min(POS).alias("_rk_start"))
         ranked = ranked.join(start, [alias[b] for b in by]).withColumn(out, F.col(POS) - F.col("_rk_start") + 1)
@@ -114,7 +116,7 @@ def top_bucket(df: DataFrame, order: list[Column], tiles: int) -> DataFrame:
     return pos.where(F.col(POS) <= F.ceil(F.col(TOTAL) / F.lit(tiles))).drop(POS, TOTAL)
 
 
-def percent_rank(df: DataFrame, value: Column, tie_break: str, out: str) -> DataFrame:
+def percent_rank(df: DataFrame, value: Column, tie_break: str, out: str, parts: int | None = None) -> DataFrame:
     """PERCENT_RANK() OVER (ORDER BY value): (rank - 1) / (N - 1), 0 for a single row.
 
     rank - 1 is the number of rows with a smaller value = first position of the value - 1.
@@ -122,7 +124,7 @@ def percent_rank(df: DataFrame, value: Column, tie_break: str, out: str) -> Data
     so that NULL values keep rank 1 as with the built-in.
     """
     keyed = df.withColumn("_rk_v", value)
-    pos = positions(keyed, [F.col("_rk_v").asc_nulls_first(), F.col(tie_break).asc()])
+    pos = positions(keyed, [F.col("_rk_v").asc_nulls_first(), F.col(tie_break).asc()], parts)
     first = pos.groupBy(F.col("_rk_v").alias("_rk_fv")).agg(F.min(POS).alias("_rk_first"))
     joined = pos.join(first, F.col("_rk_v").eqNullSafe(F.col("_rk_fv")))
     pr = F.when(F.col(TOTAL) <= 1, F.lit(0.0)).otherwise(
@@ -131,14 +133,16 @@ def percent_rank(df: DataFrame, value: Column, tie_break: str, out: str) -> Data
     return joined.select(*df.columns, pr.alias(out))
 
 
-def row_positions(df: DataFrame, by: list[str], order: list[Column], rn: str = "rn", n: str = "cnt") -> DataFrame:
+def row_positions(
+    df: DataFrame, by: list[str], order: list[Column], rn: str = "rn", n: str = "cnt", parts: int | None = None
+) -> DataFrame:
     """ROW_NUMBER() OVER (PARTITION BY by ORDER BY order) and COUNT(*) OVER (PARTITION BY by).
 
     Positions are taken over the total order (by..., order...), so a large group is cut
     across several ranges instead of one window task; the group's first position and size
     come from a grouped aggregate (map-side combined) joined back on the group key.
     """
-    pos = positions(df, [*[F.col(c).asc_nulls_first() for c in by], *order])
+    pos = positions(df, [*[F.col(c).asc_nulls_first() for c in by], *order], parts)
     alias = {c: f"_rk_g{i}" for i, c in enumerate(by)}
     start = pos.groupBy(*[F.col(c).alias(alias[c]) for c in by]).agg(
         F.min(POS).alias("_rk_start"), F.count(F.lit(1)).alias(n)

@@ -123,7 +123,7 @@ def q20_median_amount_per_account(b: Bank) -> DataFrame:
 
     t = b.transactions.select("account_id", "transaction_id", "amount")
     order = [F.col("amount").asc_nulls_first(), F.col("transaction_id").asc()]
-    rows = row_positions(t, ["account_id"], order, "rn", "cnt")
+    rows = row_positions(t, ["account_id"], order, "rn", "cnt", parts=b.ledger_parts())
     middle = rows.where(
         (F.col("rn") == F.expr("(cnt + 1) div 2")) | (F.col("rn") == F.expr("(cnt + 2) div 2"))
     )

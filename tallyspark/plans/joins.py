@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.core import avg_of, customer_name, lc, mean_exact, money, month_label, ratio
+from tallyspark.functions.core import avg_of, customer_name, lc, mean_exact, money, month_label, month_start, ratio
 from tallyspark.operators.relational import absent, branch_names, customer_names, owners, present, with_population
 from tallyspark.sources.banking import Bank
 
@@ -152,9 +152,10 @@ def q36_customers_largest_tx_withdrawal(b: Bank) -> DataFrame:
 
 
 def q37_fees_without_same_month_tx(b: Bank) -> DataFrame:
-    fees = b.fees.select("account_id", month_label("fee_date").alias("fee_month"))
-    tx = b.transactions.select("account_id", month_label("transaction_date").alias("fee_month"))
-    return absent(fees, tx, ["account_id", "fee_month"]).distinct()
+    fees = b.fees.select("account_id", month_start("fee_date").alias("m"))
+    tx = b.transactions.select("account_id", month_start("transaction_date").alias("m"))
+    gaps = absent(fees, tx, ["account_id", "m"]).distinct()
+    return gaps.select("account_id", month_label("m").alias("fee_month"))
 
 
 def q38_payments_before_loan_start(b: Bank) -> DataFrame:
@@ -281,7 +282,7 @@ def q48_customers_multiple_card_types(b: Bank) -> DataFrame:
 
 
 def q49_branches_with_mom_avg_decline(b: Bank) -> DataFrame:
-    t = b.transactions.select("account_id", month_label("transaction_date").alias("ym"), F.abs("amount").alias("x"))
+    t = b.transactions.select("account_id", month_start("transaction_date").alias("ym"), F.abs("amount").alias("x"))
     per_acc = t.groupBy("account_id", "ym").agg(F.sum("x").alias("s"), F.count("x").alias("n"))
     m = (
         per_acc.join(b.accounts.select("account_id", "branch_id"), "account_id")

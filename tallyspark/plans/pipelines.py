@@ -40,7 +40,7 @@ def q92_customer_activity_dropoff(b: Bank) -> DataFrame:
     x = m.withColumn("prev_cnt", F.lag("txn_count").over(Window.partitionBy("customer_id").orderBy("ym")))
     # txn_count < 0.5 * prev_cnt, in exact integer arithmetic
     x = x.where(F.col("prev_cnt").isNotNull() & (F.col("txn_count") * DROP_RATIO_DEN < F.col("prev_cnt")))
-    return x.select("customer_id", "ym", "prev_cnt", "txn_count").orderBy("customer_id", "ym")
+    return x.select("customer_id", month_label("ym").alias("ym"), "prev_cnt", "txn_count").orderBy("customer_id", "ym")
 
 
 def month_calendar(spark: SparkSession, as_of: dt.date = AS_OF, months: int = CALENDAR_MONTHS) -> DataFrame:

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.core import avg_of, fround, lc, money, month_label, pop_std, ratio
+from tallyspark.functions.core import avg_of, fround, lc, money, month_label, month_start, pop_std, ratio
 from tallyspark.operators import ledger, ranking
 from tallyspark.operators.relational import branch_names, customer_names, owners
 from tallyspark.plans.joins import _top_tx_per_customer, largest_first, branch_default_rates
@@ -48,7 +48,7 @@ def top_customers(b: Bank, per_cust: DataFrame, value: str, tiles: int) -> DataF
 
 
 def customer_month_counts(b: Bank) -> DataFrame:
-    per_acc = b.transactions.groupBy("account_id", month_label("transaction_date").alias("ym")).agg(
+    per_acc = b.transactions.groupBy("account_id", month_start("transaction_date").alias("ym")).agg(
         F.count(F.lit(1)).alias("n")
     )
     return owners(b, per_acc).groupBy("customer_id", "ym").agg(F.sum("n").cast("long").alias("txn_count"))
@@ -74,7 +74,7 @@ def q67_running_balance(b: Bank) -> DataFrame:
 
 def q68_rank_tx_within_account(b: Bank) -> DataFrame:
     t = b.transactions.withColumn("_amt", F.abs("amount"))
-    ranked = ranking.dense_rank(t, "_amt", "txn_rank", descending=True, by=["account_id"])
+    ranked = ranking.dense_rank(t, "_amt", "txn_rank", descending=True, by=["account_id"], parts=b.ledger_parts())
     return ranked.select(*ledger_columns(), "txn_rank")
 
 
@@ -86,13 +86,13 @@ def q69_top_tx_per_customer(b: Bank) -> DataFrame:
 
 
 def q70_account_mom_growth(b: Bank) -> DataFrame:
-    m = b.transactions.groupBy("account_id", month_label("transaction_date").alias("ym")).agg(
+    m = b.transactions.groupBy("account_id", month_start("transaction_date").alias("ym")).agg(
         F.sum(F.abs("amount")).alias("total")
     )
     x = m.withColumn("prev", F.lag("total").over(Window.partitionBy("account_id").orderBy("ym")))
     growth = fround(ratio((F.col("total") - F.col("prev")) * 100, "prev"), 2)
     return x.select(
-        "account_id", "ym", money("total").alias("total_amt"), money("prev").alias("prev_amt"),
+        "account_id", month_label("ym").alias("ym"), money("total").alias("total_amt"), money("prev").alias("prev_amt"),
         growth.alias("mom_growth_pct"),
     ).orderBy("account_id", "ym")
 
@@ -135,13 +135,16 @@ def q73_cumulative_deposit_withdrawal(b: Bank) -> DataFrame:
 
 
 def q74_month_balance_drop(b: Bank) -> DataFrame:
-    m = b.transactions.groupBy("account_id", month_label("transaction_date").alias("ym")).agg(
+    m = b.transactions.groupBy("account_id", month_start("transaction_date").alias("ym")).agg(
         F.sum("amount").alias("net")
     )
     w = Window.partitionBy("account_id").orderBy("ym")
     rb = m.withColumn("bal", F.sum("net").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     x = rb.withColumn("prev", F.lag("bal").over(w)).where(F.col("prev").isNotNull() & (F.col("bal") < F.col("prev")))
-    return x.select("account_id", "ym", money("bal").alias("month_end_balance"), money("prev").alias("prev_balance"))
+    return x.select(
+        "account_id", month_label("ym").alias("ym"), money("bal").alias("month_end_balance"),
+        money("prev").alias("prev_balance"),
+    )
 
 
 def q75_rank_customers_in_branch_by_balance(b: Bank) -> DataFrame:
@@ -157,17 +160,17 @@ def q75_rank_customers_in_branch_by_balance(b: Bank) -> DataFrame:
 
 def q76_outlier_transactions(b: Bank, threshold: float = OUTLIER_PR) -> DataFrame:
     t = b.transactions
-    pr = ranking.percent_rank(t, F.abs("amount"), "transaction_id", "pr")
+    pr = ranking.percent_rank(t, F.abs("amount"), "transaction_id", "pr", parts=b.ledger_parts())
     return pr.where(F.col("pr") >= threshold).select(*ledger_columns(), fround("pr", 6).alias("pr"))
 
 
 def q77_rolling_3_month_avg_rows(b: Bank) -> DataFrame:
-    m = b.transactions.groupBy("account_id", month_label("transaction_date").alias("ym")).agg(
+    m = b.transactions.groupBy("account_id", month_start("transaction_date").alias("ym")).agg(
         F.sum(F.abs("amount")).alias("total")
     )
     w = Window.partitionBy("account_id").orderBy("ym").rowsBetween(-2, Window.currentRow)
     return m.select(
-        "account_id", "ym", money("total").alias("month_total"),
+        "account_id", month_label("ym").alias("ym"), money("total").alias("month_total"),
         avg_of(F.sum("total").over(w), F.count("total").over(w)).alias("rolling_3m_avg"),
     ).orderBy("account_id", "ym")
 
@@ -255,7 +258,7 @@ def q86_rank_cards_by_usage(b: Bank) -> DataFrame:
 
 
 def q87_branches_increasing_volume(b: Bank, needed: int = INCREASES) -> DataFrame:
-    per_acc = b.transactions.groupBy("account_id", month_label("transaction_date").alias("ym")).agg(
+    per_acc = b.transactions.groupBy("account_id", month_start("transaction_date").alias("ym")).agg(
         F.count(F.lit(1)).alias("n")
     )
     m = (
@@ -272,7 +275,7 @@ def q88_largest_tx_in_last_tenth(b: Bank) -> DataFrame:
     t = owners(b, b.transactions.select("account_id", "transaction_id", "transaction_date", F.abs("amount").alias("amt")))
     # Timeline position per customer (date, then id) from distributed positions; the
     # customer's largest amount from a grouped MAX joined back.
-    pos = ranking.row_positions(t, ["customer_id"], ledger_order(), "rn_time", "total_txn")
+    pos = ranking.row_positions(t, ["customer_id"], ledger_order(), "rn_time", "total_txn", parts=b.ledger_parts())
     big = t.groupBy(F.col("customer_id").alias("_c")).agg(F.max("amt").alias("max_amt"))
     x = pos.join(big, F.col("customer_id") == F.col("_c")).where(
         (F.col("amt") == F.col("max_amt"))

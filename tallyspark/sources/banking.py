@@ -87,6 +87,14 @@ class Bank:
             df = self._sources[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return df.select(*cols) if cols else df
 
+    def ledger_parts(self) -> int:
+        """Split count of the ledger's source scans: the range count for operators that
+        rank raw ledger rows. A plain scan is planned, not executed, to count its splits."""
+        try:
+            return sum(self.src(n).rdd.getNumPartitions() for n in ("orders", "events"))
+        except Exception:  # no RDD access (Spark Connect): fall back to the shuffle setting
+            return 0
+
     @property
     def as_of_col(self) -> Column:
         return F.lit(self.as_of)
@@ -191,7 +199,8 @@ class Bank:
             (o * 2).alias("transaction_id"),
             F.when((k % 8 == 4) & (o % 3 == 0), k + S).otherwise(k).alias("account_id"),
             _pick(o % 8, ORDER_TX_TYPE_BY_MOD8).alias("transaction_type"),
-            dec(sign * boost * F.col("o_totalprice").cast("decimal(14,2)")).alias("amount"),
+            # A decimal(3,0) factor keeps the product at decimal(18,2), evaluated on compact longs.
+            dec((sign * boost).cast("decimal(3,0)") * F.col("o_totalprice").cast("decimal(14,2)")).alias("amount"),
             F.when(k % 50 == 3, pinned)
             .otherwise(F.timestamp_add("HOUR", (o % 24).cast("int"), F.col("o_orderdate")))
             .alias("transaction_date"),
@@ -304,3 +313,6 @@ class FixtureBank(Bank):
             if df is None:
                 df = spark.createDataFrame([], SCHEMAS[name])
             self.__dict__[name] = conform(df, name)
+
+    def ledger_parts(self) -> int:
+        return 0
