@@ -14,11 +14,13 @@ cheaper than a second copy of the data.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyspark.session import ensure_checkpoint_dir
 from tallyspark.sources.schema import conform
 
 AS_OF = dt.date(2024, 2, 1)
@@ -65,10 +67,11 @@ _SHARED: dict[tuple, "Bank"] = {}
 class Bank:
     """Lazy access to the staged banking tables of one scale-factor directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF):
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF, stage_dir: str | None = None):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.as_of = as_of
+        self.stage_dir = stage_dir.rstrip("/") if stage_dir else None
         self._sources: dict[str, DataFrame] = {}
 
     @classmethod
@@ -78,9 +81,37 @@ class Bank:
         key = (id(spark), sf_dir.rstrip("/"), as_of)
         bank = _SHARED.get(key)
         if bank is None or bank.spark is not spark:
-            bank = _SHARED[key] = cls(spark, sf_dir, as_of)
+            root = ensure_checkpoint_dir(spark).rstrip("/")
+            bank = _SHARED[key] = cls(spark, sf_dir, as_of, stage_dir=f"{root}/staged-{uuid.uuid4().hex}")
         return bank
 
+    def _staged(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a staged table once to the stage folder and read it back.
+
+        The mapping then runs once per session instead of once per query, and later plans
+        start from plain Parquet columns (pruning, vectorized reads). The folder is under the
+        session's ``spark.checkpoint.dir`` (shared and reliable on a cluster). In production
+        the staging is its own job (``write_staged``) and queries read its output.
+        """
+        if not self.stage_dir:
+            return df
+        path = f"{self.stage_dir}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return conform(self.spark.read.parquet(path), name)
+
+    def write_staged(self, path: str) -> None:
+        """Write all ten staged tables under ``path`` (one folder per table)."""
+        for name in self.TABLES:
+            self.table(name).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+
+    @classmethod
+    def from_staged(cls, spark: SparkSession, path: str, as_of: dt.date = AS_OF) -> Bank:
+        """A Bank over tables written by ``write_staged``."""
+        from tallyspark.sources.schema import SCHEMAS
+
+        tables = {n: spark.read.schema(SCHEMAS[n]).parquet(f"{path.rstrip('/')}/{n}") for n in cls.TABLES}
+        return FixtureBank(spark, tables, as_of)
+
     def src(self, name: str, *cols: str) -> DataFrame:
         df = self._sources.get(name)
         if df is None:
@@ -91,6 +122,8 @@ class Bank:
         """Split count of the ledger's source scans: the range count for operators that
         rank raw ledger rows. A plain scan is planned, not executed, to count its splits."""
         try:
+            if self.stage_dir:
+                return self.transactions.rdd.getNumPartitions()
             return sum(self.src(n).rdd.getNumPartitions() for n in ("orders", "events"))
         except Exception:  # no RDD access (Spark Connect): fall back to the shuffle setting
             return 0
@@ -112,7 +145,7 @@ class Bank:
             F.concat(F.lit("HUB_"), "r_name").alias("name"),
             F.concat(F.lit("HUB_"), "r_name").alias("city"),
         )
-        return conform(nat.unionByName(hub), "branches")
+        return self._staged("branches", conform(nat.unionByName(hub), "branches"))
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -125,7 +158,7 @@ class Bank:
             F.col("c_name").alias("last_name"),
             F.when(c % 89 == 7, None).otherwise(F.lower("n_name")).alias("city"),
         )
-        return conform(df, "customers")
+        return self._staged("customers", conform(df, "customers"))
 
     @cached_property
     def employees(self) -> DataFrame:
@@ -134,7 +167,7 @@ class Bank:
             s.alias("employee_id"),
             F.when(s % 20 == 0, 100 + F.expr("s_suppkey div 20") % 5).otherwise(F.col("s_nationkey")).alias("branch_id"),
         )
-        return conform(df, "employees")
+        return self._staged("employees", conform(df, "employees"))
 
     # ------------------------------------------------------------------ accounts and owners
     @cached_property
@@ -160,7 +193,7 @@ class Bank:
             dec(dec(F.col("c_acctbal")) + 100).alias("current_balance"),
             opened_date(c, second=True).alias("opened_date"),
         )
-        return conform(primary.unionByName(second), "accounts")
+        return self._staged("accounts", conform(primary.unionByName(second), "accounts"))
 
     @cached_property
     def customer_accounts(self) -> DataFrame:
@@ -179,7 +212,8 @@ class Bank:
             c.alias("customer_id"), (c - 1 + S).alias("account_id"),
             opened_date(c - 1, second=True).alias("ownership_start_date"),
         )
-        return conform(own.unionByName(joint_primary).unionByName(joint_second), "customer_accounts")
+        rows = own.unionByName(joint_primary).unionByName(joint_second)
+        return self._staged("customer_accounts", conform(rows, "customer_accounts"))
 
     # ------------------------------------------------------------------ ledgers
     @cached_property
@@ -220,7 +254,7 @@ class Bank:
             F.col("ts").alias("transaction_date"),
             F.when((e % 3 != 0) & (emp_u % 10 != 9), emp_u).alias("created_by_employee_id"),
         )
-        return conform(from_orders.unionByName(from_events), "transactions")
+        return self._staged("transactions", conform(from_orders.unionByName(from_events), "transactions"))
 
     @cached_property
     def loans(self) -> DataFrame:
@@ -242,7 +276,7 @@ class Bank:
                 F.when(o % 9 == 0, "Default").otherwise("active").alias("status"),
             )
         )
-        return conform(df, "loans")
+        return self._staged("loans", conform(df, "loans"))
 
     @cached_property
     def cards(self) -> DataFrame:
@@ -260,7 +294,7 @@ class Bank:
             (c * 2 + 1).alias("card_id"), c.alias("account_id"), F.lit("prepaid").alias("card_type"),
             F.lit("active").alias("status"),
         )
-        return conform(main.unionByName(on_second).unionByName(prepaid), "cards")
+        return self._staged("cards", conform(main.unionByName(on_second).unionByName(prepaid), "cards"))
 
     @cached_property
     def fees(self) -> DataFrame:
@@ -275,7 +309,7 @@ class Bank:
                 F.date_add(F.to_date("o_orderdate"), (o % 10).cast("int")).alias("fee_date"),
             )
         )
-        return conform(df, "fees")
+        return self._staged("fees", conform(df, "fees"))
 
     @cached_property
     def transfers(self) -> DataFrame:
@@ -290,7 +324,7 @@ class Bank:
             F.col("ts").alias("transaction_date"),
             F.timestamp_add("HOUR", -(e % 36).cast("int"), F.col("ts")).alias("initiated_at"),
         )
-        return conform(df, "transfers")
+        return self._staged("transfers", conform(df, "transfers"))
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
