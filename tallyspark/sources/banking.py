@@ -14,6 +14,7 @@ cheaper than a second copy of the data.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
 from functools import cached_property
 
@@ -62,6 +63,7 @@ def _pick(key: Column, values: list[str]) -> Column:
 
 
 _SHARED: dict[tuple, "Bank"] = {}
+_SHARED_LOCK = threading.Lock()
 # Account-keyed tables with a bounded number of rows per account are bucketed on it. Fact
 # tables (transactions, fees, transfers) are not: a bucket is never split, so an account
 # holding a third of the ledger would make its bucket a single task; unbucketed, the scan
@@ -78,17 +80,20 @@ class Bank:
         self.as_of = as_of
         self.stage_dir = stage_dir.rstrip("/") if stage_dir else None
         self._sources: dict[str, DataFrame] = {}
+        self._staged_tables: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> Bank:
         """One Bank per (session, directory, as_of): staged tables are lazy plans, so
         reusing them only saves re-reading Parquet footers and re-analysing the mapping."""
         key = (id(spark), sf_dir.rstrip("/"), as_of)
-        bank = _SHARED.get(key)
-        if bank is None or bank.spark is not spark:
-            root = ensure_checkpoint_dir(spark).rstrip("/")
-            bank = _SHARED[key] = cls(spark, sf_dir, as_of, stage_dir=f"{root}/staged-{uuid.uuid4().hex}")
-        return bank
+        with _SHARED_LOCK:
+            bank = _SHARED.get(key)
+            if bank is None or bank.spark is not spark:
+                root = ensure_checkpoint_dir(spark).rstrip("/")
+                bank = _SHARED[key] = cls(spark, sf_dir, as_of, stage_dir=f"{root}/staged-{uuid.uuid4().hex}")
+            return bank
 
     def _staged(self, name: str, df: DataFrame) -> DataFrame:
         """Write a staged table once to the stage folder and read it back.
@@ -100,6 +105,12 @@ class Bank:
         """
         if not self.stage_dir:
             return df
+        with self._lock:  # queries may run concurrently on one session: stage each table once
+            if name not in self._staged_tables:
+                self._staged_tables[name] = self._write_staged_table(name, df)
+            return self._staged_tables[name]
+
+    def _write_staged_table(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.stage_dir}/{name}"
         if name in BUCKETED_BY_ACCOUNT:
             # Bucketed by account_id: joins with per-account ledger aggregates (hash
@@ -107,10 +118,13 @@ class Bank:
             # exchange. One writer per bucket keeps one file per bucket.
             table = f"tally_{self.stage_dir.rsplit('-', 1)[-1]}_{name}"
             buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            df.repartition(buckets, "account_id").write.mode("overwrite").option("path", path).bucketBy(
-                buckets, "account_id"
-            ).saveAsTable(table)
-            return conform(self.spark.table(table), name)
+            try:
+                df.repartition(buckets, "account_id").write.mode("overwrite").option("path", path).bucketBy(
+                    buckets, "account_id"
+                ).saveAsTable(table)
+                return conform(self.spark.table(table), name)
+            except Exception:  # a catalog that cannot register the table: plain Parquet below
+                pass
         df.write.mode("overwrite").parquet(path)
         return conform(self.spark.read.parquet(path), name)
 
