@@ -219,3 +219,39 @@ def test_month_calendar(spark):
 
     months = [r["ym"] for r in month_calendar(spark).collect()]
     assert len(months) == 25 and months[0] == "2022-02" and months[-1] == "2024-02"
+
+
+HOT_KEYS = [
+    "q020_median_amount_per_account", "q036_customers_largest_tx_withdrawal", "q059_latest_tx_is_largest",
+    "q064_accounts_last_tx_large_withdrawal", "q066_rank_customers_by_value", "q067_running_balance",
+    "q068_rank_tx_within_account", "q069_top_tx_per_customer", "q073_cumulative_deposit_withdrawal",
+    "q076_outlier_transactions", "q078_customers_latest_tx_withdrawal", "q080_gap_between_transactions",
+    "q085_transaction_spikes", "q088_largest_tx_in_last_tenth", "q089_rank_accounts_by_volatility",
+]
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    import random
+    from datetime import timedelta
+
+    rnd = random.Random(5)
+    start = datetime(2023, 3, 1)
+    t = []
+    for i in range(360):
+        acc = 10 if i % 3 == 0 else 11 + rnd.randint(0, 5)  # account 10 holds a third of the rows
+        ts = start + timedelta(minutes=17 * rnd.randint(0, 4000))
+        if i % 29 == 0 and t:
+            ts = t[-1][4]  # equal timestamps
+        amt = None if i % 41 == 7 else f"{rnd.choice([-1, 1]) * rnd.randint(1, 90000) / 100:.2f}"
+        typ = rnd.choice(["deposit", "WITHDRAWAL", "Withdrawal", "emi"])
+        t.append(tx(i, acc, typ, amt, ts))
+    accounts = [acct(a) for a in range(10, 17)]
+    ca = [(1, 10, date(2020, 1, 1)), (2, 10, date(2020, 1, 1))] + [(3 + k, 11 + k, date(2020, 1, 1)) for k in range(6)]
+    custs = [(c, "F", f"L{c}", "x") for c in range(1, 9)]
+    return Fixture(spark, transactions=t, accounts=accounts, customer_accounts=ca, customers=custs)
+
+
+@pytest.mark.parametrize("key", HOT_KEYS)
+def test_hot_account_matches_oracle(hot, key):
+    assert hot.run(key) is not None
