@@ -4,15 +4,16 @@ An un-partitioned ``Window`` (``OVER (ORDER BY ...)``) plans as one SinglePartit
 that sorts every row. These operators compute the same numbers with every step spread over
 the cluster:
 
-1. ``repartitionByRange(P, order)`` + ``sortWithinPartitions(order)``: Spark samples the
-   keys and splits the key space into P sorted ranges. The order must be a total order
-   (the caller adds a unique tie-break), so even a value shared by a third of the rows is
-   cut across several ranges.
+1. ``repartitionByRange(order)`` + ``sortWithinPartitions(order)``: Spark samples the
+   keys and splits the key space into P sorted ranges (P at most the shuffle-partition
+   setting, or the caller's split count; AQE may merge adjacent ranges). The order must be
+   a total order (the caller adds a unique tie-break), so even a value shared by a third of
+   the rows is cut across several ranges.
 2. Inside each range, ``monotonically_increasing_id`` gives the row's index in sorted
    order (the low 33 bits) and ``spark_partition_id`` the range.
 3. ``groupBy(range).count()`` has at most P rows; a running sum over those P rows is the
-   offset of each range. P is chosen by us, so broadcasting the offsets is bounded by
-   construction.
+   offset of each range. P is bounded by configuration, so broadcasting the offsets is
+   bounded by construction.
 4. position = offset(range) + index + 1.
 
 Ties in the ranked value are handled by aggregating over the value first (dense ranks,
@@ -30,11 +31,22 @@ _PID, _IDX, _OFF, _CNT = "_rk_pid", "_rk_idx", "_rk_off", "_rk_cnt"
 POS, TOTAL = "_rk_pos", "_rk_n"
 
 
-def _parts(df: DataFrame, parts: int | None) -> int:
-    """Number of ranges: ``parts`` when the caller sizes it (ledger-sized inputs pass their
-    scan's split count, so a range holds about one input split), else the shuffle setting."""
-    configured = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return max(configured, parts or 0)
+def _ranged(df: DataFrame, order: list[Column], parts: int | None) -> DataFrame:
+    """Range-partition on ``order``.
+
+    Without ``parts`` the exchange starts from ``spark.sql.shuffle.partitions`` ranges and
+    AQE may merge adjacent ones up to its advisory size, so a small input is not spread over
+    hundreds of tasks and a large one keeps ranges of a bounded size (merged ranges stay in
+    order). Callers with ledger-sized input pass its split count: then the range count is
+    max(parts, cores), which keeps ranges near the input split size at any scale.
+    """
+    if not parts:
+        return df.repartitionByRange(*order)
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext (Spark Connect)
+        cores = 1
+    return df.repartitionByRange(max(parts, cores), *order)
 
 
 def positions(df: DataFrame, order: list[Column], parts: int | None = None) -> DataFrame:
@@ -43,7 +55,7 @@ def positions(df: DataFrame, order: list[Column], parts: int | None = None) -> D
     ``order`` must be a total order over the rows (unique sort key), otherwise positions of
     tied rows are arbitrary, as with ROW_NUMBER.
     """
-    ranged = df.repartitionByRange(_parts(df, parts), *order).sortWithinPartitions(*order)
+    ranged = _ranged(df, order, parts).sortWithinPartitions(*order)
     pid = F.spark_partition_id()
     tagged = ranged.select(
         "*",

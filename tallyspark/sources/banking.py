@@ -64,11 +64,6 @@ def _pick(key: Column, values: list[str]) -> Column:
 
 _SHARED: dict[tuple, "Bank"] = {}
 _SHARED_LOCK = threading.Lock()
-# Account-keyed tables with a bounded number of rows per account are bucketed on it. Fact
-# tables (transactions, fees, transfers) are not: a bucket is never split, so an account
-# holding a third of the ledger would make its bucket a single task; unbucketed, the scan
-# splits evenly and partial aggregation collapses the hot account before the shuffle.
-BUCKETED_BY_ACCOUNT = ("accounts", "customer_accounts", "cards")
 
 
 class Bank:
@@ -111,20 +106,11 @@ class Bank:
             return self._staged_tables[name]
 
     def _write_staged_table(self, name: str, df: DataFrame) -> DataFrame:
+        # Plain Parquet, not bucketed: a bucket is never split (an account holding a third of
+        # the ledger would be one task), and a bucketed side pins every join it feeds to the
+        # bucket count, which AQE then cannot coalesce. Shuffling the small account-level
+        # side of a join costs little next to the ledger.
         path = f"{self.stage_dir}/{name}"
-        if name in BUCKETED_BY_ACCOUNT:
-            # Bucketed by account_id: joins with per-account ledger aggregates (hash
-            # partitioned on account_id by their aggregation) read this side without an
-            # exchange. One writer per bucket keeps one file per bucket.
-            table = f"tally_{self.stage_dir.rsplit('-', 1)[-1]}_{name}"
-            buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-            try:
-                df.repartition(buckets, "account_id").write.mode("overwrite").option("path", path).bucketBy(
-                    buckets, "account_id"
-                ).saveAsTable(table)
-                return conform(self.spark.table(table), name)
-            except Exception:  # a catalog that cannot register the table: plain Parquet below
-                pass
         df.write.mode("overwrite").parquet(path)
         return conform(self.spark.read.parquet(path), name)
 
