@@ -67,14 +67,6 @@ def mean_exact(c: str | Column) -> Column:
     return ratio(F.sum(col(c)), F.count(col(c)))
 
 
-def as_long(c: str | Column) -> Column:
-    return col(c).cast("long")
-
-
-def ntz(c: Column) -> Column:
-    return c.cast("timestamp_ntz")
-
-
 def pop_std(s1: str | Column, s2: str | Column, n: str | Column) -> Column:
     """Population standard deviation from exact moments: sum(x), sum(x*x) and count.
 

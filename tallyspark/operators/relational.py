@@ -8,8 +8,8 @@
 * ``absent`` / ``present``: anti / semi joins whose right side is first reduced to its
   distinct keys (a map-side combined aggregate), which keeps a hot key from skewing the
   join and shrinks the shuffle to one row per key and partition.
-* ``with_population``: attach a one-row global aggregate. The row count is one by
-  construction, so the broadcast is bounded.
+* ``population``: a global aggregate as a scalar subquery (``DataFrame.scalar()``): it runs
+  once and its value is inlined into the filter, with no join.
 """
 
 from __future__ import annotations
@@ -35,10 +35,6 @@ def owners(b: Bank, df: DataFrame, account_col: str = "account_id") -> DataFrame
     return df.join(ca, account_col)
 
 
-def keys_of(df: DataFrame, *cols: str | Column) -> DataFrame:
-    return df.select(*cols).distinct()
-
-
 def absent(left: DataFrame, right: DataFrame, on: list[str] | str) -> DataFrame:
     on = [on] if isinstance(on, str) else on
     return left.join(right.select(*on).distinct(), on, "left_anti")
@@ -49,6 +45,6 @@ def present(left: DataFrame, right: DataFrame, on: list[str] | str) -> DataFrame
     return left.join(right.select(*on).distinct(), on, "left_semi")
 
 
-def with_population(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Cross join with a global aggregate (exactly one row), broadcast."""
-    return df.crossJoin(F.broadcast(one_row))
+def population(df: DataFrame, aggregate: Column) -> Column:
+    """A global aggregate of ``df`` as a scalar-subquery column (one value, computed once)."""
+    return df.agg(aggregate).scalar()

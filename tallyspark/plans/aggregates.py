@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.core import avg_of, fround, lc, mean_exact, money, ratio
-from tallyspark.operators.relational import absent, branch_names, customer_names, owners, with_population
+from tallyspark.operators.relational import absent, branch_names, customer_names, owners, population
 from tallyspark.sources.banking import Bank
 
 FEE_THRESHOLD = 500
@@ -168,10 +168,9 @@ def q24_customers_above_overall_avg(b: Bank) -> DataFrame:
     t = b.transactions
     per_acc = t.groupBy("account_id").agg(F.sum(F.abs("amount")).alias("s"), F.count("amount").alias("n"))
     per_cust = owners(b, per_acc).groupBy("customer_id").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
-    overall = t.agg(mean_exact(F.abs("amount")).alias("overall_avg"))
+    overall = population(t, mean_exact(F.abs("amount")))
     return (
-        with_population(per_cust, overall)
-        .where(ratio("s", "n") > F.col("overall_avg"))
+        per_cust.where(ratio("s", "n") > overall)
         .join(customer_names(b), "customer_id")
         .select("customer_id", "customer_name", avg_of("s", "n").alias("avg_txn"))
         .orderBy(F.desc("avg_txn"))

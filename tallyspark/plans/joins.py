@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.core import avg_of, customer_name, lc, mean_exact, money, month_label, month_start, ratio
-from tallyspark.operators.relational import absent, branch_names, customer_names, owners, present, with_population
+from tallyspark.operators.relational import absent, branch_names, customer_names, owners, population, present
 from tallyspark.sources.banking import Bank
 
 REPAYMENT_TYPES = ["loan_payment", "repayment", "emi"]
@@ -189,8 +189,8 @@ def branch_default_rates(b: Bank) -> DataFrame:
 
 
 def q40_branches_above_overall_default_rate(b: Bank) -> DataFrame:
-    overall = b.loans.select(default_indicator().alias("d")).agg(mean_exact("d").alias("overall"))
-    x = with_population(branch_default_rates(b), overall).where(ratio("s", "n") > F.col("overall"))
+    overall = population(b.loans.select(default_indicator().alias("d")), mean_exact("d"))
+    x = branch_default_rates(b).where(ratio("s", "n") > overall)
     return (
         x.join(branch_names(b), "branch_id")
         .select("branch_id", "branch_name", avg_of("s", "n").alias("br_default_rate"))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.core import avg_of, fround, lc, money, month_label, pop_std, ratio
-from tallyspark.operators.relational import branch_names, customer_names, owners, with_population
+from tallyspark.operators.relational import branch_names, customer_names, owners, population
 from tallyspark.plans.windows import customer_month_counts, top_customers
 from tallyspark.sources.banking import AS_OF, Bank
 
@@ -103,8 +103,8 @@ def q96_abnormal_branches(b: Bank, factor: int = ABNORMAL_FACTOR) -> DataFrame:
         .agg(F.sum("s1").alias("s1"), F.sum("s2").alias("s2"), F.sum("n").alias("n"))
         .withColumn("avg_amt", ratio("s1", "n"))
     )
-    overall = br.agg(F.avg("avg_amt").alias("overall_avg"))  # unweighted mean of branch means
-    hit = with_population(br, overall).where(F.col("avg_amt") > factor * F.col("overall_avg"))
+    overall = population(br, F.avg("avg_amt"))  # unweighted mean of branch means
+    hit = br.where(F.col("avg_amt") > factor * overall)
     return (
         hit.join(branch_names(b), "branch_id")
         .select(

@@ -1,7 +1,7 @@
 """Section 3: comparisons with a population or a peer group (operators 56-65).
 
-Scalar subqueries become one-row aggregates cross joined by broadcast (one row by
-construction); correlated subqueries on equality become a grouped aggregate joined back
+Scalar subqueries stay scalar subqueries (``DataFrame.scalar()``: computed once, inlined
+into the filter, no join); correlated subqueries on equality become a grouped aggregate joined back
 on the correlation key, which is map-side combined and never sorts a whole group.
 """
 
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.core import avg_of, lc, mean_exact, money, ratio
-from tallyspark.operators.relational import branch_names, customer_names, owners, with_population
+from tallyspark.operators.relational import branch_names, customer_names, owners, population
 from tallyspark.sources.banking import Bank
 
 LARGE_MULTIPLE = 2
@@ -24,10 +24,9 @@ def _customer_totals(b: Bank, value, name: str) -> DataFrame:
 
 def q56_customers_above_avg_total(b: Bank) -> DataFrame:
     tot = _customer_totals(b, F.col("amount"), "total")
-    avg_total = tot.agg(mean_exact("total").alias("avg_total"))
+    avg_total = population(tot, mean_exact("total"))
     return (
-        with_population(tot, avg_total)
-        .where(F.col("total").cast("double") > F.col("avg_total"))
+        tot.where(F.col("total").cast("double") > avg_total)
         .join(customer_names(b), "customer_id")
         .select("customer_id", "customer_name", money("total").alias("total_amt"))
         .orderBy(F.desc("total_amt"))
@@ -51,9 +50,8 @@ def q58_top_deposit_branch(b: Bank) -> DataFrame:
         .groupBy("branch_id")
         .agg(F.sum("s").alias("total"))
     )
-    top = per_branch.agg(F.max("total").alias("top"))
     # Exact decimal equality with the maximum: ties for first place are all returned.
-    x = with_population(per_branch, top).where(F.col("total") == F.col("top"))
+    x = per_branch.where(F.col("total") == population(per_branch, F.max("total")))
     return x.join(branch_names(b), "branch_id").select(
         "branch_id", "branch_name", money("total").alias("total_deposits")
     )
@@ -75,10 +73,9 @@ def q59_latest_tx_is_largest(b: Bank) -> DataFrame:
 
 def q60_accounts_above_avg_fee_count(b: Bank) -> DataFrame:
     cnt = b.fees.groupBy("account_id").agg(F.count(F.lit(1)).alias("fee_count"))
-    avg_fee = cnt.agg(mean_exact("fee_count").alias("avg_fee_count"))
+    avg_fee = population(cnt, mean_exact("fee_count"))
     return (
-        with_population(cnt, avg_fee)
-        .where(F.col("fee_count") > F.col("avg_fee_count"))
+        cnt.where(F.col("fee_count") > avg_fee)
         .select("account_id", "fee_count")
         .orderBy(F.desc("fee_count"))
     )
@@ -125,8 +122,8 @@ def q64_accounts_last_tx_large_withdrawal(b: Bank) -> DataFrame:
 
 def q65_owners_of_most_active_account(b: Bank) -> DataFrame:
     act = b.transactions.groupBy("account_id").agg(F.count(F.lit(1)).alias("txn_count"))
-    # LIMIT 1 with an account_id tie-break: a distributed top-1 (TakeOrderedAndProject), and
-    # the single row it yields is broadcast.
-    top = act.orderBy(F.desc("txn_count"), F.asc("account_id")).limit(1).select("account_id")
-    x = b.customer_accounts.select("customer_id", "account_id").join(F.broadcast(top), "account_id")
+    # LIMIT 1 with an account_id tie-break: a distributed top-1 (TakeOrderedAndProject) used
+    # as a scalar subquery, so its one value filters the owners without a join.
+    top = act.orderBy(F.desc("txn_count"), F.asc("account_id")).limit(1).select("account_id").scalar()
+    x = b.customer_accounts.select("customer_id", "account_id").where(F.col("account_id") == top)
     return x.join(customer_names(b), "customer_id").select("customer_id", "customer_name", "account_id")

@@ -7,10 +7,6 @@ import pytest
 from tallyspark.plans.registry import queries
 
 QUERIES = queries()
-ONE_ROW_CROSS_JOINS = {
-    "q024_customers_above_overall_avg", "q040_branches_above_overall_default_rate", "q056_customers_above_avg_total",
-    "q058_top_deposit_branch", "q060_accounts_above_avg_fee_count", "q096_abnormal_branches",
-}
 GLOBAL_RANKS = [
     "q061_customers_top5pct_tx_count", "q066_rank_customers_by_value", "q072_rank_branches_by_default_rate",
     "q076_outlier_transactions", "q082_rank_loans_by_remaining_term", "q084_customers_top10pct_account_count",
@@ -29,17 +25,22 @@ def test_no_single_task_global_window(spark, sf_dir, key):
     assert not re.search(r"\b(dense_rank|percent_rank|ntile|row_number)\(", p), p
 
 
-def test_nested_loop_joins_only_for_one_row_sides(spark, sf_dir):
+def test_no_cross_or_nested_loop_joins(spark, sf_dir):
     for key in QUERIES:
         p = plan(spark, sf_dir, key)
-        if "NestedLoopJoin" in p:
-            assert key in ONE_ROW_CROSS_JOINS, key
+        assert "NestedLoopJoin" not in p and "CartesianProduct" not in p, key
+
+
+def test_population_values_are_scalar_subqueries(spark, sf_dir):
+    for key in ["q024_customers_above_overall_avg", "q058_top_deposit_branch", "q096_abnormal_branches"]:
+        assert "Subquery" in plan(spark, sf_dir, key), key
 
 
 def test_scan_reads_only_needed_columns(spark, sf_dir):
     p = plan(spark, sf_dir, "q018_negative_ledger_accounts")
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", p)
-    assert schemas and all("o_orderpriority" not in s and "o_orderstatus" not in s and "props" not in s for s in schemas)
+    unused = ("transaction_type", "created_by_employee_id", "transaction_date", "o_orderpriority", "props")
+    assert schemas and all(u not in s for s in schemas for u in unused), schemas
 
 
 def test_partial_aggregation_before_shuffle(spark, sf_dir):
