@@ -29,6 +29,18 @@ def lc(c: str | Column) -> Column:
     return F.lower(col(c))
 
 
+def text_key(c: str, case_insensitive: bool = False) -> Column:
+    """A string grouping key. Binary by default; with ``case_insensitive`` it uses the
+    UTF8_LCASE collation, so case variants group and count as one value, as under MySQL's
+    default collation (the value shown for a merged group is one of its variants)."""
+    return F.collate(F.col(c), "UTF8_LCASE") if case_insensitive else F.col(c)
+
+
+def plain_text(c: str) -> Column:
+    """Back to the default (binary) collation for output."""
+    return F.collate(F.col(c), "UTF8_BINARY")
+
+
 def month_label(c: str | Column) -> Column:
     return F.date_format(col(c), "yyyy-MM")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.core import avg_of, fround, lc, mean_exact, money, ratio
+from tallyspark.functions.core import avg_of, fround, lc, mean_exact, money, plain_text, ratio, text_key
 from tallyspark.operators.relational import absent, branch_names, customer_names, owners, population
 from tallyspark.sources.banking import Bank
 
@@ -22,10 +22,13 @@ def q10_accounts_without_transactions(b: Bank) -> DataFrame:
     return absent(b.accounts.select("account_id"), b.transactions, "account_id")
 
 
-def q11_avg_size_by_transaction_type(b: Bank) -> DataFrame:
+def q11_avg_size_by_transaction_type(b: Bank, case_insensitive: bool = False) -> DataFrame:
     t = b.transactions
-    g = t.groupBy("transaction_type").agg(F.sum(F.abs("amount")).alias("s"), F.count("amount").alias("n"))
-    return g.select("transaction_type", avg_of("s", "n").alias("avg_transaction_size")).orderBy(
+    key = text_key("transaction_type", case_insensitive).alias("transaction_type")
+    g = t.groupBy(key).agg(F.sum(F.abs("amount")).alias("s"), F.count("amount").alias("n"))
+    return g.select(
+        plain_text("transaction_type").alias("transaction_type"), avg_of("s", "n").alias("avg_transaction_size")
+    ).orderBy(
         F.desc("avg_transaction_size")
     )
 
@@ -51,13 +54,14 @@ def q13_branch_avg_account_age(b: Bank) -> DataFrame:
     ).orderBy(F.desc("avg_account_age_days"))
 
 
-def q14_loan_type_averages(b: Bank) -> DataFrame:
-    g = b.loans.groupBy("loan_type").agg(
+def q14_loan_type_averages(b: Bank, case_insensitive: bool = False) -> DataFrame:
+    g = b.loans.groupBy(text_key("loan_type", case_insensitive).alias("loan_type")).agg(
         F.sum("interest_rate").alias("si"), F.count("interest_rate").alias("ni"),
         F.sum("principal_amount").alias("sp"), F.count("principal_amount").alias("np"),
     )
     return g.select(
-        "loan_type", avg_of("si", "ni").alias("avg_interest_rate"), avg_of("sp", "np").alias("avg_principal_amount")
+        plain_text("loan_type").alias("loan_type"), avg_of("si", "ni").alias("avg_interest_rate"),
+        avg_of("sp", "np").alias("avg_principal_amount"),
     ).orderBy(F.desc("avg_principal_amount"))
 
 
@@ -177,6 +181,9 @@ def q24_customers_above_overall_avg(b: Bank) -> DataFrame:
     )
 
 
-def q25_transaction_types_by_impact(b: Bank) -> DataFrame:
-    g = b.transactions.groupBy("transaction_type").agg(F.sum("amount").alias("s"))
-    return g.select("transaction_type", money("s").alias("total_impact")).orderBy(F.desc("total_impact"))
+def q25_transaction_types_by_impact(b: Bank, case_insensitive: bool = False) -> DataFrame:
+    key = text_key("transaction_type", case_insensitive).alias("transaction_type")
+    g = b.transactions.groupBy(key).agg(F.sum("amount").alias("s"))
+    return g.select(plain_text("transaction_type").alias("transaction_type"), money("s").alias("total_impact")).orderBy(
+        F.desc("total_impact")
+    )

@@ -14,7 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.core import avg_of, customer_name, lc, mean_exact, money, month_label, month_start, ratio
+from tallyspark.functions.core import (
+    avg_of, customer_name, lc, mean_exact, money, month_label, month_start, ratio, text_key,
+)
 from tallyspark.operators.relational import absent, branch_names, customer_names, owners, population, present
 from tallyspark.sources.banking import Bank
 
@@ -269,10 +271,9 @@ def q47_transfers_date_mismatch(b: Bank) -> DataFrame:
     )
 
 
-def q48_customers_multiple_card_types(b: Bank) -> DataFrame:
-    g = owners(b, b.cards.select("account_id", "card_type")).groupBy("customer_id").agg(
-        F.countDistinct("card_type").alias("distinct_card_types")
-    )
+def q48_customers_multiple_card_types(b: Bank, case_insensitive: bool = False) -> DataFrame:
+    cards = b.cards.select("account_id", text_key("card_type", case_insensitive).alias("card_type"))
+    g = owners(b, cards).groupBy("customer_id").agg(F.countDistinct("card_type").alias("distinct_card_types"))
     return (
         g.where(F.col("distinct_card_types") > 1)
         .join(customer_names(b), "customer_id")

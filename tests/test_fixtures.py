@@ -255,3 +255,25 @@ def hot(spark):
 @pytest.mark.parametrize("key", HOT_KEYS)
 def test_hot_account_matches_oracle(hot, key):
     assert hot.run(key) is not None
+
+
+def test_case_insensitive_grouping_option(spark):
+    t = [
+        tx(1, 10, "deposit", "10.00", datetime(2023, 1, 1)),
+        tx(2, 10, "Deposit", "20.00", datetime(2023, 1, 2)),
+        tx(3, 10, "DEPOSIT", "30.00", datetime(2023, 1, 3)),
+        tx(4, 10, "EMI", "-5.00", datetime(2023, 1, 4)),
+    ]
+    f = Fixture(spark, transactions=t, accounts=[acct(10)])
+    assert len(f.run("q025_transaction_types_by_impact")) == 4  # binary by default, as the oracle
+    merged = PLANS["q025_transaction_types_by_impact"](f.bank, case_insensitive=True).collect()
+    totals = sorted((r["transaction_type"].lower(), r["total_impact"]) for r in merged)
+    assert totals == [("deposit", 60.0), ("emi", -5.0)]
+    avg = {r["transaction_type"].lower(): r["avg_transaction_size"] for r in
+           PLANS["q011_avg_size_by_transaction_type"](f.bank, case_insensitive=True).collect()}
+    assert avg == {"deposit": 20.0, "emi": 5.0}
+    cards = [(1, 10, "Debit", "active"), (2, 10, "debit", "active"), (3, 10, "credit", "active")]
+    g = Fixture(spark, cards=cards, customers=CUSTOMERS[:1], customer_accounts=[(1, 10, date(2020, 1, 1))])
+    assert g.run("q048_customers_multiple_card_types")[0]["distinct_card_types"] == 3
+    ci = PLANS["q048_customers_multiple_card_types"](g.bank, case_insensitive=True).collect()
+    assert ci[0]["distinct_card_types"] == 2
