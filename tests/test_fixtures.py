@@ -277,3 +277,17 @@ def test_case_insensitive_grouping_option(spark):
     assert g.run("q048_customers_multiple_card_types")[0]["distinct_card_types"] == 3
     ci = PLANS["q048_customers_multiple_card_types"](g.bank, case_insensitive=True).collect()
     assert ci[0]["distinct_card_types"] == 2
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return Fixture(spark)
+
+
+@pytest.mark.parametrize("key", sorted(PLANS))
+def test_empty_tables_match_oracle(empty, key):
+    rows = empty.run(key)
+    if key in ("q017_frozen_account_percentage", "q023_joint_vs_single_owner_counts"):
+        assert len(rows) == 1 and all(v is None for v in rows[0].values())  # global aggregates
+    else:
+        assert rows == []
