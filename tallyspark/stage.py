@@ -1,6 +1,7 @@
 """Staging job: write the ten banking tables once, for queries to read with ``Bank.from_staged``.
 
-    spark-submit -m tallyspark.stage <source_dir> <staged_dir>
+    python -m tallyspark.stage <source_dir> <staged_dir>
+    spark-submit tallyspark/stage.py <source_dir> <staged_dir>
 
 On a cluster this runs as its own job (the session comes from spark-submit); queries then
 start from plain Parquet columns instead of re-deriving the mapping.
@@ -8,12 +9,16 @@ start from plain Parquet columns instead of re-deriving the mapping.
 
 from __future__ import annotations
 
+import os
 import sys
 
 from pyspark.sql import SparkSession
 
-from tallyspark.session import REQUIRED
-from tallyspark.sources.banking import Bank
+if __package__ in (None, ""):  # run as a script (spark-submit tallyspark/stage.py)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tallyspark.session import REQUIRED  # noqa: E402
+from tallyspark.sources.banking import Bank  # noqa: E402
 
 
 def main(argv: list[str]) -> None:
