@@ -11,8 +11,9 @@ account is split into time buckets (default: the hour of ``transaction_date``):
 * that small table joins back on ``(account, bucket)``: the rows are already hash
   partitioned on those keys by the window, so the ledger is shuffled once in total.
 
-A bucket is at most one hour of one account's activity, and the carry windows run over
-one row per bucket, so no task's share grows with the size of the hottest account.
+A bucket is at most one hour of one account's activity (or, with ``with_row_buckets``, at
+most N rows of one account whatever their timing), and the carry windows run over one row
+per bucket, so no task's share grows with the size of the hottest account.
 """
 
 from __future__ import annotations
@@ -27,6 +28,24 @@ def hour_bucket(ts: str = "transaction_date") -> Column:
     return F.date_trunc("hour", F.col(ts))
 
 
+ROW_BUCKET = "_lg_row_bucket"
+
+
+def with_row_buckets(df: DataFrame, key: str, order: list[Column], rows_per_bucket: int, parts: int | None = None) -> DataFrame:
+    """Add ``_lg_row_bucket``: (position of the row inside its key, in ``order``) div N.
+
+    A strict bound that does not depend on how a key's rows spread over time: every bucket
+    holds at most ``rows_per_bucket`` rows of one key. Positions come from the distributed
+    ``ranking.row_positions`` (one extra range-partitioned, checkpointed pass), and the
+    bucket is monotone in ``order``, as the windows below require.
+    """
+    from tallyspark.operators import ranking
+
+    rows = ranking.row_positions(df, [key], order, "_lg_rn", "_lg_cnt", parts)
+    bucket = F.expr(f"(_lg_rn - 1) div {int(rows_per_bucket)}")
+    return rows.withColumn(ROW_BUCKET, bucket).drop("_lg_rn", "_lg_cnt")
+
+
 def running_sums(
     df: DataFrame, key: str, order: list[Column], values: dict[str, Column], bucket: Column | None = None
 ) -> DataFrame:

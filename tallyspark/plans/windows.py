@@ -54,6 +54,21 @@ def customer_month_counts(b: Bank) -> DataFrame:
     return owners(b, per_acc).groupBy("customer_id", "ym").agg(F.sum("n").cast("long").alias("txn_count"))
 
 
+def ledger_bucket(b: Bank, t: DataFrame, bucket: str, rows_per_bucket: int) -> tuple[DataFrame, Column]:
+    """The ledger with the bucket column the ordered ledger windows split accounts by:
+    ``"hour"`` (default; one hour of one account) or ``"rows"`` (at most ``rows_per_bucket``
+    rows of one account, whatever their timing; one extra distributed positions pass)."""
+    if bucket == "hour":
+        return t, ledger.hour_bucket()
+    if bucket == "rows":
+        rows = ledger.with_row_buckets(t, "account_id", ledger_order(), rows_per_bucket, parts=b.ledger_parts())
+        return rows, F.col(ledger.ROW_BUCKET)
+    raise ValueError(f"bucket must be 'hour' or 'rows', not {bucket!r}")
+
+
+ROWS_PER_BUCKET = 1_000_000
+
+
 def q66_rank_customers_by_value(b: Bank) -> DataFrame:
     per_acc = b.transactions.groupBy("account_id").agg(F.sum("amount").alias("s"))
     tot = owners(b, per_acc).groupBy("customer_id").agg(F.sum("s").alias("total_value"))
@@ -63,9 +78,10 @@ def q66_rank_customers_by_value(b: Bank) -> DataFrame:
     )
 
 
-def q67_running_balance(b: Bank) -> DataFrame:
-    t = b.transactions.select("account_id", "transaction_date", "transaction_id", "amount")
-    x = ledger.running_sums(t, "account_id", ledger_order(), {"running_balance": F.col("amount")})
+def q67_running_balance(b: Bank, bucket: str = "hour", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    t, bk = ledger_bucket(b, b.transactions.select("account_id", "transaction_date", "transaction_id", "amount"),
+                          bucket, rows_per_bucket)
+    x = ledger.running_sums(t, "account_id", ledger_order(), {"running_balance": F.col("amount")}, bucket=bk)
     return x.select(
         "account_id", "transaction_date", "transaction_id", money("amount").alias("amount"),
         money("running_balance").alias("running_balance"),
@@ -120,14 +136,14 @@ def q72_rank_branches_by_default_rate(b: Bank) -> DataFrame:
     )
 
 
-def q73_cumulative_deposit_withdrawal(b: Bank) -> DataFrame:
-    t = b.transactions
+def q73_cumulative_deposit_withdrawal(
+    b: Bank, bucket: str = "hour", rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    t = b.transactions.select("account_id", "transaction_date", "transaction_id", "transaction_type", "amount")
+    t, bk = ledger_bucket(b, t, bucket, rows_per_bucket)
     dep = F.when(lc("transaction_type") == "deposit", F.col("amount")).otherwise(F.lit(0))
     wd = F.when(lc("transaction_type") == "withdrawal", F.abs("amount")).otherwise(F.lit(0))
-    x = ledger.running_sums(
-        t.select("account_id", "transaction_date", "transaction_id", "transaction_type", "amount"),
-        "account_id", ledger_order(), {"cum_deposit": dep, "cum_withdrawal": wd},
-    )
+    x = ledger.running_sums(t, "account_id", ledger_order(), {"cum_deposit": dep, "cum_withdrawal": wd}, bucket=bk)
     return x.select(
         "account_id", "transaction_date", "transaction_id",
         money("cum_deposit").alias("cum_deposit"), money("cum_withdrawal").alias("cum_withdrawal"),
@@ -194,9 +210,10 @@ def q79_rank_employees_in_branch(b: Bank) -> DataFrame:
     return ranked.orderBy("branch_id", "branch_rank")
 
 
-def q80_gap_between_transactions(b: Bank) -> DataFrame:
-    t = b.transactions.select("account_id", "transaction_id", "transaction_date")
-    x = ledger.previous_order_value(t, "account_id", ledger_order(), "transaction_date", "prev_dt")
+def q80_gap_between_transactions(b: Bank, bucket: str = "hour", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    t, bk = ledger_bucket(b, b.transactions.select("account_id", "transaction_id", "transaction_date"),
+                          bucket, rows_per_bucket)
+    x = ledger.previous_order_value(t, "account_id", ledger_order(), "transaction_date", "prev_dt", bucket=bk)
     # TIMESTAMPDIFF(DAY): whole elapsed 24-hour days (23 hours -> 0), not calendar days.
     return x.where(F.col("prev_dt").isNotNull()).select(
         "account_id", "transaction_id", "transaction_date", "prev_dt",
@@ -237,9 +254,13 @@ def q84_customers_top10pct_account_count(b: Bank) -> DataFrame:
     return top_customers(b, cc, "acc_count", 10)
 
 
-def q85_transaction_spikes(b: Bank, factor: int = SPIKE_FACTOR, rows: int = SPIKE_ROWS) -> DataFrame:
+def q85_transaction_spikes(
+    b: Bank, factor: int = SPIKE_FACTOR, rows: int = SPIKE_ROWS, bucket: str = "hour",
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+) -> DataFrame:
     amt = F.abs("amount")
-    x = ledger.preceding_rows_sum_count(b.transactions, "account_id", ledger_order(), amt, rows, "_s", "_n")
+    t, bk = ledger_bucket(b, b.transactions, bucket, rows_per_bucket)
+    x = ledger.preceding_rows_sum_count(t, "account_id", ledger_order(), amt, rows, "_s", "_n", bucket=bk)
     x = x.withColumn("_ravg", ratio("_s", "_n"))
     x = x.where(F.col("_ravg").isNotNull() & (amt.cast("double") > factor * F.col("_ravg")))
     return x.select(*ledger_columns(), fround("_ravg", 4).alias("rolling_avg"))

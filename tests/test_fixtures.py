@@ -291,3 +291,13 @@ def test_empty_tables_match_oracle(empty, key):
         assert len(rows) == 1 and all(v is None for v in rows[0].values())  # global aggregates
     else:
         assert rows == []
+
+
+@pytest.mark.parametrize(
+    "key", ["q067_running_balance", "q073_cumulative_deposit_withdrawal", "q080_gap_between_transactions",
+            "q085_transaction_spikes"],
+)
+def test_hot_account_row_buckets_match_oracle(hot, key):
+    df = PLANS[key](hot.bank, bucket="rows", rows_per_bucket=5)
+    ok, msg = compare(df, hot.con, SQL[key])
+    assert ok, msg

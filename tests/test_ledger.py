@@ -51,3 +51,20 @@ def test_preceding_rows(rows, frame):
     w = Window.partitionBy("acc").orderBy(*order()).rowsBetween(-frame, -1)
     want = rows.withColumn("s", F.sum(F.abs("amt")).over(w)).withColumn("n", F.count(F.abs("amt")).over(w))
     _same(got, want, ["id", "s", "n"])
+
+
+@pytest.mark.parametrize("per_bucket", [1, 7])
+def test_row_buckets(rows, per_bucket):
+    x = ledger.with_row_buckets(rows, "acc", order(), per_bucket)
+    sizes = x.groupBy("acc", ledger.ROW_BUCKET).count().agg(F.max("count")).collect()[0][0]
+    assert sizes <= per_bucket
+    bk = F.col(ledger.ROW_BUCKET)
+    w = Window.partitionBy("acc").orderBy(*order())
+    run = ledger.running_sums(x, "acc", order(), {"run": F.col("amt")}, bucket=bk)
+    _same(run, rows.withColumn("run", F.sum("amt").over(w.rowsBetween(Window.unboundedPreceding, 0))), ["id", "run"])
+    prev = ledger.previous_order_value(x, "acc", order(), "ts", "prev", bucket=bk)
+    _same(prev, rows.withColumn("prev", F.lag("ts").over(w)), ["id", "prev"])
+    got = ledger.preceding_rows_sum_count(x, "acc", order(), F.abs("amt"), 10, "s", "n", bucket=bk)
+    f = w.rowsBetween(-10, -1)
+    want = rows.withColumn("s", F.sum(F.abs("amt")).over(f)).withColumn("n", F.count(F.abs("amt")).over(f))
+    _same(got, want, ["id", "s", "n"])
