@@ -184,3 +184,26 @@ def percent_rank_within(df: DataFrame, by: list[str], value: str, tie_break: str
         (F.col("_rk_first") - 1).cast("double") / (F.col("_rk_cnt") - 1).cast("double")
     )
     return rows.join(first, cond).select(*df.columns, pr.alias(out))
+
+
+def percent_rank_of_counts(df: DataFrame, by: list[str], count_col: str, out: str) -> DataFrame:
+    """PERCENT_RANK() OVER (PARTITION BY by ORDER BY count_col) for a non-negative integer
+    count column, from per-(group, value) row counts.
+
+    rank - 1 is the number of rows of the group with a smaller value: a running sum over the
+    group's distinct values. The window runs over distinct (group, value) pairs only, and a
+    group's distinct positive counts are distinct integers summing to at most the group's
+    total T, so there are at most sqrt(2T) + 1 of them (about 141k for T = 10^10): bounded by
+    arithmetic, not by the data's skew. A value shared by many rows is one row here.
+    """
+    vc = df.groupBy(*by, count_col).agg(F.count(F.lit(1)).alias("_rk_c"))
+    ordered = Window.partitionBy(*by).orderBy(count_col)
+    vc = vc.select(
+        *by, count_col,
+        F.coalesce(F.sum("_rk_c").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_rk_b"),
+        F.sum("_rk_c").over(Window.partitionBy(*by)).alias("_rk_n"),
+    )
+    pr = F.when(F.col("_rk_n") <= 1, F.lit(0.0)).otherwise(
+        F.col("_rk_b").cast("double") / (F.col("_rk_n") - 1).cast("double")
+    )
+    return df.join(vc.select(*by, count_col, pr.alias(out)), [*by, count_col])

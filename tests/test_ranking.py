@@ -74,3 +74,10 @@ def test_percent_rank_within_and_row_positions(spark):
     w = Window.partitionBy("g")
     ref = df.select("id", F.row_number().over(w.orderBy(*order)).alias("rn"), F.count(F.lit(1)).over(w).alias("cnt"))
     _same(rp, ref, ["id", "rn", "cnt"])
+
+
+def test_percent_rank_of_counts(spark):
+    df = _data(spark, 8).where(F.col("v").isNotNull())
+    got = ranking.percent_rank_of_counts(df, ["g"], "v", "pr")
+    want = df.withColumn("pr", F.percent_rank().over(Window.partitionBy("g").orderBy("v")))
+    _same(got, want, ["id", "pr"])
