@@ -207,3 +207,15 @@ def percent_rank_of_counts(df: DataFrame, by: list[str], count_col: str, out: st
         F.col("_rk_b").cast("double") / (F.col("_rk_n") - 1).cast("double")
     )
     return df.join(vc.select(*by, count_col, pr.alias(out)), [*by, count_col])
+
+
+def dense_rank_of_counts(df: DataFrame, by: list[str], count_col: str, out: str, descending: bool = True) -> DataFrame:
+    """DENSE_RANK() OVER (PARTITION BY by ORDER BY count_col [DESC]) for a non-negative
+    integer count column: a window over the group's distinct counts only, at most sqrt(2T)+1
+    of them for a group whose counts sum to T (see ``percent_rank_of_counts``)."""
+    if not by:
+        raise ValueError("dense_rank_of_counts needs a partition; use dense_rank for a global order")
+    values = df.select(*by, count_col).distinct()
+    order = F.col(count_col).desc() if descending else F.col(count_col).asc()
+    ranked = values.select(*by, count_col, F.row_number().over(Window.partitionBy(*by).orderBy(order)).cast("long").alias(out))
+    return df.join(ranked, [*by, count_col])

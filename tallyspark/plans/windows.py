@@ -206,7 +206,7 @@ def q79_rank_employees_in_branch(b: Bank) -> DataFrame:
     emp = b.employees.join(cnt, "employee_id", "left").select(
         "branch_id", "employee_id", F.coalesce("n", F.lit(0)).cast("long").alias("txn_count")
     )
-    ranked = ranking.dense_rank(emp, "txn_count", "branch_rank", descending=True, by=["branch_id"])
+    ranked = ranking.dense_rank_of_counts(emp, ["branch_id"], "txn_count", "branch_rank")
     return ranked.orderBy("branch_id", "branch_rank")
 
 
@@ -274,7 +274,7 @@ def q86_rank_cards_by_usage(b: Bank) -> DataFrame:
         .groupBy("customer_id", "card_id")
         .agg(F.sum(F.coalesce("n", F.lit(0))).cast("long").alias("txn_count"))
     )
-    ranked = ranking.dense_rank(usage, "txn_count", "usage_rank", descending=True, by=["customer_id"])
+    ranked = ranking.dense_rank_of_counts(usage, ["customer_id"], "txn_count", "usage_rank")
     return ranked.orderBy("customer_id", "usage_rank")
 
 

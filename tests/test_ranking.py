@@ -81,3 +81,10 @@ def test_percent_rank_of_counts(spark):
     got = ranking.percent_rank_of_counts(df, ["g"], "v", "pr")
     want = df.withColumn("pr", F.percent_rank().over(Window.partitionBy("g").orderBy("v")))
     _same(got, want, ["id", "pr"])
+
+
+def test_dense_rank_of_counts(spark):
+    df = _data(spark, 9).where(F.col("v").isNotNull())
+    got = ranking.dense_rank_of_counts(df, ["g"], "v", "r")
+    want = df.withColumn("r", F.dense_rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())).cast("long"))
+    _same(got, want, ["id", "r"])
