@@ -6,8 +6,9 @@
 * Month rollups aggregate first; the lag/rolling windows then run over one row per
   (key, month), so a window partition is bounded by the months covered, not by activity.
 * Per-account ledger windows (running sums, lag, 10-row rolling frame) run per
-  (account, hour) with a carry from earlier hours (``operators.ledger``), so a hot account
-  is spread over many tasks.
+  (account, hour) — or per bounded row bucket — with a carry from earlier buckets
+  (``operators.ledger``), so a hot account is spread over many tasks.
+* Ranks of counts within a group (79, 86, 90) run over the group's distinct counts only.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions.core import avg_of, fround, lc, money, month_label, month_start, pop_std, ratio
 from tallyspark.operators import ledger, ranking
 from tallyspark.operators.relational import branch_names, customer_names, owners
-from tallyspark.plans.joins import _top_tx_per_customer, largest_first, branch_default_rates
+from tallyspark.plans.joins import _top_tx_per_customer, branch_default_rates, largest_first
 from tallyspark.sources.banking import Bank
 
 OUTLIER_PR = 0.95
@@ -27,6 +28,8 @@ SPIKE_ROWS = 10
 INCREASES = 3
 DORMANT_MONTHS = 12
 TAIL_TENTHS = 9  # last 10 % of the timeline: row >= ceil(0.9 * n)
+ROWS_PER_BUCKET = 1_000_000  # bucket="rows": at most this many rows of one account per window task
+
 
 def ledger_order():
     return [F.col("transaction_date").asc(), F.col("transaction_id").asc()]
@@ -66,9 +69,6 @@ def ledger_bucket(b: Bank, t: DataFrame, bucket: str, rows_per_bucket: int) -> t
     raise ValueError(f"bucket must be 'hour' or 'rows', not {bucket!r}")
 
 
-ROWS_PER_BUCKET = 1_000_000
-
-
 def q66_rank_customers_by_value(b: Bank) -> DataFrame:
     per_acc = b.transactions.groupBy("account_id").agg(F.sum("amount").alias("s"))
     tot = owners(b, per_acc).groupBy("customer_id").agg(F.sum("s").alias("total_value"))
