@@ -35,11 +35,11 @@ def q91_negative_balance_cte(b: Bank) -> DataFrame:
     )
 
 
-def q92_customer_activity_dropoff(b: Bank) -> DataFrame:
+def q92_customer_activity_dropoff(b: Bank, ratio_den: int = DROP_RATIO_DEN) -> DataFrame:
     m = customer_month_counts(b)
     x = m.withColumn("prev_cnt", F.lag("txn_count").over(Window.partitionBy("customer_id").orderBy("ym")))
     # txn_count < 0.5 * prev_cnt, in exact integer arithmetic
-    x = x.where(F.col("prev_cnt").isNotNull() & (F.col("txn_count") * DROP_RATIO_DEN < F.col("prev_cnt")))
+    x = x.where(F.col("prev_cnt").isNotNull() & (F.col("txn_count") * ratio_den < F.col("prev_cnt")))
     return x.select("customer_id", month_label("ym").alias("ym"), "prev_cnt", "txn_count").orderBy("customer_id", "ym")
 
 
@@ -138,28 +138,30 @@ def q97_before_after_first_loan(b: Bank) -> DataFrame:
     )
 
 
-def q98_customers_top5pct_value(b: Bank) -> DataFrame:
+def q98_customers_top5pct_value(b: Bank, tiles: int = 20) -> DataFrame:
     per_acc = b.transactions.groupBy("account_id").agg(F.sum(F.abs("amount")).alias("s"))
     val = owners(b, per_acc).groupBy("customer_id").agg(F.sum("s").alias("total_abs_amount"))
-    top = top_customers(b, val, "total_abs_amount", 20)
+    top = top_customers(b, val, "total_abs_amount", tiles)
     return top.select("customer_id", "customer_name", money("total_abs_amount").alias("total_abs_amount")).orderBy(
         F.desc("total_abs_amount")
     )
 
 
-def q99_rolling_3_month_avg_calendar(b: Bank) -> DataFrame:
+def q99_rolling_3_month_avg_calendar(b: Bank, months: int = 3) -> DataFrame:
     start = F.trunc("transaction_date", "MM")
     m = b.transactions.groupBy("account_id", start.alias("month_start")).agg(F.sum(F.abs("amount")).alias("total"))
     m = m.withColumn("mi", F.year("month_start") * 12 + F.month("month_start"))
-    # Calendar window: months within [m - 2, m], present or not (RANGE on a month index).
-    w = Window.partitionBy("account_id").orderBy("mi").rangeBetween(-2, Window.currentRow)
+    # Calendar window: months within [m - (months - 1), m], present or not (RANGE on a month index).
+    w = Window.partitionBy("account_id").orderBy("mi").rangeBetween(-(months - 1), Window.currentRow)
     return m.select(
         "account_id", month_label("month_start").alias("ym"),
         avg_of(F.sum("total").over(w), F.count("total").over(w)).alias("rolling_3m_avg"),
     ).orderBy("account_id", "ym")
 
 
-def q100_rapid_in_out_transfers(b: Bank) -> DataFrame:
+def q100_rapid_in_out_transfers(
+    b: Bank, min_in: int = LAUNDER_MIN_IN, min_out: int = LAUNDER_MIN_OUT, tolerance_den: int = LAUNDER_TOLERANCE_DEN
+) -> DataFrame:
     tr = b.transfers.select("from_account_id", "to_account_id", "amount", F.to_date("transaction_date").alias("d"))
     out = tr.groupBy(F.col("from_account_id").alias("account_id"), "d").agg(
         F.count(F.lit(1)).alias("out_cnt"), F.sum("amount").alias("out_amt")
@@ -173,9 +175,9 @@ def q100_rapid_in_out_transfers(b: Bank) -> DataFrame:
         "account_id", "d", "in_cnt", "out_cnt",
         F.coalesce("in_amt", F.lit(0)).alias("in_amt"), F.coalesce("out_amt", F.lit(0)).alias("out_amt"),
     )
-    balanced = F.abs(F.col("in_amt") - F.col("out_amt")) * LAUNDER_TOLERANCE_DEN <= F.greatest("in_amt", "out_amt")
+    balanced = F.abs(F.col("in_amt") - F.col("out_amt")) * tolerance_den <= F.greatest("in_amt", "out_amt")
     return (
-        x.where((F.col("in_cnt") >= LAUNDER_MIN_IN) & (F.col("out_cnt") >= LAUNDER_MIN_OUT) & balanced)
+        x.where((F.col("in_cnt") >= min_in) & (F.col("out_cnt") >= min_out) & balanced)
         .select(
             "account_id", "d", "in_cnt", "out_cnt", money("in_amt").alias("in_amt"), money("out_amt").alias("out_amt")
         )

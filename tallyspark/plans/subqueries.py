@@ -81,12 +81,12 @@ def q60_accounts_above_avg_fee_count(b: Bank) -> DataFrame:
     )
 
 
-def q61_customers_top5pct_tx_count(b: Bank) -> DataFrame:
+def q61_customers_top5pct_tx_count(b: Bank, tiles: int = 20) -> DataFrame:
     from tallyspark.plans.windows import top_customers
 
     per_acc = b.transactions.groupBy("account_id").agg(F.count(F.lit(1)).alias("n"))
     cnt = owners(b, per_acc).groupBy("customer_id").agg(F.sum("n").cast("long").alias("txn_count"))
-    return top_customers(b, cnt, "txn_count", 20)
+    return top_customers(b, cnt, "txn_count", tiles)
 
 
 def q62_loans_above_type_avg_rate(b: Bank) -> DataFrame:

@@ -28,6 +28,8 @@ SPIKE_ROWS = 10
 INCREASES = 3
 DORMANT_MONTHS = 12
 TAIL_TENTHS = 9  # last 10 % of the timeline: row >= ceil(0.9 * n)
+DECLINE_CHAIN = 3
+ROLLING_MONTHS = 3
 ROWS_PER_BUCKET = 1_000_000  # bucket="rows": at most this many rows of one account per window task
 
 
@@ -113,18 +115,16 @@ def q70_account_mom_growth(b: Bank) -> DataFrame:
     ).orderBy("account_id", "ym")
 
 
-def q71_customers_three_month_decline(b: Bank) -> DataFrame:
+def q71_customers_three_month_decline(b: Bank, chain: int = DECLINE_CHAIN) -> DataFrame:
+    """Customers with ``chain`` consecutive strict declines of monthly activity (the month
+    and its ``chain`` predecessors among present months, each lower than the one before)."""
     m = customer_month_counts(b)
     w = Window.partitionBy("customer_id").orderBy("ym")
-    x = m.select(
-        "customer_id", "txn_count",
-        F.lag("txn_count", 1).over(w).alias("p1"), F.lag("txn_count", 2).over(w).alias("p2"),
-        F.lag("txn_count", 3).over(w).alias("p3"),
-    )
-    cond = (
-        F.col("p3").isNotNull() & (F.col("p3") > F.col("p2")) & (F.col("p2") > F.col("p1"))
-        & (F.col("p1") > F.col("txn_count"))
-    )
+    lags = [F.col("txn_count")] + [F.col(f"p{i}") for i in range(1, chain + 1)]
+    x = m.select("customer_id", "txn_count", *[F.lag("txn_count", i).over(w).alias(f"p{i}") for i in range(1, chain + 1)])
+    cond = F.col(f"p{chain}").isNotNull()
+    for newer, older in zip(lags, lags[1:]):
+        cond = cond & (older > newer)
     return x.where(cond).select("customer_id").distinct()
 
 
@@ -180,11 +180,11 @@ def q76_outlier_transactions(b: Bank, threshold: float = OUTLIER_PR) -> DataFram
     return pr.where(F.col("pr") >= threshold).select(*ledger_columns(), fround("pr", 6).alias("pr"))
 
 
-def q77_rolling_3_month_avg_rows(b: Bank) -> DataFrame:
+def q77_rolling_3_month_avg_rows(b: Bank, months: int = ROLLING_MONTHS) -> DataFrame:
     m = b.transactions.groupBy("account_id", month_start("transaction_date").alias("ym")).agg(
         F.sum(F.abs("amount")).alias("total")
     )
-    w = Window.partitionBy("account_id").orderBy("ym").rowsBetween(-2, Window.currentRow)
+    w = Window.partitionBy("account_id").orderBy("ym").rowsBetween(-(months - 1), Window.currentRow)
     return m.select(
         "account_id", month_label("ym").alias("ym"), money("total").alias("month_total"),
         avg_of(F.sum("total").over(w), F.count("total").over(w)).alias("rolling_3m_avg"),
@@ -249,9 +249,9 @@ def q83_account_share_of_customer_balance(b: Bank) -> DataFrame:
     )
 
 
-def q84_customers_top10pct_account_count(b: Bank) -> DataFrame:
+def q84_customers_top10pct_account_count(b: Bank, tiles: int = 10) -> DataFrame:
     cc = b.customer_accounts.groupBy("customer_id").agg(F.countDistinct("account_id").alias("acc_count"))
-    return top_customers(b, cc, "acc_count", 10)
+    return top_customers(b, cc, "acc_count", tiles)
 
 
 def q85_transaction_spikes(
@@ -292,7 +292,7 @@ def q87_branches_increasing_volume(b: Bank, needed: int = INCREASES) -> DataFram
     return x.groupBy("branch_id").agg(F.sum(up).alias("ups")).where(F.col("ups") >= needed).select("branch_id")
 
 
-def q88_largest_tx_in_last_tenth(b: Bank) -> DataFrame:
+def q88_largest_tx_in_last_tenth(b: Bank, tail_tenths: int = TAIL_TENTHS) -> DataFrame:
     t = owners(b, b.transactions.select("account_id", "transaction_id", "transaction_date", F.abs("amount").alias("amt")))
     # Timeline position per customer (date, then id) from distributed positions; the
     # customer's largest amount from a grouped MAX joined back.
@@ -301,7 +301,7 @@ def q88_largest_tx_in_last_tenth(b: Bank) -> DataFrame:
     x = pos.join(big, F.col("customer_id") == F.col("_c")).where(
         (F.col("amt") == F.col("max_amt"))
         # CEIL(0.9 * n) in exact integer arithmetic
-        & (F.col("rn_time") >= F.expr(f"({TAIL_TENTHS} * total_txn + 9) div 10"))
+        & (F.col("rn_time") >= F.expr(f"({int(tail_tenths)} * total_txn + 9) div 10"))
     )
     return x.select("customer_id").distinct().join(customer_names(b), "customer_id")
 
