@@ -41,22 +41,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint directory, creating a scratch one only when none is configured.
+    """The folder for checkpoints and intermediate tables.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared, reliable folder and is used as is.
+    On a cluster it is the shared folder that ``spark.checkpoint.dir`` names; without one a
+    cluster session raises, since a machine-local folder would be invisible to the other
+    machines. Only a local session (tests) gets a scratch folder of its own.
     """
     try:
         sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
-        return spark.conf.get("spark.checkpoint.dir", "")
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    except Exception:  # Spark Connect: the server's setting applies
+        sc = None
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        sc.setCheckpointDir(configured)
+        if sc is not None and not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured
-    # Only reached in local runs and tests, where no cluster folder is configured.
+    if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="tally-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
