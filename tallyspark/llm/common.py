@@ -35,6 +35,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame) -> Column:
+    """All columns of a row as one struct ``_doc``, whatever their names."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("_doc")
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -57,12 +62,14 @@ def running_total(
     (a hash of the row). Rows of a key are split into ceil(rows / rows_per_part) parts by
     ``_h``; a key's order is (part, *order), a fixed pseudo-random order. One window runs inside
     the parts, which stay near ``rows_per_part`` rows whatever the key's share, and one over
-    the parts' totals. ``df`` must give the same rows each time it is evaluated.
+    the parts' totals. ``df`` must give the same rows each time it is evaluated, and the caller
+    bounds the number of keys: their part counts are broadcast, so that rows go straight to their
+    part and never meet by key.
     """
     counts = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
     parts = counts.select("_k", F.ceil(F.col("_n") / F.lit(rows_per_part)).cast("long").alias("_parts"))
     rows = (
-        df.join(parts, F.col(key) == F.col("_k"))
+        df.join(F.broadcast(parts), F.col(key) == F.col("_k"))
         .withColumn("_part", F.expr("pmod(_h, _parts)"))
         .drop("_k", "_parts")
     )

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import WORD
+from tallyspark.llm.common import WORD, packed
 
 WINDOW = 3
 
@@ -63,7 +63,7 @@ def covered_lines(docs: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated windows cut from ``text``, and the columns _n_lines and _n_removed."""
     cut = covered_lines(docs).select(F.col("_id").alias("_cid"), F.col("_th").alias("_cth"), "_cut")
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", F.col("text").cast("string").alias("_text"))
+    rows = docs.select(packed(docs), "doc_id", F.col("text").cast("string").alias("_text"))
     joined = rows.join(
         cut, F.col("doc_id").eqNullSafe(F.col("_cid")) & F.xxhash64(F.col("_text")).eqNullSafe(F.col("_cth")), "left"
     )

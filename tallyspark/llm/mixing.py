@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import running_total, staged, word_count
+from tallyspark.llm.common import packed, running_total, staged, word_count
 
 MAX_SOURCES = 20_000
 #: A prime above every block count, so k * PRIME modulo n permutes 0..n-1.
@@ -161,7 +161,7 @@ class Mix:
         self.shards = shards or min(1024, max(1, int(share * total) // 16_000_000 + 1))
         self.sources = staged(quotas(per, self.block, seed, most).coalesce(1), "mix-quotas")
         if keep_documents:
-            placed = docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", "source", word_count(F.col("text")).alias("size"))
+            placed = docs.select(packed(docs), "doc_id", "source", word_count(F.col("text")).alias("size"))
             placed = placed.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "size"))
         else:
             placed = narrow
