@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, exact, lines, mixing, quality, rules, sharding, simhash, urls
+from tallyspark.llm import bpe, exact, lines, mixing, quality, rules, sharding, simhash, suffixes, urls
 from tallyspark.llm.common import table
 
 
@@ -35,6 +35,11 @@ def op5_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffixes.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+    return out.select("doc_id", "n_bytes", "n_removed", (F.size("spans") / 2).cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return cut.select(
