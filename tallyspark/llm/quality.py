@@ -47,6 +47,12 @@ def tokens(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return start[order], end[order], np.searchsorted(start[order], off)
 
 
+def pairs(before: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Hashes of pairs of neighbours. All pairs of a word with itself share one feature: a word
+    said again says the same about a text whichever word it is."""
+    return np.where(before == h, np.uint64(0xA5A5A5A5A5A5A5A5), V.mix(before * np.uint64(0x9E3779B97F4A7C15) + h))
+
+
 def features(data: np.ndarray, off: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Feature numbers of tokens and neighbours, document by document, and where each begins.
 
@@ -58,7 +64,7 @@ def features(data: np.ndarray, off: np.ndarray, bits: int = BITS) -> tuple[np.nd
     before = np.empty_like(h)
     before[1:] = h[:-1]
     before[at[:-1][at[:-1] < at[1:]]] = np.uint64(7)
-    pair = V.mix(before * np.uint64(0x9E3779B97F4A7C15) + h)
+    pair = pairs(before, h)
     out = np.empty(2 * len(h), dtype=np.int32)
     out[0::2] = (h >> np.uint64(64 - bits)).astype(np.int32)
     out[1::2] = (pair >> np.uint64(64 - bits)).astype(np.int32)

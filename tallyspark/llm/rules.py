@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from tallyspark.llm import vectext as V
 from tallyspark.llm.common import packed
-from tallyspark.llm.quality import labelled_sample, sigmoid
+from tallyspark.llm.quality import labelled_sample, pairs, sigmoid
 
 BITS = 18
 SAMPLE = 5_000
@@ -89,7 +89,7 @@ def word_features(h: np.ndarray, at: np.ndarray, bits: int) -> tuple[np.ndarray,
     before = np.empty_like(h)
     before[1:] = h[:-1]
     before[at[:-1][at[:-1] < at[1:]]] = np.uint64(7)
-    pair = V.mix(before * np.uint64(0x9E3779B97F4A7C15) + h)
+    pair = pairs(before, h)
     out = np.empty(2 * len(h), dtype=np.int32)
     shift = np.uint64(65 - bits)
     out[0::2] = (h >> shift).astype(np.int32)
