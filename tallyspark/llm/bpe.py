@@ -20,9 +20,11 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -146,7 +148,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, with_ids: bool = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay, pieces_of = MergeReplay(load_ranks(vocabulary)), regex.compile(pattern).findall
-        known: dict[str, tuple[int, bytes, bytes, list[int]]] = {}
+        known: dict[str, tuple[int, bytes, bytes, bytes]] = {}  # count, decimal ids, decoded, ids as 32-bit numbers
         for b in batches:
             texts = b["_text"].to_pylist()
             for i, j in _corpora(texts, corpus_bytes):
@@ -155,19 +157,20 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, with_ids: bool = True
                     known.clear()
                 new = list(dict.fromkeys(p for ps in cut for p in ps if p not in known))
                 for p, ids in zip(new, replay.encode([p.encode() for p in new]), strict=True):
-                    known[p] = (len(ids), " ".join(map(str, ids)).encode(), replay.decode(ids), ids if with_ids else None)
-                n, id_hash, byte_hash, lists = [], [], [], []
+                    known[p] = (len(ids), " ".join(map(str, ids)).encode(), replay.decode(ids), array("i", ids).tobytes())
+                n, id_hash, byte_hash, packed_ids = [], [], [], []
                 for ps in cut:
                     got = [known[p] for p in ps]
                     n.append(sum(g[0] for g in got))
                     id_hash.append(hashlib.sha256(b" ".join([g[1] for g in got])).hexdigest())
                     byte_hash.append(hashlib.sha256(b"".join([g[2] for g in got])).hexdigest())
                     if with_ids:
-                        lists.append([x for g in got for x in g[3]])
+                        packed_ids.append(b"".join([g[3] for g in got]))
                 columns = [b["_doc"][i:j], pa.array(n, pa.int64()), pa.array(id_hash, pa.string()), pa.array(byte_hash, pa.string())]
                 names = ["_doc", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
-                    columns.append(pa.array(lists, pa.list_(pa.int32())))
+                    flat = pa.array(np.frombuffer(b"".join(packed_ids), dtype=np.int32))
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), flat))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 

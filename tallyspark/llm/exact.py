@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import ascii_lower, text_or_empty
+from tallyspark.llm.common import ascii_lower, packed, text_or_empty
 
 
 def exact_groups(docs: DataFrame, keep: str = "min") -> DataFrame:
@@ -46,9 +46,10 @@ def exact_groups(docs: DataFrame, keep: str = "min") -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, keep: str = "min") -> DataFrame:
-    """``docs`` without the rows whose doc_id another copy of the same text outranks."""
-    gone = exact_groups(docs, keep).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """``docs`` without the rows that another copy of the same text outranks."""
+    gone = exact_groups(docs, keep).where(~F.col("kept")).select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    rows = docs.select(packed(docs), "doc_id", F.sha2(ascii_lower(text_or_empty()).cast("binary"), 256).alias("_own"))
+    return rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")), "left_anti").select("_doc.*")
 
 
 SQL = """

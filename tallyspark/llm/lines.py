@@ -61,7 +61,7 @@ def covered_lines(docs: DataFrame) -> DataFrame:
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated windows cut from ``text``, and the columns _n_lines and _n_removed."""
+    """Every row of ``docs`` with repeated windows cut from ``text`` (struct ``_doc``), n_lines and n_removed."""
     cut = covered_lines(docs).select(F.col("_id").alias("_cid"), F.col("_th").alias("_cth"), "_cut")
     rows = docs.select(packed(docs), "doc_id", F.col("text").cast("string").alias("_text"))
     joined = rows.join(
@@ -69,13 +69,13 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     )
     left = F.expr("array_join(filter(split(_text, '\\n', -1), (x, i) -> not array_contains(_cut, i)), '\\n')")
     fields = [
-        F.when(F.col("_cut").isNull(), F.col("_text")).otherwise(left).alias("text") if c == "text" else F.col(f"_doc.`{c}`").alias(c)
+        F.when(F.col("_cut").isNull(), F.col("_text")).otherwise(left).alias("text") if c == "text" else F.col("_doc").getField(c).alias(c)
         for c in docs.columns
     ]
     return joined.select(
-        *fields,
-        F.when(F.col("_text").isNull(), 0).otherwise(F.size(_lines())).cast("long").alias("_n_lines"),
-        F.coalesce(F.size("_cut"), F.lit(0)).cast("long").alias("_n_removed"),
+        F.struct(*fields).alias("_doc"),
+        F.when(F.col("_text").isNull(), 0).otherwise(F.size(_lines())).cast("long").alias("n_lines"),
+        F.coalesce(F.size("_cut"), F.lit(0)).cast("long").alias("n_removed"),
     )
 
 

@@ -184,7 +184,8 @@ class Mix:
         )
 
     def rows(self) -> DataFrame:
-        """The mix as documents: every drawn document once per draw, with ``_shard`` and ``_slot``.
+        """The mix as documents (struct ``_doc``): each once per draw, with ``shard`` and ``slot``, which
+        orders the shard's rows.
 
         A document belongs to the block that holds its middle word, so documents stay whole.
         Needs ``keep_documents``.
@@ -207,10 +208,6 @@ class Mix:
             .withColumn("draw", F.explode(F.expr(f"filter(transform(sequence(0L, {self.most - 1}L), p -> p * blocks + {rank}), d -> d < quota)")))
             .join(F.broadcast(runs), F.col("sid") == F.col("_sid"))
         )
-        slot = F.xxhash64(F.lit(self.seed + 2), "sid", "draw", "at")
-        placed = drawn.select(
-            "_doc", F.expr("size(filter(ends, e -> e <= draw))").alias("_shard"), slot.alias("_slot"), "at"
-        )
-        return placed.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot", "at").select(
-            "_doc.*", "_shard", "_slot"
-        )
+        place = [F.expr("size(filter(ends, e -> e <= draw))").alias("shard"), F.xxhash64(F.lit(self.seed + 2), "sid", "draw", "at").alias("slot")]
+        placed = drawn.select("_doc", *place, "at")
+        return placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot", "at").select("_doc", "shard", "slot")

@@ -144,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
 
     found = labelled_sample(docs, labels, label, sample).mapInArrow(extract, "doc_id long, y int, f array<int>")
     row = found.repartition(1).mapInArrow(fit, "w binary").first()
-    return np.frombuffer(row["w"], dtype=np.float32)
+    return np.frombuffer(row["w"], dtype=np.float32) if row else np.zeros((1 << bits) + 1, np.float32)
 
 
 def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, threshold: float = THRESHOLD) -> DataFrame:

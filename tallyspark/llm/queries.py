@@ -43,10 +43,10 @@ def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return cut.select(
-        "doc_id",
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_removed").alias("n_removed"),
-        F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+        "_doc.doc_id",
+        "n_lines",
+        "n_removed",
+        F.sha2(F.coalesce(F.col("_doc.text"), F.lit("")).cast("binary"), 256).alias("kept_sha256"),
     )
 
 
@@ -66,8 +66,16 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
+    """The registered queries, in the operators' order."""
+    found = [(k, v) for k, v in globals().items() if k.startswith("op") and callable(v)]
+    return {**dict(sorted(found, key=lambda kv: int(kv[0][2:].split("_")[0]))), "pipeline": pipeline}
 
 
 def oracle_sql() -> dict[str, str]:

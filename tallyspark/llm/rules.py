@@ -107,7 +107,8 @@ def char_features(data: np.ndarray, off: np.ndarray, bits: int) -> np.ndarray:
     shape = np.zeros(n, dtype=np.uint32)
     for k in range(6):
         shape = shape * np.uint32(6) + s[k : n + k]
-    grams = np.where(np.arange(n) & 1, shape + np.uint32(0x5BD1E995), quad) * np.uint32(2654435761)
+    in_text = np.arange(n) - np.repeat(off[:-1], np.diff(off))
+    grams = np.where(in_text & 1, shape + np.uint32(0x5BD1E995), quad) * np.uint32(2654435761)
     out = ((grams ^ (grams >> np.uint32(15))) * np.uint32(2246822519) >> np.uint32(33 - bits)).astype(np.int32) + half
     near_end = np.zeros(n, dtype=bool)  # grams that would reach into the next text
     for k in range(1, 7):
@@ -180,7 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
         yield pa.RecordBatch.from_arrays([pa.array([model.tobytes()], pa.binary())], names=["w"])
 
     row = labelled_sample(docs, labels, label, sample).repartition(1).mapInArrow(fit, "w binary").first()
-    return np.frombuffer(row["w"], dtype=np.float32)
+    return np.frombuffer(row["w"], dtype=np.float32) if row else np.append(np.zeros((1 << bits) + 1), [1.0, 0.0]).astype(np.float32)
 
 
 def judge(docs: DataFrame, model: np.ndarray, bits: int = BITS, threshold: float = THRESHOLD) -> DataFrame:

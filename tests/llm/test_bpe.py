@@ -1,0 +1,72 @@
+import hashlib
+import random
+
+import brute
+import public_tokenizers as P
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from tallyspark.llm import bpe
+
+VOCABULARY = P.path("byte_bpe_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def reference():
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=bpe.load_ranks(VOCABULARY), special_tokens={})
+
+
+def test_random_pieces_equal_the_library(reference):
+    r = random.Random(4)
+    alphabet = "aeothning thsou'stre  \n\t1290é日😀\x1c　<|endoftext|>"
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 80))) for _ in range(3000)]
+    texts += ["a" * 3000, " " * 500, "ab" * 1500, "the" * 700, "\n" * 333]
+    replay = bpe.MergeReplay(bpe.load_ranks(VOCABULARY))
+    find = bpe.regex.compile(P.PATTERN).findall
+    cut = [find(t) for t in texts]
+    pieces = list(dict.fromkeys(p for c in cut for p in c))
+    ids = dict(zip(pieces, replay.encode([p.encode() for p in pieces]), strict=True))
+    for t, c in zip(texts, cut, strict=True):
+        own = [x for p in c for x in ids[p]]
+        assert own == reference.encode_ordinary(t) and replay.decode(own) == t.encode()
+
+
+def test_a_merge_may_make_a_pair_of_lower_rank():
+    """Ranks for which replay in one sweep over the ranks would differ from piece-by-piece merging."""
+    ranks = {bytes([b]): b for b in range(256)} | {b"abc": 256, b"bc": 300, b"ab": 257, b"cab": 258, b"abab": 259, b"aa": 310, b"aaa": 301}
+
+    def plain(piece):
+        if piece in ranks:
+            return [ranks[piece]]
+        parts = [bytes([b]) for b in piece]
+        while True:
+            best = min(((ranks.get(a + b, 10**9), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False))), default=(10**9, 0))
+            if best[0] == 10**9:
+                return [ranks[p] for p in parts]
+            i = best[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+    r = random.Random(8)
+    pieces = list({"".join(r.choice("abc") for _ in range(r.randint(1, 14))).encode() for _ in range(3000)})
+    assert bpe.MergeReplay(ranks).encode(pieces) == [plain(p) for p in pieces]
+
+
+def test_documents_and_round_trip(spark, reference):
+    rows = brute.awkward_documents()
+    docs = spark.createDataFrame(rows, brute.COLUMNS).withColumns({"ids": F.lit("clash"), "n_tokens": F.lit(1), "a.b": F.lit(3)})
+    for size in (1, 5000, 1 << 20):
+        out = bpe.encode(docs, VOCABULARY, P.PATTERN, corpus_bytes=size)
+        want = []
+        for r in rows:
+            ids = reference.encode_ordinary(r[1] or "")
+            digest = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+            want.append(str((r[0], len(ids), digest, hashlib.sha256((r[1] or "").encode()).hexdigest(), ids)))
+        got = [str((r["_doc"]["doc_id"], r["n_tokens"], r["ids_sha256"], r["decoded_sha256"], r["ids"])) for r in out.collect()]
+        assert sorted(got) == sorted(want)
+    texts = [r["text"] for r in bpe.decode(out, VOCABULARY).select("text").collect()]
+    assert sorted(texts) == sorted(r[1] or "" for r in rows)
+
+
+def test_empty(spark):
+    assert bpe.encode(spark.createDataFrame([], brute.COLUMNS), VOCABULARY, P.PATTERN).collect() == []

@@ -1,0 +1,57 @@
+import hashlib
+
+import brute
+from oracle_harness import compare
+from pyspark.sql import functions as F
+
+from tallyspark.llm import exact, lines, queries
+
+
+def rows_and_docs(spark):
+    rows = brute.awkward_documents()
+    docs = spark.createDataFrame(rows, brute.COLUMNS)
+    return rows, docs.withColumns({"_doc": F.lit("clash"), "n_removed": F.lit(5), "h": F.lit(0), "kept": F.lit("k"), "a.b": F.lit(1)})
+
+
+def test_exact_groups_and_drop(spark):
+    rows, docs = rows_and_docs(spark)
+    groups = {}
+    for doc, text, *_ in rows:
+        groups.setdefault((text or "").translate(brute.FOLD), []).append(doc)
+    for keep, choose in (("min", min), ("max", max)):
+        want = []
+        for text, ids in groups.items():
+            known = [i for i in ids if i is not None]
+            stay = choose(known) if known else None
+            want += [(i, stay, len(ids), i == stay, hashlib.sha256(text.encode()).hexdigest()) for i in ids]
+        got = [tuple(r) for r in exact.exact_groups(docs, keep).collect()]
+        assert sorted(map(str, got)) == sorted(map(str, want))
+        left = exact.drop_copies(docs, keep)
+        assert left.columns == docs.columns and left.count() == sum(w[3] for w in want)
+
+
+def test_lines_against_brute_force(spark):
+    rows, docs = rows_and_docs(spark)
+    want = brute.cut_lines([r[:2] for r in rows])
+    out = lines.dedup_lines(docs).collect()
+    assert len(out) == len(rows)
+    before = {}
+    for r in rows:
+        before.setdefault(r[0], set()).add(r[1])
+    for r in out:
+        d = r["_doc"]
+        assert d["_doc"] == "clash" and d["n_removed"] == 5
+        assert d["text"] in {None if t is None else want[(d["doc_id"], t)] for t in before[d["doc_id"]]}
+    assert sum(r["n_removed"] for r in out) > 0
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], brute.COLUMNS)
+    assert exact.exact_groups(docs).collect() == [] and exact.drop_copies(docs).collect() == []
+    assert lines.dedup_lines(docs).collect() == []
+
+
+def test_match_sql(spark, con, sf_dir):
+    for fn, sql in ((queries.op9_exact_dedup, exact.SQL), (queries.op7_line_dedup, lines.SQL)):
+        ok, msg = compare(fn(spark, sf_dir), con, sql)
+        assert ok, msg
