@@ -21,7 +21,6 @@ import base64
 import hashlib
 import heapq
 from array import array
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,8 +32,8 @@ from pyspark.sql import types as T
 
 from tallyspark.llm.common import packed
 
-#: Bytes of text replayed together, and how many pieces a task remembers.
-CORPUS_BYTES, REMEMBERED = 8 << 20, 400_000
+#: Text replayed together (a corpus whose index stays in a core's cache), and the pieces a task remembers.
+CORPUS_BYTES, REMEMBERED = 1 << 19, 400_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -43,86 +42,112 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
+#: More than any rank: a pair that does not merge.
+NEVER = 1 << 30
+
+
 class MergeReplay:
     """Replays the merges of one vocabulary over sets of pieces."""
 
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.token = {i: t for t, i in ranks.items()}
-        self.byte = [ranks[bytes([b])] for b in range(256)]
-        self.pairs: dict[tuple[int, int], int | None] = {}
+        self.decimal = {i: str(i).encode() for i in self.token}
+        self.byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.byte_pair = np.array([[ranks.get(bytes([a, b]), NEVER) for b in range(256)] for a in range(256)], dtype=np.int64)
+        self.known: dict[int, int] = {}
 
-    def merged(self, pair: tuple[int, int]) -> int | None:
-        """The token that a pair merges into, which is also the merge's rank."""
-        if pair not in self.pairs:
-            self.pairs[pair] = self.ranks.get(self.token[pair[0]] + self.token[pair[1]])
-        return self.pairs[pair]
+    def pair_rank(self, a: int, b: int) -> int:
+        """The token that a pair merges into, which is also the merge's rank; NEVER without one."""
+        rank = self.known[a << 24 | b] = self.ranks.get(self.token[a] + self.token[b], NEVER)
+        return rank
 
     def encode(self, pieces: list[bytes]) -> list[list[int]]:
         """The ids of each piece."""
         whole = [self.ranks.get(p) for p in pieces]
-        # One line of tokens for all pieces to merge; -1 stands between pieces.
-        line: list[int] = [-1]
-        begin: list[int] = []
-        piece_of: list[int] = [-1]
-        for k, p in enumerate(pieces):
-            begin.append(len(line))
-            if whole[k] is None:
-                line.extend(map(self.byte.__getitem__, p))
-                line.append(-1)
-                piece_of.extend([k] * len(p))
-                piece_of.append(-1)
-        after = list(range(1, len(line) + 1))
-        before = list(range(-1, len(line) - 1))
-        index: dict[int, list[int]] = defaultdict(list)  # rank of a merge: where its pair stands
-        for i in range(len(line) - 1):
-            a, b = line[i], line[i + 1]
-            if a >= 0 and b >= 0 and (rank := self.merged((a, b))) is not None:
-                index[rank].append(i)
-        queue = list(index)
+        ids = iter(self._replayed([p for p, w in zip(pieces, whole, strict=True) if w is None]))
+        return [next(ids) if w is None else [w] for w in whole]
+
+    def _replayed(self, pieces: list[bytes]) -> list[list[int]]:
+        if not pieces:
+            return []
+        # One line of byte tokens for all pieces; -1 stands before, between and behind them.
+        raw = np.frombuffer(b"\0" + b"\0".join(pieces) + b"\0", dtype=np.uint8)
+        border = np.concatenate([[0], np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1)])
+        tokens = self.byte[raw]
+        tokens[border] = -1
+        first = np.full(len(raw), NEVER, dtype=np.int64)
+        first[:-1] = self.byte_pair[raw[:-1], raw[1:]]
+        first[border] = NEVER
+        first[border[1:] - 1] = NEVER
+        # The inverted index: where the pairs of a merge stand, by its rank.
+        places = np.flatnonzero(first < NEVER)
+        places = places[np.argsort(first[places], kind="stable")]
+        cuts = np.flatnonzero(np.diff(first[places], prepend=-1)).tolist()
+        index = {int(first[places[a]]): places[a:b].tolist() for a, b in zip(cuts, [*cuts[1:], len(places)], strict=False)}
+        line, rank_at = tokens.tolist(), first.tolist()
+        after, before = list(range(1, len(line) + 1)), list(range(-1, len(line) - 1))
+        queue, known, pair_rank = list(index), self.known, self.pair_rank
         heapq.heapify(queue)
         while queue:
             rank = heapq.heappop(queue)
-            places = index.pop(rank, None)
-            if not places:
-                continue
-            places.sort()
-            waiting, held = -1, []
-            for i in places:
-                a, j = line[i], after[i]
-                if a < 0 or j >= len(line) or line[j] < 0 or self.merged((a, line[j])) != rank:
+            here = sorted(index.pop(rank, ()))
+            waits_until, held = -1, []
+            for i in here:
+                if rank_at[i] != rank:
                     continue  # a neighbour's merge has taken one of the two
-                if piece_of[i] == waiting:
+                if i < waits_until:
                     held.append(i)
                     continue
+                j = after[i]
+                k, h = after[j], before[i]
                 line[i], line[j] = rank, -2
-                after[i] = k = after[j]
-                before[k] = i
-                for x, y, at in ((line[before[i]], rank, before[i]), (rank, line[k], i)):
-                    if x >= 0 and y >= 0 and (new := self.merged((x, y))) is not None:
-                        if new not in index:
+                after[i], before[k] = k, i
+                rank_at[j] = NEVER
+                lower = False
+                right = line[k]
+                if right < 0:
+                    rank_at[i] = NEVER
+                else:
+                    new = known.get(rank << 24 | right)
+                    if new is None:
+                        new = pair_rank(rank, right)
+                    rank_at[i] = new
+                    if new < NEVER:
+                        if new in index:
+                            index[new].append(i)
+                        else:
+                            index[new] = [i]
+                            heapq.heappush(queue, new)
+                        lower = new < rank
+                left = line[h]
+                if left >= 0:
+                    new = known.get(left << 24 | rank)
+                    if new is None:
+                        new = pair_rank(left, rank)
+                    rank_at[h] = new
+                    if new < NEVER:
+                        if new in index:
+                            index[new].append(h)
+                        else:
+                            index[new] = [h]
                             heapq.heappush(queue, new)
-                        index[new].append(at)
-                        if new < rank:
-                            waiting = piece_of[i]
+                        lower = lower or new < rank
+                if lower:  # the rest of this piece waits for the lower rank
+                    waits_until = int(border[np.searchsorted(border, i)])
             if held:
-                if rank not in index:
+                if rank in index:
+                    index[rank].extend(held)
+                else:
+                    index[rank] = held
                     heapq.heappush(queue, rank)
-                index[rank].extend(held)
-        out: list[list[int]] = []
-        for k, one in enumerate(whole):
-            if one is not None:
-                out.append([one])
-                continue
-            ids, i = [], begin[k]
-            while line[i] >= 0:
-                ids.append(line[i])
-                i = after[i]
-            out.append(ids)
-        return out
+        left_over = np.array(line, dtype=np.int64)
+        live = np.flatnonzero(left_over >= 0)
+        flat, at = left_over[live].tolist(), np.searchsorted(live, border).tolist()
+        return [flat[a:b] for a, b in zip(at, at[1:], strict=False)]
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids))
+        return b"".join([self.token[i] for i in ids])
 
 
 def _corpora(texts: list[str], size: int) -> Iterator[tuple[int, int]]:
@@ -148,24 +173,26 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, with_ids: bool = True
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         replay, pieces_of = MergeReplay(load_ranks(vocabulary)), regex.compile(pattern).findall
-        known: dict[str, tuple[int, bytes, bytes, bytes]] = {}  # count, decimal ids, decoded, ids as 32-bit numbers
+        known: dict[str, tuple[bytes, bytes, bytes]] = {}  # decimal ids, decoded bytes, ids as 32-bit numbers
         for b in batches:
             texts = b["_text"].to_pylist()
             for i, j in _corpora(texts, corpus_bytes):
                 cut = [pieces_of(t) for t in texts[i:j]]
                 if len(known) > REMEMBERED:
                     known.clear()
-                new = list(dict.fromkeys(p for ps in cut for p in ps if p not in known))
+                new = list(set().union(*cut).difference(known))
                 for p, ids in zip(new, replay.encode([p.encode() for p in new]), strict=True):
-                    known[p] = (len(ids), " ".join(map(str, ids)).encode(), replay.decode(ids), array("i", ids).tobytes())
+                    spelled = b" ".join([replay.decimal[x] for x in ids])
+                    known[p] = (spelled, replay.decode(ids), array("i", ids).tobytes() if with_ids else b"")
                 n, id_hash, byte_hash, packed_ids = [], [], [], []
                 for ps in cut:
                     got = [known[p] for p in ps]
-                    n.append(sum(g[0] for g in got))
-                    id_hash.append(hashlib.sha256(b" ".join([g[1] for g in got])).hexdigest())
-                    byte_hash.append(hashlib.sha256(b"".join([g[2] for g in got])).hexdigest())
+                    spelled = b" ".join([g[0] for g in got])
+                    n.append(spelled.count(b" ") + 1 if got else 0)
+                    id_hash.append(hashlib.sha256(spelled).hexdigest())
+                    byte_hash.append(hashlib.sha256(b"".join([g[1] for g in got])).hexdigest())
                     if with_ids:
-                        packed_ids.append(b"".join([g[3] for g in got]))
+                        packed_ids.append(b"".join([g[2] for g in got]))
                 columns = [b["_doc"][i:j], pa.array(n, pa.int64()), pa.array(id_hash, pa.string()), pa.array(byte_hash, pa.string())]
                 names = ["_doc", "n_tokens", "ids_sha256", "decoded_sha256"]
                 if with_ids:
