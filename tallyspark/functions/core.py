@@ -29,18 +29,6 @@ def lc(c: str | Column) -> Column:
     return F.lower(col(c))
 
 
-def text_key(c: str, case_insensitive: bool = False) -> Column:
-    """A string grouping key. Binary by default; with ``case_insensitive`` it uses the
-    UTF8_LCASE collation, so case variants group and count as one value, as under MySQL's
-    default collation (the value shown for a merged group is one of its variants)."""
-    return F.collate(F.col(c), "UTF8_LCASE") if case_insensitive else F.col(c)
-
-
-def plain_text(c: str) -> Column:
-    """Back to the default (binary) collation for output."""
-    return F.collate(F.col(c), "UTF8_BINARY")
-
-
 def month_label(c: str | Column) -> Column:
     return F.date_format(col(c), "yyyy-MM")
 
@@ -79,13 +67,19 @@ def mean_exact(c: str | Column) -> Column:
     return ratio(F.sum(col(c)), F.count(col(c)))
 
 
-def pop_std(s1: str | Column, s2: str | Column, n: str | Column) -> Column:
-    """Population standard deviation from exact moments: sum(x), sum(x*x) and count.
+def cent_moments(c: str | Column) -> list[Column]:
+    """Exact moments of a money column: n, sum and sum of squares of the amount in cents."""
+    cents = (col(c) * 100).cast("decimal(18,0)")
+    whole = "decimal(38,0)"
+    return [
+        F.count(col(c)).alias("n"), F.sum(cents.cast(whole)).cast(whole).alias("c1"),
+        F.sum((cents * cents).cast(whole)).cast(whole).alias("c2"),
+    ]
 
-    The moments are exact decimal sums (mergeable, map-side combined); the final
-    arithmetic is a fixed sequence of IEEE-754 operations, written identically in the
-    oracle. Negative rounding residue is clamped to 0.
-    """
-    mean = ratio(s1, n)
-    var = ratio(s2, n) - mean * mean
-    return F.sqrt(F.when(var < 0, F.lit(0.0)).otherwise(var))
+
+def pop_std() -> Column:
+    """Population standard deviation from the columns of ``cent_moments``: the numerator
+    n * sum(c^2) - sum(c)^2 is an exact integer, so equal amounts give exactly 0."""
+    n = F.col("n").cast("decimal(18,0)")
+    spread = (n * F.col("c2")).cast("decimal(38,0)") - (F.col("c1") * F.col("c1")).cast("decimal(38,0)")
+    return F.when(F.col("n") > 0, F.sqrt(spread.cast("double")) / (F.col("n").cast("double") * 100.0))

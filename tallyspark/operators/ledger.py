@@ -1,19 +1,13 @@
-"""Ordered ledger windows that never sort a whole account in one task.
-
-A plain ``Window.partitionBy('account_id')`` gives every account to one task; an account
-holding a third of the ledger would make that task hold a third of the data. Here each
-account is split into time buckets (default: the hour of ``transaction_date``):
-
-* the window runs over ``(account, bucket)``, ordered by the ledger order inside it;
-* a per-bucket aggregate (one row per account and bucket, map-side combined) gives what
-  earlier buckets contribute: a prefix sum, the previous bucket's last value, or the last
-  rows before the bucket;
-* that small table joins back on ``(account, bucket)``: the rows are already hash
-  partitioned on those keys by the window, so the ledger is shuffled once in total.
-
-A bucket is at most one hour of one account's activity (or, with ``with_row_buckets``, at
-most N rows of one account whatever their timing), and the carry windows run over one row
-per bucket, so no task's share grows with the size of the hottest account.
+"""Ordered ledger windows that never hold a whole account in one task.
+
+A plain ``Window.partitionBy('account_id')`` gives every account to one task; here an account is
+split (``operators.splits``) by the hour of its ledger order, and a crowded hour again by second.
+Rows at a whole second (dates without a time, second resolution) are cut further into ranges of
+``IDS_PER_LEAF`` ids; the order inside an instant is the id, so all levels follow the order
+(date, id), and a million rows pinned to one midnight fill one leaf, not more.
+
+Windows run inside leaves and take from earlier ones a prefix sum, the last value, or the last few
+rows. Those tables have a row per account and hour (plus the leaves of crowded hours).
 """
 
 from __future__ import annotations
@@ -21,114 +15,103 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BK = "_lg_bk"
-
-
-def hour_bucket(ts: str = "transaction_date") -> Column:
-    return F.date_trunc("hour", F.col(ts))
+from tallyspark.operators.splits import FINE, LEAF_ROWS, TOP, add, attach, earlier_sums, leaf, split
 
+IDS_PER_LEAF = 1_000_000
 
-ROW_BUCKET = "_lg_row_bucket"
-
-
-def with_row_buckets(df: DataFrame, key: str, order: list[Column], rows_per_bucket: int, parts: int | None = None) -> DataFrame:
-    """Add ``_lg_row_bucket``: (position of the row inside its key, in ``order``) div N.
-
-    A strict bound that does not depend on how a key's rows spread over time: every bucket
-    holds at most ``rows_per_bucket`` rows of one key. Positions come from the distributed
-    ``ranking.row_positions`` (one extra range-partitioned, checkpointed pass), and the
-    bucket is monotone in ``order``, as the windows below require.
-    """
-    from tallyspark.operators import ranking
 
-    rows = ranking.row_positions(df, [key], order, "_lg_rn", "_lg_cnt", parts)
-    bucket = F.expr(f"(_lg_rn - 1) div {int(rows_per_bucket)}")
-    return rows.withColumn(ROW_BUCKET, bucket).drop("_lg_rn", "_lg_cnt")
-
-
-def running_sums(
-    df: DataFrame, key: str, order: list[Column], values: dict[str, Column], bucket: Column | None = None
+def by_time(
+    df: DataFrame, key: str, ts: str = "transaction_date", row_id: str = "transaction_id", limit: int = LEAF_ROWS,
+    ids_per_leaf: int = IDS_PER_LEAF,
 ) -> DataFrame:
-    """Add ``SUM(value) OVER (PARTITION BY key ORDER BY order ROWS UNBOUNDED PRECEDING)``
-    for each named value. ``order`` must be a total order inside the key and must agree with
-    the bucket order (buckets are a monotone function of the leading order column)."""
-    bucket = hour_bucket() if bucket is None else bucket
-    x = df.withColumn(BK, bucket)
-    for name, v in values.items():
-        x = x.withColumn(f"_lg_v_{name}", v)
-    inside = Window.partitionBy(key, BK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = x.select("*", *[F.sum(f"_lg_v_{n}").over(inside).alias(f"_lg_r_{n}") for n in values])
-    totals = x.groupBy(key, BK).agg(*[F.sum(f"_lg_v_{n}").alias(f"_lg_t_{n}") for n in values])
-    before = Window.partitionBy(key).orderBy(BK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.select(key, BK, *[F.sum(f"_lg_t_{n}").over(before).alias(f"_lg_c_{n}") for n in values])
-    out = local.join(carry, [key, BK])
-    for n in values:
-        r, c = F.col(f"_lg_r_{n}"), F.col(f"_lg_c_{n}")
-        # NULL only while every value so far is NULL, as SUM over the frame.
-        total = F.when(r.isNull() & c.isNull(), F.lit(None)).otherwise(
-            F.coalesce(c, F.lit(0)) + F.coalesce(r, F.lit(0))
-        )
-        out = out.withColumn(n, total.cast(local.schema[f"_lg_r_{n}"].dataType))
-    return out.drop(BK, *[f"_lg_{p}_{n}" for n in values for p in ("v", "r", "c")])
-
-
-def previous_order_value(
-    df: DataFrame, key: str, order: list[Column], first_col: str, out: str, bucket: Column | None = None
-) -> DataFrame:
-    """``LAG(first_col) OVER (PARTITION BY key ORDER BY order)`` where ``first_col`` is the
-    leading order column: the first row of a bucket takes the previous bucket's maximum."""
-    bucket = hour_bucket(first_col) if bucket is None else bucket
-    x = df.withColumn(BK, bucket)
-    inside = Window.partitionBy(key, BK).orderBy(*order)
+    """The ledger split for windows ordered by (ts, row_id); a null ts comes first."""
+    second = F.date_trunc("second", F.col(ts))
+    later = F.coalesce(F.col(ts) > second, F.lit(False))
+    ids = F.when(~later, F.floor(F.col(row_id) / F.lit(ids_per_leaf)))
+    fine = F.struct(second.alias("s"), later.alias("l"), ids.alias("r"))
+    return split(df, [key], F.date_trunc("hour", F.col(ts)), fine, limit)
+
+
+def running_sums(x: DataFrame, key: str, order: list[Column], values: dict[str, Column]) -> DataFrame:
+    """Add ``SUM(value) OVER (PARTITION BY key ORDER BY order ROWS UNBOUNDED PRECEDING)`` for each
+    named value. ``x`` comes from ``by_time`` and ``order`` is its total order."""
+    names = {n: f"_lg_{n}" for n in values}
+    x = x.withColumns({names[n]: v for n, v in values.items()})
+    inside = Window.partitionBy(*leaf([key])).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = x.select("*", *[F.sum(c).over(inside).alias(f"_here{c}") for c in names.values()])
+    totals = x.groupBy(*leaf([key])).agg(*[F.sum(c).alias(c) for c in names.values()])
+    out = attach(local, earlier_sums(totals, [key], list(names.values())), leaf([key]))
+    for n, c in names.items():
+        kind = local.schema[f"_here{c}"].dataType
+        out = out.withColumn(n, add(F.col(f"_c_{c}"), F.col(f"_here{c}")).cast(kind))
+    return out.drop(TOP, FINE, *names.values(), *[f"_{p}{c}" for c in names.values() for p in ("here", "c_")])
+
+
+def _numbered(leaves: DataFrame, key: str) -> DataFrame:
+    """Adds the leaf's number inside its hour."""
+    return leaves.withColumn("_lg_j", F.row_number().over(Window.partitionBy(key, TOP).orderBy(FINE)))
+
+
+def previous_order_value(x: DataFrame, key: str, order: list[Column], first_col: str, out: str) -> DataFrame:
+    """``LAG(first_col) OVER (PARTITION BY key ORDER BY order)`` where ``first_col`` leads the order:
+    the first row of a leaf takes the maximum of the leaf before it."""
+    inside = Window.partitionBy(*leaf([key])).orderBy(*order)
     local = x.select("*", F.row_number().over(inside).alias("_lg_i"), F.lag(first_col).over(inside).alias("_lg_lag"))
-    last = x.groupBy(key, BK).agg(F.max(first_col).alias("_lg_last"))
-    carry = last.select(key, BK, F.lag("_lg_last").over(Window.partitionBy(key).orderBy(BK)).alias("_lg_prev"))
-    prev = F.when(F.col("_lg_i") == 1, F.col("_lg_prev")).otherwise(F.col("_lg_lag"))
-    return local.join(carry, [key, BK]).withColumn(out, prev).drop(BK, "_lg_i", "_lg_lag", "_lg_prev")
+    leaves = _numbered(x.groupBy(*leaf([key])).agg(F.max(first_col).alias("_lg_last")), key)
+    leaves = leaves.withColumn("_lg_inner", F.lag("_lg_last").over(Window.partitionBy(key, TOP).orderBy(FINE)))
+    hours = leaves.groupBy(key, TOP).agg(F.max("_lg_last").alias("_lg_last"))
+    hours = hours.select(key, TOP, F.lag("_lg_last").over(Window.partitionBy(key).orderBy(TOP)).alias("_lg_outer"))
+    before = attach(leaves.drop("_lg_last"), hours, [key, TOP]).select(
+        *leaf([key]), F.when(F.col("_lg_j") == 1, F.col("_lg_outer")).otherwise(F.col("_lg_inner")).alias("_lg_before")
+    )
+    value = F.when(F.col("_lg_i") == 1, F.col("_lg_before")).otherwise(F.col("_lg_lag"))
+    return attach(local, before, leaf([key])).withColumn(out, value).drop(TOP, FINE, "_lg_i", "_lg_lag", "_lg_before")
+
+
+def _last(c: Column, rows: int) -> Column:
+    """The last ``rows`` entries of an array."""
+    return F.when(F.size(c) > rows, F.slice(c, -rows, rows)).otherwise(c)
 
 
 def preceding_rows_sum_count(
-    df: DataFrame, key: str, order: list[Column], value: Column, rows: int, sum_out: str, cnt_out: str,
-    bucket: Column | None = None,
+    x: DataFrame, key: str, order: list[Column], value: Column, rows: int, sum_out: str, cnt_out: str
 ) -> DataFrame:
     """SUM and COUNT of ``value`` over ``ROWS BETWEEN rows PRECEDING AND 1 PRECEDING``.
 
-    Inside a bucket the frame is a plain window; rows near the start of a bucket take the
-    missing part from the last ``rows`` values before the bucket. Those come from the
-    tails (last ``rows`` values) of the previous ``rows`` buckets, gathered by a window over
-    one row per bucket, so every array holds at most rows * rows values.
+    Rows near the start of a leaf take what is missing from the last ``rows`` values before the
+    leaf; every array here holds at most rows * rows values.
     """
-    bucket = hour_bucket() if bucket is None else bucket
-    x = df.withColumn(BK, bucket).withColumn("_lg_v", value)
-    vtype = x.schema["_lg_v"].dataType
-    inside = Window.partitionBy(key, BK).orderBy(*order)
+    x = x.withColumn("_lg_v", value)
+    kind = x.schema["_lg_v"].dataType.simpleString()
+    inside = Window.partitionBy(*leaf([key])).orderBy(*order)
     frame = inside.rowsBetween(-rows, -1)
     x = x.select(
         "*",
         F.row_number().over(inside).alias("_lg_i"),
-        F.count(F.lit(1)).over(Window.partitionBy(key, BK)).alias("_lg_nb"),
+        F.count(F.lit(1)).over(Window.partitionBy(*leaf([key]))).alias("_lg_n"),
         F.sum("_lg_v").over(frame).alias("_lg_s"),
-        F.count("_lg_v").over(frame).alias("_lg_n"),
+        F.count("_lg_v").over(frame).alias("_lg_c"),
+    )
+    tails = x.where(F.col("_lg_i") > F.col("_lg_n") - rows).groupBy(*leaf([key])).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("_lg_i", "_lg_v"))), lambda s: s["_lg_v"]).alias("_lg_tail")
     )
-    tails = (
-        x.where(F.col("_lg_i") > F.col("_lg_nb") - rows)
-        .groupBy(key, BK)
-        .agg(F.sort_array(F.collect_list(F.struct("_lg_i", "_lg_v"))).alias("_lg_tail"))
-        .select(key, BK, F.transform("_lg_tail", lambda s: s["_lg_v"]).alias("_lg_tail"))
+    inner = Window.partitionBy(key, TOP).orderBy(FINE).rowsBetween(-rows, -1)
+    leaves = _numbered(tails, key).withColumn("_lg_inner", _last(F.flatten(F.collect_list("_lg_tail").over(inner)), rows))
+    hours = leaves.groupBy(key, TOP).agg(F.max_by(_last(F.concat("_lg_inner", "_lg_tail"), rows), "_lg_j").alias("_lg_tail"))
+    outer = Window.partitionBy(key).orderBy(TOP).rowsBetween(-rows, -1)
+    hours = hours.select(key, TOP, _last(F.flatten(F.collect_list("_lg_tail").over(outer)), rows).alias("_lg_outer"))
+    context = attach(leaves.select(*leaf([key]), "_lg_inner"), hours, [key, TOP]).select(
+        *leaf([key]), _last(F.concat("_lg_outer", "_lg_inner"), rows).alias("_lg_context")
     )
-    prev_buckets = Window.partitionBy(key).orderBy(BK).rowsBetween(-rows, -1)
-    ctx = tails.select(key, BK, F.flatten(F.collect_list("_lg_tail").over(prev_buckets)).alias("_lg_ctx"))
-    joined = x.join(ctx, [key, BK])
-    need = F.greatest(F.lit(rows) - (F.col("_lg_i") - 1), F.lit(0))
-    size = F.size("_lg_ctx")
-    take = F.least(need, size)
-    part = F.when(take > 0, F.slice("_lg_ctx", size - take + 1, take)).otherwise(F.array().cast(f"array<{vtype.simpleString()}>"))
-    acc_type = x.schema["_lg_s"].dataType
-    zero = F.lit(0).cast(acc_type)
-    ctx_sum = F.aggregate(part, zero, lambda acc, v: (acc + F.coalesce(v, zero)).cast(acc_type))
-    ctx_cnt = F.size(F.filter(part, lambda v: v.isNotNull()))
-    n = F.col("_lg_n") + ctx_cnt
-    s = F.when(n == 0, F.lit(None)).otherwise((F.coalesce(F.col("_lg_s"), zero) + ctx_sum).cast(acc_type))
+    joined = attach(x, context, leaf([key]))
+    size = F.size("_lg_context")
+    take = F.least(F.greatest(F.lit(rows) - (F.col("_lg_i") - 1), F.lit(0)), size)
+    part = F.when(take > 0, F.slice("_lg_context", size - take + 1, take)).otherwise(F.array().cast(f"array<{kind}>"))
+    total = x.schema["_lg_s"].dataType
+    zero = F.lit(0).cast(total)
+    more = F.aggregate(part, zero, lambda acc, v: (acc + F.coalesce(v, zero)).cast(total))
+    n = F.col("_lg_c") + F.size(F.filter(part, lambda v: v.isNotNull()))
+    s = F.when(n == 0, F.lit(None)).otherwise((F.coalesce(F.col("_lg_s"), zero) + more).cast(total))
     return joined.withColumn(sum_out, s).withColumn(cnt_out, n).drop(
-        BK, "_lg_v", "_lg_i", "_lg_nb", "_lg_s", "_lg_n", "_lg_ctx"
+        TOP, FINE, "_lg_v", "_lg_i", "_lg_n", "_lg_s", "_lg_c", "_lg_context"
     )

@@ -1,23 +1,14 @@
-"""Distributed global ordering: positions, dense ranks, NTILE top buckets, percent ranks.
-
-An un-partitioned ``Window`` (``OVER (ORDER BY ...)``) plans as one SinglePartition task
-that sorts every row. These operators compute the same numbers with every step spread over
-the cluster:
-
-1. ``repartitionByRange(order)`` + ``sortWithinPartitions(order)``: Spark samples the
-   keys and splits the key space into P sorted ranges (P at most the shuffle-partition
-   setting, or the caller's split count; AQE may merge adjacent ranges). The order must be
-   a total order (the caller adds a unique tie-break), so even a value shared by a third of
-   the rows is cut across several ranges.
-2. Inside each range, ``monotonically_increasing_id`` gives the row's index in sorted
-   order (the low 33 bits) and ``spark_partition_id`` the range.
-3. ``groupBy(range).count()`` has at most P rows; a running sum over those P rows is the
-   offset of each range. P is bounded by configuration, so broadcasting the offsets is
-   bounded by construction.
-4. position = offset(range) + index + 1.
-
-Ties in the ranked value are handled by aggregating over the value first (dense ranks,
-percent ranks) so that equal values always get equal ranks.
+"""Ranks, positions and percent ranks without a single-task window and without stored copies.
+
+``OVER (ORDER BY value)`` sorts every row in one task. Here a value falls into a bucket that is a
+pure, order-preserving function of it (a hundredth of its logarithm: values in a bucket differ by
+at most one percent), so every evaluation agrees and nothing has to be written down. Counts per
+bucket give what lies before a bucket; a window inside the bucket does the rest. A value has at
+most about 7,500 buckets whatever the data's size, which bounds the one window over buckets.
+
+Ties are counted per distinct value first (map-side combined), so a value shared by a third of
+the rows is one row of the ranked table, and ranks join back on the value null-safe, where
+adaptive execution may split a hot value. NULL takes its SQL place: first ascending, last descending.
 """
 
 from __future__ import annotations
@@ -25,197 +16,91 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.session import ensure_checkpoint_dir
+from tallyspark.operators.splits import FINE, LEAF_ROWS, TOP, attach, before, earlier_sums, leaf, split
 
-_PID, _IDX, _OFF, _CNT = "_rk_pid", "_rk_idx", "_rk_off", "_rk_cnt"
-POS, TOTAL = "_rk_pos", "_rk_n"
+IDS_PER_LEAF = 1_000_000
 
 
-def _ranged(df: DataFrame, order: list[Column], parts: int | None) -> DataFrame:
-    """Range-partition on ``order``.
+def value_bucket(value: Column) -> Column:
+    """An ordered integer bucket of a number; null for null."""
+    x = value.cast("double")
+    return F.floor(F.signum(x) * F.ln(F.abs(x) + 1) * 100).cast("int")
 
-    Without ``parts`` the exchange starts from ``spark.sql.shuffle.partitions`` ranges and
-    AQE may merge adjacent ones up to its advisory size, so a small input is not spread over
-    hundreds of tasks and a large one keeps ranges of a bounded size (merged ranges stay in
-    order). Callers with ledger-sized input pass its split count: then the range count is
-    max(parts, cores), which keeps ranges near the input split size at any scale.
-    """
-    if not parts:
-        return df.repartitionByRange(*order)
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext (Spark Connect)
-        cores = 1
-    return df.repartitionByRange(max(parts, cores), *order)
 
+def _ordered(c: str, descending: bool) -> Column:
+    return F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first()
 
-def positions(df: DataFrame, order: list[Column], parts: int | None = None) -> DataFrame:
-    """Add ``_rk_pos`` (1-based position in ``order``) and ``_rk_n`` (row count).
 
-    ``order`` must be a total order over the rows (unique sort key), otherwise positions of
-    tied rows are arbitrary, as with ROW_NUMBER.
-    """
-    ranged = _ranged(df, order, parts).sortWithinPartitions(*order)
-    pid = F.spark_partition_id()
-    tagged = ranged.select(
-        "*",
-        pid.alias(_PID),
-        (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_IDX),
-    )
-    # Range bounds come from sampling and are not reproducible between evaluations (Spark
-    # re-samples unbalanced partitions with a seed drawn from the RDD id), so the tagged
-    # rows are written once to the reliable checkpoint directory; the counts and every
-    # later consumer read that one copy, which also survives the loss of an executor.
-    ensure_checkpoint_dir(df.sparkSession)
-    tagged = tagged.checkpoint(eager=True)
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
-    # At most P rows (one per range): a window without PARTITION BY is bounded here.
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        _PID,
-        F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF),
-        F.sum(_CNT).over(Window.partitionBy()).alias(TOTAL),
-    )
-    return (
-        tagged.join(F.broadcast(offsets), _PID)
-        .withColumn(POS, F.col(_OFF) + F.col(_IDX) + 1)
-        .drop(_PID, _IDX, _OFF)
+def counts_before(counts: DataFrame, by: list[str], value: str, n: str, descending: bool, out: str, total: str) -> DataFrame:
+    """From one row per (by, value) with its count ``n``: adds the number of the group's rows that
+    come before the value, and the group's number of rows."""
+    x = counts.withColumn(TOP, value_bucket(F.col(value)))
+    tops = x.groupBy(*by, TOP).agg(F.sum(n).alias("_rk_t"))
+    outer = before(*by, order=[_ordered(TOP, descending)])
+    zero = F.lit(0).cast("long")
+    tops = tops.select(
+        *by, TOP, F.coalesce(F.sum("_rk_t").over(outer), zero).alias("_rk_o"), F.sum("_rk_t").over(Window.partitionBy(*by)).alias(total)
     )
+    inner = before(*by, TOP, order=[_ordered(value, descending)])
+    x = x.withColumn("_rk_i", F.coalesce(F.sum(n).over(inner), zero))
+    return attach(x, tops, [*by, TOP]).withColumn(out, F.col("_rk_o") + F.col("_rk_i")).drop(TOP, "_rk_o", "_rk_i")
 
 
-def _key(c: Column, descending: bool) -> Column:
-    # SQL default NULL placement: first when ascending, last when descending.
-    return c.desc_nulls_last() if descending else c.asc_nulls_first()
-
-
-def dense_rank(
-    df: DataFrame, value: str, out: str, descending: bool = True, by: list[str] | None = None,
-    parts: int | None = None,
-) -> DataFrame:
-    """DENSE_RANK() OVER ([PARTITION BY by] ORDER BY value [DESC]) without a single-task window.
-
-    Distinct (group, value) pairs are ranked by position; a group's first position is
-    subtracted so ranks restart per group. Groups are never gathered into one task: a group
-    with many distinct values spans several ranges.
-    """
+def dense_rank(df: DataFrame, value: str, out: str, descending: bool = True, by: list[str] | None = None) -> DataFrame:
+    """DENSE_RANK() OVER ([PARTITION BY by] ORDER BY value [DESC])."""
     by = by or []
-    keys = [*by, value]
-    alias = {k: f"_rk_k{i}" for i, k in enumerate(keys)}
-    # Fresh column names on the ranked side keep the join back unambiguous (it is a self-join).
-    pairs = df.select(*[F.col(k).alias(alias[k]) for k in keys]).distinct()
-    order = [F.col(alias[b]).asc_nulls_first() for b in by] + [_key(F.col(alias[value]), descending)]
-    ranked = positions(pairs, order, parts)
-    if by:
-        start = ranked.groupBy(*[alias[b] for b in by]).agg(F.min(POS).alias("_rk_start"))
-        ranked = ranked.join(start, [alias[b] for b in by]).withColumn(out, F.col(POS) - F.col("_rk_start") + 1)
-    else:
-        ranked = ranked.withColumn(out, F.col(POS))
-    ranked = ranked.select(*[alias[k] for k in keys], F.col(out).cast("long").alias(out))
-    cond = None
-    for k in keys:
-        c = F.col(k).eqNullSafe(F.col(alias[k]))
-        cond = c if cond is None else cond & c
-    return df.join(ranked, cond).drop(*alias.values())
-
-
-def top_bucket(df: DataFrame, order: list[Column], tiles: int) -> DataFrame:
-    """Rows with NTILE(tiles) OVER (ORDER BY order) = 1.
-
-    NTILE gives bucket 1 the first ceil(N / tiles) rows, so the bucket is a position filter.
-    ``order`` must be total (add a unique tie-break).
-    """
-    pos = positions(df, order)
-    return pos.where(F.col(POS) <= F.ceil(F.col(TOTAL) / F.lit(tiles))).drop(POS, TOTAL)
+    pairs = df.select(*by, value).distinct().withColumn("_rk_one", F.lit(1).cast("long"))
+    ranked = counts_before(pairs, by, value, "_rk_one", descending, "_rk_b", "_rk_n")
+    return attach(df, ranked.select(*by, value, (F.col("_rk_b") + 1).cast("long").alias(out)), [*by, value])
 
 
-def percent_rank(df: DataFrame, value: Column, tie_break: str, out: str, parts: int | None = None) -> DataFrame:
-    """PERCENT_RANK() OVER (ORDER BY value): (rank - 1) / (N - 1), 0 for a single row.
+def top_bucket(df: DataFrame, value: str, row_id: str, tiles: int, limit: int = LEAF_ROWS, ids_per_leaf: int = IDS_PER_LEAF) -> DataFrame:
+    """Rows with NTILE(tiles) OVER (ORDER BY value DESC, row_id) = 1.
 
-    rank - 1 is the number of rows with a smaller value = first position of the value - 1.
-    The first position per value is a grouped MIN (map-side combined), joined back null-safe
-    so that NULL values keep rank 1 as with the built-in.
+    NTILE gives bucket 1 the first ceil(N / tiles) rows, so the bucket is a position filter. Crowded
+    value buckets (many rows tie) are split again by value and ranges of ids.
     """
-    keyed = df.withColumn("_rk_v", value)
-    pos = positions(keyed, [F.col("_rk_v").asc_nulls_first(), F.col(tie_break).asc()], parts)
-    first = pos.groupBy(F.col("_rk_v").alias("_rk_fv")).agg(F.min(POS).alias("_rk_first"))
-    joined = pos.join(first, F.col("_rk_v").eqNullSafe(F.col("_rk_fv")))
-    pr = F.when(F.col(TOTAL) <= 1, F.lit(0.0)).otherwise(
-        (F.col("_rk_first") - 1).cast("double") / (F.col(TOTAL) - 1).cast("double")
-    )
-    return joined.select(*df.columns, pr.alias(out))
+    top = F.coalesce(-value_bucket(F.col(value)), F.lit(2**31 - 1))
+    fine = F.struct((-F.col(value)).alias("v"), F.floor(F.col(row_id) / F.lit(ids_per_leaf)).alias("r"))
+    x = split(df, [], top, fine, limit)
+    totals = x.groupBy(*leaf([])).agg(F.count(F.lit(1)).alias("_rk_n"))
+    starts = earlier_sums(totals, [], ["_rk_n"])
+    order = [F.col(value).desc_nulls_last(), F.col(row_id).asc()]
+    x = x.withColumn("_rk_i", F.row_number().over(Window.partitionBy(*leaf([])).orderBy(*order)))
+    at = F.coalesce(F.col("_c__rk_n"), F.lit(0)) + F.col("_rk_i")
+    first = F.ceil(df.select(F.count(F.lit(1))).scalar() / F.lit(tiles))
+    return attach(x, starts, leaf([])).where(at <= first).drop(TOP, FINE, "_rk_i", "_c__rk_n")
 
 
-def row_positions(
-    df: DataFrame, by: list[str], order: list[Column], rn: str = "rn", n: str = "cnt", parts: int | None = None
-) -> DataFrame:
-    """ROW_NUMBER() OVER (PARTITION BY by ORDER BY order) and COUNT(*) OVER (PARTITION BY by).
+def _percent(rank_less_one: str, total: str) -> Column:
+    share = F.col(rank_less_one).cast("double") / (F.col(total) - 1).cast("double")
+    return F.when(F.col(total) <= 1, F.lit(0.0)).otherwise(share)
 
-    Positions are taken over the total order (by..., order...), so a large group is cut
-    across several ranges instead of one window task; the group's first position and size
-    come from a grouped aggregate (map-side combined) joined back on the group key.
-    """
-    pos = positions(df, [*[F.col(c).asc_nulls_first() for c in by], *order], parts)
-    alias = {c: f"_rk_g{i}" for i, c in enumerate(by)}
-    start = pos.groupBy(*[F.col(c).alias(alias[c]) for c in by]).agg(
-        F.min(POS).alias("_rk_start"), F.count(F.lit(1)).alias(n)
-    )
-    cond = None
-    for c in by:
-        e = F.col(c).eqNullSafe(F.col(alias[c]))
-        cond = e if cond is None else cond & e
-    return (
-        pos.join(start, cond)
-        .withColumn(rn, F.col(POS) - F.col("_rk_start") + 1)
-        .drop(POS, TOTAL, "_rk_start", *alias.values())
-    )
 
+def percent_rank_at_least(df: DataFrame, value: Column, threshold: float, out: str) -> DataFrame:
+    """Rows with PERCENT_RANK() OVER (ORDER BY value) >= threshold, and that rank.
 
-def percent_rank_within(df: DataFrame, by: list[str], value: str, tie_break: str, out: str) -> DataFrame:
-    """PERCENT_RANK() OVER (PARTITION BY by ORDER BY value) without gathering a group in a task."""
-    rows = row_positions(df, by, [F.col(value).asc_nulls_first(), F.col(tie_break).asc()], "_rk_rn", "_rk_cnt")
-    keys = [*by, value]
-    alias = {c: f"_rk_f{i}" for i, c in enumerate(keys)}
-    first = rows.groupBy(*[F.col(c).alias(alias[c]) for c in keys]).agg(F.min("_rk_rn").alias("_rk_first"))
-    cond = None
-    for c in keys:
-        e = F.col(c).eqNullSafe(F.col(alias[c]))
-        cond = e if cond is None else cond & e
-    pr = F.when(F.col("_rk_cnt") <= 1, F.lit(0.0)).otherwise(
-        (F.col("_rk_first") - 1).cast("double") / (F.col("_rk_cnt") - 1).cast("double")
-    )
-    return rows.join(first, cond).select(*df.columns, pr.alias(out))
+    Ranks come from counts per distinct value; only the values that pass meet the rows again.
+    """
+    keyed = df.withColumn("_rk_v", value)
+    counts = keyed.groupBy("_rk_v").agg(F.count(F.lit(1)).alias("_rk_c"))
+    ranked = counts_before(counts, [], "_rk_v", "_rk_c", False, "_rk_b", "_rk_n")
+    passing = ranked.select("_rk_v", _percent("_rk_b", "_rk_n").alias(out)).where(F.col(out) >= threshold)
+    return attach(keyed, passing, ["_rk_v"]).drop("_rk_v")
 
 
 def percent_rank_of_counts(df: DataFrame, by: list[str], count_col: str, out: str) -> DataFrame:
-    """PERCENT_RANK() OVER (PARTITION BY by ORDER BY count_col) for a non-negative integer
-    count column, from per-(group, value) row counts.
-
-    rank - 1 is the number of rows of the group with a smaller value: a running sum over the
-    group's distinct values. The window runs over distinct (group, value) pairs only, and a
-    group's distinct positive counts are distinct integers summing to at most the group's
-    total T, so there are at most sqrt(2T) + 1 of them (about 141k for T = 10^10): bounded by
-    arithmetic, not by the data's skew. A value shared by many rows is one row here.
-    """
-    vc = df.groupBy(*by, count_col).agg(F.count(F.lit(1)).alias("_rk_c"))
-    ordered = Window.partitionBy(*by).orderBy(count_col)
-    vc = vc.select(
-        *by, count_col,
-        F.coalesce(F.sum("_rk_c").over(ordered.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_rk_b"),
-        F.sum("_rk_c").over(Window.partitionBy(*by)).alias("_rk_n"),
-    )
-    pr = F.when(F.col("_rk_n") <= 1, F.lit(0.0)).otherwise(
-        F.col("_rk_b").cast("double") / (F.col("_rk_n") - 1).cast("double")
-    )
-    return df.join(vc.select(*by, count_col, pr.alias(out)), [*by, count_col])
-
-
-def dense_rank_of_counts(df: DataFrame, by: list[str], count_col: str, out: str, descending: bool = True) -> DataFrame:
-    """DENSE_RANK() OVER (PARTITION BY by ORDER BY count_col [DESC]) for a non-negative
-    integer count column: a window over the group's distinct counts only, at most sqrt(2T)+1
-    of them for a group whose counts sum to T (see ``percent_rank_of_counts``)."""
-    if not by:
-        raise ValueError("dense_rank_of_counts needs a partition; use dense_rank for a global order")
-    values = df.select(*by, count_col).distinct()
-    order = F.col(count_col).desc() if descending else F.col(count_col).asc()
-    ranked = values.select(*by, count_col, F.row_number().over(Window.partitionBy(*by).orderBy(order)).cast("long").alias(out))
-    return df.join(ranked, [*by, count_col])
+    """PERCENT_RANK() OVER (PARTITION BY by ORDER BY count_col) from counts per (group, value)."""
+    counts = df.groupBy(*by, count_col).agg(F.count(F.lit(1)).alias("_rk_c"))
+    ranked = counts_before(counts, by, count_col, "_rk_c", False, "_rk_b", "_rk_n")
+    return attach(df, ranked.select(*by, count_col, _percent("_rk_b", "_rk_n").alias(out)), [*by, count_col])
+
+
+def median_rows(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """The values at positions (n + 1) div 2 and (n + 2) div 2 of each group in ascending order (NULL
+    first), one row per position (one row in all if both are the same)."""
+    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_rk_c"))
+    ranked = counts_before(counts, by, value, "_rk_c", False, "_rk_b", "_rk_n")
+    middles = F.array_distinct(F.array(F.expr("(_rk_n + 1) div 2"), F.expr("(_rk_n + 2) div 2")))
+    placed = ranked.withColumn("_rk_p", F.explode(middles))
+    return placed.where((F.col("_rk_p") > F.col("_rk_b")) & (F.col("_rk_p") <= F.col("_rk_b") + F.col("_rk_c"))).select(*by, value)

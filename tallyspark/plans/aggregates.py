@@ -6,10 +6,11 @@ scan) and only then joined to accounts, owners or branches.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.core import avg_of, fround, lc, mean_exact, money, plain_text, ratio, text_key
+from tallyspark.functions.core import avg_of, fround, lc, mean_exact, money, ratio
+from tallyspark.operators import ranking
 from tallyspark.operators.relational import absent, branch_names, customer_names, owners, population
 from tallyspark.sources.banking import Bank
 
@@ -22,15 +23,17 @@ def q10_accounts_without_transactions(b: Bank) -> DataFrame:
     return absent(b.accounts.select("account_id"), b.transactions, "account_id")
 
 
-def q11_avg_size_by_transaction_type(b: Bank, case_insensitive: bool = False) -> DataFrame:
-    t = b.transactions
-    key = text_key("transaction_type", case_insensitive).alias("transaction_type")
-    g = t.groupBy(key).agg(F.sum(F.abs("amount")).alias("s"), F.count("amount").alias("n"))
-    return g.select(
-        plain_text("transaction_type").alias("transaction_type"), avg_of("s", "n").alias("avg_transaction_size")
-    ).orderBy(
-        F.desc("avg_transaction_size")
-    )
+def type_groups(b: Bank, case_insensitive: bool) -> tuple[Column, Column]:
+    """Grouping key and shown label of transaction types. Under a case-insensitive collation (the
+    reference's default) case variants are one group, shown as its smallest variant."""
+    shown = F.min("transaction_type").alias("transaction_type")
+    return (F.col("type_lc") if case_insensitive else F.col("transaction_type")).alias("_type"), shown
+
+
+def q11_avg_size_by_transaction_type(b: Bank, case_insensitive: bool = True) -> DataFrame:
+    key, shown = type_groups(b, case_insensitive)
+    g = b.ledger.groupBy(key).agg(shown, F.sum(F.abs("amount")).alias("s"), F.count("amount").alias("n"))
+    return g.select("transaction_type", avg_of("s", "n").alias("avg_transaction_size")).orderBy(F.desc("avg_transaction_size"))
 
 
 def q12_customers_in_multiple_branches(b: Bank) -> DataFrame:
@@ -54,14 +57,14 @@ def q13_branch_avg_account_age(b: Bank) -> DataFrame:
     ).orderBy(F.desc("avg_account_age_days"))
 
 
-def q14_loan_type_averages(b: Bank, case_insensitive: bool = False) -> DataFrame:
-    g = b.loans.groupBy(text_key("loan_type", case_insensitive).alias("loan_type")).agg(
-        F.sum("interest_rate").alias("si"), F.count("interest_rate").alias("ni"),
+def q14_loan_type_averages(b: Bank, case_insensitive: bool = True) -> DataFrame:
+    key = lc("loan_type") if case_insensitive else F.col("loan_type")
+    g = b.loans.groupBy(key.alias("_type")).agg(
+        F.min("loan_type").alias("loan_type"), F.sum("interest_rate").alias("si"), F.count("interest_rate").alias("ni"),
         F.sum("principal_amount").alias("sp"), F.count("principal_amount").alias("np"),
     )
     return g.select(
-        plain_text("loan_type").alias("loan_type"), avg_of("si", "ni").alias("avg_interest_rate"),
-        avg_of("sp", "np").alias("avg_principal_amount"),
+        "loan_type", avg_of("si", "ni").alias("avg_interest_rate"), avg_of("sp", "np").alias("avg_principal_amount")
     ).orderBy(F.desc("avg_principal_amount"))
 
 
@@ -119,18 +122,10 @@ def q20_median_amount_per_account(b: Bank) -> DataFrame:
     """Average of the middle row(s) of each account's amounts in ascending order.
 
     As in the reference, NULL amounts sort first and count in n; the rows at positions
-    floor((n+1)/2) and floor((n+2)/2) are averaged (NULLs skipped by the average). Row
-    positions come from the distributed ``row_positions``, so an account with a third of
-    the ledger is never gathered in one task (the built-in ``median`` would collect it).
+    floor((n+1)/2) and floor((n+2)/2) are averaged (NULLs skipped by the average). The ledger is
+    reduced to a count per (account, amount) first (``ranking.median_rows``).
     """
-    from tallyspark.operators.ranking import row_positions
-
-    t = b.transactions.select("account_id", "transaction_id", "amount")
-    order = [F.col("amount").asc_nulls_first(), F.col("transaction_id").asc()]
-    rows = row_positions(t, ["account_id"], order, "rn", "cnt", parts=b.ledger_parts())
-    middle = rows.where(
-        (F.col("rn") == F.expr("(cnt + 1) div 2")) | (F.col("rn") == F.expr("(cnt + 2) div 2"))
-    )
+    middle = ranking.median_rows(b.transactions.select("account_id", "amount"), ["account_id"], "amount")
     g = middle.groupBy("account_id").agg(F.sum("amount").alias("s"), F.count("amount").alias("n"))
     return g.select("account_id", avg_of("s", "n").alias("median_transaction_amount"))
 
@@ -143,8 +138,8 @@ def q21_employees_without_transactions(b: Bank) -> DataFrame:
 
 
 def q22_branches_withdrawal_avg_exceeds_deposit(b: Bank) -> DataFrame:
-    t = b.transactions
-    is_w, is_d = lc("transaction_type") == "withdrawal", lc("transaction_type") == "deposit"
+    t = b.ledger
+    is_w, is_d = F.col("type_lc") == "withdrawal", F.col("type_lc") == "deposit"
     per_acc = t.groupBy("account_id").agg(
         F.sum(F.when(is_w, F.abs("amount"))).alias("sw"), F.count(F.when(is_w, F.col("amount"))).alias("nw"),
         F.sum(F.when(is_d, F.col("amount"))).alias("sd"), F.count(F.when(is_d, F.col("amount"))).alias("nd"),
@@ -181,9 +176,7 @@ def q24_customers_above_overall_avg(b: Bank) -> DataFrame:
     )
 
 
-def q25_transaction_types_by_impact(b: Bank, case_insensitive: bool = False) -> DataFrame:
-    key = text_key("transaction_type", case_insensitive).alias("transaction_type")
-    g = b.transactions.groupBy(key).agg(F.sum("amount").alias("s"))
-    return g.select(plain_text("transaction_type").alias("transaction_type"), money("s").alias("total_impact")).orderBy(
-        F.desc("total_impact")
-    )
+def q25_transaction_types_by_impact(b: Bank, case_insensitive: bool = True) -> DataFrame:
+    key, shown = type_groups(b, case_insensitive)
+    g = b.ledger.groupBy(key).agg(shown, F.sum("amount").alias("s"))
+    return g.select("transaction_type", money("s").alias("total_impact")).orderBy(F.desc("total_impact"))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.core import (
-    avg_of, customer_name, lc, mean_exact, money, month_label, month_start, ratio, text_key,
+    avg_of, customer_name, lc, mean_exact, money, month_label, month_start, ratio,
 )
 from tallyspark.operators.relational import absent, branch_names, customer_names, owners, population, present
 from tallyspark.sources.banking import Bank
@@ -108,8 +108,9 @@ def q32_branches_staffed_without_transactions(b: Bank) -> DataFrame:
 def q33_same_day_multiple_withdrawals(b: Bank) -> DataFrame:
     # Self join on (account, day) with t1.id < t2.id keeps (account, day) when it has two or
     # more withdrawals: a grouped count, linear instead of quadratic per day.
-    w = b.transactions.where(lc("transaction_type") == "withdrawal")
-    g = w.groupBy("account_id", F.to_date("transaction_date").alias("txn_day")).agg(F.count(F.lit(1)).alias("n"))
+    # A NULL account or day never equals another one, so it makes no pair.
+    w = b.ledger.where((F.col("type_lc") == "withdrawal") & F.col("account_id").isNotNull() & F.col("tx_day").isNotNull())
+    g = w.groupBy("account_id", F.col("tx_day").alias("txn_day")).agg(F.count(F.lit(1)).alias("n"))
     return g.where(F.col("n") > 1).select("account_id", "txn_day")
 
 
@@ -136,9 +137,7 @@ def _top_tx_per_customer(b: Bank, order) -> DataFrame:
     the shuffle, so a hot account is cut to one row per map task), then top per customer
     over one row per owned account.
     """
-    t = b.transactions.select(
-        "account_id", "transaction_id", "transaction_type", "transaction_date", "amount", F.abs("amount").alias("amt")
-    )
+    t = b.ledger.select("account_id", "transaction_id", "type_lc", "transaction_date", "amount", F.abs("amount").alias("amt"))
     per_acc = t.withColumn("rn", F.row_number().over(Window.partitionBy("account_id").orderBy(*order))).where("rn = 1")
     per_cust = owners(b, per_acc.drop("rn"))
     return per_cust.withColumn("rn", F.row_number().over(Window.partitionBy("customer_id").orderBy(*order))).where(
@@ -151,23 +150,26 @@ def largest_first():
 
 
 def q36_customers_largest_tx_withdrawal(b: Bank) -> DataFrame:
-    top = _top_tx_per_customer(b, largest_first()).where(lc("transaction_type") == "withdrawal")
+    top = _top_tx_per_customer(b, largest_first()).where(F.col("type_lc") == "withdrawal")
     return top.select("customer_id").join(customer_names(b), "customer_id")
 
 
 def q37_fees_without_same_month_tx(b: Bank) -> DataFrame:
     fees = b.fees.select("account_id", month_start("fee_date").alias("m"))
-    tx = b.transactions.select("account_id", month_start("transaction_date").alias("m"))
+    tx = b.ledger.select("account_id", F.col("tx_month").alias("m"))
     gaps = absent(fees, tx, ["account_id", "m"]).distinct()
     return gaps.select("account_id", month_label("m").alias("fee_month"))
 
 
 def q38_payments_before_loan_start(b: Bank) -> DataFrame:
-    pay = b.transactions.where(lc("transaction_type").isin(REPAYMENT_TYPES)).select(
+    pay = b.ledger.where(F.col("type_lc").isin(REPAYMENT_TYPES)).select(
         "account_id", "transaction_id", "transaction_date", "amount"
     )
-    loans = b.loans.select("loan_id", "account_id", "start_date")
-    x = loans.join(pay, "account_id").where(F.col("transaction_date") < F.col("start_date").cast("timestamp_ntz"))
+    loans = b.loans.select("loan_id", "account_id", F.col("start_date").cast("timestamp_ntz").alias("start"))
+    # Payments at or after the account's latest start match no loan: they go before the product.
+    latest = loans.groupBy("account_id").agg(F.max("start").alias("latest"))
+    early = pay.join(latest, "account_id").where(F.col("transaction_date") < F.col("latest")).drop("latest")
+    x = loans.join(early, "account_id").where(F.col("transaction_date") < F.col("start"))
     return x.select("loan_id", "account_id", "transaction_id", "transaction_date", money("amount").alias("amount"))
 
 
@@ -259,7 +261,7 @@ def q45_customers_above_branch_avg_accounts(b: Bank) -> DataFrame:
 
 def q46_customers_without_interest(b: Bank) -> DataFrame:
     ca = b.customer_accounts.select("customer_id", "account_id")
-    interest = b.transactions.where(lc("transaction_type") == "interest")
+    interest = b.ledger.where(F.col("type_lc") == "interest")
     with_interest = present(ca, interest, "account_id")
     return absent(ca.select("customer_id").distinct(), with_interest, "customer_id").join(
         customer_names(b), "customer_id"
@@ -273,8 +275,9 @@ def q47_transfers_date_mismatch(b: Bank) -> DataFrame:
     )
 
 
-def q48_customers_multiple_card_types(b: Bank, case_insensitive: bool = False) -> DataFrame:
-    cards = b.cards.select("account_id", text_key("card_type", case_insensitive).alias("card_type"))
+def q48_customers_multiple_card_types(b: Bank, case_insensitive: bool = True) -> DataFrame:
+    kind = lc("card_type") if case_insensitive else F.col("card_type")
+    cards = b.cards.select("account_id", kind.alias("card_type"))
     g = owners(b, cards).groupBy("customer_id").agg(F.countDistinct("card_type").alias("distinct_card_types"))
     return (
         g.where(F.col("distinct_card_types") > 1)
@@ -285,7 +288,7 @@ def q48_customers_multiple_card_types(b: Bank, case_insensitive: bool = False) -
 
 
 def q49_branches_with_mom_avg_decline(b: Bank) -> DataFrame:
-    t = b.transactions.select("account_id", month_start("transaction_date").alias("ym"), F.abs("amount").alias("x"))
+    t = b.ledger.select("account_id", F.col("tx_month").alias("ym"), F.abs("amount").alias("x"))
     per_acc = t.groupBy("account_id", "ym").agg(F.sum("x").alias("s"), F.count("x").alias("n"))
     m = (
         per_acc.join(b.accounts.select("account_id", "branch_id"), "account_id")
@@ -337,7 +340,7 @@ def q52_accounts_many_senders(b: Bank, min_senders: int = MIN_SENDERS) -> DataFr
 
 
 def q53_loans_without_repayment(b: Bank) -> DataFrame:
-    repay = b.transactions.where(lc("transaction_type").isin(REPAYMENT_TYPES))
+    repay = b.ledger.where(F.col("type_lc").isin(REPAYMENT_TYPES))
     loans = absent(b.loans.select("loan_id", "customer_id", "account_id"), repay, "account_id")
     return loans.join(customer_names(b), "customer_id").select("customer_id", "customer_name", "loan_id", "account_id")
 

@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.core import avg_of, fround, lc, money, month_label, pop_std, ratio
+from tallyspark.functions.core import avg_of, cent_moments, fround, money, month_label, pop_std, ratio
 from tallyspark.operators.relational import branch_names, customer_names, owners, population
 from tallyspark.plans.windows import customer_month_counts, top_customers
 from tallyspark.sources.banking import AS_OF, Bank
@@ -58,7 +58,7 @@ def month_calendar(spark: SparkSession, as_of: dt.date = AS_OF, months: int = CA
 def q94_high_risk_accounts(b: Bank, weight: int = OVERDRAFT_WEIGHT, floor: int = RISK_FLOOR) -> DataFrame:
     fee = b.fees.groupBy("account_id").agg(F.sum("amount").alias("fees"))
     over = (
-        b.transactions.where((lc("transaction_type") == "withdrawal") & (F.col("amount") < 0))
+        b.ledger.where((F.col("type_lc") == "withdrawal") & (F.col("amount") < 0))
         .groupBy("account_id")
         .agg(F.count(F.lit(1)).alias("od"))
     )
@@ -76,9 +76,9 @@ def q94_high_risk_accounts(b: Bank, weight: int = OVERDRAFT_WEIGHT, floor: int =
 
 
 def q95_customer_lifetime_value(b: Bank) -> DataFrame:
-    dep = F.when(lc("transaction_type") == "deposit", F.col("amount")).otherwise(F.lit(0))
-    wd = F.when(lc("transaction_type") == "withdrawal", F.abs("amount")).otherwise(F.lit(0))
-    per_acc = b.transactions.groupBy("account_id").agg(F.sum(dep).alias("d"), F.sum(wd).alias("w"))
+    dep = F.when(F.col("type_lc") == "deposit", F.col("amount")).otherwise(F.lit(0))
+    wd = F.when(F.col("type_lc") == "withdrawal", F.abs("amount")).otherwise(F.lit(0))
+    per_acc = b.ledger.groupBy("account_id").agg(F.sum(dep).alias("d"), F.sum(wd).alias("w"))
     cust_tx = owners(b, per_acc).groupBy("customer_id").agg(F.sum("d").alias("d"), F.sum("w").alias("w"))
     fee_acc = b.fees.groupBy("account_id").agg(F.sum("amount").alias("f"))
     cust_fee = owners(b, fee_acc).groupBy("customer_id").agg(F.sum("f").alias("f"))
@@ -93,24 +93,18 @@ def q95_customer_lifetime_value(b: Bank) -> DataFrame:
 
 
 def q96_abnormal_branches(b: Bank, factor: int = ABNORMAL_FACTOR) -> DataFrame:
-    x = F.abs("amount")
-    per_acc = b.transactions.groupBy("account_id").agg(
-        F.sum(x).alias("s1"), F.sum(x * x).alias("s2"), F.count(x).alias("n")
-    )
+    per_acc = b.transactions.groupBy("account_id").agg(F.sum(F.abs("amount")).alias("s"), *cent_moments(F.abs("amount")))
     br = (
         per_acc.join(b.accounts.select("account_id", "branch_id"), "account_id")
         .groupBy("branch_id")
-        .agg(F.sum("s1").alias("s1"), F.sum("s2").alias("s2"), F.sum("n").alias("n"))
-        .withColumn("avg_amt", ratio("s1", "n"))
+        .agg(*[F.sum(c).alias(c) for c in ("s", "n")], *[F.sum(c).cast("decimal(38,0)").alias(c) for c in ("c1", "c2")])
+        .withColumn("avg_amt", ratio("s", "n"))
     )
     overall = population(br, F.avg("avg_amt"))  # unweighted mean of branch means
     hit = br.where(F.col("avg_amt") > factor * overall)
     return (
         hit.join(branch_names(b), "branch_id")
-        .select(
-            "branch_id", "branch_name", avg_of("s1", "n").alias("avg_amt"),
-            fround(pop_std("s1", "s2", "n"), 4).alias("std_amt"),
-        )
+        .select("branch_id", "branch_name", avg_of("s", "n").alias("avg_amt"), fround(pop_std(), 4).alias("std_amt"))
         .orderBy(F.desc("avg_amt"))
     )
 
@@ -155,7 +149,8 @@ def q99_rolling_3_month_avg_calendar(b: Bank, months: int = 3) -> DataFrame:
     w = Window.partitionBy("account_id").orderBy("mi").rangeBetween(-(months - 1), Window.currentRow)
     return m.select(
         "account_id", month_label("month_start").alias("ym"),
-        avg_of(F.sum("total").over(w), F.count("total").over(w)).alias("rolling_3m_avg"),
+        # No month is between NULL and NULL: a NULL month has no average.
+        F.when(F.col("mi").isNotNull(), avg_of(F.sum("total").over(w), F.count("total").over(w))).alias("rolling_3m_avg"),
     ).orderBy("account_id", "ym")
 
 

@@ -7,7 +7,7 @@ on the correlation key, which is map-side combined and never sorts a whole group
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyspark.functions.core import avg_of, lc, mean_exact, money, ratio
@@ -41,7 +41,7 @@ def q57_accounts_with_large_max(b: Bank, multiple: int = LARGE_MULTIPLE) -> Data
 
 def q58_top_deposit_branch(b: Bank) -> DataFrame:
     dep = (
-        b.transactions.where(lc("transaction_type") == "deposit")
+        b.ledger.where(F.col("type_lc") == "deposit")
         .groupBy("account_id")
         .agg(F.sum("amount").alias("s"))
     )
@@ -59,15 +59,27 @@ def q58_top_deposit_branch(b: Bank) -> DataFrame:
 
 def q59_latest_tx_is_largest(b: Bank) -> DataFrame:
     """One row per transaction that sits at the customer's latest timestamp and has the
-    customer's largest absolute amount (duplicates kept, as in the reference)."""
+    customer's largest absolute amount (duplicates kept, as in the reference).
+
+    One ledger pass: an account's latest timestamp, with the largest amount there and how often it
+    occurs, and the account's largest amount. Only an account whose latest timestamp is the
+    customer's, and whose largest amount there is the customer's, has such rows.
+    """
     t = b.transactions.select("account_id", "transaction_date", F.abs("amount").alias("amt"))
-    acc = t.groupBy("account_id").agg(F.max("transaction_date").alias("last"), F.max("amt").alias("big"))
-    cust = owners(b, acc).groupBy("customer_id").agg(F.max("last").alias("latest_dt"), F.max("big").alias("largest"))
-    # Only a transaction at its own account's latest timestamp can be at the customer's.
-    at_last = t.join(acc.select("account_id", F.col("last").alias("transaction_date")), ["account_id", "transaction_date"])
-    x = owners(b, at_last).join(cust, "customer_id").where(
-        (F.col("transaction_date") == F.col("latest_dt")) & (F.col("amt") == F.col("largest"))
+    # Per (account, timestamp, amount) and then per account: no row is read twice.
+    counted = t.groupBy("account_id", "transaction_date", "amt").agg(F.count(F.lit(1)).alias("n"))
+    acc = counted.groupBy("account_id").agg(
+        F.max(F.when(F.col("transaction_date").isNotNull() & F.col("amt").isNotNull(), F.struct("transaction_date", "amt", "n"))).alias("top"),
+        F.max("transaction_date").alias("last"), F.max("amt").alias("big"),
+    )
+    # The same for a customer's accounts: rows at equal (timestamp, amount) are counted together.
+    tops = owners(b, acc).groupBy("customer_id", "top.transaction_date", "top.amt").agg(
+        F.sum("top.n").alias("n"), F.max("last").alias("last"), F.max("big").alias("big")
     )
+    top = F.max(F.when(F.col("transaction_date").isNotNull(), F.struct("transaction_date", "amt", "n")))
+    cust = tops.groupBy("customer_id").agg(top.alias("top"), F.max("last").alias("latest_dt"), F.max("big").alias("largest"))
+    hit = cust.where((F.col("top.transaction_date") == F.col("latest_dt")) & (F.col("top.amt") == F.col("largest")))
+    x = hit.select("customer_id", F.explode(F.sequence(F.lit(1).cast("long"), "top.n")).alias("_copy"))
     return x.select("customer_id").join(customer_names(b), "customer_id")
 
 
@@ -89,10 +101,11 @@ def q61_customers_top5pct_tx_count(b: Bank, tiles: int = 20) -> DataFrame:
     return top_customers(b, cnt, "txn_count", tiles)
 
 
-def q62_loans_above_type_avg_rate(b: Bank) -> DataFrame:
-    loans = b.loans.where(F.col("loan_type").isNotNull())
-    by_type = loans.groupBy("loan_type").agg(F.sum("interest_rate").alias("s"), F.count("interest_rate").alias("n"))
-    x = loans.join(by_type, "loan_type").where(F.col("interest_rate").cast("double") > ratio("s", "n"))
+def q62_loans_above_type_avg_rate(b: Bank, case_insensitive: bool = True) -> DataFrame:
+    kind = lc("loan_type") if case_insensitive else F.col("loan_type")
+    loans = b.loans.where(F.col("loan_type").isNotNull()).withColumn("_type", kind)
+    by_type = loans.groupBy("_type").agg(F.sum("interest_rate").alias("s"), F.count("interest_rate").alias("n"))
+    x = loans.join(by_type, "_type").where(F.col("interest_rate").cast("double") > ratio("s", "n"))
     return x.select("loan_id", "loan_type", money("interest_rate").alias("interest_rate"))
 
 
@@ -108,16 +121,12 @@ def q63_customers_below_branch_avg_balance(b: Bank) -> DataFrame:
 
 
 def q64_accounts_last_tx_large_withdrawal(b: Bank) -> DataFrame:
-    t = b.transactions.select(
-        "account_id", "transaction_id", "transaction_date", "transaction_type", F.abs("amount").alias("amt")
-    )
-    latest = Window.partitionBy("account_id").orderBy(F.desc("transaction_date"), F.desc("transaction_id"))
-    last = t.withColumn("rn", F.row_number().over(latest)).where("rn = 1")
-    avg = t.groupBy("account_id").agg(F.sum("amt").alias("s"), F.count("amt").alias("n"))
-    x = last.join(avg, "account_id").where(
-        (lc("transaction_type") == "withdrawal") & (F.col("amt").cast("double") > ratio("s", "n"))
-    )
-    return x.select("account_id")
+    """The latest row and the average of each account from one map-side combined aggregate."""
+    amt = F.abs("amount")
+    latest = F.max_by(F.struct("type_lc", amt.alias("amt")), F.struct("transaction_date", "transaction_id"))
+    g = b.ledger.groupBy("account_id").agg(latest.alias("last"), F.sum(amt).alias("s"), F.count("amount").alias("n"))
+    x = g.where((F.col("last.type_lc") == "withdrawal") & (F.col("last.amt").cast("double") > ratio("s", "n")))
+    return x.where(F.col("account_id").isNotNull()).select("account_id")
 
 
 def q65_owners_of_most_active_account(b: Bank) -> DataFrame:

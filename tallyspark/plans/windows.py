@@ -1,14 +1,11 @@
 """Section 4: window operators (66-90).
 
-* Global (un-partitioned) rankings, NTILE buckets and percent ranks go through
-  ``operators.ranking`` (range partitions + offsets), never through a SinglePartition
-  window.
+* Rankings, NTILE buckets and percent ranks go through ``operators.ranking`` (ordered value
+  buckets and counts before them), never through a window over all rows.
 * Month rollups aggregate first; the lag/rolling windows then run over one row per
   (key, month), so a window partition is bounded by the months covered, not by activity.
-* Per-account ledger windows (running sums, lag, 10-row rolling frame) run per
-  (account, hour) — or per bounded row bucket — with a carry from earlier buckets
-  (``operators.ledger``), so a hot account is spread over many tasks.
-* Ranks of counts within a group (79, 86, 90) run over the group's distinct counts only.
+* Per-account ledger windows (running sums, lag, 10-row rolling frame) run per (account, hour),
+  crowded hours being split again, with a carry from earlier parts (``operators.ledger``).
 """
 
 from __future__ import annotations
@@ -16,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.core import avg_of, fround, lc, money, month_label, month_start, pop_std, ratio
+from tallyspark.functions.core import avg_of, cent_moments, fround, money, month_label, pop_std, ratio
 from tallyspark.operators import ledger, ranking
 from tallyspark.operators.relational import branch_names, customer_names, owners
 from tallyspark.plans.joins import _top_tx_per_customer, branch_default_rates, largest_first
@@ -30,7 +27,6 @@ DORMANT_MONTHS = 12
 TAIL_TENTHS = 9  # last 10 % of the timeline: row >= ceil(0.9 * n)
 DECLINE_CHAIN = 3
 ROLLING_MONTHS = 3
-ROWS_PER_BUCKET = 1_000_000  # bucket="rows": at most this many rows of one account per window task
 
 
 def ledger_order():
@@ -46,31 +42,19 @@ def ledger_columns() -> list[Column]:
 
 def top_customers(b: Bank, per_cust: DataFrame, value: str, tiles: int) -> DataFrame:
     """Customers in NTILE(tiles) bucket 1 by ``value`` desc, customer_id as tie-break."""
-    top = ranking.top_bucket(per_cust, [F.col(value).desc_nulls_last(), F.col("customer_id").asc()], tiles)
+    top = ranking.top_bucket(per_cust, value, "customer_id", tiles)
     return top.join(customer_names(b), "customer_id").select("customer_id", "customer_name", value).orderBy(
         F.desc(value)
     )
 
 
 def customer_month_counts(b: Bank) -> DataFrame:
-    per_acc = b.transactions.groupBy("account_id", month_start("transaction_date").alias("ym")).agg(
+    per_acc = b.ledger.groupBy("account_id", F.col("tx_month").alias("ym")).agg(
         F.count(F.lit(1)).alias("n")
     )
     return owners(b, per_acc).groupBy("customer_id", "ym").agg(F.sum("n").cast("long").alias("txn_count"))
 
 
-def ledger_bucket(b: Bank, t: DataFrame, bucket: str, rows_per_bucket: int) -> tuple[DataFrame, Column]:
-    """The ledger with the bucket column the ordered ledger windows split accounts by:
-    ``"hour"`` (default; one hour of one account) or ``"rows"`` (at most ``rows_per_bucket``
-    rows of one account, whatever their timing; one extra distributed positions pass)."""
-    if bucket == "hour":
-        return t, ledger.hour_bucket()
-    if bucket == "rows":
-        rows = ledger.with_row_buckets(t, "account_id", ledger_order(), rows_per_bucket, parts=b.ledger_parts())
-        return rows, F.col(ledger.ROW_BUCKET)
-    raise ValueError(f"bucket must be 'hour' or 'rows', not {bucket!r}")
-
-
 def q66_rank_customers_by_value(b: Bank) -> DataFrame:
     per_acc = b.transactions.groupBy("account_id").agg(F.sum("amount").alias("s"))
     tot = owners(b, per_acc).groupBy("customer_id").agg(F.sum("s").alias("total_value"))
@@ -80,10 +64,9 @@ def q66_rank_customers_by_value(b: Bank) -> DataFrame:
     )
 
 
-def q67_running_balance(b: Bank, bucket: str = "hour", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    t, bk = ledger_bucket(b, b.transactions.select("account_id", "transaction_date", "transaction_id", "amount"),
-                          bucket, rows_per_bucket)
-    x = ledger.running_sums(t, "account_id", ledger_order(), {"running_balance": F.col("amount")}, bucket=bk)
+def q67_running_balance(b: Bank) -> DataFrame:
+    t = ledger.by_time(b.transactions.select("account_id", "transaction_date", "transaction_id", "amount"), "account_id")
+    x = ledger.running_sums(t, "account_id", ledger_order(), {"running_balance": F.col("amount")})
     return x.select(
         "account_id", "transaction_date", "transaction_id", money("amount").alias("amount"),
         money("running_balance").alias("running_balance"),
@@ -92,7 +75,7 @@ def q67_running_balance(b: Bank, bucket: str = "hour", rows_per_bucket: int = RO
 
 def q68_rank_tx_within_account(b: Bank) -> DataFrame:
     t = b.transactions.withColumn("_amt", F.abs("amount"))
-    ranked = ranking.dense_rank(t, "_amt", "txn_rank", descending=True, by=["account_id"], parts=b.ledger_parts())
+    ranked = ranking.dense_rank(t, "_amt", "txn_rank", descending=True, by=["account_id"])
     return ranked.select(*ledger_columns(), "txn_rank")
 
 
@@ -104,7 +87,7 @@ def q69_top_tx_per_customer(b: Bank) -> DataFrame:
 
 
 def q70_account_mom_growth(b: Bank) -> DataFrame:
-    m = b.transactions.groupBy("account_id", month_start("transaction_date").alias("ym")).agg(
+    m = b.ledger.groupBy("account_id", F.col("tx_month").alias("ym")).agg(
         F.sum(F.abs("amount")).alias("total")
     )
     x = m.withColumn("prev", F.lag("total").over(Window.partitionBy("account_id").orderBy("ym")))
@@ -136,14 +119,13 @@ def q72_rank_branches_by_default_rate(b: Bank) -> DataFrame:
     )
 
 
-def q73_cumulative_deposit_withdrawal(
-    b: Bank, bucket: str = "hour", rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
-    t = b.transactions.select("account_id", "transaction_date", "transaction_id", "transaction_type", "amount")
-    t, bk = ledger_bucket(b, t, bucket, rows_per_bucket)
-    dep = F.when(lc("transaction_type") == "deposit", F.col("amount")).otherwise(F.lit(0))
-    wd = F.when(lc("transaction_type") == "withdrawal", F.abs("amount")).otherwise(F.lit(0))
-    x = ledger.running_sums(t, "account_id", ledger_order(), {"cum_deposit": dep, "cum_withdrawal": wd}, bucket=bk)
+def q73_cumulative_deposit_withdrawal(b: Bank) -> DataFrame:
+    t = b.ledger.select("account_id", "transaction_date", "transaction_id", "type_lc", "amount")
+    dep = F.when(F.col("type_lc") == "deposit", F.col("amount")).otherwise(F.lit(0))
+    wd = F.when(F.col("type_lc") == "withdrawal", F.abs("amount")).otherwise(F.lit(0))
+    x = ledger.running_sums(
+        ledger.by_time(t, "account_id"), "account_id", ledger_order(), {"cum_deposit": dep, "cum_withdrawal": wd}
+    )
     return x.select(
         "account_id", "transaction_date", "transaction_id",
         money("cum_deposit").alias("cum_deposit"), money("cum_withdrawal").alias("cum_withdrawal"),
@@ -151,7 +133,7 @@ def q73_cumulative_deposit_withdrawal(
 
 
 def q74_month_balance_drop(b: Bank) -> DataFrame:
-    m = b.transactions.groupBy("account_id", month_start("transaction_date").alias("ym")).agg(
+    m = b.ledger.groupBy("account_id", F.col("tx_month").alias("ym")).agg(
         F.sum("amount").alias("net")
     )
     w = Window.partitionBy("account_id").orderBy("ym")
@@ -175,13 +157,12 @@ def q75_rank_customers_in_branch_by_balance(b: Bank) -> DataFrame:
 
 
 def q76_outlier_transactions(b: Bank, threshold: float = OUTLIER_PR) -> DataFrame:
-    t = b.transactions
-    pr = ranking.percent_rank(t, F.abs("amount"), "transaction_id", "pr", parts=b.ledger_parts())
-    return pr.where(F.col("pr") >= threshold).select(*ledger_columns(), fround("pr", 6).alias("pr"))
+    pr = ranking.percent_rank_at_least(b.transactions, F.abs("amount"), threshold, "pr")
+    return pr.select(*ledger_columns(), fround("pr", 6).alias("pr"))
 
 
 def q77_rolling_3_month_avg_rows(b: Bank, months: int = ROLLING_MONTHS) -> DataFrame:
-    m = b.transactions.groupBy("account_id", month_start("transaction_date").alias("ym")).agg(
+    m = b.ledger.groupBy("account_id", F.col("tx_month").alias("ym")).agg(
         F.sum(F.abs("amount")).alias("total")
     )
     w = Window.partitionBy("account_id").orderBy("ym").rowsBetween(-(months - 1), Window.currentRow)
@@ -193,7 +174,7 @@ def q77_rolling_3_month_avg_rows(b: Bank, months: int = ROLLING_MONTHS) -> DataF
 
 def q78_customers_latest_tx_withdrawal(b: Bank) -> DataFrame:
     latest = _top_tx_per_customer(b, [F.desc("transaction_date"), F.desc("transaction_id")])
-    x = latest.where(lc("transaction_type") == "withdrawal").select("customer_id")
+    x = latest.where(F.col("type_lc") == "withdrawal").select("customer_id")
     return x.join(customer_names(b), "customer_id")
 
 
@@ -206,14 +187,13 @@ def q79_rank_employees_in_branch(b: Bank) -> DataFrame:
     emp = b.employees.join(cnt, "employee_id", "left").select(
         "branch_id", "employee_id", F.coalesce("n", F.lit(0)).cast("long").alias("txn_count")
     )
-    ranked = ranking.dense_rank_of_counts(emp, ["branch_id"], "txn_count", "branch_rank")
+    ranked = ranking.dense_rank(emp, "txn_count", "branch_rank", by=["branch_id"])
     return ranked.orderBy("branch_id", "branch_rank")
 
 
-def q80_gap_between_transactions(b: Bank, bucket: str = "hour", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    t, bk = ledger_bucket(b, b.transactions.select("account_id", "transaction_id", "transaction_date"),
-                          bucket, rows_per_bucket)
-    x = ledger.previous_order_value(t, "account_id", ledger_order(), "transaction_date", "prev_dt", bucket=bk)
+def q80_gap_between_transactions(b: Bank) -> DataFrame:
+    t = ledger.by_time(b.transactions.select("account_id", "transaction_id", "transaction_date"), "account_id")
+    x = ledger.previous_order_value(t, "account_id", ledger_order(), "transaction_date", "prev_dt")
     # TIMESTAMPDIFF(DAY): whole elapsed 24-hour days (23 hours -> 0), not calendar days.
     return x.where(F.col("prev_dt").isNotNull()).select(
         "account_id", "transaction_id", "transaction_date", "prev_dt",
@@ -254,13 +234,10 @@ def q84_customers_top10pct_account_count(b: Bank, tiles: int = 10) -> DataFrame:
     return top_customers(b, cc, "acc_count", tiles)
 
 
-def q85_transaction_spikes(
-    b: Bank, factor: int = SPIKE_FACTOR, rows: int = SPIKE_ROWS, bucket: str = "hour",
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-) -> DataFrame:
+def q85_transaction_spikes(b: Bank, factor: int = SPIKE_FACTOR, rows: int = SPIKE_ROWS) -> DataFrame:
     amt = F.abs("amount")
-    t, bk = ledger_bucket(b, b.transactions, bucket, rows_per_bucket)
-    x = ledger.preceding_rows_sum_count(t, "account_id", ledger_order(), amt, rows, "_s", "_n", bucket=bk)
+    t = ledger.by_time(b.transactions, "account_id")
+    x = ledger.preceding_rows_sum_count(t, "account_id", ledger_order(), amt, rows, "_s", "_n")
     x = x.withColumn("_ravg", ratio("_s", "_n"))
     x = x.where(F.col("_ravg").isNotNull() & (amt.cast("double") > factor * F.col("_ravg")))
     return x.select(*ledger_columns(), fround("_ravg", 4).alias("rolling_avg"))
@@ -274,12 +251,12 @@ def q86_rank_cards_by_usage(b: Bank) -> DataFrame:
         .groupBy("customer_id", "card_id")
         .agg(F.sum(F.coalesce("n", F.lit(0))).cast("long").alias("txn_count"))
     )
-    ranked = ranking.dense_rank_of_counts(usage, ["customer_id"], "txn_count", "usage_rank")
+    ranked = ranking.dense_rank(usage, "txn_count", "usage_rank", by=["customer_id"])
     return ranked.orderBy("customer_id", "usage_rank")
 
 
 def q87_branches_increasing_volume(b: Bank, needed: int = INCREASES) -> DataFrame:
-    per_acc = b.transactions.groupBy("account_id", month_start("transaction_date").alias("ym")).agg(
+    per_acc = b.ledger.groupBy("account_id", F.col("tx_month").alias("ym")).agg(
         F.count(F.lit(1)).alias("n")
     )
     m = (
@@ -293,31 +270,34 @@ def q87_branches_increasing_volume(b: Bank, needed: int = INCREASES) -> DataFram
 
 
 def q88_largest_tx_in_last_tenth(b: Bank, tail_tenths: int = TAIL_TENTHS) -> DataFrame:
-    t = owners(b, b.transactions.select("account_id", "transaction_id", "transaction_date", F.abs("amount").alias("amt")))
-    # Timeline position per customer (date, then id) from distributed positions; the
-    # customer's largest amount from a grouped MAX joined back.
-    pos = ranking.row_positions(t, ["customer_id"], ledger_order(), "rn_time", "total_txn", parts=b.ledger_parts())
-    big = t.groupBy(F.col("customer_id").alias("_c")).agg(F.max("amt").alias("max_amt"))
-    x = pos.join(big, F.col("customer_id") == F.col("_c")).where(
-        (F.col("amt") == F.col("max_amt"))
-        # CEIL(0.9 * n) in exact integer arithmetic
-        & (F.col("rn_time") >= F.expr(f"({int(tail_tenths)} * total_txn + 9) div 10"))
+    """Only the latest row that holds the customer's largest amount can decide: it is in the tail
+    if any is. It comes from per-account maxima, its position from one conditional count."""
+    t = b.transactions
+    per_acc = t.groupBy("account_id").agg(
+        F.max(F.when(F.col("amount").isNotNull(), F.struct(F.abs("amount"), "transaction_date", "transaction_id"))).alias("big"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    per_cust = owners(b, per_acc).groupBy("customer_id").agg(F.max("big").alias("big"), F.sum("n").alias("total_txn"))
+    goal = per_cust.where(F.col("big").isNotNull()).select(
+        "customer_id", "total_txn", F.struct("big.transaction_date", "big.transaction_id").alias("big_at")
     )
-    return x.select("customer_id").distinct().join(customer_names(b), "customer_id")
+    # The owners of an account with the rows they look for; ledger rows meet them on the account.
+    looked_for = b.customer_accounts.select("customer_id", "account_id").join(goal, "customer_id")
+    rows = t.select("account_id", F.struct("transaction_date", "transaction_id").alias("at")).join(looked_for, "account_id")
+    position = rows.groupBy("customer_id", "total_txn").agg(F.count(F.when(F.col("at") <= F.col("big_at"), 1)).alias("rn_time"))
+    # CEIL(0.9 * n) in exact integer arithmetic
+    tail = position.where(F.col("rn_time") >= F.expr(f"({int(tail_tenths)} * total_txn + 9) div 10"))
+    return tail.select("customer_id").join(customer_names(b), "customer_id")
 
 
 def q89_rank_accounts_by_volatility(b: Bank) -> DataFrame:
-    g = b.transactions.groupBy("account_id").agg(
-        F.sum("amount").alias("s1"), F.sum(F.col("amount") * F.col("amount")).alias("s2"), F.count("amount").alias("n")
-    )
-    vol = g.select("account_id", fround(pop_std("s1", "s2", "n"), 4).alias("volatility"))
-    return ranking.dense_rank(vol, "volatility", "volatility_rank", descending=True)
+    g = b.transactions.groupBy("account_id").agg(*cent_moments("amount"))
+    ranked = ranking.dense_rank(g.withColumn("_std", pop_std()), "_std", "volatility_rank", descending=True)
+    return ranked.select("account_id", fround("_std", 4).alias("volatility"), "volatility_rank")
 
 
 def q90_customers_percentile_drop(b: Bank) -> DataFrame:
     m = customer_month_counts(b)
-    # Counts have few distinct values per month (at most sqrt(2T)), so the percent rank comes
-    # from per-(month, count) row counts instead of ranking every customer-month row.
     p = ranking.percent_rank_of_counts(m, ["ym"], "txn_count", "pr")
     x = p.withColumn("prev_pr", F.lag("pr").over(Window.partitionBy("customer_id").orderBy("ym")))
     return x.where(F.col("prev_pr").isNotNull() & (F.col("pr") < F.col("prev_pr"))).select("customer_id").distinct()

@@ -6,23 +6,22 @@ projection of one source scan (column arithmetic only, no shuffle); the only joi
 size check. Scans read only the columns a table needs, so Parquet column pruning and
 predicate pushdown reach the files.
 
-At production scale the staged tables would be written once (Parquet, bucketed by
-``account_id``) and read back; here they are recomputed per query because the mapping is
-cheaper than a second copy of the data.
+Queries read this mapping directly and write nothing. In production the staging job
+(``tallyspark.stage``) writes the tables once as plain Parquet, the ledger with the derived
+columns of ``schema.LEDGER_DERIVED``, and ``Bank.from_staged`` reads them back.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import threading
-import uuid
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyspark.session import ensure_checkpoint_dir
-from tallyspark.sources.schema import conform
+from tallyspark.sources.schema import LEDGER_DERIVED, SCHEMAS, conform, with_ledger_columns
 
 AS_OF = dt.date(2024, 2, 1)
 
@@ -67,65 +66,41 @@ _SHARED_LOCK = threading.Lock()
 
 
 class Bank:
-    """Lazy access to the staged banking tables of one scale-factor directory."""
+    """Lazy access to the banking tables of one scale-factor directory."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF, stage_dir: str | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
         self.as_of = as_of
-        self.stage_dir = stage_dir.rstrip("/") if stage_dir else None
         self._sources: dict[str, DataFrame] = {}
-        self._staged_tables: dict[str, DataFrame] = {}
-        self._lock = threading.RLock()
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> Bank:
-        """One Bank per (session, directory, as_of): staged tables are lazy plans, so
+        """One Bank per (session, directory, as_of): tables are lazy plans over the files, so
         reusing them only saves re-reading Parquet footers and re-analysing the mapping."""
         key = (id(spark), sf_dir.rstrip("/"), as_of)
         with _SHARED_LOCK:
             bank = _SHARED.get(key)
             if bank is None or bank.spark is not spark:
-                root = ensure_checkpoint_dir(spark).rstrip("/")
-                bank = _SHARED[key] = cls(spark, sf_dir, as_of, stage_dir=f"{root}/staged-{uuid.uuid4().hex}")
+                bank = _SHARED[key] = cls(spark, sf_dir, as_of)
             return bank
 
-    def _staged(self, name: str, df: DataFrame) -> DataFrame:
-        """Write a staged table once to the stage folder and read it back.
-
-        The mapping then runs once per session instead of once per query, and later plans
-        start from plain Parquet columns (pruning, vectorized reads). The folder is under the
-        session's ``spark.checkpoint.dir`` (shared and reliable on a cluster). In production
-        the staging is its own job (``write_staged``) and queries read its output.
-        """
-        if not self.stage_dir:
-            return df
-        with self._lock:  # queries may run concurrently on one session: stage each table once
-            if name not in self._staged_tables:
-                self._staged_tables[name] = self._write_staged_table(name, df)
-            return self._staged_tables[name]
-
-    def _write_staged_table(self, name: str, df: DataFrame) -> DataFrame:
-        # Plain Parquet, not bucketed: a bucket is never split (an account holding a third of
-        # the ledger would be one task), and a bucketed side pins every join it feeds to the
-        # bucket count, which AQE then cannot coalesce. Shuffling the small account-level
-        # side of a join costs little next to the ledger.
-        path = f"{self.stage_dir}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return conform(self.spark.read.parquet(path), name)
-
     def write_staged(self, path: str) -> None:
-        """Write all ten staged tables under ``path`` (one folder per table)."""
+        """Write all ten tables under ``path`` (one folder per table), the ledger with its derived
+        columns. Plain Parquet, not bucketed: a bucket is never split, so an account holding a third
+        of the ledger would be one task."""
         for name in self.TABLES:
-            self.table(name).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+            table = self.ledger if name == "transactions" else self.table(name)
+            table.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
 
     @classmethod
     def from_staged(cls, spark: SparkSession, path: str, as_of: dt.date = AS_OF) -> Bank:
         """A Bank over tables written by ``write_staged``."""
-        from tallyspark.sources.schema import SCHEMAS
-
         tables = {n: spark.read.schema(SCHEMAS[n]).parquet(f"{path.rstrip('/')}/{n}") for n in cls.TABLES}
-        return FixtureBank(spark, tables, as_of)
+        bank = FixtureBank(spark, tables, as_of)
+        ledger = T.StructType([*SCHEMAS["transactions"].fields, *LEDGER_DERIVED])
+        bank.__dict__["ledger"] = spark.read.schema(ledger).parquet(f"{path.rstrip('/')}/transactions")
+        return bank
 
     def src(self, name: str, *cols: str) -> DataFrame:
         df = self._sources.get(name)
@@ -133,16 +108,6 @@ class Bank:
             df = self._sources[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return df.select(*cols) if cols else df
 
-    def ledger_parts(self) -> int:
-        """Split count of the ledger's source scans: the range count for operators that
-        rank raw ledger rows. A plain scan is planned, not executed, to count its splits."""
-        try:
-            if self.stage_dir:
-                return self.transactions.rdd.getNumPartitions()
-            return sum(self.src(n).rdd.getNumPartitions() for n in ("orders", "events"))
-        except Exception:  # no RDD access (Spark Connect): fall back to the shuffle setting
-            return 0
-
     @property
     def as_of_col(self) -> Column:
         return F.lit(self.as_of)
@@ -160,7 +125,7 @@ class Bank:
             F.concat(F.lit("HUB_"), "r_name").alias("name"),
             F.concat(F.lit("HUB_"), "r_name").alias("city"),
         )
-        return self._staged("branches", conform(nat.unionByName(hub), "branches"))
+        return conform(nat.unionByName(hub), "branches")
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -173,7 +138,7 @@ class Bank:
             F.col("c_name").alias("last_name"),
             F.when(c % 89 == 7, None).otherwise(F.lower("n_name")).alias("city"),
         )
-        return self._staged("customers", conform(df, "customers"))
+        return conform(df, "customers")
 
     @cached_property
     def employees(self) -> DataFrame:
@@ -182,7 +147,7 @@ class Bank:
             s.alias("employee_id"),
             F.when(s % 20 == 0, 100 + F.expr("s_suppkey div 20") % 5).otherwise(F.col("s_nationkey")).alias("branch_id"),
         )
-        return self._staged("employees", conform(df, "employees"))
+        return conform(df, "employees")
 
     # ------------------------------------------------------------------ accounts and owners
     @cached_property
@@ -208,7 +173,7 @@ class Bank:
             dec(dec(F.col("c_acctbal")) + 100).alias("current_balance"),
             opened_date(c, second=True).alias("opened_date"),
         )
-        return self._staged("accounts", conform(primary.unionByName(second), "accounts"))
+        return conform(primary.unionByName(second), "accounts")
 
     @cached_property
     def customer_accounts(self) -> DataFrame:
@@ -228,7 +193,7 @@ class Bank:
             opened_date(c - 1, second=True).alias("ownership_start_date"),
         )
         rows = own.unionByName(joint_primary).unionByName(joint_second)
-        return self._staged("customer_accounts", conform(rows, "customer_accounts"))
+        return conform(rows, "customer_accounts")
 
     # ------------------------------------------------------------------ ledgers
     @cached_property
@@ -269,7 +234,12 @@ class Bank:
             F.col("ts").alias("transaction_date"),
             F.when((e % 3 != 0) & (emp_u % 10 != 9), emp_u).alias("created_by_employee_id"),
         )
-        return self._staged("transactions", conform(from_orders.unionByName(from_events), "transactions"))
+        return conform(from_orders.unionByName(from_events), "transactions")
+
+    @cached_property
+    def ledger(self) -> DataFrame:
+        """The transactions with the columns that queries filter and group by (stored when staged)."""
+        return with_ledger_columns(self.transactions)
 
     @cached_property
     def loans(self) -> DataFrame:
@@ -291,7 +261,7 @@ class Bank:
                 F.when(o % 9 == 0, "Default").otherwise("active").alias("status"),
             )
         )
-        return self._staged("loans", conform(df, "loans"))
+        return conform(df, "loans")
 
     @cached_property
     def cards(self) -> DataFrame:
@@ -309,7 +279,7 @@ class Bank:
             (c * 2 + 1).alias("card_id"), c.alias("account_id"), F.lit("prepaid").alias("card_type"),
             F.lit("active").alias("status"),
         )
-        return self._staged("cards", conform(main.unionByName(on_second).unionByName(prepaid), "cards"))
+        return conform(main.unionByName(on_second).unionByName(prepaid), "cards")
 
     @cached_property
     def fees(self) -> DataFrame:
@@ -324,7 +294,7 @@ class Bank:
                 F.date_add(F.to_date("o_orderdate"), (o % 10).cast("int")).alias("fee_date"),
             )
         )
-        return self._staged("fees", conform(df, "fees"))
+        return conform(df, "fees")
 
     @cached_property
     def transfers(self) -> DataFrame:
@@ -339,7 +309,7 @@ class Bank:
             F.col("ts").alias("transaction_date"),
             F.timestamp_add("HOUR", -(e % 36).cast("int"), F.col("ts")).alias("initiated_at"),
         )
-        return self._staged("transfers", conform(df, "transfers"))
+        return conform(df, "transfers")
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -355,13 +325,8 @@ class FixtureBank(Bank):
 
     def __init__(self, spark: SparkSession, tables: dict[str, DataFrame], as_of: dt.date = AS_OF):
         super().__init__(spark, "<fixtures>", as_of)
-        from tallyspark.sources.schema import SCHEMAS
-
         for name in self.TABLES:
             df = tables.get(name)
             if df is None:
                 df = spark.createDataFrame([], SCHEMAS[name])
             self.__dict__[name] = conform(df, name)
-
-    def ledger_parts(self) -> int:
-        return 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
@@ -41,6 +42,17 @@ SCHEMAS: dict[str, T.StructType] = {
     ),
 }
 
+#: Stored with the staged ledger, so that filters on them reach the files.
+LEDGER_DERIVED = [T.StructField("type_lc", S, True), T.StructField("tx_day", D, True), T.StructField("tx_month", D, True)]
+
+
+def with_ledger_columns(df: DataFrame) -> DataFrame:
+    """Lower-case type, day and first day of the month of each transaction."""
+    return df.withColumns({
+        "type_lc": F.lower("transaction_type"), "tx_day": F.to_date("transaction_date"),
+        "tx_month": F.trunc("transaction_date", "MM"),
+    })
+
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Select the schema's columns in order, cast to the declared types, and check names.

@@ -1,5 +1,5 @@
-"""Bucketed ledger windows equal plain per-account windows, including a hot account that
-spans many buckets and buckets shorter than the rolling frame."""
+"""Split ledger windows equal plain per-account windows: NULL keys and dates, a hot account, hours
+that are cut again, instants that are cut by id."""
 
 import random
 from datetime import datetime, timedelta
@@ -17,11 +17,16 @@ def rows(spark):
     rnd = random.Random(11)
     out = []
     start = datetime(2023, 1, 1)
-    for i in range(600):
-        acc = 0 if rnd.random() < 0.4 else rnd.randint(1, 6)  # account 0 is hot
+    for i in range(700):
+        acc = 0 if rnd.random() < 0.4 else rnd.choice([None, 1, 2, 3, 4, 5])  # account 0 is hot
         ts = start + timedelta(minutes=rnd.choice([0, 0, 7, 30, 61, 125, 600, 3000]) * rnd.randint(1, 40))
+        if rnd.random() < 0.1:
+            ts += timedelta(microseconds=rnd.choice([1, 250_000, 999_999]))
+        if rnd.random() < 0.06:
+            ts = None
         amt = None if rnd.random() < 0.05 else Decimal(rnd.randint(-5000, 5000)) / 100
         out.append((i, acc, ts, amt))
+    rnd.shuffle(out)
     return spark.createDataFrame(out, "id long, acc long, ts timestamp_ntz, amt decimal(18,2)")
 
 
@@ -30,41 +35,39 @@ def order():
 
 
 def _same(a, b, cols):
-    assert sorted(tuple(r[c] for c in cols) for r in a.collect()) == sorted(tuple(r[c] for c in cols) for r in b.collect())
+    assert sorted(str(tuple(r[c] for c in cols)) for r in a.collect()) == sorted(str(tuple(r[c] for c in cols)) for r in b.collect())
 
 
-def test_running_sums(rows):
-    got = ledger.running_sums(rows, "acc", order(), {"run": F.col("amt")}, bucket=ledger.hour_bucket("ts"))
+@pytest.fixture(params=[(1_000_000, 1_000_000), (5, 3), (0, 1)], ids=["plain", "cut", "all cut"])
+def split(rows, request):
+    limit, ids = request.param
+    return ledger.by_time(rows, "acc", "ts", "id", limit=limit, ids_per_leaf=ids)
+
+
+def test_running_sums(rows, split):
+    got = ledger.running_sums(split, "acc", order(), {"run": F.col("amt"), "n": F.lit(1)})
     w = Window.partitionBy("acc").orderBy(*order()).rowsBetween(Window.unboundedPreceding, 0)
-    _same(got, rows.withColumn("run", F.sum("amt").over(w)), ["id", "run"])
+    _same(got, rows.withColumns({"run": F.sum("amt").over(w), "n": F.count(F.lit(1)).over(w)}), ["id", "acc", "ts", "run", "n"])
 
 
-def test_previous_value(rows):
-    got = ledger.previous_order_value(rows, "acc", order(), "ts", "prev", bucket=ledger.hour_bucket("ts"))
+def test_previous_value(rows, split):
+    got = ledger.previous_order_value(split, "acc", order(), "ts", "prev")
     want = rows.withColumn("prev", F.lag("ts").over(Window.partitionBy("acc").orderBy(*order())))
-    _same(got, want, ["id", "prev"])
+    _same(got, want, ["id", "acc", "prev"])
 
 
 @pytest.mark.parametrize("frame", [1, 3, 10])
-def test_preceding_rows(rows, frame):
-    got = ledger.preceding_rows_sum_count(rows, "acc", order(), F.abs("amt"), frame, "s", "n", bucket=ledger.hour_bucket("ts"))
+def test_preceding_rows(rows, split, frame):
+    got = ledger.preceding_rows_sum_count(split, "acc", order(), F.abs("amt"), frame, "s", "n")
     w = Window.partitionBy("acc").orderBy(*order()).rowsBetween(-frame, -1)
     want = rows.withColumn("s", F.sum(F.abs("amt")).over(w)).withColumn("n", F.count(F.abs("amt")).over(w))
-    _same(got, want, ["id", "s", "n"])
-
-
-@pytest.mark.parametrize("per_bucket", [1, 7])
-def test_row_buckets(rows, per_bucket):
-    x = ledger.with_row_buckets(rows, "acc", order(), per_bucket)
-    sizes = x.groupBy("acc", ledger.ROW_BUCKET).count().agg(F.max("count")).collect()[0][0]
-    assert sizes <= per_bucket
-    bk = F.col(ledger.ROW_BUCKET)
-    w = Window.partitionBy("acc").orderBy(*order())
-    run = ledger.running_sums(x, "acc", order(), {"run": F.col("amt")}, bucket=bk)
-    _same(run, rows.withColumn("run", F.sum("amt").over(w.rowsBetween(Window.unboundedPreceding, 0))), ["id", "run"])
-    prev = ledger.previous_order_value(x, "acc", order(), "ts", "prev", bucket=bk)
-    _same(prev, rows.withColumn("prev", F.lag("ts").over(w)), ["id", "prev"])
-    got = ledger.preceding_rows_sum_count(x, "acc", order(), F.abs("amt"), 10, "s", "n", bucket=bk)
-    f = w.rowsBetween(-10, -1)
-    want = rows.withColumn("s", F.sum(F.abs("amt")).over(f)).withColumn("n", F.count(F.abs("amt")).over(f))
-    _same(got, want, ["id", "s", "n"])
+    _same(got, want, ["id", "acc", "s", "n"])
+
+
+def test_leaves_stay_small(rows):
+    x = ledger.by_time(rows, "acc", "ts", "id", limit=5, ids_per_leaf=3)
+    sizes = x.groupBy("acc", ledger.TOP, ledger.FINE).count()
+    whole = sizes.where(F.col(ledger.FINE).isNull() | ~F.col(ledger.FINE)["l"])
+    # An uncut hour has at most 5 rows, a cut one 3 ids of an instant; fractions of a second are one leaf.
+    assert whole.agg(F.max("count")).first()[0] <= 5
+    assert sizes.where(F.col(ledger.FINE)["r"].isNotNull()).agg(F.max("count")).first()[0] <= 3

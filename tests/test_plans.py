@@ -6,13 +6,15 @@ import re
 
 import pytest
 
-from tallyspark.plans.registry import queries
+from tallyspark.plans.registry import plan_functions, queries
+from tallyspark.sources.banking import Bank
 
 QUERIES = queries()
-GLOBAL_RANKS = [
-    "q061_customers_top5pct_tx_count", "q066_rank_customers_by_value", "q072_rank_branches_by_default_rate",
+RANKS = [
+    "q020_median_amount_per_account", "q061_customers_top5pct_tx_count", "q066_rank_customers_by_value",
+    "q068_rank_tx_within_account", "q072_rank_branches_by_default_rate", "q075_rank_customers_in_branch_by_balance",
     "q076_outlier_transactions", "q082_rank_loans_by_remaining_term", "q084_customers_top10pct_account_count",
-    "q089_rank_accounts_by_volatility", "q098_customers_top5pct_value",
+    "q088_largest_tx_in_last_tenth", "q089_rank_accounts_by_volatility", "q098_customers_top5pct_value",
 ]
 
 
@@ -24,10 +26,13 @@ def plan(spark, sf_dir, key):
     return out.getvalue()
 
 
-@pytest.mark.parametrize("key", GLOBAL_RANKS)
-def test_no_single_task_global_window(spark, sf_dir, key):
+@pytest.mark.parametrize("key", RANKS)
+def test_ranks_store_nothing_and_sort_no_table_in_one_task(spark, sf_dir, key):
     p = plan(spark, sf_dir, key)
-    assert not re.search(r"\b(dense_rank|percent_rank|ntile|row_number)\(", p), p
+    assert "Scan ExistingRDD" not in p
+    # What goes to one partition is aggregated: one row per value bucket, or a single total.
+    for line in re.findall(r"Exchange SinglePartition.*\n(.*)", p):
+        assert "HashAggregate(" in line, line
 
 
 def test_no_cross_or_nested_loop_joins(spark, sf_dir):
@@ -53,6 +58,17 @@ def test_partial_aggregation_before_shuffle(spark, sf_dir):
     assert "partial_sum" in p
 
 
-def test_top_one_per_account_is_limited_before_the_shuffle(spark, sf_dir):
-    p = plan(spark, sf_dir, "q064_accounts_last_tx_large_withdrawal")
-    assert "WindowGroupLimit" in p
+@pytest.mark.parametrize("key", ["q059_latest_tx_is_largest", "q064_accounts_last_tx_large_withdrawal"])
+def test_latest_row_queries_scan_the_ledger_once(spark, sf_dir, key):
+    p = plan(spark, sf_dir, key)
+    assert len(re.findall(r"FileScan parquet \[o_orderkey", p)) + len(re.findall(r"FileScan parquet \[o_custkey", p)) == 1, p
+
+
+@pytest.mark.parametrize("key", ["q058_top_deposit_branch", "q094_high_risk_accounts"])
+def test_type_filters_reach_the_staged_files(spark, sf_dir, tmp_path, key):
+    Bank(spark, sf_dir).write_staged(str(tmp_path / "staged"))
+    df = plan_functions()[key](Bank.from_staged(spark, str(tmp_path / "staged")))
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain()
+    assert re.search(r"PushedFilters: \[[^]]*EqualTo\(type_lc,", out.getvalue()), out.getvalue()

@@ -1,10 +1,8 @@
-"""The distributed ranking operators equal Spark's built-in window functions.
-
-Data are drawn with a hot key (a third of the rows in one group), heavy ties and NULLs,
-the cases where a range-partitioned rank could go wrong.
-"""
+"""The distributed ranking operators equal Spark's built-in window functions, on data with a hot
+group, heavy ties, NULL groups and NULL, negative and fractional values."""
 
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import Window
@@ -13,78 +11,79 @@ from pyspark.sql import functions as F
 from tallyspark.operators import ranking
 
 
-def _data(spark, seed, n=400):
+def _data(spark, seed, n=500):
     rnd = random.Random(seed)
     rows = []
     for i in range(n):
-        g = 0 if rnd.random() < 0.34 else rnd.randint(1, 12)  # group 0 is hot
-        v = None if rnd.random() < 0.05 else rnd.choice([1, 2, 2, 3, 5, 8, 8, 8, rnd.randint(0, 50)])
+        g = 0 if rnd.random() < 0.34 else rnd.choice([None, *range(1, 12)])  # group 0 is hot
+        v = None if rnd.random() < 0.05 else Decimal(rnd.choice([100, 200, 200, 0, 800, 800, -300, rnd.randint(-90000, 500000)])) / 100
         rows.append((i, g, v))
-    return spark.createDataFrame(rows, "id long, g long, v long")
+    rnd.shuffle(rows)
+    return spark.createDataFrame(rows, "id long, g long, v decimal(18,2)")
 
 
 def _same(a, b, cols):
-    ra = sorted(tuple(r[c] for c in cols) for r in a.collect())
-    rb = sorted(tuple(r[c] for c in cols) for r in b.collect())
+    ra = sorted(str(tuple(r[c] for c in cols)) for r in a.collect())
+    rb = sorted(str(tuple(r[c] for c in cols)) for r in b.collect())
     assert ra == rb
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_positions_equal_row_number(spark, seed):
-    df = _data(spark, seed)
-    order = [F.col("v").asc_nulls_first(), F.col("id").asc()]
-    got = ranking.positions(df, order, parts=5).select("id", F.col(ranking.POS).alias("rn"))
-    want = df.select("id", F.row_number().over(Window.orderBy(*order)).alias("rn"))
-    _same(got, want, ["id", "rn"])
+def test_value_buckets_keep_the_order(spark):
+    rnd = random.Random(1)
+    values = sorted({0, 1, -1, *(rnd.randint(-(10**16), 10**16) // 10 ** rnd.randint(0, 16) for _ in range(5000))})
+    df = spark.createDataFrame([(Decimal(v) / 100,) for v in values], "v decimal(18,2)")
+    got = [r[0] for r in df.orderBy("v").select(ranking.value_bucket(F.col("v"))).collect()]
+    assert got == sorted(got) and len(set(got)) <= 7500
 
 
-@pytest.mark.parametrize("seed", [3, 4])
+@pytest.mark.parametrize("descending", [True, False])
 @pytest.mark.parametrize("by", [[], ["g"]])
-def test_dense_rank_equals_builtin(spark, seed, by):
-    df = _data(spark, seed)
-    got = ranking.dense_rank(df, "v", "r", descending=True, by=by)
-    w = Window.partitionBy(*by).orderBy(F.col("v").desc()) if by else Window.orderBy(F.col("v").desc())
-    want = df.withColumn("r", F.dense_rank().over(w).cast("long"))
-    _same(got, want, ["id", "r"])
-
-
-@pytest.mark.parametrize("tiles", [3, 7, 20])
-def test_top_bucket_equals_ntile(spark, tiles):
-    df = _data(spark, 5).where(F.col("v").isNotNull())
-    order = [F.col("v").desc(), F.col("id").asc()]
-    got = ranking.top_bucket(df, order, tiles).select("id")
+def test_dense_rank_equals_builtin(spark, by, descending):
+    df = _data(spark, 3)
+    got = ranking.dense_rank(df, "v", "r", descending=descending, by=by)
+    o = F.col("v").desc() if descending else F.col("v").asc()
+    w = Window.partitionBy(*by).orderBy(o) if by else Window.orderBy(o)
+    _same(got, df.withColumn("r", F.dense_rank().over(w).cast("long")), ["id", "g", "r"])
+
+
+@pytest.mark.parametrize("tiles", [1, 3, 7, 20])
+@pytest.mark.parametrize("limit", [1_000_000, 3])
+def test_top_bucket_equals_ntile(spark, tiles, limit):
+    df = _data(spark, 5)
+    got = ranking.top_bucket(df, "v", "id", tiles, limit=limit, ids_per_leaf=7).select("id")
+    order = [F.col("v").desc_nulls_last(), F.col("id").asc()]
     want = df.withColumn("b", F.ntile(tiles).over(Window.orderBy(*order))).where("b = 1").select("id")
     _same(got, want, ["id"])
 
 
 def test_percent_rank_equals_builtin(spark):
     df = _data(spark, 6)
-    got = ranking.percent_rank(df, F.col("v"), "id", "pr")
     want = df.withColumn("pr", F.percent_rank().over(Window.orderBy(F.col("v").asc_nulls_first())))
-    _same(got, want, ["id", "pr"])
+    for threshold in (0.0, 0.3, 0.95):
+        got = ranking.percent_rank_at_least(df, F.col("v"), threshold, "pr")
+        _same(got, want.where(F.col("pr") >= threshold), ["id", "pr"])
+    one = df.where("id = 7")
+    assert ranking.percent_rank_at_least(one, F.col("v"), 0.0, "pr").first()["pr"] == 0.0
 
 
-def test_percent_rank_within_and_row_positions(spark):
-    df = _data(spark, 7)
-    got = ranking.percent_rank_within(df, ["g"], "v", "id", "pr")
+def test_percent_rank_of_counts(spark):
+    df = _data(spark, 8)
+    got = ranking.percent_rank_of_counts(df, ["g"], "v", "pr")
     want = df.withColumn("pr", F.percent_rank().over(Window.partitionBy("g").orderBy(F.col("v").asc_nulls_first())))
-    _same(got, want, ["id", "pr"])
-    order = [F.col("v").asc_nulls_first(), F.col("id").asc()]
-    rp = ranking.row_positions(df, ["g"], order, "rn", "cnt")
-    w = Window.partitionBy("g")
-    ref = df.select("id", F.row_number().over(w.orderBy(*order)).alias("rn"), F.count(F.lit(1)).over(w).alias("cnt"))
-    _same(rp, ref, ["id", "rn", "cnt"])
+    _same(got, want, ["id", "g", "pr"])
 
 
-def test_percent_rank_of_counts(spark):
-    df = _data(spark, 8).where(F.col("v").isNotNull())
-    got = ranking.percent_rank_of_counts(df, ["g"], "v", "pr")
-    want = df.withColumn("pr", F.percent_rank().over(Window.partitionBy("g").orderBy("v")))
-    _same(got, want, ["id", "pr"])
+def test_median_rows(spark):
+    df = _data(spark, 9)
+    w = Window.partitionBy("g")
+    want = df.select(
+        "g", "v", F.row_number().over(w.orderBy(F.col("v").asc_nulls_first())).alias("i"), F.count(F.lit(1)).over(w).alias("n")
+    ).where("i = (n + 1) div 2 or i = (n + 2) div 2")
+    _same(ranking.median_rows(df, ["g"], "v"), want, ["g", "v"])
 
 
-def test_dense_rank_of_counts(spark):
-    df = _data(spark, 9).where(F.col("v").isNotNull())
-    got = ranking.dense_rank_of_counts(df, ["g"], "v", "r")
-    want = df.withColumn("r", F.dense_rank().over(Window.partitionBy("g").orderBy(F.col("v").desc())).cast("long"))
-    _same(got, want, ["id", "r"])
+def test_empty(spark):
+    df = _data(spark, 1).limit(0)
+    assert ranking.dense_rank(df, "v", "r").collect() == []
+    assert ranking.top_bucket(df, "v", "id", 4).collect() == []
+    assert ranking.percent_rank_at_least(df, F.col("v"), 0.5, "pr").collect() == []

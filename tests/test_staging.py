@@ -65,6 +65,6 @@ def test_staging_job_roundtrip(spark, sf_dir, con, tmp_path_factory):
     Bank(spark, sf_dir).write_staged(path)
     staged = Bank.from_staged(spark, path)
     sql = oracle_sql()
-    for key in ["q018_negative_ledger_accounts", "q066_rank_customers_by_value", "q094_high_risk_accounts"]:
+    for key in ["q018_negative_ledger_accounts", "q066_rank_customers_by_value", "q074_month_balance_drop", "q094_high_risk_accounts"]:
         ok, msg = compare(plan_functions()[key](staged), con, sql[key])
         assert ok, f"{key}: {msg}"
