@@ -2,11 +2,10 @@
 
 Layout
 ------
-sources/    table schemas and the staging of the ten banking tables from Parquet
+sources/    table schemas and the mapping of the ten banking tables from Parquet
 functions/  column expressions shared by every plan (names, months, rounding, money)
 operators/  reusable relational building blocks (owner fan-out, absence, ranking, ...)
 plans/      the 91 analytic operators, one function each, grouped by section
-streaming/  incremental (micro-batch) entry points over the same operators
 oracle.py   DuckDB SQL for the same operators, used as the correctness oracle
 """
 

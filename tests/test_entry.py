@@ -22,5 +22,21 @@ def test_entry_runs_flagship(spark):
 def test_queries_and_oracle_keys_align():
     mod = _entry_module()
     q, o = mod.queries(), mod.oracle_sql()
-    assert set(q) == set(o) and len(q) == 90
+    banking = {k for k in q if k.startswith("q")}
+    assert len(banking) == 90 and banking <= set(o) and set(o) <= set(q)
     assert all(sql.lstrip().upper().startswith("WITH ") for sql in o.values())
+
+
+def test_building_banking_plans_runs_no_job_and_writes_nothing(spark, sf_dir):
+    """Queries are plans: jobs and files come with the caller's action only."""
+    sc = spark.sparkContext
+    sc.setJobGroup("plans-only", "building plans")
+    before = set(os.listdir("/tmp"))
+    for key, fn in _entry_module().queries().items():
+        if key.startswith("q"):
+            fn(spark, sf_dir)
+    jobs = sc.statusTracker().getJobIdsForGroup("plans-only")
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    # Reading a Parquet footer for its schema is a job of Spark's own, once per table and session.
+    assert len(jobs) <= 8
+    assert not {f for f in set(os.listdir("/tmp")) - before if f.startswith("tally")}
