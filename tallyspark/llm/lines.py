@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import WORD, packed
+from tallyspark.llm.common import WORD, packed, staged
 
 WINDOW = 3
 
@@ -56,6 +56,8 @@ def covered_lines(docs: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first"))
         .where("_n > 1")
     )
+    # Written, so that both sides of the join are exchanged for it and a hot window can be split.
+    first = staged(first, "line-windows")
     later = w.join(first, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).where(place > F.col("_first"))
     return later.select("_id", "_th", F.explode("at").alias("i")).groupBy("_id", "_th").agg(F.collect_set("i").alias("_cut"))
 

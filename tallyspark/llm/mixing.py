@@ -169,18 +169,38 @@ class Mix:
         joined = placed.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
         self.documents = running_total(joined, "sid", "size", ["_h", "doc_id", "size"], "at")
 
+    def runs(self) -> DataFrame:
+        """Per source (``_sid``) the array ``ends``: shard j takes the draws from ends[j - 1] up to
+        ends[j], a run of the source's permuted blocks. One entry per shard and source."""
+        arrays = self.sources.agg(F.sort_array(F.collect_list(F.struct("sid", "quota"))).alias("a")).select(
+            F.expr("transform(a, x -> x.quota)").alias("q")
+        )
+        leaves = staged(splitting_tree(arrays, self.shards, self.seed + 1).coalesce(1), "mix-tree")
+        return (
+            leaves.select("shard", F.posexplode("q").alias("_sid", "n"))
+            .withColumn("end", F.sum("n").over(Window.partitionBy("_sid").orderBy("shard")))
+            .groupBy("_sid")
+            .agg(F.sort_array(F.collect_list("end")).alias("ends"))
+        )
+
     def taken(self) -> DataFrame:
-        """doc_id, size, source_size, target and the words that the mix takes of each document."""
+        """doc_id, size, source_size, target, the words that the mix takes of each document, and the
+        shards that they go to."""
         b = self.block
         end = f"least((k + 1) * {b}, source_size)"
         rank = f"pmod(k * {PRIME} + turn, blocks)"
-        have = f"greatest(0L, least(at + size, {end} - if({rank} = part - 1, trim, 0L)) - greatest(at, k * {b}))"
-        partial = (
-            f"if(size = 0 or part = 0, 0L, aggregate(sequence(at div {b}, (at + size - 1) div {b}), 0L, "
-            f"(a, k) -> a + if({rank} < part, {have}, 0L)))"
+        have = f"greatest(0L, least(at + size, {end} - if(p = passes and {rank} = part - 1, trim, 0L)) - greatest(at, k * {b}))"
+        blocks = f"if(size = 0, cast(array() as array<bigint>), sequence(at div {b}, (at + size - 1) div {b}))"
+        draws = (
+            f"flatten(transform({blocks}, k -> transform(filter(sequence(0L, {self.most - 1}L), p -> p * blocks + {rank} < quota), "
+            f"p -> named_struct('draw', p * blocks + {rank}, 'words', {have}))))"
         )
-        return self.documents.select(
-            "doc_id", "size", "source_size", "target", F.expr(f"passes * size + {partial}").alias("taken")
+        placed = self.documents.join(F.broadcast(self.runs()), F.col("sid") == F.col("_sid")).withColumn("drawn", F.expr(draws))
+        shard = "size(filter(ends, e -> e <= d.draw))"
+        return placed.select(
+            "doc_id", "size", "source_size", "target",
+            F.expr("aggregate(drawn, 0L, (a, d) -> a + d.words)").alias("taken"),
+            F.expr(f"array_sort(array_distinct(transform(filter(drawn, d -> d.words > 0), d -> {shard})))").alias("shards"),
         )
 
     def rows(self) -> DataFrame:
@@ -190,23 +210,12 @@ class Mix:
         A document belongs to the block that holds its middle word, so documents stay whole.
         Needs ``keep_documents``.
         """
-        arrays = self.sources.agg(F.sort_array(F.collect_list(F.struct("sid", "quota"))).alias("a")).select(
-            F.expr("transform(a, x -> x.quota)").alias("q")
-        )
-        leaves = staged(splitting_tree(arrays, self.shards, self.seed + 1).coalesce(1), "mix-tree")
-        upto = Window.partitionBy("sid").orderBy("shard")
-        runs = (
-            leaves.select("shard", F.posexplode("q").alias("sid", "n"))
-            .withColumn("end", F.sum("n").over(upto))
-            .groupBy(F.col("sid").alias("_sid"))
-            .agg(F.sort_array(F.collect_list("end")).alias("ends"))  # one entry per shard
-        )
         rank = f"pmod(k * {PRIME} + turn, blocks)"
         drawn = (
             self.documents.where("size > 0")
             .withColumn("k", F.expr(f"(at + size div 2) div {self.block}"))
             .withColumn("draw", F.explode(F.expr(f"filter(transform(sequence(0L, {self.most - 1}L), p -> p * blocks + {rank}), d -> d < quota)")))
-            .join(F.broadcast(runs), F.col("sid") == F.col("_sid"))
+            .join(F.broadcast(self.runs()), F.col("sid") == F.col("_sid"))
         )
         place = [F.expr("size(filter(ends, e -> e <= draw))").alias("shard"), F.xxhash64(F.lit(self.seed + 2), "sid", "draw", "at").alias("slot")]
         placed = drawn.select("_doc", *place, "at")

@@ -107,14 +107,15 @@ def trie_links(bucket: np.ndarray, fp: np.ndarray, distance: int) -> Iterator[tu
         while len(a):
             own = a == c
             alone = (b - a == 1) & (d - c == 1)
-            if alone.any():
+            if alone.any():  # two fingerprints: their distance decides
                 x, y = a[alone & ~own], c[alone & ~own]
                 near = np.bitwise_count(fp[x] ^ fp[y]) <= distance
                 yield x[near], y[near]
                 rest = ~alone
                 a, b, c, d, bad, own = a[rest], b[rest], c[rest], d[rest], bad[rest], own[rest]
             if bit < 0 or not len(a):
-                # Equal fingerprints of a bucket cannot reach here: they are distinct.
+                # What is left has equal fingerprints inside a node: one link of each pair tells all.
+                yield a[~own], c[~own]
                 break
             if len(a) > 1 << 18:
                 half = len(a) // 2

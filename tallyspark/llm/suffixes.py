@@ -130,6 +130,7 @@ class SuffixFamily:
         again = (
             every.groupBy(F.col("key").alias("_k")).agg(F.sum("n").alias("_n"), F.max("new").alias("_new")).where("_n > 1 and _new = 1")
         )
+        again = staged(again, "suffix-keys")  # so that the join can split a hot key
         rows = every.join(again, F.col("key") == F.col("_k"), "left_semi")
         return rows.groupBy("key", "w").agg((F.sum("n") > 1).alias("full"))
 
@@ -139,7 +140,7 @@ class SuffixFamily:
         for more in self.found[1:]:
             every = every.union(more)
         known = staged(every.groupBy("key", "w").agg(F.max("full").alias("full")), "suffix-known")
-        unions = known.groupBy(F.col("key").alias("_k")).agg(F.count(F.lit(1)).alias("_u"))
+        unions = staged(known.groupBy(F.col("key").alias("_k")).agg(F.count(F.lit(1)).alias("_u")), "suffix-unions")
         kind = F.when(~F.col("full"), SINGLE).when(F.col("_u") > 1, PARTNER).otherwise(FULL)
         return staged(
             known.join(unions, F.col("key") == F.col("_k")).select("key", "w", kind.cast("tinyint").alias("kind"), (F.col("_u") > hot).alias("hot")),
@@ -336,6 +337,7 @@ def _compared_by_window(edges: DataFrame, length: int) -> DataFrame:
 
     rows = edges.select("key", "did", "th", "single", "at", "bytes").mapInArrow(run, "key long, did long, th long, single boolean, h long, a long")
     again = rows.groupBy(F.col("key").alias("_k"), F.col("h").alias("_h")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    again = staged(again, "suffix-windows")
     hit = rows.where("single").join(again, (F.col("key") == F.col("_k")) & (F.col("h") == F.col("_h")), "left_semi")
     return hit.select("did", "th", "a", (F.col("a") + length).alias("z"))
 

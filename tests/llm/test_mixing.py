@@ -16,7 +16,7 @@ def check(rows, got):
     goal = brute.targets(dict(sizes))
     assert len(got) == len(rows)
     for r in got:
-        assert 0 <= r["taken"] <= 2 * r["size"]
+        assert 0 <= r["taken"] <= 2 * r["size"] and bool(r["shards"]) == (r["taken"] > 0)
     taken = defaultdict(int)
     source_of = defaultdict(set)
     for r in rows:
@@ -67,6 +67,8 @@ def test_words_in_blocks_match_a_walk_over_the_line(spark):
             last = min((k + 1) * mix.block, p["source_size"]) - (p["trim"] if rank == p["part"] - 1 else 0)
             n += p["passes"] + (rank < p["part"] and word < last)
         assert n == taken[d["doc_id"]]
+    runs = {r["_sid"]: r["ends"] for r in mix.runs().collect()}
+    assert all(ends[-1] == plan[sid]["quota"] for sid, ends in runs.items())
     for sid in plan:
         at = sorted((d["at"], d["size"]) for d in lines if d["sid"] == sid)
         assert [a for a, _ in at] == list(np.cumsum([0] + [s for _, s in at])[:-1])
