@@ -130,7 +130,3 @@ def repeated(keys: np.ndarray) -> np.ndarray:
     out[order[1:]] = same
     out[order[:-1]] |= same
     return out
-
-
-def string_column(column: pa.Array | pa.ChunkedArray) -> pa.Array:
-    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
