@@ -54,7 +54,7 @@ def word_count(c: Column) -> Column:
 
 
 def running_total(
-    df: DataFrame, key: str, weight: str, order: list[str], out: str, rows_per_part: int = 20_000
+    df: DataFrame, key: str, weight: str, order: list[str], out: str, rows_per_part: int = 4_000
 ) -> DataFrame:
     """Sum of ``weight`` over the rows of ``key`` that come before, without a task per key.
 
