@@ -43,9 +43,8 @@ def ledger_columns() -> list[Column]:
 def top_customers(b: Bank, per_cust: DataFrame, value: str, tiles: int) -> DataFrame:
     """Customers in NTILE(tiles) bucket 1 by ``value`` desc, customer_id as tie-break."""
     top = ranking.top_bucket(per_cust, value, "customer_id", tiles)
-    return top.join(customer_names(b), "customer_id").select("customer_id", "customer_name", value).orderBy(
-        F.desc(value)
-    )
+    named = top.join(customer_names(b), "customer_id").select("customer_id", "customer_name", value)
+    return named.orderBy(F.desc(value), "customer_id")
 
 
 def customer_month_counts(b: Bank) -> DataFrame:
@@ -55,6 +54,11 @@ def customer_month_counts(b: Bank) -> DataFrame:
     return owners(b, per_acc).groupBy("customer_id", "ym").agg(F.sum("n").cast("long").alias("txn_count"))
 
 
+def split_ledger(t: DataFrame, leaf_rows: int) -> DataFrame:
+    """The ledger in parts of an account's hour; hours of more than ``leaf_rows`` rows are cut again."""
+    return ledger.by_time(t, "account_id", limit=leaf_rows, ids_per_leaf=leaf_rows)
+
+
 def q66_rank_customers_by_value(b: Bank) -> DataFrame:
     per_acc = b.transactions.groupBy("account_id").agg(F.sum("amount").alias("s"))
     tot = owners(b, per_acc).groupBy("customer_id").agg(F.sum("s").alias("total_value"))
@@ -64,8 +68,8 @@ def q66_rank_customers_by_value(b: Bank) -> DataFrame:
     )
 
 
-def q67_running_balance(b: Bank) -> DataFrame:
-    t = ledger.by_time(b.transactions.select("account_id", "transaction_date", "transaction_id", "amount"), "account_id")
+def q67_running_balance(b: Bank, leaf_rows: int = ledger.LEAF_ROWS) -> DataFrame:
+    t = split_ledger(b.transactions.select("account_id", "transaction_date", "transaction_id", "amount"), leaf_rows)
     x = ledger.running_sums(t, "account_id", ledger_order(), {"running_balance": F.col("amount")})
     return x.select(
         "account_id", "transaction_date", "transaction_id", money("amount").alias("amount"),
@@ -119,12 +123,12 @@ def q72_rank_branches_by_default_rate(b: Bank) -> DataFrame:
     )
 
 
-def q73_cumulative_deposit_withdrawal(b: Bank) -> DataFrame:
+def q73_cumulative_deposit_withdrawal(b: Bank, leaf_rows: int = ledger.LEAF_ROWS) -> DataFrame:
     t = b.ledger.select("account_id", "transaction_date", "transaction_id", "type_lc", "amount")
     dep = F.when(F.col("type_lc") == "deposit", F.col("amount")).otherwise(F.lit(0))
     wd = F.when(F.col("type_lc") == "withdrawal", F.abs("amount")).otherwise(F.lit(0))
     x = ledger.running_sums(
-        ledger.by_time(t, "account_id"), "account_id", ledger_order(), {"cum_deposit": dep, "cum_withdrawal": wd}
+        split_ledger(t, leaf_rows), "account_id", ledger_order(), {"cum_deposit": dep, "cum_withdrawal": wd}
     )
     return x.select(
         "account_id", "transaction_date", "transaction_id",
@@ -191,8 +195,8 @@ def q79_rank_employees_in_branch(b: Bank) -> DataFrame:
     return ranked.orderBy("branch_id", "branch_rank")
 
 
-def q80_gap_between_transactions(b: Bank) -> DataFrame:
-    t = ledger.by_time(b.transactions.select("account_id", "transaction_id", "transaction_date"), "account_id")
+def q80_gap_between_transactions(b: Bank, leaf_rows: int = ledger.LEAF_ROWS) -> DataFrame:
+    t = split_ledger(b.transactions.select("account_id", "transaction_id", "transaction_date"), leaf_rows)
     x = ledger.previous_order_value(t, "account_id", ledger_order(), "transaction_date", "prev_dt")
     # TIMESTAMPDIFF(DAY): whole elapsed 24-hour days (23 hours -> 0), not calendar days.
     return x.where(F.col("prev_dt").isNotNull()).select(
@@ -234,9 +238,11 @@ def q84_customers_top10pct_account_count(b: Bank, tiles: int = 10) -> DataFrame:
     return top_customers(b, cc, "acc_count", tiles)
 
 
-def q85_transaction_spikes(b: Bank, factor: int = SPIKE_FACTOR, rows: int = SPIKE_ROWS) -> DataFrame:
+def q85_transaction_spikes(
+    b: Bank, factor: int = SPIKE_FACTOR, rows: int = SPIKE_ROWS, leaf_rows: int = ledger.LEAF_ROWS
+) -> DataFrame:
     amt = F.abs("amount")
-    t = ledger.by_time(b.transactions, "account_id")
+    t = split_ledger(b.transactions, leaf_rows)
     x = ledger.preceding_rows_sum_count(t, "account_id", ledger_order(), amt, rows, "_s", "_n")
     x = x.withColumn("_ravg", ratio("_s", "_n"))
     x = x.where(F.col("_ravg").isNotNull() & (amt.cast("double") > factor * F.col("_ravg")))

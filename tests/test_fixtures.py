@@ -265,18 +265,25 @@ def test_case_insensitive_grouping_option(spark):
         tx(4, 10, "EMI", "-5.00", datetime(2023, 1, 4)),
     ]
     f = Fixture(spark, transactions=t, accounts=[acct(10)])
-    assert len(f.run("q025_transaction_types_by_impact")) == 4  # binary by default, as the oracle
-    merged = PLANS["q025_transaction_types_by_impact"](f.bank, case_insensitive=True).collect()
-    totals = sorted((r["transaction_type"].lower(), r["total_impact"]) for r in merged)
-    assert totals == [("deposit", 60.0), ("emi", -5.0)]
-    avg = {r["transaction_type"].lower(): r["avg_transaction_size"] for r in
-           PLANS["q011_avg_size_by_transaction_type"](f.bank, case_insensitive=True).collect()}
-    assert avg == {"deposit": 20.0, "emi": 5.0}
+    # Case variants are one group by default, shown as the smallest variant, as in the oracle.
+    merged = f.run("q025_transaction_types_by_impact")
+    assert sorted((r["transaction_type"], r["total_impact"]) for r in merged) == [("DEPOSIT", 60.0), ("EMI", -5.0)]
+    avg = {r["transaction_type"]: r["avg_transaction_size"] for r in f.run("q011_avg_size_by_transaction_type")}
+    assert avg == {"DEPOSIT": 20.0, "EMI": 5.0}
+    assert PLANS["q025_transaction_types_by_impact"](f.bank, case_insensitive=False).count() == 4
     cards = [(1, 10, "Debit", "active"), (2, 10, "debit", "active"), (3, 10, "credit", "active")]
     g = Fixture(spark, cards=cards, customers=CUSTOMERS[:1], customer_accounts=[(1, 10, date(2020, 1, 1))])
-    assert g.run("q048_customers_multiple_card_types")[0]["distinct_card_types"] == 3
-    ci = PLANS["q048_customers_multiple_card_types"](g.bank, case_insensitive=True).collect()
-    assert ci[0]["distinct_card_types"] == 2
+    assert g.run("q048_customers_multiple_card_types")[0]["distinct_card_types"] == 2
+    as_written = PLANS["q048_customers_multiple_card_types"](g.bank, case_insensitive=False).collect()
+    assert as_written[0]["distinct_card_types"] == 3
+    loans = [
+        (i, 1, 10, kind, D(rate), D(1000), date(2020, 1, 1), None, 0, "active")
+        for i, kind, rate in [(1, "Home", "4.00"), (2, "home", "6.00"), (3, "HOME", "8.00")]
+    ]
+    h = Fixture(spark, loans=loans)
+    assert [(r["loan_type"], r["avg_interest_rate"]) for r in h.run("q014_loan_type_averages")] == [("HOME", 6.0)]
+    assert [r["loan_id"] for r in h.run("q062_loans_above_type_avg_rate")] == [3]
+    assert PLANS["q062_loans_above_type_avg_rate"](h.bank, case_insensitive=False).collect() == []
 
 
 @pytest.fixture(scope="module")
@@ -297,7 +304,7 @@ def test_empty_tables_match_oracle(empty, key):
     "key", ["q067_running_balance", "q073_cumulative_deposit_withdrawal", "q080_gap_between_transactions",
             "q085_transaction_spikes"],
 )
-def test_hot_account_row_buckets_match_oracle(hot, key):
-    df = PLANS[key](hot.bank, bucket="rows", rows_per_bucket=5)
+def test_hot_account_in_small_leaves_matches_oracle(hot, key):
+    df = PLANS[key](hot.bank, leaf_rows=5)
     ok, msg = compare(df, hot.con, SQL[key])
     assert ok, msg
