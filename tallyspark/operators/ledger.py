@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.operators.splits import FINE, LEAF_ROWS, TOP, add, attach, earlier_sums, leaf, split
+from tallyspark.operators.splits import FINE, LEAF, LEAF_ROWS, TOP, add, attach, earlier_sums, split, to_leaves
 
 IDS_PER_LEAF = 1_000_000
 
@@ -37,35 +37,36 @@ def running_sums(x: DataFrame, key: str, order: list[Column], values: dict[str,
     named value. ``x`` comes from ``by_time`` and ``order`` is its total order."""
     names = {n: f"_lg_{n}" for n in values}
     x = x.withColumns({names[n]: v for n, v in values.items()})
-    inside = Window.partitionBy(*leaf([key])).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(LEAF).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = x.select("*", *[F.sum(c).over(inside).alias(f"_here{c}") for c in names.values()])
-    totals = x.groupBy(*leaf([key])).agg(*[F.sum(c).alias(c) for c in names.values()])
-    out = attach(local, earlier_sums(totals, [key], list(names.values())), leaf([key]))
+    totals = x.groupBy(LEAF).agg(*[F.sum(c).alias(c) for c in names.values()])
+    out = to_leaves(local, earlier_sums(totals, [key], list(names.values())))
     for n, c in names.items():
         kind = local.schema[f"_here{c}"].dataType
         out = out.withColumn(n, add(F.col(f"_c_{c}"), F.col(f"_here{c}")).cast(kind))
-    return out.drop(TOP, FINE, *names.values(), *[f"_{p}{c}" for c in names.values() for p in ("here", "c_")])
+    return out.drop(TOP, FINE, LEAF, *names.values(), *[f"_{p}{c}" for c in names.values() for p in ("here", "c_")])
 
 
 def _numbered(leaves: DataFrame, key: str) -> DataFrame:
-    """Adds the leaf's number inside its hour."""
+    """From one row per LEAF: adds its parts and its number inside its hour."""
+    leaves = leaves.select("*", f"{LEAF}.*")
     return leaves.withColumn("_lg_j", F.row_number().over(Window.partitionBy(key, TOP).orderBy(FINE)))
 
 
 def previous_order_value(x: DataFrame, key: str, order: list[Column], first_col: str, out: str) -> DataFrame:
     """``LAG(first_col) OVER (PARTITION BY key ORDER BY order)`` where ``first_col`` leads the order:
     the first row of a leaf takes the maximum of the leaf before it."""
-    inside = Window.partitionBy(*leaf([key])).orderBy(*order)
+    inside = Window.partitionBy(LEAF).orderBy(*order)
     local = x.select("*", F.row_number().over(inside).alias("_lg_i"), F.lag(first_col).over(inside).alias("_lg_lag"))
-    leaves = _numbered(x.groupBy(*leaf([key])).agg(F.max(first_col).alias("_lg_last")), key)
+    leaves = _numbered(x.groupBy(LEAF).agg(F.max(first_col).alias("_lg_last")), key)
     leaves = leaves.withColumn("_lg_inner", F.lag("_lg_last").over(Window.partitionBy(key, TOP).orderBy(FINE)))
     hours = leaves.groupBy(key, TOP).agg(F.max("_lg_last").alias("_lg_last"))
     hours = hours.select(key, TOP, F.lag("_lg_last").over(Window.partitionBy(key).orderBy(TOP)).alias("_lg_outer"))
     before = attach(leaves.drop("_lg_last"), hours, [key, TOP]).select(
-        *leaf([key]), F.when(F.col("_lg_j") == 1, F.col("_lg_outer")).otherwise(F.col("_lg_inner")).alias("_lg_before")
+        LEAF, F.when(F.col("_lg_j") == 1, F.col("_lg_outer")).otherwise(F.col("_lg_inner")).alias("_lg_before")
     )
     value = F.when(F.col("_lg_i") == 1, F.col("_lg_before")).otherwise(F.col("_lg_lag"))
-    return attach(local, before, leaf([key])).withColumn(out, value).drop(TOP, FINE, "_lg_i", "_lg_lag", "_lg_before")
+    return to_leaves(local, before).withColumn(out, value).drop(TOP, FINE, LEAF, "_lg_i", "_lg_lag", "_lg_before")
 
 
 def _last(c: Column, rows: int) -> Column:
@@ -83,16 +84,16 @@ def preceding_rows_sum_count(
     """
     x = x.withColumn("_lg_v", value)
     kind = x.schema["_lg_v"].dataType.simpleString()
-    inside = Window.partitionBy(*leaf([key])).orderBy(*order)
+    inside = Window.partitionBy(LEAF).orderBy(*order)
     frame = inside.rowsBetween(-rows, -1)
     x = x.select(
         "*",
         F.row_number().over(inside).alias("_lg_i"),
-        F.count(F.lit(1)).over(Window.partitionBy(*leaf([key]))).alias("_lg_n"),
+        F.count(F.lit(1)).over(Window.partitionBy(LEAF)).alias("_lg_n"),
         F.sum("_lg_v").over(frame).alias("_lg_s"),
         F.count("_lg_v").over(frame).alias("_lg_c"),
     )
-    tails = x.where(F.col("_lg_i") > F.col("_lg_n") - rows).groupBy(*leaf([key])).agg(
+    tails = x.where(F.col("_lg_i") > F.col("_lg_n") - rows).groupBy(LEAF).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("_lg_i", "_lg_v"))), lambda s: s["_lg_v"]).alias("_lg_tail")
     )
     inner = Window.partitionBy(key, TOP).orderBy(FINE).rowsBetween(-rows, -1)
@@ -100,10 +101,10 @@ def preceding_rows_sum_count(
     hours = leaves.groupBy(key, TOP).agg(F.max_by(_last(F.concat("_lg_inner", "_lg_tail"), rows), "_lg_j").alias("_lg_tail"))
     outer = Window.partitionBy(key).orderBy(TOP).rowsBetween(-rows, -1)
     hours = hours.select(key, TOP, _last(F.flatten(F.collect_list("_lg_tail").over(outer)), rows).alias("_lg_outer"))
-    context = attach(leaves.select(*leaf([key]), "_lg_inner"), hours, [key, TOP]).select(
-        *leaf([key]), _last(F.concat("_lg_outer", "_lg_inner"), rows).alias("_lg_context")
+    context = attach(leaves.select(LEAF, key, TOP, "_lg_inner"), hours, [key, TOP]).select(
+        LEAF, _last(F.concat("_lg_outer", "_lg_inner"), rows).alias("_lg_context")
     )
-    joined = attach(x, context, leaf([key]))
+    joined = to_leaves(x, context)
     size = F.size("_lg_context")
     take = F.least(F.greatest(F.lit(rows) - (F.col("_lg_i") - 1), F.lit(0)), size)
     part = F.when(take > 0, F.slice("_lg_context", size - take + 1, take)).otherwise(F.array().cast(f"array<{kind}>"))
@@ -113,5 +114,5 @@ def preceding_rows_sum_count(
     n = F.col("_lg_c") + F.size(F.filter(part, lambda v: v.isNotNull()))
     s = F.when(n == 0, F.lit(None)).otherwise((F.coalesce(F.col("_lg_s"), zero) + more).cast(total))
     return joined.withColumn(sum_out, s).withColumn(cnt_out, n).drop(
-        TOP, FINE, "_lg_v", "_lg_i", "_lg_n", "_lg_s", "_lg_c", "_lg_context"
+        TOP, FINE, LEAF, "_lg_v", "_lg_i", "_lg_n", "_lg_s", "_lg_c", "_lg_context"
     )

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.operators.splits import FINE, LEAF_ROWS, TOP, attach, before, earlier_sums, leaf, split
+from tallyspark.operators.splits import FINE, LEAF, LEAF_ROWS, TOP, attach, before, earlier_sums, split, to_leaves
 
 IDS_PER_LEAF = 1_000_000
 
@@ -63,13 +63,13 @@ def top_bucket(df: DataFrame, value: str, row_id: str, tiles: int, limit: int =
     top = F.coalesce(-value_bucket(F.col(value)), F.lit(2**31 - 1))
     fine = F.struct((-F.col(value)).alias("v"), F.floor(F.col(row_id) / F.lit(ids_per_leaf)).alias("r"))
     x = split(df, [], top, fine, limit)
-    totals = x.groupBy(*leaf([])).agg(F.count(F.lit(1)).alias("_rk_n"))
+    totals = x.groupBy(LEAF).agg(F.count(F.lit(1)).alias("_rk_n"))
     starts = earlier_sums(totals, [], ["_rk_n"])
     order = [F.col(value).desc_nulls_last(), F.col(row_id).asc()]
-    x = x.withColumn("_rk_i", F.row_number().over(Window.partitionBy(*leaf([])).orderBy(*order)))
+    x = x.withColumn("_rk_i", F.row_number().over(Window.partitionBy(LEAF).orderBy(*order)))
     at = F.coalesce(F.col("_c__rk_n"), F.lit(0)) + F.col("_rk_i")
     first = F.ceil(df.select(F.count(F.lit(1))).scalar() / F.lit(tiles))
-    return attach(x, starts, leaf([])).where(at <= first).drop(TOP, FINE, "_rk_i", "_c__rk_n")
+    return to_leaves(x, starts).where(at <= first).drop(TOP, FINE, LEAF, "_rk_i", "_c__rk_n")
 
 
 def _percent(rank_less_one: str, total: str) -> Column:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TOP, FINE = "_sp_top", "_sp_fine"
+TOP, FINE, LEAF = "_sp_top", "_sp_fine", "_sp_leaf"
 LEAF_ROWS = 1_000_000
 
 
@@ -29,15 +29,22 @@ def attach(rows: DataFrame, small: DataFrame, keys: list[str], how: str = "inner
 
 
 def split(df: DataFrame, by: list[str], top: Column, fine: Column, limit: int = LEAF_ROWS) -> DataFrame:
-    """Adds TOP, and FINE where (by, TOP) is crowded."""
+    """Adds TOP, FINE where (by, TOP) is crowded, and LEAF, the struct of all of these.
+
+    A struct is never null itself and equals another when their fields do, nulls included, so LEAF is a
+    plain join key: rows that a window has dealt by LEAF meet their leaf's totals without another
+    shuffle.
+    """
     x = df.withColumn(TOP, top)
     crowded = x.groupBy(*by, TOP).agg(F.count(F.lit(1)).alias("_sp_n")).where(F.col("_sp_n") > limit)
     marked = attach(x, F.broadcast(crowded), [*by, TOP], "left")
-    return marked.withColumn(FINE, F.when(F.col("_sp_n").isNotNull(), fine)).drop("_sp_n")
+    cut = marked.withColumn(FINE, F.when(F.col("_sp_n").isNotNull(), fine)).drop("_sp_n")
+    return cut.withColumn(LEAF, F.struct(*by, TOP, FINE))
 
 
-def leaf(by: list[str]) -> list[str]:
-    return [*by, TOP, FINE]
+def to_leaves(rows: DataFrame, leaves: DataFrame) -> DataFrame:
+    """``rows`` with the other columns of ``leaves`` (one row per LEAF)."""
+    return rows.join(leaves.withColumnRenamed(LEAF, "_sp_of"), F.col(LEAF) == F.col("_sp_of")).drop("_sp_of")
 
 
 def before(*partition: str, order: list[Column] | None = None):
@@ -46,15 +53,16 @@ def before(*partition: str, order: list[Column] | None = None):
 
 
 def earlier_sums(totals: DataFrame, by: list[str], sums: list[str]) -> DataFrame:
-    """From one row per leaf with ``sums``: per leaf, ``_c_<sum>`` over the key's earlier leaves
+    """From one row per LEAF with ``sums``: per LEAF, ``_c_<sum>`` over the key's earlier leaves
     (null where there is nothing to sum)."""
+    totals = totals.select(LEAF, f"{LEAF}.*", *sums)
     tops = totals.groupBy(*by, TOP).agg(*[F.sum(s).alias(s) for s in sums])
     outer = before(*by, order=[F.col(TOP)])
     tops = tops.select(*by, TOP, *[F.sum(s).over(outer).alias(f"_o_{s}") for s in sums])
     inner = before(*by, TOP, order=[F.col(FINE)])
-    leaves = totals.select(*leaf(by), *[F.sum(s).over(inner).alias(f"_i_{s}") for s in sums])
+    leaves = totals.select(LEAF, *by, TOP, *[F.sum(s).over(inner).alias(f"_i_{s}") for s in sums])
     both = attach(leaves, tops, [*by, TOP])
-    return both.select(*leaf(by), *[add(F.col(f"_o_{s}"), F.col(f"_i_{s}")).alias(f"_c_{s}") for s in sums])
+    return both.select(LEAF, *[add(F.col(f"_o_{s}"), F.col(f"_i_{s}")).alias(f"_c_{s}") for s in sums])
 
 
 def add(a: Column, b: Column) -> Column:
