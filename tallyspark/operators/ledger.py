@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.operators.splits import FINE, LEAF, LEAF_ROWS, TOP, add, attach, earlier_sums, split, to_leaves
+from tallyspark.operators.splits import FINE, HOUR, LEAF, LEAF_ROWS, TOP, add, earlier_sums, split, to_hours, to_leaves, with_hour
 
 IDS_PER_LEAF = 1_000_000
 
@@ -49,8 +49,7 @@ def running_sums(x: DataFrame, key: str, order: list[Column], values: dict[str,
 
 def _numbered(leaves: DataFrame, key: str) -> DataFrame:
     """From one row per LEAF: adds its parts and its number inside its hour."""
-    leaves = leaves.select("*", f"{LEAF}.*")
-    return leaves.withColumn("_lg_j", F.row_number().over(Window.partitionBy(key, TOP).orderBy(FINE)))
+    return with_hour(leaves, [key]).withColumn("_lg_j", F.row_number().over(Window.partitionBy(HOUR).orderBy(FINE)))
 
 
 def previous_order_value(x: DataFrame, key: str, order: list[Column], first_col: str, out: str) -> DataFrame:
@@ -59,10 +58,10 @@ def previous_order_value(x: DataFrame, key: str, order: list[Column], first_col:
     inside = Window.partitionBy(LEAF).orderBy(*order)
     local = x.select("*", F.row_number().over(inside).alias("_lg_i"), F.lag(first_col).over(inside).alias("_lg_lag"))
     leaves = _numbered(x.groupBy(LEAF).agg(F.max(first_col).alias("_lg_last")), key)
-    leaves = leaves.withColumn("_lg_inner", F.lag("_lg_last").over(Window.partitionBy(key, TOP).orderBy(FINE)))
-    hours = leaves.groupBy(key, TOP).agg(F.max("_lg_last").alias("_lg_last"))
-    hours = hours.select(key, TOP, F.lag("_lg_last").over(Window.partitionBy(key).orderBy(TOP)).alias("_lg_outer"))
-    before = attach(leaves.drop("_lg_last"), hours, [key, TOP]).select(
+    leaves = leaves.withColumn("_lg_inner", F.lag("_lg_last").over(Window.partitionBy(HOUR).orderBy(FINE)))
+    hours = leaves.groupBy(HOUR).agg(F.max("_lg_last").alias("_lg_last")).select(HOUR, f"{HOUR}.*", "_lg_last")
+    hours = hours.select(HOUR, F.lag("_lg_last").over(Window.partitionBy(key).orderBy(TOP)).alias("_lg_outer"))
+    before = to_hours(leaves.drop("_lg_last"), hours).select(
         LEAF, F.when(F.col("_lg_j") == 1, F.col("_lg_outer")).otherwise(F.col("_lg_inner")).alias("_lg_before")
     )
     value = F.when(F.col("_lg_i") == 1, F.col("_lg_before")).otherwise(F.col("_lg_lag"))
@@ -96,12 +95,13 @@ def preceding_rows_sum_count(
     tails = x.where(F.col("_lg_i") > F.col("_lg_n") - rows).groupBy(LEAF).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("_lg_i", "_lg_v"))), lambda s: s["_lg_v"]).alias("_lg_tail")
     )
-    inner = Window.partitionBy(key, TOP).orderBy(FINE).rowsBetween(-rows, -1)
+    inner = Window.partitionBy(HOUR).orderBy(FINE).rowsBetween(-rows, -1)
     leaves = _numbered(tails, key).withColumn("_lg_inner", _last(F.flatten(F.collect_list("_lg_tail").over(inner)), rows))
-    hours = leaves.groupBy(key, TOP).agg(F.max_by(_last(F.concat("_lg_inner", "_lg_tail"), rows), "_lg_j").alias("_lg_tail"))
+    hours = leaves.groupBy(HOUR).agg(F.max_by(_last(F.concat("_lg_inner", "_lg_tail"), rows), "_lg_j").alias("_lg_tail"))
+    hours = hours.select(HOUR, f"{HOUR}.*", "_lg_tail")
     outer = Window.partitionBy(key).orderBy(TOP).rowsBetween(-rows, -1)
-    hours = hours.select(key, TOP, _last(F.flatten(F.collect_list("_lg_tail").over(outer)), rows).alias("_lg_outer"))
-    context = attach(leaves.select(LEAF, key, TOP, "_lg_inner"), hours, [key, TOP]).select(
+    hours = hours.select(HOUR, _last(F.flatten(F.collect_list("_lg_tail").over(outer)), rows).alias("_lg_outer"))
+    context = to_hours(leaves.select(LEAF, HOUR, "_lg_inner"), hours).select(
         LEAF, _last(F.concat("_lg_outer", "_lg_inner"), rows).alias("_lg_context")
     )
     joined = to_leaves(x, context)

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TOP, FINE, LEAF = "_sp_top", "_sp_fine", "_sp_leaf"
+TOP, FINE, LEAF, HOUR = "_sp_top", "_sp_fine", "_sp_leaf", "_sp_hour"
 LEAF_ROWS = 1_000_000
 
 
@@ -55,16 +55,26 @@ def before(*partition: str, order: list[Column] | None = None):
 def earlier_sums(totals: DataFrame, by: list[str], sums: list[str]) -> DataFrame:
     """From one row per LEAF with ``sums``: per LEAF, ``_c_<sum>`` over the key's earlier leaves
     (null where there is nothing to sum)."""
-    totals = totals.select(LEAF, f"{LEAF}.*", *sums)
-    tops = totals.groupBy(*by, TOP).agg(*[F.sum(s).alias(s) for s in sums])
+    totals = with_hour(totals, by)
+    tops = totals.groupBy(HOUR).agg(*[F.sum(s).alias(s) for s in sums]).select(HOUR, f"{HOUR}.*", *sums)
     outer = before(*by, order=[F.col(TOP)])
-    tops = tops.select(*by, TOP, *[F.sum(s).over(outer).alias(f"_o_{s}") for s in sums])
-    inner = before(*by, TOP, order=[F.col(FINE)])
-    leaves = totals.select(LEAF, *by, TOP, *[F.sum(s).over(inner).alias(f"_i_{s}") for s in sums])
-    both = attach(leaves, tops, [*by, TOP])
+    tops = tops.select(HOUR, *[F.sum(s).over(outer).alias(f"_o_{s}") for s in sums])
+    inner = before(HOUR, order=[F.col(FINE)])
+    leaves = totals.select(HOUR, LEAF, *[F.sum(s).over(inner).alias(f"_i_{s}") for s in sums])
+    both = to_hours(leaves, tops)
     return both.select(LEAF, *[add(F.col(f"_o_{s}"), F.col(f"_i_{s}")).alias(f"_c_{s}") for s in sums])
 
 
+def with_hour(leaves: DataFrame, by: list[str]) -> DataFrame:
+    """Adds FINE and HOUR, the struct of the key and TOP, to rows with LEAF."""
+    return leaves.withColumn(FINE, F.col(LEAF)[FINE]).withColumn(HOUR, F.struct(*[F.col(LEAF)[c].alias(c) for c in [*by, TOP]]))
+
+
+def to_hours(leaves: DataFrame, hours: DataFrame) -> DataFrame:
+    """``leaves`` with the other columns of ``hours`` (one row per HOUR)."""
+    return leaves.join(hours.withColumnRenamed(HOUR, "_sp_in"), F.col(HOUR) == F.col("_sp_in")).drop("_sp_in")
+
+
 def add(a: Column, b: Column) -> Column:
     """Sum of two sums: null only if both are."""
     return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(a + b)
