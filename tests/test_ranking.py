@@ -46,7 +46,7 @@ def test_dense_rank_equals_builtin(spark, by, descending):
     _same(got, df.withColumn("r", F.dense_rank().over(w).cast("long")), ["id", "g", "r"])
 
 
-@pytest.mark.parametrize("tiles", [1, 3, 7, 20])
+@pytest.mark.parametrize("tiles", [3, 20])
 @pytest.mark.parametrize("limit", [1_000_000, 3])
 def test_top_bucket_equals_ntile(spark, tiles, limit):
     df = _data(spark, 5)
