@@ -87,9 +87,9 @@ def test_tree_deals_quotas_exactly_and_evenly(spark):
 def test_draws_are_hypergeometric(spark):
     """Mean and variance of one split over many seeds."""
     one = spark.createDataFrame([([60, 40],)], "q array<long>")
-    left = [{r["shard"]: r["q"] for r in mixing.splitting_tree(one, 2, s).collect()}[0][0] for s in range(60)]
+    left = [{r["shard"]: r["q"] for r in mixing.splitting_tree(one, 2, s).collect()}[0][0] for s in range(30)]
     # 50 of 100 drawn, 60 of a kind: mean 30, variance 50 * .6 * .4 * 50 / 99 = 6.06
-    assert abs(np.mean(left) - 30) < 1.3 and 2.5 < np.var(left) < 13
+    assert abs(np.mean(left) - 30) < 2 and 2 < np.var(left) < 15
 
 
 def test_documents_of_the_mix(spark):

@@ -40,7 +40,7 @@ def test_spliced_texts(spark, length, seed):
         texts.append(t)
     texts += ["ab" * 300, "abcabcabc" * 100, "z" * 999]
     docs = spark.createDataFrame([(k, t, None, None, None) for k, t in enumerate(texts)], brute.COLUMNS)
-    for hot in (20_000, 3):
+    for hot in (20_000, 3) if length == 200 else (3,):
         got = suffixes.remove_repeats(docs, length=length, hot=hot, with_kept=False).collect()
         assert result(got) == sorted(str((k, *w)) for k, w in enumerate(brute.removed(texts, length)))
 
