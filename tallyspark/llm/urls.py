@@ -28,14 +28,24 @@ RULES = (
     ("block", "example.com", "/de/"),
     ("allow", "org", "/fr/"),
 )
-#: Terms that reject alone, and soft terms by weight. No soft term reaches the limit alone, so a url
-#: goes on one strict term or on two or more different soft ones.
-STRICT = ("porn", "xxx", "casino", "viagra", "escort", "spam", "malware", "phishing", "warez")
-SOFT = {
-    "adult": 2, "sex": 2, "sexy": 2, "nude": 2, "bet": 2, "bets": 2, "betting": 2, "poker": 2, "slots": 2, "pills": 2,
-    "pharmacy": 2, "track": 2, "tracker": 2, "tracking": 2, "keygen": 2, "crack": 2, "torrent": 2,
-    "free": 1, "cheap": 1, "win": 1, "bonus": 1, "loan": 1, "loans": 1, "ad": 1, "ads": 1, "click": 1, "cam": 1, "hack": 1, "x": 1,
-}
+#: Terms that reject alone, and soft terms by weight: common url words of adult, gambling, pharmacy,
+#: credit, piracy, malware and advertising sites, listed by subject and not from any table. No soft term
+#: reaches the limit alone and any two do, so a url goes on one strict term or on two or more
+#: different soft ones.
+STRICT = (
+    "porn", "porno", "pornhub", "xxx", "xnxx", "xvideos", "hentai", "milf", "camgirl", "camgirls", "escort", "escorts",
+    "casino", "viagra", "cialis", "levitra", "spam", "malware", "phishing", "ransomware", "warez",
+)
+_SOFT_WORDS = (
+    "adult adults sex sexy sexual nude nudes naked erotic erotica fetish webcam webcams cam cams hookup hookups dating "
+    "bet bets bettor betting gamble gambling poker slot slots roulette blackjack bingo jackpot lottery lotto sportsbook wager "
+    "pill pills pharmacy drugstore steroid steroids prescription meds tablets "
+    "loan loans payday lender lenders credit debt mortgage forex "
+    "keygen crack cracked cracks serial torrent torrents hack hacks hacked cheat cheats nulled "
+    "free cheap cheapest discount bonus win winner prize giveaway coupon coupons replica "
+    "ad ads advert adverts adserver banner banners popup popups click clicks affiliate track tracker tracking"
+)
+SOFT = {term: 2 for term in _SOFT_WORDS.split()}
 SOFT_LIMIT = 3
 
 

@@ -53,3 +53,30 @@ def test_own_rules(spark):
 def test_matches_sql(spark, con, sf_dir):
     ok, msg = compare(queries.op2_url_filters(spark, sf_dir), con, urls.SQL)
     assert ok, msg
+
+
+#: Url words that no given page holds.
+SOFT_CASES = {
+    "http://free-bonus.example.com/": "block",
+    "http://cheap-loans.example.com/": "block",
+    "http://ads-click.example.com/1": "block",
+    "http://win-bonus.example.com/": "block",
+    "http://a.example.com/poker/roulette.html": "block",
+    "http://payday.example.com/lender": "block",
+    "http://a.example.com/bonus/bonus": "allow",
+    "http://bonus-page.example.com/": "allow",
+    "http://bonus-x.example.com/x": "allow",
+    "http://x.example.com/roulettes": "allow",
+}
+
+
+def test_two_different_soft_terms_block(spark):
+    pages = spark.createDataFrame(list(enumerate(SOFT_CASES)), "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in urls.judge(pages).collect()}
+    assert {u: got[k] for k, u in enumerate(SOFT_CASES)} == SOFT_CASES
+
+
+def test_weights_any_two_reach_the_limit_and_none_alone():
+    low, second = sorted(urls.SOFT.values())[:2]
+    assert low + second >= urls.SOFT_LIMIT > max(urls.SOFT.values())
+    assert not set(urls.SOFT) & set(urls.STRICT) and min(map(len, urls.SOFT)) > 1
