@@ -12,8 +12,10 @@ shard holds the same number of blocks within one, every quota is used up exactly
 shard's composition is that of a shuffled corpus. A shard's share of a source is a run of the
 source's permuted blocks, disjoint from every other shard's; rows are shuffled inside shards.
 
-Data sizes: per-source numbers only go through single rows (at most ``MAX_SOURCES``, checked);
-documents are placed on the line by ``running_total``, which splits hot sources.
+Any number of sources passes. Sources are numbered and their targets found by prefix sums over
+ranges of sources. The tree deals to groups of sources first and then inside each group
+(``FANOUT`` members at a level), which draws from the same distribution; a row holds the
+quotas of one group. Sources with many documents are cut into parts before any shuffle.
 
 Defined results: null text or no word has size 0 and nothing is taken; null and empty source
 are two sources; equal rows are placed one after the other; an empty table gives no rows.
@@ -21,17 +23,27 @@ are two sources; equal rows are placed one after the other; an empty table gives
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.llm.common import packed, running_total, staged, word_count
+from tallyspark.llm.common import packed, staged, word_count
 
-MAX_SOURCES = 20_000
+#: Members of a group of the splitting tree; a source's or group's number div FANOUT is its group's.
+FANOUT = 256
+#: Documents of a source that are placed together; more, and the source is cut into parts.
+PART = 4_000
+#: At most so many sources are cut (their part counts are broadcast): those above 1 / MOST_CUT of all documents.
+MOST_CUT = 200_000
 #: A prime above every block count, so k * PRIME modulo n permutes 0..n-1.
 PRIME = 2_147_483_647
 WEIGHTS = (3, 1, 2)
 
 
+def _key(source: Column) -> Column:
+    """A source as a string that is never null; null and empty stay apart."""
+    return F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("n"))
+
+
 def measured(docs: DataFrame, seed: int) -> DataFrame:
     """doc_id, source, size and the hash that orders a source's documents."""
     return docs.select("doc_id", "source", word_count(F.col("text")).alias("size")).withColumn(
@@ -39,29 +51,43 @@ def measured(docs: DataFrame, seed: int) -> DataFrame:
     )
 
 
+def before(rows: DataFrame, order: list[Column], sums: dict[str, Column], name: str) -> DataFrame:
+    """Adds the sums over the rows that come before in ``order``, a total order.
+
+    Rows are written in ranges; one window runs inside each range and one over the ranges' totals.
+    """
+    ranged = staged(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), name)
+    totals = ranged.groupBy("_range").agg(*[F.sum(c).alias(k) for k, c in sums.items()])
+    ranges = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    starts = totals.select("_range", *[F.coalesce(F.sum(k).over(ranges), F.lit(0)).alias(f"_s_{k}") for k in sums])
+    inside = Window.partitionBy("_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    own = ranged.withColumns({f"_o_{k}": F.coalesce(F.sum(c).over(inside), F.lit(0)) for k, c in sums.items()})
+    found = [(F.col(f"_o_{k}") + F.col(f"_s_{k}")).alias(k) for k in sums]
+    return own.join(F.broadcast(starts), "_range").select(*rows.columns, *found)
+
+
 def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2) -> DataFrame:
-    """One row per source: sid, source, source_size, target (double).
+    """One row per source: sid, source, source_size, n_docs, target (double).
 
     Targets share ``share`` of all words by weight; one that would pass ``most`` times its
     source's size stops there and the others share the excess. With sources ordered by
     most * size / weight, the stopped ones are a prefix; the rest get level * weight.
     """
-    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    ranked = per.withColumn("sid", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
+    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
+    ranked = before(per, [F.col("source").asc_nulls_last()], {"sid": F.lit(1)}, "mix-numbers")
     cycle = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("sid") % len(weights) + 1).cast("int"))
     s = ranked.withColumn("w", cycle).withColumn("cap", F.col("source_size") * F.lit(float(most)))
-    every = Window.partitionBy()
-    earlier = Window.orderBy(F.col("cap") / F.col("w"), "sid").rowsBetween(Window.unboundedPreceding, -1)
-    goal = F.sum("source_size").over(every) * F.lit(share)
-    s = s.withColumn(
-        "lam",
-        (goal - F.coalesce(F.sum("cap").over(earlier), F.lit(0.0)))
-        / (F.sum("w").over(every) - F.coalesce(F.sum("w").over(earlier), F.lit(0.0))),
-    )
-    level = F.min(F.when(F.col("lam") * F.col("w") < F.col("cap"), F.struct(F.col("cap") / F.col("w"), F.col("sid"), F.col("lam")))).over(every)["lam"]
-    s = s.withColumn("level", level)
-    target = F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), F.col("level") * F.col("w")))
-    return s.select(F.col("sid").cast("int").alias("sid"), "source", "source_size", target.alias("target"))
+    s = s.withColumn("at", F.col("cap") / F.col("w"))
+    s = staged(before(s, [F.col("at").asc(), F.col("sid").asc()], {"caps": F.col("cap"), "ws": F.col("w")}, "mix-order"), "mix-sums")
+    words, weight = s.agg(F.sum("source_size"), F.sum("w")).first()
+    target = F.col("cap")
+    if words:
+        lam = (F.lit(float(words)) * F.lit(share) - F.col("caps")) / (F.lit(weight) - F.col("ws"))
+        first = s.withColumn("lam", lam).where(F.col("lam") * F.col("w") < F.col("cap"))
+        (level,) = first.agg(F.min(F.struct("at", "sid", "lam"))["lam"]).first()
+        if level is not None:
+            target = F.least(F.col("cap"), F.lit(level) * F.col("w"))
+    return s.select("sid", "source", "source_size", "n_docs", target.alias("target"))
 
 
 def quotas(per_source: DataFrame, block: int, seed: int, most: int = 2) -> DataFrame:
@@ -113,35 +139,76 @@ def _draw(rest: str, own: str, need: str, u: str) -> str:
                 'x', if(a.x < 0 and a.s + a.f >= {u} * b.sum, k, a.x)), a -> if(a.x < 0, b.all[size(b.all) - 1], a.x))))[0]"""
 
 
-def splitting_tree(q: DataFrame, shards: int, seed: int) -> DataFrame:
-    """One row per shard: shard and ``q``, its block quota of every source (by sid).
+def split_groups(groups: DataFrame, shards: int) -> DataFrame:
+    """One row per group and shard: group, shard and ``q``, the shard's blocks of every member.
 
-    ``q`` is the one-row frame of all quotas. Each level splits every node in two.
+    ``groups`` has group, ``s`` (a seed), ``q`` (its members' blocks) and ``room`` (the blocks that
+    each shard takes of the group, the same total). Each level splits every node in two.
     """
-    nodes = q.select(
-        F.lit(0).alias("lo"), F.lit(int(shards)).alias("hi"), "q", F.expr("aggregate(q, 0L, (a, v) -> a + v)").alias("n")
-    )
-    u = f"((pmod(xxhash64({int(seed)}, lo, hi, i), 9007199254740992L) + 0.5D) / 9007199254740992D)"
+    nodes = groups.select("group", F.col("s").alias("seed"), F.lit(0).alias("lo"), F.lit(int(shards)).alias("hi"), "q", "room")
+    u = "((pmod(xxhash64(seed, lo, hi, i), 9007199254740992L) + 0.5D) / 9007199254740992D)"
     fold = f"""aggregate(if(size(q) = 0, cast(array() as array<int>), sequence(0, size(q) - 1)), named_struct('rest', aggregate(q, 0L, (a, v) -> a + v),
         'need', need, 'out', cast(array() as array<bigint>)),
         (s, i) -> transform(array({_draw('s.rest', 'q[i]', 's.need', u)}),
             x -> named_struct('rest', s.rest - q[i], 'need', s.need - x, 'out', array_append(s.out, x)))[0], s -> s.out)"""
     for _ in range(max(0, (int(shards) - 1).bit_length())):
-        mid = nodes.withColumn("mid", F.expr("(lo + hi) div 2")).withColumn(
-            "need", F.expr(f"(n * mid) div {int(shards)} - (n * lo) div {int(shards)}")
+        mid = nodes.withColumn("mid", F.expr("cast((lo + hi) div 2 as int)")).withColumn(
+            "need", F.expr("aggregate(slice(room, 1, mid - lo), 0L, (a, v) -> a + v)")
         )
         split = mid.withColumn("x", F.expr(f"if(hi - lo > 1, {fold}, q)"))
         nodes = split.select(
-            "n",
+            "group",
+            "seed",
             F.explode(
                 F.expr(
-                    "if(hi - lo > 1, array(named_struct('lo', lo, 'hi', cast(mid as int), 'q', x), "
-                    "named_struct('lo', cast(mid as int), 'hi', hi, 'q', zip_with(q, x, (a, b) -> a - b))), "
-                    "array(named_struct('lo', lo, 'hi', hi, 'q', q)))"
+                    "if(hi - lo > 1, array(named_struct('lo', lo, 'hi', mid, 'q', x, 'room', slice(room, 1, mid - lo)), "
+                    "named_struct('lo', mid, 'hi', hi, 'q', zip_with(q, x, (a, b) -> a - b), 'room', slice(room, mid - lo + 1, hi - mid))), "
+                    "array(named_struct('lo', lo, 'hi', hi, 'q', q, 'room', room)))"
                 )
             ).alias("c"),
-        ).select("c.lo", "c.hi", "c.q", "n")
-    return nodes.select(F.col("lo").alias("shard"), "q")
+        ).select("group", "seed", "c.*")
+    return nodes.select("group", F.col("lo").alias("shard"), "q")
+
+
+def _even(total: str, shards: int) -> Column:
+    """Blocks of every shard: as many as the others, within one."""
+    n = int(shards)
+    return F.expr(f"transform(sequence(0L, {n - 1}L), j -> ({total}) * (j + 1) div {n} - ({total}) * j div {n})")
+
+
+def splitting_tree(q: DataFrame, shards: int, seed: int) -> DataFrame:
+    """One row per shard: shard and ``q``, its block quota of every source (by sid).
+
+    ``q`` is the one-row frame of all quotas, one group.
+    """
+    room = _even("aggregate(q, 0L, (a, v) -> a + v)", shards)
+    return split_groups(q.select(F.lit(0).alias("group"), F.lit(int(seed)).alias("s"), "q", room.alias("room")), shards).drop("group")
+
+
+def dealt(quota: DataFrame, n: int, shards: int, seed: int, fanout: int = FANOUT) -> DataFrame:
+    """Per source (sid) the array ``room``: the blocks that each shard takes of it.
+
+    ``quota`` has sid (0 to ``n`` - 1) and quota. From the top, each group of up to ``fanout``
+    deals what its shards take of it to its members, which are groups or, at last, sources.
+    """
+    depth = 1
+    while fanout**depth < n:
+        depth += 1
+    total = quota.agg(F.sum("quota").cast("long").alias("t")).where("t is not null")
+    rooms = total.select(F.lit(0).cast("long").alias("group"), _even("t", shards).alias("room"))
+    for level in range(depth - 1, -1, -1):
+        members = quota.groupBy(F.expr(f"sid div {fanout**level}L").alias("m")).agg(F.sum("quota").alias("quota"))
+        vectors = members.groupBy(F.expr(f"m div {fanout}L").alias("group")).agg(
+            F.expr("transform(sort_array(collect_list(struct(m, quota))), x -> x.quota)").alias("q")
+        )
+        s = F.lit(int(seed)) if level == depth - 1 else F.xxhash64(F.lit(int(seed)), F.lit(level), "group")
+        parts = split_groups(vectors.join(rooms, "group").withColumn("s", s), shards)
+        table = parts.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("shard", "q"))).alias("t"))
+        rooms = table.select("group", "t", F.explode(F.expr("sequence(0, size(t[0].q) - 1)")).alias("i")).select(
+            F.expr(f"group * {fanout}L + i").alias("group"), F.expr("transform(t, x -> x.q[i])").alias("room")
+        )
+        rooms = staged(rooms, f"mix-tree-{level}")
+    return rooms.withColumnRenamed("group", "sid")
 
 
 class Mix:
@@ -152,36 +219,56 @@ class Mix:
         shards: int | None = None, keep_documents: bool = False, sized: DataFrame | None = None,
     ) -> None:
         narrow = staged(measured(docs, seed), "mix-sizes") if sized is None else sized
-        per = staged(targets(narrow, weights, share, most).coalesce(1), "mix-targets")
-        total, n_sources = per.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.count(F.lit(1))).first()
-        if n_sources > MAX_SOURCES:
-            raise ValueError(f"{n_sources} sources; the splitting tree's bound is {MAX_SOURCES}")
+        per = staged(targets(narrow, weights, share, most), "mix-targets")
+        total, self.n_sources, n_docs = per.agg(
+            F.coalesce(F.sum("source_size"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum("n_docs"), F.lit(0))
+        ).first()
         self.seed, self.most = seed, most
         self.block = max(512, -(-total // (1 << 22)))  # at most about 4 million blocks a pass
         self.shards = shards or min(1024, max(1, int(share * total) // 16_000_000 + 1))
-        self.sources = staged(quotas(per, self.block, seed, most).coalesce(1), "mix-quotas")
+        self.sources = staged(quotas(per, self.block, seed, most), "mix-quotas")
+        crowded = self.sources.where(F.col("n_docs") > max(PART, n_docs // MOST_CUT))
+        cut = F.broadcast(
+            crowded.select(_key(F.col("source")).alias("_key"), F.ceil(F.col("n_docs") / F.lit(PART)).cast("long").alias("_parts"))
+        )
+
+        def in_parts(rows: DataFrame) -> DataFrame:
+            rows = rows.withColumn("_key", _key(F.col("source"))).join(cut, "_key", "left")
+            return rows.withColumn("_part", F.expr("if(_parts is null, 0L, pmod(_h, _parts))")).drop("_parts")
+
         if keep_documents:
-            placed = docs.select(packed(docs), "doc_id", "source", word_count(F.col("text")).alias("size"))
-            placed = placed.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "size"))
+            rows = docs.select(packed(docs), "doc_id", "source", word_count(F.col("text")).alias("size"))
+            rows = rows.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "size"))
         else:
-            placed = narrow
-        known = F.broadcast(self.sources.withColumnRenamed("source", "_source"))  # at most MAX_SOURCES rows
-        joined = placed.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-        self.documents = running_total(joined, "sid", "size", ["_h", "doc_id", "size"], "at")
+            rows = narrow
+        inside = Window.partitionBy("_key", "_part").orderBy("_h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+        self._placed = in_parts(rows).drop("source").withColumn("_at", F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
+        totals = in_parts(narrow).groupBy("_key", "_part").agg(F.sum("size").alias("_t"))
+        earlier = Window.partitionBy("_key").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        starts = totals.select("_key", "_part", F.coalesce(F.sum("_t").over(earlier), F.lit(0).cast("long")).alias("_start"))
+        self._starts = starts.join(self.sources.withColumn("_key", _key(F.col("source"))), "_key")
+
+    def _lines(self, starts: DataFrame) -> DataFrame:
+        """The documents on their sources' lines (``at``), with the columns of ``starts``."""
+        return self._placed.join(starts, ["_key", "_part"]).withColumn("at", F.col("_at") + F.col("_start")).drop("_key", "_part", "_at", "_start")
+
+    @property
+    def documents(self) -> DataFrame:
+        return self._lines(self._starts)
+
+    def _dealt_documents(self) -> DataFrame:
+        """The documents with their source's ``ends``."""
+        return self._lines(self._starts.join(self.runs().withColumnRenamed("_sid", "sid"), "sid"))
 
     def runs(self) -> DataFrame:
         """Per source (``_sid``) the array ``ends``: shard j takes the draws from ends[j - 1] up to
         ends[j], a run of the source's permuted blocks. One entry per shard and source."""
-        arrays = self.sources.agg(F.sort_array(F.collect_list(F.struct("sid", "quota"))).alias("a")).select(
-            F.expr("transform(a, x -> x.quota)").alias("q")
-        )
-        leaves = staged(splitting_tree(arrays, self.shards, self.seed + 1).coalesce(1), "mix-tree")
-        return (
-            leaves.select("shard", F.posexplode("q").alias("_sid", "n"))
-            .withColumn("end", F.sum("n").over(Window.partitionBy("_sid").orderBy("shard")))
-            .groupBy("_sid")
-            .agg(F.sort_array(F.collect_list("end")).alias("ends"))
+        rooms = dealt(self.sources.select("sid", "quota"), self.n_sources, self.shards, self.seed + 1)
+        ends = (
+            "aggregate(room, named_struct('t', 0L, 'out', cast(array() as array<bigint>)), "
+            "(a, v) -> named_struct('t', a.t + v, 'out', array_append(a.out, a.t + v)), a -> a.out)"
         )
+        return rooms.select(F.col("sid").alias("_sid"), F.expr(ends).alias("ends"))
 
     def taken(self) -> DataFrame:
         """doc_id, size, source_size, target, the words that the mix takes of each document, and the
@@ -195,7 +282,7 @@ class Mix:
             f"flatten(transform({blocks}, k -> transform(filter(sequence(0L, {self.most - 1}L), p -> p * blocks + {rank} < quota), "
             f"p -> named_struct('draw', p * blocks + {rank}, 'words', {have}))))"
         )
-        placed = self.documents.join(F.broadcast(self.runs()), F.col("sid") == F.col("_sid")).withColumn("drawn", F.expr(draws))
+        placed = self._dealt_documents().withColumn("drawn", F.expr(draws))
         shard = "size(filter(ends, e -> e <= d.draw))"
         return placed.select(
             "doc_id", "size", "source_size", "target",
@@ -212,10 +299,10 @@ class Mix:
         """
         rank = f"pmod(k * {PRIME} + turn, blocks)"
         drawn = (
-            self.documents.where("size > 0")
+            self._dealt_documents()
+            .where("size > 0")
             .withColumn("k", F.expr(f"(at + size div 2) div {self.block}"))
             .withColumn("draw", F.explode(F.expr(f"filter(transform(sequence(0L, {self.most - 1}L), p -> p * blocks + {rank}), d -> d < quota)")))
-            .join(F.broadcast(self.runs()), F.col("sid") == F.col("_sid"))
         )
         place = [F.expr("size(filter(ends, e -> e <= draw))").alias("shard"), F.xxhash64(F.lit(self.seed + 2), "sid", "draw", "at").alias("slot")]
         placed = drawn.select("_doc", *place, "at")

@@ -113,3 +113,33 @@ def test_empty(spark):
     assert mixing.Mix(docs, keep_documents=True).rows().collect() == []
     blank = spark.createDataFrame([(1, None, None, None, None), (2, " ", None, "a", 1)], brute.COLUMNS)
     assert [(r["size"], r["target"], r["taken"]) for r in mixing.Mix(blank).taken().collect()] == [(0, 0.0, 0)] * 2
+
+
+def test_groups_of_sources_deal_exactly_and_evenly(spark):
+    """Four levels of groups of three: every quota is used up and every shard takes its share."""
+    quota = [k * 37 % 101 for k in range(40)]
+    q = spark.createDataFrame(list(enumerate(quota)), "sid long, quota long")
+    rooms = {r["sid"]: r["room"] for r in mixing.dealt(q, 40, 13, 5, fanout=3).collect()}
+    table = np.array([rooms[k] for k in range(40)])
+    assert sorted(rooms) == list(range(40)) and (table >= 0).all()
+    assert table.sum(axis=1).tolist() == quota
+    assert table.sum(axis=0).max() - table.sum(axis=0).min() <= 1
+
+
+def test_groups_draw_like_one_group(spark):
+    """Mean and variance of a member's draw, taken by way of its group, over many groups alike."""
+    q = spark.createDataFrame([(k, 6 if k % 2 else 4) for k in range(600)], "sid long, quota long")
+    left = [r["room"][0] for r in mixing.dealt(q, 600, 2, 3, fanout=25).collect() if r["sid"] % 2]
+    # 1500 of 3000 drawn, 6 of a kind: mean 3, variance 1.5
+    assert len(left) == 300 and abs(np.mean(left) - 3) < 0.3 and 1.1 < np.var(left) < 2
+
+
+def test_more_sources_than_one_row_holds(spark):
+    """20,100 sources, null and empty among them, and one with several parts: targets are met."""
+    rows = [(k, " ".join(["w"] * (1 + k % 7)), "en", None if k == 3 else "" if k == 4 else f"d{k}.example", 0) for k in range(20_100)]
+    rows += [(100_000 + k, "a b c", "en", "d9.example", 0) for k in range(9_000)]
+    docs = spark.createDataFrame(rows, brute.COLUMNS).repartition(4)
+    mix = mixing.Mix(docs, shards=4)
+    goal, taken = check(rows, mix.taken().collect())
+    assert len(goal) == 20_100 and all(abs(taken[s] - t) <= 0.5001 for s, t in goal.items())
+    assert len(mix.runs().collect()) == 20_100
