@@ -34,6 +34,8 @@ FANOUT = 256
 PART = 4_000
 #: At most so many sources are cut (their part counts are broadcast): those above 1 / MOST_CUT of all documents.
 MOST_CUT = 200_000
+#: Output shards at least, so the tree deals at every size.
+SHARDS = 64
 #: A prime above every block count, so k * PRIME modulo n permutes 0..n-1.
 PRIME = 2_147_483_647
 WEIGHTS = (3, 1, 2)
@@ -225,7 +227,7 @@ class Mix:
         ).first()
         self.seed, self.most = seed, most
         self.block = max(512, -(-total // (1 << 22)))  # at most about 4 million blocks a pass
-        self.shards = shards or min(1024, max(1, int(share * total) // 16_000_000 + 1))
+        self.shards = shards or min(1024, max(SHARDS, int(share * total) // 16_000_000 + 1))
         self.sources = staged(quotas(per, self.block, seed, most), "mix-quotas")
         crowded = self.sources.where(F.col("n_docs") > max(PART, n_docs // MOST_CUT))
         cut = F.broadcast(

@@ -143,3 +143,15 @@ def test_more_sources_than_one_row_holds(spark):
     goal, taken = check(rows, mix.taken().collect())
     assert len(goal) == 20_100 and all(abs(taken[s] - t) <= 0.5001 for s, t in goal.items())
     assert len(mix.runs().collect()) == 20_100
+
+
+def test_default_shards_are_dealt_by_the_tree(spark):
+    """A small table has 64 shards: each takes as many blocks as the others and its documents name it."""
+    rows = [(k, " ".join(brute.passage(k, 400)), "en", "abc"[k % 3], 0) for k in range(300)]
+    mix = mixing.Mix(spark.createDataFrame(rows, brute.COLUMNS))
+    goal, taken = check(rows, got := mix.taken().collect())
+    assert all(abs(taken[s] - t) <= 0.5001 for s, t in goal.items())
+    assert {x for r in got for x in r["shards"]} == set(range(64))
+    ends = np.array([r["ends"] for r in mix.runs().collect()])
+    dealt = np.diff(ends, axis=1, prepend=0)
+    assert (dealt >= 0).all() and np.ptp(dealt.sum(axis=0)) <= 1
