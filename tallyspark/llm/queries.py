@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.llm import bpe, exact, lines, mixing, quality, rules, sharding, simhash, suffixes, urls
+from tallyspark.llm import bpe, codes, divergence, exact, lines, mixing, quality, rules, sharding, simhash, suffixes, tokencount, urls
 from tallyspark.llm.common import table
 
 
@@ -66,6 +66,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.codes(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -79,4 +93,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filters": urls.SQL, "op7_line_dedup": lines.SQL, "op9_exact_dedup": exact.SQL}
+    return {
+        "op2_url_filters": urls.SQL,
+        "op7_line_dedup": lines.SQL,
+        "op9_exact_dedup": exact.SQL,
+        "op11_source_divergence": divergence.SQL,
+        "op13_vector_codes": codes.SQL,
+    }
