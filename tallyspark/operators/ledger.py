@@ -1,13 +1,13 @@
-"""Ordered ledger windows that never hold a whole account in one task.
+"""Ordered ledger windows that never hold a crowded account in one task.
 
-A plain ``Window.partitionBy('account_id')`` gives every account to one task; here an account is
-split (``operators.splits``) by the hour of its ledger order, and a crowded hour again by second.
-Rows at a whole second (dates without a time, second resolution) are cut further into ranges of
-``IDS_PER_LEAF`` ids; the order inside an instant is the id, so all levels follow the order
-(date, id), and a million rows pinned to one midnight fill one leaf, not more.
+A plain ``Window.partitionBy('account_id')`` gives every account to one task, which is right until an
+account is crowded. Here a crowded account is split (``operators.splits``) by the hour of its ledger order, and
+a crowded hour again by second. Rows at a whole second (dates without a time, second resolution) are cut
+further into ranges of ``IDS_PER_LEAF`` ids; the order inside an instant is the id, so all levels follow
+the order (date, id), and a million rows pinned to one midnight fill one leaf, not more.
 
-Windows run inside leaves and take from earlier ones a prefix sum, the last value, or the last few
-rows. Those tables have a row per account and hour (plus the leaves of crowded hours).
+Windows run inside leaves; a leaf of a crowded account takes from earlier ones a prefix sum, their
+number of rows, or their last few rows.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.operators.splits import FINE, HOUR, LEAF, LEAF_ROWS, TOP, add, earlier_sums, split, to_hours, to_leaves, with_hour
+from tallyspark.operators.splits import LEAF, LEAF_ROWS, add, earlier_sums, hot_rows, split, to_leaves
 
 IDS_PER_LEAF = 1_000_000
 
@@ -29,43 +29,41 @@ def by_time(
     later = F.coalesce(F.col(ts) > second, F.lit(False))
     ids = F.when(~later, F.floor(F.col(row_id) / F.lit(ids_per_leaf)))
     fine = F.struct(second.alias("s"), later.alias("l"), ids.alias("r"))
-    return split(df, [key], F.date_trunc("hour", F.col(ts)), fine, limit)
-
-
-def running_sums(x: DataFrame, key: str, order: list[Column], values: dict[str, Column]) -> DataFrame:
-    """Add ``SUM(value) OVER (PARTITION BY key ORDER BY order ROWS UNBOUNDED PRECEDING)`` for each
-    named value. ``x`` comes from ``by_time`` and ``order`` is its total order."""
-    names = {n: f"_lg_{n}" for n in values}
-    x = x.withColumns({names[n]: v for n, v in values.items()})
-    inside = Window.partitionBy(LEAF).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = x.select("*", *[F.sum(c).over(inside).alias(f"_here{c}") for c in names.values()])
-    totals = x.groupBy(LEAF).agg(*[F.sum(c).alias(c) for c in names.values()])
-    out = to_leaves(local, earlier_sums(totals, [key], list(names.values())))
-    for n, c in names.items():
-        kind = local.schema[f"_here{c}"].dataType
-        out = out.withColumn(n, add(F.col(f"_c_{c}"), F.col(f"_here{c}")).cast(kind))
-    return out.drop(TOP, FINE, LEAF, *names.values(), *[f"_{p}{c}" for c in names.values() for p in ("here", "c_")])
-
-
-def _numbered(leaves: DataFrame, key: str) -> DataFrame:
-    """From one row per LEAF: adds its parts and its number inside its hour."""
-    return with_hour(leaves, [key]).withColumn("_lg_j", F.row_number().over(Window.partitionBy(HOUR).orderBy(FINE)))
-
-
-def previous_order_value(x: DataFrame, key: str, order: list[Column], first_col: str, out: str) -> DataFrame:
-    """``LAG(first_col) OVER (PARTITION BY key ORDER BY order)`` where ``first_col`` leads the order:
-    the first row of a leaf takes the maximum of the leaf before it."""
-    inside = Window.partitionBy(LEAF).orderBy(*order)
-    local = x.select("*", F.row_number().over(inside).alias("_lg_i"), F.lag(first_col).over(inside).alias("_lg_lag"))
-    leaves = _numbered(x.groupBy(LEAF).agg(F.max(first_col).alias("_lg_last")), key)
-    leaves = leaves.withColumn("_lg_inner", F.lag("_lg_last").over(Window.partitionBy(HOUR).orderBy(FINE)))
-    hours = leaves.groupBy(HOUR).agg(F.max("_lg_last").alias("_lg_last")).select(HOUR, f"{HOUR}.*", "_lg_last")
-    hours = hours.select(HOUR, F.lag("_lg_last").over(Window.partitionBy(key).orderBy(TOP)).alias("_lg_outer"))
-    before = to_hours(leaves.drop("_lg_last"), hours).select(
-        LEAF, F.when(F.col("_lg_j") == 1, F.col("_lg_outer")).otherwise(F.col("_lg_inner")).alias("_lg_before")
-    )
-    value = F.when(F.col("_lg_i") == 1, F.col("_lg_before")).otherwise(F.col("_lg_lag"))
-    return to_leaves(local, before).withColumn(out, value).drop(TOP, FINE, LEAF, "_lg_i", "_lg_lag", "_lg_before")
+    return split(df, [key], [F.date_trunc("hour", F.col(ts)), fine], limit)
+
+
+def _order(ts: str, row_id: str) -> list[Column]:
+    return [F.col(ts).asc(), F.col(row_id).asc()]
+
+
+def _carried(x: DataFrame, key: str, ts: str, row_id: str, sums: dict[str, Column], wholes: dict[str, str] | None = None) -> DataFrame:
+    return earlier_sums(x, [key], [F.asc("_sp_o0"), F.asc("_sp_o1")], [F.max(ts), F.max(row_id)], sums, wholes)
+
+
+def running_sums(x: DataFrame, key: str, values: dict[str, Column], ts: str = "transaction_date", row_id: str = "transaction_id") -> DataFrame:
+    """Add ``SUM(value) OVER (PARTITION BY key ORDER BY ts, row_id ROWS UNBOUNDED PRECEDING)`` for each
+    named value. ``x`` comes from ``by_time``."""
+    inside = Window.partitionBy(LEAF).orderBy(*_order(ts, row_id)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = x.select("*", *[F.sum(c).over(inside).alias(f"_lg_{n}") for n, c in values.items()])
+    out = to_leaves(local, _carried(x, key, ts, row_id, {f"_c_{n}": c for n, c in values.items()}))
+    sums = {n: add(F.col(f"_c_{n}"), F.col(f"_lg_{n}")).cast(local.schema[f"_lg_{n}"].dataType) for n in values}
+    return out.withColumns(sums).drop(LEAF, *[f"_{p}_{n}" for n in values for p in ("c", "lg")])
+
+
+def row_numbers(
+    x: DataFrame, key: str, number: str, total: str | None = None, ts: str = "transaction_date", row_id: str = "transaction_id"
+) -> DataFrame:
+    """Add ``ROW_NUMBER() OVER (PARTITION BY key ORDER BY ts, row_id)`` of every row and, if named,
+    ``COUNT(*) OVER (PARTITION BY key)``."""
+    inside = Window.partitionBy(LEAF).orderBy(*_order(ts, row_id))
+    local = [F.row_number().over(inside).cast("long").alias("_lg_i")]
+    if total:
+        local.append(F.count(F.lit(1)).over(Window.partitionBy(LEAF)).alias("_lg_n"))
+    carry = _carried(x, key, ts, row_id, {"_c_i": F.lit(1).cast("long")}, {"_c_n": "_c_i"} if total else None)
+    out = to_leaves(x.select("*", *local), carry).withColumn(number, F.coalesce("_c_i", F.lit(0)) + F.col("_lg_i"))
+    if total:
+        out = out.withColumn(total, F.coalesce("_c_n", "_lg_n"))
+    return out.drop(LEAF, "_lg_i", "_lg_n", "_c_i", "_c_n")
 
 
 def _last(c: Column, rows: int) -> Column:
@@ -73,46 +71,56 @@ def _last(c: Column, rows: int) -> Column:
     return F.when(F.size(c) > rows, F.slice(c, -rows, rows)).otherwise(c)
 
 
+def last_rows_before(x: DataFrame, key: str, rows: int, out: str, ts: str = "transaction_date", row_id: str = "transaction_id") -> DataFrame:
+    """A row per leaf of the crowded keys: ``out``, the last ``rows`` rows (structs, in order) before it.
+
+    Leaves hand on whole rows, at most ``rows`` of them, so this reads the same exchange as the window
+    over all rows; an array here holds at most rows * rows structs.
+    """
+    order = [F.col(ts).desc(), F.col(row_id).desc()]
+    tail = hot_rows(x).withColumn("_lg_d", F.row_number().over(Window.partitionBy(LEAF).orderBy(*order))).where(F.col("_lg_d") <= rows)
+    whole = F.struct((-F.col("_lg_d")).alias("_lg_d"), *[c for c in x.columns if c != LEAF])
+    tails = tail.groupBy(LEAF, key).agg(F.sort_array(F.collect_list(whole)).alias("_lg_tail"), F.max(ts).alias("_sp_o0"), F.max(row_id).alias("_sp_o1"))
+    before = Window.partitionBy(key).orderBy("_sp_o0", "_sp_o1").rowsBetween(-rows, -1)
+    return tails.select(LEAF, _last(F.flatten(F.collect_list("_lg_tail").over(before)), rows).alias(out))
+
+
+def previous_values(
+    x: DataFrame, key: str, values: dict[str, tuple[str, int]], ts: str = "transaction_date", row_id: str = "transaction_id"
+) -> DataFrame:
+    """Add ``LAG(column, offset) OVER (PARTITION BY key ORDER BY ts, row_id)`` for each name: (column,
+    offset). A row near the start of a leaf takes it from the last rows before the leaf."""
+    inside = Window.partitionBy(LEAF).orderBy(*_order(ts, row_id))
+    lags = [F.lag(c, k).over(inside).alias(f"_lag_{n}") for n, (c, k) in values.items()]
+    local = x.select("*", F.row_number().over(inside).alias("_lg_i"), *lags)
+    joined = to_leaves(local, last_rows_before(x, key, max(k for _, k in values.values()), "_lg_context", ts, row_id))
+    found = {}
+    for n, (c, k) in values.items():
+        at = F.size("_lg_context") + F.col("_lg_i") - k  # 1-based place of the wanted row in the context
+        earlier = F.when(at >= 1, F.element_at("_lg_context", F.greatest(at, F.lit(1)))[c])
+        found[n] = F.when(F.col("_lg_i") > k, F.col(f"_lag_{n}")).otherwise(earlier)
+    return joined.withColumns(found).drop(LEAF, "_lg_i", "_lg_context", *[f"_lag_{n}" for n in values])
+
+
 def preceding_rows_sum_count(
-    x: DataFrame, key: str, order: list[Column], value: Column, rows: int, sum_out: str, cnt_out: str
+    x: DataFrame, key: str, value: str, rows: int, sum_out: str, cnt_out: str, ts: str = "transaction_date", row_id: str = "transaction_id"
 ) -> DataFrame:
-    """SUM and COUNT of ``value`` over ``ROWS BETWEEN rows PRECEDING AND 1 PRECEDING``.
+    """SUM and COUNT of the column ``value`` over ``ROWS BETWEEN rows PRECEDING AND 1 PRECEDING``.
 
-    Rows near the start of a leaf take what is missing from the last ``rows`` values before the
-    leaf; every array here holds at most rows * rows values.
+    Rows near the start of a leaf take what is missing from the last ``rows`` rows before the leaf.
     """
-    x = x.withColumn("_lg_v", value)
-    kind = x.schema["_lg_v"].dataType.simpleString()
-    inside = Window.partitionBy(LEAF).orderBy(*order)
+    inside = Window.partitionBy(LEAF).orderBy(*_order(ts, row_id))
     frame = inside.rowsBetween(-rows, -1)
-    x = x.select(
-        "*",
-        F.row_number().over(inside).alias("_lg_i"),
-        F.count(F.lit(1)).over(Window.partitionBy(LEAF)).alias("_lg_n"),
-        F.sum("_lg_v").over(frame).alias("_lg_s"),
-        F.count("_lg_v").over(frame).alias("_lg_c"),
-    )
-    tails = x.where(F.col("_lg_i") > F.col("_lg_n") - rows).groupBy(LEAF).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("_lg_i", "_lg_v"))), lambda s: s["_lg_v"]).alias("_lg_tail")
+    local = x.select(
+        "*", F.row_number().over(inside).alias("_lg_i"), F.sum(value).over(frame).alias("_lg_s"), F.count(value).over(frame).alias("_lg_c")
     )
-    inner = Window.partitionBy(HOUR).orderBy(FINE).rowsBetween(-rows, -1)
-    leaves = _numbered(tails, key).withColumn("_lg_inner", _last(F.flatten(F.collect_list("_lg_tail").over(inner)), rows))
-    hours = leaves.groupBy(HOUR).agg(F.max_by(_last(F.concat("_lg_inner", "_lg_tail"), rows), "_lg_j").alias("_lg_tail"))
-    hours = hours.select(HOUR, f"{HOUR}.*", "_lg_tail")
-    outer = Window.partitionBy(key).orderBy(TOP).rowsBetween(-rows, -1)
-    hours = hours.select(HOUR, _last(F.flatten(F.collect_list("_lg_tail").over(outer)), rows).alias("_lg_outer"))
-    context = to_hours(leaves.select(LEAF, HOUR, "_lg_inner"), hours).select(
-        LEAF, _last(F.concat("_lg_outer", "_lg_inner"), rows).alias("_lg_context")
-    )
-    joined = to_leaves(x, context)
+    joined = to_leaves(local, last_rows_before(x, key, rows, "_lg_context", ts, row_id))
     size = F.size("_lg_context")
-    take = F.least(F.greatest(F.lit(rows) - (F.col("_lg_i") - 1), F.lit(0)), size)
-    part = F.when(take > 0, F.slice("_lg_context", size - take + 1, take)).otherwise(F.array().cast(f"array<{kind}>"))
-    total = x.schema["_lg_s"].dataType
-    zero = F.lit(0).cast(total)
-    more = F.aggregate(part, zero, lambda acc, v: (acc + F.coalesce(v, zero)).cast(total))
-    n = F.col("_lg_c") + F.size(F.filter(part, lambda v: v.isNotNull()))
-    s = F.when(n == 0, F.lit(None)).otherwise((F.coalesce(F.col("_lg_s"), zero) + more).cast(total))
-    return joined.withColumn(sum_out, s).withColumn(cnt_out, n).drop(
-        TOP, FINE, LEAF, "_lg_v", "_lg_i", "_lg_n", "_lg_s", "_lg_c", "_lg_context"
-    )
+    take = F.least(F.lit(rows) - (F.col("_lg_i") - 1), size)
+    part = F.filter(F.transform(F.slice("_lg_context", size - take + 1, take), lambda r: r[value]), lambda v: v.isNotNull())
+    total = local.schema["_lg_s"].dataType
+    more = F.aggregate(part, F.lit(0).cast(total), lambda acc, v: (acc + v).cast(total))
+    reach = F.col("_lg_context").isNotNull() & (take > 0)
+    more, n = F.when(reach & (F.size(part) > 0), more), F.when(reach, F.size(part)).otherwise(0)
+    found = {sum_out: add(F.col("_lg_s"), more).cast(total), cnt_out: F.col("_lg_c") + n}
+    return joined.withColumns(found).drop(LEAF, "_lg_i", "_lg_s", "_lg_c", "_lg_context")

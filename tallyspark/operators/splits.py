@@ -1,12 +1,18 @@
-"""Keys split into ordered parts, so that no task holds a whole key.
+"""Keys split into ordered leaves, so that no task holds a whole key, in two passes over the rows.
 
-A key's rows get a coarse ordered bucket (``TOP``, e.g. the hour) that agrees with the window's
-order. A (key, TOP) with more than ``limit`` rows is crowded and gets a second ordered level
-(``FINE``), a pure function of the row as well. A leaf is one (key, TOP, FINE); windows run inside
-leaves, and what earlier leaves contribute comes from tables with one row per leaf or bucket.
+Windows run inside leaves. A key with at most ``limit`` rows is one leaf, which is the plain window and
+needs nothing else. A crowded key is cut by the first of its ordered ``levels`` (e.g. the hour), a crowded
+(key, hour) by the second (e.g. the second and id), and so on; each level is a pure function of the
+row that agrees with the window's order. What earlier leaves contribute (a prefix sum, their last rows)
+comes from a table with a row per leaf of a crowded key, and there is none for other keys.
 
-There are at most rows / limit crowded buckets, which is the proven bound of the one broadcast
-here. All joins are null-safe: a null key or date is a value like any other, as in PARTITION BY.
+* The first pass counts all levels at once (grouping sets, combined inside map tasks) and finds what is crowded.
+* The second deals the rows to their leaves in one exchange. The windows and the leaf table both read
+  that exchange: ``hot_rows`` filters above it, so that its two uses stay the same plan and Spark reuses it.
+
+Crowded keys go to the rows by broadcast, of at most ``CROWDED`` keys a level whatever the data's
+size (a key beyond that stays a larger leaf; results are the same). All joins are null-safe: a null
+key, date or value is a value like any other, as in PARTITION BY.
 """
 
 from __future__ import annotations
@@ -14,8 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TOP, FINE, LEAF, HOUR = "_sp_top", "_sp_fine", "_sp_leaf", "_sp_hour"
+LEAF = "_sp_leaf"
 LEAF_ROWS = 1_000_000
+CROWDED = 100_000
 
 
 def attach(rows: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -28,51 +35,58 @@ def attach(rows: DataFrame, small: DataFrame, keys: list[str], how: str = "inner
     return rows.join(right, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def split(df: DataFrame, by: list[str], top: Column, fine: Column, limit: int = LEAF_ROWS) -> DataFrame:
-    """Adds TOP, FINE where (by, TOP) is crowded, and LEAF, the struct of all of these.
+def split(df: DataFrame, by: list[str], levels: list[Column], limit: int = LEAF_ROWS) -> DataFrame:
+    """``df`` dealt by LEAF, the struct of the key, of whether it is crowded, and of the levels that cut
+    it (null below). Without ``by`` the whole table is one key, which is always cut.
 
-    A struct is never null itself and equals another when their fields do, nulls included, so LEAF is a
-    plain join key: rows that a window has dealt by LEAF meet their leaf's totals without another
+    A struct is never null itself and equals another when their fields do, nulls included, so LEAF is
+    a plain join key: rows that a window has dealt by LEAF meet their leaf's totals without another
     shuffle.
     """
-    x = df.withColumn(TOP, top)
-    crowded = x.groupBy(*by, TOP).agg(F.count(F.lit(1)).alias("_sp_n")).where(F.col("_sp_n") > limit)
-    marked = attach(x, F.broadcast(crowded), [*by, TOP], "left")
-    cut = marked.withColumn(FINE, F.when(F.col("_sp_n").isNotNull(), fine)).drop("_sp_n")
-    return cut.withColumn(LEAF, F.struct(*by, TOP, FINE))
+    names = [f"_sp_{i}" for i in range(len(levels))]
+    x = df.withColumns(dict(zip(names, levels, strict=True)))
+    keys = [[*by, *names[:i]] for i in range(len(names))]
+    checked = keys if by else keys[1:]
+    counts = x.groupingSets([[F.col(c) for c in k] for k in checked], *[F.col(c) for c in checked[-1]])
+    counts = counts.agg(F.count(F.lit(1)).alias("_sp_n"), F.grouping_id().alias("_sp_set"))
+    cut = [] if by else [F.lit(True)]
+    for i, key in enumerate(checked):
+        # The set and the count in one condition: Spark then keeps it above the shared aggregate.
+        here = F.when(F.col("_sp_n") > limit, F.col("_sp_set")) == 2 ** (len(checked) - 1 - i) - 1
+        crowded = counts.where(here).orderBy(F.desc("_sp_n"), *key).limit(CROWDED)
+        flag = f"_sp_cut{len(cut)}"
+        x = attach(x, F.broadcast(crowded.select(*key, F.lit(True).alias(flag))), key, "left")
+        cut.append(F.coalesce(F.col(flag), F.lit(False)))
+    parts = [F.when(c, F.col(n)).alias(n) for c, n in zip(cut, names, strict=True)]
+    leaf = F.struct(*by, cut[0].alias("hot"), *parts)
+    dropped = [*names, *[f"_sp_cut{i}" for i in range(len(cut))]]
+    return x.withColumn(LEAF, leaf).drop(*dropped).repartition(LEAF)
+
+
+def hot_rows(x: DataFrame) -> DataFrame:
+    """The rows of ``x`` (from ``split``) whose key has more than one leaf, filtered after the exchange."""
+    return x.where(F.when(F.spark_partition_id() >= 0, F.col(LEAF)["hot"]))
+
+
+def earlier_sums(x: DataFrame, by: list[str], order: list[Column], last: list[Column], sums: dict[str, Column], wholes: dict[str, str] | None = None) -> DataFrame:
+    """A row per leaf of the crowded keys: for each of ``sums`` the sum over the key's earlier leaves
+    (null where there is nothing to sum), and for each of ``wholes`` (name: sum) that over all its leaves.
+
+    ``last`` are the largest order values of a leaf, which place it: ``order`` sorts by them, under
+    the names _sp_o0, _sp_o1, ...
+    """
+    place = [c.alias(f"_sp_o{i}") for i, c in enumerate(last)]
+    totals = hot_rows(x).groupBy(LEAF, *by).agg(*[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()], *place)
+    key = Window.partitionBy(*by)
+    earlier = key.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = [F.sum(f"_t_{n}").over(earlier).alias(n) for n in sums]
+    out += [F.sum(f"_t_{of}").over(key).alias(n) for n, of in (wholes or {}).items()]
+    return totals.select(LEAF, *out)
 
 
 def to_leaves(rows: DataFrame, leaves: DataFrame) -> DataFrame:
-    """``rows`` with the other columns of ``leaves`` (one row per LEAF)."""
-    return rows.join(leaves.withColumnRenamed(LEAF, "_sp_of"), F.col(LEAF) == F.col("_sp_of")).drop("_sp_of")
-
-
-def before(*partition: str, order: list[Column] | None = None):
-    """Window over all earlier rows."""
-    return Window.partitionBy(*partition).orderBy(*(order or [])).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def earlier_sums(totals: DataFrame, by: list[str], sums: list[str]) -> DataFrame:
-    """From one row per LEAF with ``sums``: per LEAF, ``_c_<sum>`` over the key's earlier leaves
-    (null where there is nothing to sum)."""
-    totals = with_hour(totals, by)
-    tops = totals.groupBy(HOUR).agg(*[F.sum(s).alias(s) for s in sums]).select(HOUR, f"{HOUR}.*", *sums)
-    outer = before(*by, order=[F.col(TOP)])
-    tops = tops.select(HOUR, *[F.sum(s).over(outer).alias(f"_o_{s}") for s in sums])
-    inner = before(HOUR, order=[F.col(FINE)])
-    leaves = totals.select(HOUR, LEAF, *[F.sum(s).over(inner).alias(f"_i_{s}") for s in sums])
-    both = to_hours(leaves, tops)
-    return both.select(LEAF, *[add(F.col(f"_o_{s}"), F.col(f"_i_{s}")).alias(f"_c_{s}") for s in sums])
-
-
-def with_hour(leaves: DataFrame, by: list[str]) -> DataFrame:
-    """Adds FINE and HOUR, the struct of the key and TOP, to rows with LEAF."""
-    return leaves.withColumn(FINE, F.col(LEAF)[FINE]).withColumn(HOUR, F.struct(*[F.col(LEAF)[c].alias(c) for c in [*by, TOP]]))
-
-
-def to_hours(leaves: DataFrame, hours: DataFrame) -> DataFrame:
-    """``leaves`` with the other columns of ``hours`` (one row per HOUR)."""
-    return leaves.join(hours.withColumnRenamed(HOUR, "_sp_in"), F.col(HOUR) == F.col("_sp_in")).drop("_sp_in")
+    """``rows`` with the other columns of ``leaves`` (one row per LEAF), null for the leaves that have none."""
+    return rows.join(leaves.withColumnRenamed(LEAF, "_sp_of"), F.col(LEAF) == F.col("_sp_of"), "left").drop("_sp_of")
 
 
 def add(a: Column, b: Column) -> Column:

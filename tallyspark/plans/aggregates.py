@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.core import avg_of, fround, lc, mean_exact, money, ratio
+from tallyspark.functions.core import avg_of, collated, fround, lc, mean_exact, money, ratio
 from tallyspark.operators import ranking
 from tallyspark.operators.relational import absent, branch_names, customer_names, owners, population
 from tallyspark.sources.banking import Bank
@@ -23,17 +23,19 @@ def q10_accounts_without_transactions(b: Bank) -> DataFrame:
     return absent(b.accounts.select("account_id"), b.transactions, "account_id")
 
 
-def type_groups(b: Bank, case_insensitive: bool) -> tuple[Column, Column]:
-    """Grouping key and shown label of transaction types. Under a case-insensitive collation (the
-    reference's default) case variants are one group, shown as its smallest variant."""
-    shown = F.min("transaction_type").alias("transaction_type")
-    return (F.col("type_lc") if case_insensitive else F.col("transaction_type")).alias("_type"), shown
+def by_text(df: DataFrame, text: str, sums: dict[str, Column], case_insensitive: bool = True) -> DataFrame:
+    """Rows grouped by a text, each group shown as its smallest variant. Under the reference's default
+    collation texts that differ in case or accents are one group; they are summed as written first, so
+    the collation sees one row per variant."""
+    g = df.groupBy(text).agg(*[c.alias(n) for n, c in sums.items()])
+    if not case_insensitive:
+        return g
+    return g.groupBy(collated(text).alias("_text")).agg(F.min(text).alias(text), *[F.sum(n).alias(n) for n in sums]).drop("_text")
 
 
 def q11_avg_size_by_transaction_type(b: Bank, case_insensitive: bool = True) -> DataFrame:
-    key, shown = type_groups(b, case_insensitive)
-    g = b.ledger.groupBy(key).agg(shown, F.sum(F.abs("amount")).alias("s"), F.count("amount").alias("n"))
-    return g.select("transaction_type", avg_of("s", "n").alias("avg_transaction_size")).orderBy(F.desc("avg_transaction_size"))
+    g = by_text(b.transactions, "transaction_type", {"s": F.sum(F.abs("amount")), "n": F.count("amount")}, case_insensitive)
+    return g.select("transaction_type", avg_of("s", "n").alias("avg_transaction_size")).orderBy(F.desc("avg_transaction_size"), "transaction_type")
 
 
 def q12_customers_in_multiple_branches(b: Bank) -> DataFrame:
@@ -46,7 +48,7 @@ def q12_customers_in_multiple_branches(b: Bank) -> DataFrame:
     )
     return per_cust.join(customer_names(b), "customer_id").select(
         "customer_id", "customer_name", "branch_count"
-    ).orderBy(F.desc("branch_count"))
+    ).orderBy(F.desc("branch_count"), "customer_id")
 
 
 def q13_branch_avg_account_age(b: Bank) -> DataFrame:
@@ -54,18 +56,15 @@ def q13_branch_avg_account_age(b: Bank) -> DataFrame:
     g = b.accounts.groupBy("branch_id").agg(F.sum(age).alias("s"), F.count(age).alias("n"))
     return g.join(branch_names(b), "branch_id").select(
         "branch_id", "branch_name", avg_of("s", "n").alias("avg_account_age_days")
-    ).orderBy(F.desc("avg_account_age_days"))
+    ).orderBy(F.desc("avg_account_age_days"), "branch_id")
 
 
 def q14_loan_type_averages(b: Bank, case_insensitive: bool = True) -> DataFrame:
-    key = lc("loan_type") if case_insensitive else F.col("loan_type")
-    g = b.loans.groupBy(key.alias("_type")).agg(
-        F.min("loan_type").alias("loan_type"), F.sum("interest_rate").alias("si"), F.count("interest_rate").alias("ni"),
-        F.sum("principal_amount").alias("sp"), F.count("principal_amount").alias("np"),
-    )
+    sums = {"si": F.sum("interest_rate"), "ni": F.count("interest_rate"), "sp": F.sum("principal_amount"), "np": F.count("principal_amount")}
+    g = by_text(b.loans, "loan_type", sums, case_insensitive)
     return g.select(
         "loan_type", avg_of("si", "ni").alias("avg_interest_rate"), avg_of("sp", "np").alias("avg_principal_amount")
-    ).orderBy(F.desc("avg_principal_amount"))
+    ).orderBy(F.desc("avg_principal_amount"), "loan_type")
 
 
 def q15_customers_fees_over_threshold(b: Bank, threshold: int = FEE_THRESHOLD) -> DataFrame:
@@ -75,7 +74,7 @@ def q15_customers_fees_over_threshold(b: Bank, threshold: int = FEE_THRESHOLD) -
         per_cust.where(F.col("total") > threshold)
         .join(customer_names(b), "customer_id")
         .select("customer_id", "customer_name", money("total").alias("total_fees_paid"))
-        .orderBy(F.desc("total_fees_paid"))
+        .orderBy(F.desc("total_fees_paid"), "customer_id")
     )
 
 
@@ -103,7 +102,7 @@ def q17_frozen_account_percentage(b: Bank) -> DataFrame:
 def q18_negative_ledger_accounts(b: Bank) -> DataFrame:
     g = b.transactions.groupBy("account_id").agg(F.sum("amount").alias("bal"))
     return g.where(F.col("bal") < 0).select("account_id", money("bal").alias("net_ledger_balance")).orderBy(
-        "net_ledger_balance"
+        "net_ledger_balance", "account_id"
     )
 
 
@@ -172,11 +171,10 @@ def q24_customers_above_overall_avg(b: Bank) -> DataFrame:
         per_cust.where(ratio("s", "n") > overall)
         .join(customer_names(b), "customer_id")
         .select("customer_id", "customer_name", avg_of("s", "n").alias("avg_txn"))
-        .orderBy(F.desc("avg_txn"))
+        .orderBy(F.desc("avg_txn"), "customer_id")
     )
 
 
 def q25_transaction_types_by_impact(b: Bank, case_insensitive: bool = True) -> DataFrame:
-    key, shown = type_groups(b, case_insensitive)
-    g = b.ledger.groupBy(key).agg(shown, F.sum("amount").alias("s"))
-    return g.select("transaction_type", money("s").alias("total_impact")).orderBy(F.desc("total_impact"))
+    g = by_text(b.transactions, "transaction_type", {"s": F.sum("amount")}, case_insensitive)
+    return g.select("transaction_type", money("s").alias("total_impact")).orderBy(F.desc("total_impact"), "transaction_type")

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.core import (
-    avg_of, customer_name, lc, mean_exact, money, month_label, month_start, ratio,
+    avg_of, collated, customer_name, lc, mean_exact, money, month_label, month_start, ratio,
 )
+from tallyspark.operators.intervals import DAY, without_point
 from tallyspark.operators.relational import absent, branch_names, customer_names, owners, population, present
 from tallyspark.sources.banking import Bank
 
@@ -41,7 +42,7 @@ def q26_customer_account_and_tx_totals(b: Bank) -> DataFrame:
             F.coalesce("acc", F.lit(0)).cast("long").alias("total_accounts"),
             F.coalesce("txn", F.lit(0)).cast("long").alias("total_transactions"),
         )
-        .orderBy(F.desc("total_transactions"), F.desc("total_accounts"))
+        .orderBy(F.desc("total_transactions"), F.desc("total_accounts"), "customer_id")
     )
 
 
@@ -58,10 +59,11 @@ def q27_customer_pairs_sharing_account(b: Bank) -> DataFrame:
 
 def q28_multi_owner_account_owner_list(b: Bank) -> DataFrame:
     named = b.customer_accounts.select("customer_id", "account_id").join(customer_names(b), "customer_id")
-    # GROUP_CONCAT(DISTINCT name ORDER BY customer_id): one entry per distinct name, placed
-    # by the smallest id carrying it. No length cut (MySQL's 1024-byte default is a setting).
-    per_name = named.groupBy("account_id", "customer_name").agg(
-        F.min("customer_id").alias("first_id"), F.countDistinct("customer_id").alias("ids")
+    # GROUP_CONCAT(DISTINCT name ORDER BY customer_id): one entry per distinct name (case and accents
+    # aside), that of the smallest id. No length cut (MySQL's 1024-byte default is a setting).
+    per_name = named.groupBy("account_id", collated("customer_name").alias("_name")).agg(
+        F.min("customer_id").alias("first_id"), F.min_by("customer_name", "customer_id").alias("customer_name"),
+        F.countDistinct("customer_id").alias("ids"),
     )
     listed = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("first_id", "customer_name"))), lambda s: s["customer_name"]),
@@ -71,7 +73,7 @@ def q28_multi_owner_account_owner_list(b: Bank) -> DataFrame:
         per_name.groupBy("account_id")
         .agg(listed.alias("owners"), F.sum("ids").cast("long").alias("owner_count"))
         .where(F.col("owner_count") > 1)
-        .orderBy(F.desc("owner_count"))
+        .orderBy(F.desc("owner_count"), "account_id")
     )
 
 
@@ -101,8 +103,8 @@ def q31_cards_on_inactive_accounts(b: Bank) -> DataFrame:
 def q32_branches_staffed_without_transactions(b: Bank) -> DataFrame:
     acc = b.accounts.select("account_id", "branch_id")
     with_activity = present(acc, b.transactions, "account_id")
-    staffed = present(branch_names(b), b.employees, "branch_id")
-    return absent(present(staffed, acc, "branch_id"), with_activity, "branch_id")
+    staffed = present(acc.select("branch_id").distinct(), b.employees, "branch_id")
+    return branch_names(b).join(absent(staffed, with_activity, "branch_id"), "branch_id")
 
 
 def q33_same_day_multiple_withdrawals(b: Bank) -> DataFrame:
@@ -200,7 +202,7 @@ def q40_branches_above_overall_default_rate(b: Bank) -> DataFrame:
     return (
         x.join(branch_names(b), "branch_id")
         .select("branch_id", "branch_name", avg_of("s", "n").alias("br_default_rate"))
-        .orderBy(F.desc("br_default_rate"))
+        .orderBy(F.desc("br_default_rate"), "branch_id")
     )
 
 
@@ -255,7 +257,7 @@ def q45_customers_above_branch_avg_accounts(b: Bank) -> DataFrame:
     return (
         x.join(customer_names(b), "customer_id")
         .select("customer_id", "customer_name", "branch_id", "acc_count", avg_of("s", "n").alias("avg_acc_per_customer"))
-        .orderBy(F.desc("acc_count"))
+        .orderBy(F.desc("acc_count"), "customer_id", "branch_id")
     )
 
 
@@ -276,14 +278,14 @@ def q47_transfers_date_mismatch(b: Bank) -> DataFrame:
 
 
 def q48_customers_multiple_card_types(b: Bank, case_insensitive: bool = True) -> DataFrame:
-    kind = lc("card_type") if case_insensitive else F.col("card_type")
+    kind = collated("card_type") if case_insensitive else F.col("card_type")
     cards = b.cards.select("account_id", kind.alias("card_type"))
     g = owners(b, cards).groupBy("customer_id").agg(F.countDistinct("card_type").alias("distinct_card_types"))
     return (
         g.where(F.col("distinct_card_types") > 1)
         .join(customer_names(b), "customer_id")
         .select("customer_id", "customer_name", "distinct_card_types")
-        .orderBy(F.desc("distinct_card_types"))
+        .orderBy(F.desc("distinct_card_types"), "customer_id")
     )
 
 
@@ -305,21 +307,15 @@ def q49_branches_with_mom_avg_decline(b: Bank) -> DataFrame:
 def q50_fees_without_nearby_tx(b: Bank, days: int = NEARBY_DAYS) -> DataFrame:
     """Fees with no transaction of the account in [fee_date - days, fee_date + days].
 
-    Both bounds are midnights, so the last day only matches a transaction at 00:00. The
-    range join becomes an equi join on (account, day): the ledger is reduced to one row per
-    (account, day) with a has-midnight flag, and each fee asks for its 2*days+1 days.
+    Both bounds are midnights, so the last day only matches a transaction at 00:00. The range join goes
+    by buckets of ``days`` days (``operators.intervals``), three or four a fee.
     """
     tx = b.transactions.select("account_id", "transaction_date")
-    day = F.to_date("transaction_date")
-    tx_days = tx.groupBy("account_id", day.alias("day")).agg(
-        F.max(F.when(F.col("transaction_date") == day.cast("timestamp_ntz"), 1).otherwise(0)).alias("midnight")
-    )
-    fees = b.fees.select("fee_id", "account_id", "amount", "fee_date")
-    wanted = fees.select(
-        "fee_id", "account_id", "fee_date", F.explode(F.sequence(F.lit(-days), F.lit(days))).alias("off")
-    ).withColumn("day", F.date_add("fee_date", F.col("off")))
-    near = wanted.join(tx_days, ["account_id", "day"]).where((F.col("off") < days) | (F.col("midnight") == 1))
-    return absent(fees, near, "fee_id").select("fee_id", "account_id", money("amount").alias("amount"), "fee_date")
+    fees = b.fees.select("fee_id", "account_id", "amount", "fee_date").withColumns({
+        "_low": F.date_sub("fee_date", days).cast("timestamp_ntz"), "_high": F.date_add("fee_date", days).cast("timestamp_ntz"),
+    })
+    lone = without_point(tx, fees, ["fee_id"], ["account_id"], "transaction_date", "_low", "_high", max(1, days) * DAY)
+    return lone.select("fee_id", "account_id", money("amount").alias("amount"), "fee_date")
 
 
 def q51_first_tx_before_opening(b: Bank) -> DataFrame:
@@ -336,7 +332,7 @@ def q52_accounts_many_senders(b: Bank, min_senders: int = MIN_SENDERS) -> DataFr
     g = b.transfers.groupBy(F.col("to_account_id").alias("account_id")).agg(
         F.countDistinct("from_account_id").alias("unique_senders")
     )
-    return g.where(F.col("unique_senders") > min_senders).orderBy(F.desc("unique_senders"))
+    return g.where(F.col("unique_senders") > min_senders).orderBy(F.desc("unique_senders"), "account_id")
 
 
 def q53_loans_without_repayment(b: Bank) -> DataFrame:
@@ -351,7 +347,7 @@ def q54_branch_employee_account_ratio(b: Bank) -> DataFrame:
     x = branch_names(b).join(emp, "branch_id", "left").join(acc, "branch_id", "left")
     ratio_col = avg_of(F.coalesce("e", F.lit(0)), F.coalesce("a", F.lit(0)))
     return x.select("branch_id", "branch_name", ratio_col.alias("emp_to_account_ratio")).orderBy(
-        F.desc_nulls_last("emp_to_account_ratio")
+        F.desc_nulls_last("emp_to_account_ratio"), "branch_id"
     )
 
 

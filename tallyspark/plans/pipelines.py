@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions.core import avg_of, cent_moments, fround, money, month_label, pop_std, ratio
-from tallyspark.operators.relational import branch_names, customer_names, owners, population
+from tallyspark.operators.relational import branch_names, customer_names, full_outer, owners, population
 from tallyspark.plans.windows import customer_month_counts, top_customers
 from tallyspark.sources.banking import AS_OF, Bank
 
@@ -31,7 +31,7 @@ LAUNDER_TOLERANCE_DEN = 10  # |in - out| <= max(in, out) / 10
 def q91_negative_balance_cte(b: Bank) -> DataFrame:
     bal = b.transactions.groupBy("account_id").agg(F.sum("amount").alias("bal"))
     return bal.where(F.col("bal") < 0).select("account_id", money("bal").alias("ledger_balance")).orderBy(
-        "ledger_balance"
+        "ledger_balance", "account_id"
     )
 
 
@@ -71,7 +71,7 @@ def q94_high_risk_accounts(b: Bank, weight: int = OVERDRAFT_WEIGHT, floor: int =
             "account_id", money("tf").alias("total_fees"), F.col("oc").cast("long").alias("overdraft_count"),
             money("risk").alias("risk_score"),
         )
-        .orderBy(F.desc("risk_score"))
+        .orderBy(F.desc("risk_score"), "account_id")
     )
 
 
@@ -88,7 +88,7 @@ def q95_customer_lifetime_value(b: Bank) -> DataFrame:
     return (
         clv.join(customer_names(b), "customer_id")
         .select("customer_id", "customer_name", money("lv").alias("lifetime_value"))
-        .orderBy(F.desc("lifetime_value"))
+        .orderBy(F.desc("lifetime_value"), "customer_id")
     )
 
 
@@ -105,7 +105,7 @@ def q96_abnormal_branches(b: Bank, factor: int = ABNORMAL_FACTOR) -> DataFrame:
     return (
         hit.join(branch_names(b), "branch_id")
         .select("branch_id", "branch_name", avg_of("s", "n").alias("avg_amt"), fround(pop_std(), 4).alias("std_amt"))
-        .orderBy(F.desc("avg_amt"))
+        .orderBy(F.desc("avg_amt"), "branch_id")
     )
 
 
@@ -137,7 +137,7 @@ def q98_customers_top5pct_value(b: Bank, tiles: int = 20) -> DataFrame:
     val = owners(b, per_acc).groupBy("customer_id").agg(F.sum("s").alias("total_abs_amount"))
     top = top_customers(b, val, "total_abs_amount", tiles)
     return top.select("customer_id", "customer_name", money("total_abs_amount").alias("total_abs_amount")).orderBy(
-        F.desc("total_abs_amount")
+        F.desc("total_abs_amount"), "customer_id"
     )
 
 
@@ -164,11 +164,15 @@ def q100_rapid_in_out_transfers(
     inn = tr.groupBy(F.col("to_account_id").alias("account_id"), "d").agg(
         F.count(F.lit(1)).alias("in_cnt"), F.sum("amount").alias("in_amt")
     )
-    # The reference's LEFT JOIN + UNION ALL of unmatched rows is a FULL OUTER join; the
-    # in >= 5 and out >= 5 filter rejects every one-sided row, so it is an inner join.
-    x = out.join(inn, ["account_id", "d"]).select(
-        "account_id", "d", "in_cnt", "out_cnt",
-        F.coalesce("in_amt", F.lit(0)).alias("in_amt"), F.coalesce("out_amt", F.lit(0)).alias("out_amt"),
+    # The reference's LEFT JOIN + UNION ALL of unmatched rows is a full outer join; the planner makes it
+    # inner where the limits reject one-sided rows. As there, the sum of a day without transfers
+    # out stays NULL when all its amounts are.
+    both = full_outer(out, inn, ["account_id", "d"], "_out", "_in")
+    zero = F.lit(0)
+    x = both.select(
+        "account_id", "d", F.coalesce("in_cnt", zero).alias("in_cnt"), F.coalesce("out_cnt", zero).alias("out_cnt"),
+        F.when(F.col("_out"), F.coalesce("in_amt", zero)).otherwise(F.col("in_amt")).alias("in_amt"),
+        F.coalesce("out_amt", zero).alias("out_amt"),
     )
     balanced = F.abs(F.col("in_amt") - F.col("out_amt")) * tolerance_den <= F.greatest("in_amt", "out_amt")
     return (
@@ -176,5 +180,5 @@ def q100_rapid_in_out_transfers(
         .select(
             "account_id", "d", "in_cnt", "out_cnt", money("in_amt").alias("in_amt"), money("out_amt").alias("out_amt")
         )
-        .orderBy(F.desc(F.col("in_cnt") + F.col("out_cnt")), F.desc("d"))
+        .orderBy(F.desc(F.col("in_cnt") + F.col("out_cnt")), F.desc("d"), "account_id")
     )

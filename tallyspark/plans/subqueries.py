@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyspark.functions.core import avg_of, lc, mean_exact, money, ratio
+from tallyspark.functions.core import avg_of, collated, mean_exact, money, ratio
 from tallyspark.operators.relational import branch_names, customer_names, owners, population
 from tallyspark.sources.banking import Bank
 
@@ -29,7 +29,7 @@ def q56_customers_above_avg_total(b: Bank) -> DataFrame:
         tot.where(F.col("total").cast("double") > avg_total)
         .join(customer_names(b), "customer_id")
         .select("customer_id", "customer_name", money("total").alias("total_amt"))
-        .orderBy(F.desc("total_amt"))
+        .orderBy(F.desc("total_amt"), "customer_id")
     )
 
 
@@ -89,7 +89,7 @@ def q60_accounts_above_avg_fee_count(b: Bank) -> DataFrame:
     return (
         cnt.where(F.col("fee_count") > avg_fee)
         .select("account_id", "fee_count")
-        .orderBy(F.desc("fee_count"))
+        .orderBy(F.desc("fee_count"), "account_id")
     )
 
 
@@ -102,10 +102,13 @@ def q61_customers_top5pct_tx_count(b: Bank, tiles: int = 20) -> DataFrame:
 
 
 def q62_loans_above_type_avg_rate(b: Bank, case_insensitive: bool = True) -> DataFrame:
-    kind = lc("loan_type") if case_insensitive else F.col("loan_type")
-    loans = b.loans.where(F.col("loan_type").isNotNull()).withColumn("_type", kind)
-    by_type = loans.groupBy("_type").agg(F.sum("interest_rate").alias("s"), F.count("interest_rate").alias("n"))
-    x = loans.join(by_type, "_type").where(F.col("interest_rate").cast("double") > ratio("s", "n"))
+    loans = b.loans.where(F.col("loan_type").isNotNull())
+    by_type = loans.groupBy("loan_type").agg(F.sum("interest_rate").alias("s"), F.count("interest_rate").alias("n"))
+    if case_insensitive:  # variants of a type share its mean; few rows, joined by the collated text
+        variants = by_type.select("loan_type", collated("loan_type").alias("_type"))
+        means = by_type.groupBy(collated("loan_type").alias("_of")).agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
+        by_type = variants.join(means, F.col("_type") == F.col("_of")).drop("_type", "_of")
+    x = loans.join(by_type, "loan_type").where(F.col("interest_rate").cast("double") > ratio("s", "n"))
     return x.select("loan_id", "loan_type", money("interest_rate").alias("interest_rate"))
 
 

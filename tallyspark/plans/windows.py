@@ -1,11 +1,11 @@
 """Section 4: window operators (66-90).
 
-* Rankings, NTILE buckets and percent ranks go through ``operators.ranking`` (ordered value
-  buckets and counts before them), never through a window over all rows.
+* Rankings, NTILE buckets and percent ranks go through ``operators.ranking`` (an ordered radix of the
+  value and counts before its cells), never through a window over all rows.
 * Month rollups aggregate first; the lag/rolling windows then run over one row per
   (key, month), so a window partition is bounded by the months covered, not by activity.
-* Per-account ledger windows (running sums, lag, 10-row rolling frame) run per (account, hour),
-  crowded hours being split again, with a carry from earlier parts (``operators.ledger``).
+* Per-account ledger windows (running sums, lag, 10-row rolling frame) cut crowded accounts by the hour,
+  crowded hours again, and carry from earlier parts (``operators.ledger``).
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.functions.core import avg_of, cent_moments, fround, money, month_label, pop_std, ratio
+from tallyspark.functions.core import avg_of, cent_moments, fround, money, month_label, ratio, variance_number, with_exact_variance
 from tallyspark.operators import ledger, ranking
 from tallyspark.operators.relational import branch_names, customer_names, owners
 from tallyspark.plans.joins import _top_tx_per_customer, branch_default_rates, largest_first
@@ -29,10 +29,6 @@ DECLINE_CHAIN = 3
 ROLLING_MONTHS = 3
 
 
-def ledger_order():
-    return [F.col("transaction_date").asc(), F.col("transaction_id").asc()]
-
-
 def ledger_columns() -> list[Column]:
     return [
         F.col("transaction_id"), F.col("account_id"), F.col("transaction_type"), money("amount").alias("amount"),
@@ -55,7 +51,7 @@ def customer_month_counts(b: Bank) -> DataFrame:
 
 
 def split_ledger(t: DataFrame, leaf_rows: int) -> DataFrame:
-    """The ledger in parts of an account's hour; hours of more than ``leaf_rows`` rows are cut again."""
+    """The ledger in leaves; accounts of more than ``leaf_rows`` rows are cut."""
     return ledger.by_time(t, "account_id", limit=leaf_rows, ids_per_leaf=leaf_rows)
 
 
@@ -70,7 +66,7 @@ def q66_rank_customers_by_value(b: Bank) -> DataFrame:
 
 def q67_running_balance(b: Bank, leaf_rows: int = ledger.LEAF_ROWS) -> DataFrame:
     t = split_ledger(b.transactions.select("account_id", "transaction_date", "transaction_id", "amount"), leaf_rows)
-    x = ledger.running_sums(t, "account_id", ledger_order(), {"running_balance": F.col("amount")})
+    x = ledger.running_sums(t, "account_id", {"running_balance": F.col("amount")})
     return x.select(
         "account_id", "transaction_date", "transaction_id", money("amount").alias("amount"),
         money("running_balance").alias("running_balance"),
@@ -127,9 +123,8 @@ def q73_cumulative_deposit_withdrawal(b: Bank, leaf_rows: int = ledger.LEAF_ROWS
     t = b.ledger.select("account_id", "transaction_date", "transaction_id", "type_lc", "amount")
     dep = F.when(F.col("type_lc") == "deposit", F.col("amount")).otherwise(F.lit(0))
     wd = F.when(F.col("type_lc") == "withdrawal", F.abs("amount")).otherwise(F.lit(0))
-    x = ledger.running_sums(
-        split_ledger(t, leaf_rows), "account_id", ledger_order(), {"cum_deposit": dep, "cum_withdrawal": wd}
-    )
+    moved = t.select("account_id", "transaction_date", "transaction_id", dep.alias("_d"), wd.alias("_w"))
+    x = ledger.running_sums(split_ledger(moved, leaf_rows), "account_id", {"cum_deposit": F.col("_d"), "cum_withdrawal": F.col("_w")})
     return x.select(
         "account_id", "transaction_date", "transaction_id",
         money("cum_deposit").alias("cum_deposit"), money("cum_withdrawal").alias("cum_withdrawal"),
@@ -156,7 +151,7 @@ def q75_rank_customers_in_branch_by_balance(b: Bank) -> DataFrame:
     return (
         ranked.join(customer_names(b), "customer_id")
         .select("branch_id", "customer_id", "customer_name", money("total_balance").alias("total_balance"), "branch_rank")
-        .orderBy("branch_id", "branch_rank")
+        .orderBy("branch_id", "branch_rank", "customer_id")
     )
 
 
@@ -192,12 +187,12 @@ def q79_rank_employees_in_branch(b: Bank) -> DataFrame:
         "branch_id", "employee_id", F.coalesce("n", F.lit(0)).cast("long").alias("txn_count")
     )
     ranked = ranking.dense_rank(emp, "txn_count", "branch_rank", by=["branch_id"])
-    return ranked.orderBy("branch_id", "branch_rank")
+    return ranked.orderBy("branch_id", "branch_rank", "employee_id")
 
 
 def q80_gap_between_transactions(b: Bank, leaf_rows: int = ledger.LEAF_ROWS) -> DataFrame:
     t = split_ledger(b.transactions.select("account_id", "transaction_id", "transaction_date"), leaf_rows)
-    x = ledger.previous_order_value(t, "account_id", ledger_order(), "transaction_date", "prev_dt")
+    x = ledger.previous_values(t, "account_id", {"prev_dt": ("transaction_date", 1)})
     # TIMESTAMPDIFF(DAY): whole elapsed 24-hour days (23 hours -> 0), not calendar days.
     return x.where(F.col("prev_dt").isNotNull()).select(
         "account_id", "transaction_id", "transaction_date", "prev_dt",
@@ -229,7 +224,7 @@ def q83_account_share_of_customer_balance(b: Bank) -> DataFrame:
     return (
         cb.join(tot, "customer_id")
         .select("customer_id", "account_id", money("current_balance").alias("current_balance"), pct.alias("pct_contribution"))
-        .orderBy("customer_id", F.desc("pct_contribution"))
+        .orderBy("customer_id", F.desc("pct_contribution"), "account_id")
     )
 
 
@@ -241,11 +236,9 @@ def q84_customers_top10pct_account_count(b: Bank, tiles: int = 10) -> DataFrame:
 def q85_transaction_spikes(
     b: Bank, factor: int = SPIKE_FACTOR, rows: int = SPIKE_ROWS, leaf_rows: int = ledger.LEAF_ROWS
 ) -> DataFrame:
-    amt = F.abs("amount")
-    t = split_ledger(b.transactions, leaf_rows)
-    x = ledger.preceding_rows_sum_count(t, "account_id", ledger_order(), amt, rows, "_s", "_n")
-    x = x.withColumn("_ravg", ratio("_s", "_n"))
-    x = x.where(F.col("_ravg").isNotNull() & (amt.cast("double") > factor * F.col("_ravg")))
+    t = split_ledger(b.transactions.withColumn("_amt", F.abs("amount")), leaf_rows)
+    x = ledger.preceding_rows_sum_count(t, "account_id", "_amt", rows, "_s", "_n").withColumn("_ravg", ratio("_s", "_n"))
+    x = x.where(F.col("_ravg").isNotNull() & (F.col("_amt").cast("double") > factor * F.col("_ravg")))
     return x.select(*ledger_columns(), fround("_ravg", 4).alias("rolling_avg"))
 
 
@@ -258,7 +251,7 @@ def q86_rank_cards_by_usage(b: Bank) -> DataFrame:
         .agg(F.sum(F.coalesce("n", F.lit(0))).cast("long").alias("txn_count"))
     )
     ranked = ranking.dense_rank(usage, "txn_count", "usage_rank", by=["customer_id"])
-    return ranked.orderBy("customer_id", "usage_rank")
+    return ranked.orderBy("customer_id", "usage_rank", "card_id")
 
 
 def q87_branches_increasing_volume(b: Bank, needed: int = INCREASES) -> DataFrame:
@@ -298,8 +291,10 @@ def q88_largest_tx_in_last_tenth(b: Bank, tail_tenths: int = TAIL_TENTHS) -> Dat
 
 def q89_rank_accounts_by_volatility(b: Bank) -> DataFrame:
     g = b.transactions.groupBy("account_id").agg(*cent_moments("amount"))
-    ranked = ranking.dense_rank(g.withColumn("_std", pop_std()), "_std", "volatility_rank", descending=True)
-    return ranked.select("account_id", fround("_std", 4).alias("volatility"), "volatility_rank")
+    # Ranked by the exact variance: equal deviations tie however many rows they come from.
+    ranked = ranking.dense_rank(with_exact_variance(g, "_var"), "_var", "volatility_rank", number=variance_number)
+    std = F.sqrt(variance_number(F.col("_var"))) / 100.0
+    return ranked.select("account_id", fround(std, 4).alias("volatility"), "volatility_rank")
 
 
 def q90_customers_percentile_drop(b: Bank) -> DataFrame:

@@ -1,7 +1,7 @@
 """Staging: the ten banking tables derived from the driver's Parquet tables.
 
 The mapping is the deterministic one of FIXTURES.md section 3. Every table is a narrow
-projection of one source scan (column arithmetic only, no shuffle); the only join is
+projection of one source scan (column arithmetic, rows of several kinds by ``explode``, no shuffle); the only join is
 ``customer`` with the 25-row ``nation`` dimension, which the planner broadcasts by its own
 size check. Scans read only the columns a table needs, so Parquet column pruning and
 predicate pushdown reach the files.
@@ -54,7 +54,13 @@ def opened_date(cust: Column, second: bool) -> Column:
     return F.when(cust % 16 == 4, primary).otherwise(F.date_add(primary, 100))
 
 
-def _pick(key: Column, values: list[str]) -> Column:
+def _kinds(*present: Column) -> Column:
+    """A row for each kind of row that a source row gives (their numbers): one scan instead of a union
+    of scans, and joins are not copied into the branches of a union."""
+    return F.explode(F.array_compact(F.array(*[F.when(p, k) for k, p in enumerate(present)])))
+
+
+def _pick(key: Column, values: list) -> Column:
     expr = None
     for i, v in enumerate(values):
         expr = F.when(key == i, v) if expr is None else expr.when(key == i, v)
@@ -152,48 +158,35 @@ class Bank:
     # ------------------------------------------------------------------ accounts and owners
     @cached_property
     def accounts(self) -> DataFrame:
-        c = F.col("c_custkey")
-        cust = self.src("customer", "c_custkey", "c_acctbal")
-        primary = cust.select(
-            c.alias("account_id"),
-            (c % 25).alias("branch_id"),
-            F.when(c % 2 == 0, "Savings").otherwise("current").alias("account_type"),
-            F.coalesce(_pick(c % 10, ACCOUNT_STATUS_BY_MOD10[:4]), F.lit(ACCOUNT_STATUS_BY_MOD10[4])).alias("status"),
-            dec(F.col("c_acctbal")).alias("current_balance"),
-            opened_date(c, second=False).alias("opened_date"),
+        c, main = F.col("c_custkey"), F.col("_kind") == 0
+        rows = self.src("customer", "c_custkey", "c_acctbal").withColumn("_kind", _kinds(F.lit(True), c % 4 == 0))
+        second_branch = F.when(c % 40 == 0, 100 + F.expr("c_custkey div 40") % 5).when(c % 16 == 8, c % 25).otherwise((c + 5) % 25)
+        own_status = F.coalesce(_pick(c % 10, ACCOUNT_STATUS_BY_MOD10[:4]), F.lit(ACCOUNT_STATUS_BY_MOD10[4]))
+        balance = dec(F.col("c_acctbal"))
+        df = rows.select(
+            F.when(main, c).otherwise(c + S).alias("account_id"),
+            F.when(main, c % 25).otherwise(second_branch).alias("branch_id"),
+            F.when(main, F.when(c % 2 == 0, "Savings").otherwise("current")).otherwise("SAVINGS").alias("account_type"),
+            F.when(main, own_status).otherwise("active").alias("status"),
+            F.when(main, balance).otherwise(dec(balance + 100)).alias("current_balance"),
+            F.when(main, opened_date(c, second=False)).otherwise(opened_date(c, second=True)).alias("opened_date"),
         )
-        second = cust.where(c % 4 == 0).select(
-            (c + S).alias("account_id"),
-            F.when(c % 40 == 0, 100 + F.expr("c_custkey div 40") % 5)
-            .when(c % 16 == 8, c % 25)
-            .otherwise((c + 5) % 25)
-            .alias("branch_id"),
-            F.lit("SAVINGS").alias("account_type"),
-            F.lit("active").alias("status"),
-            dec(dec(F.col("c_acctbal")) + 100).alias("current_balance"),
-            opened_date(c, second=True).alias("opened_date"),
-        )
-        return conform(primary.unionByName(second), "accounts")
+        return conform(df, "accounts")
 
     @cached_property
     def customer_accounts(self) -> DataFrame:
-        c = F.col("c_custkey")
-        cust = self.src("customer", "c_custkey")
-        own = self.accounts.select(
-            F.when(F.col("account_id") >= S, F.col("account_id") - S).otherwise(F.col("account_id")).alias("customer_id"),
-            "account_id",
-            F.col("opened_date").alias("ownership_start_date"),
-        )
-        joint_primary = cust.where(c % 5 == 1).select(
-            c.alias("customer_id"), (c - 1).alias("account_id"),
-            F.date_add(opened_date(c - 1, second=False), 30).alias("ownership_start_date"),
-        )
-        joint_second = cust.where(c % 8 == 1).select(
-            c.alias("customer_id"), (c - 1 + S).alias("account_id"),
-            opened_date(c - 1, second=True).alias("ownership_start_date"),
+        # Kinds: own primary, own second, joint owner of the previous customer's primary, of its second.
+        c, kind = F.col("c_custkey"), F.col("_kind")
+        rows = self.src("customer", "c_custkey").withColumn("_kind", _kinds(F.lit(True), c % 4 == 0, c % 5 == 1, c % 8 == 1))
+        df = rows.select(
+            c.alias("customer_id"),
+            _pick(kind, [c, c + S, c - 1, c - 1 + S]).alias("account_id"),
+            _pick(kind, [
+                opened_date(c, second=False), opened_date(c, second=True),
+                F.date_add(opened_date(c - 1, second=False), 30), opened_date(c - 1, second=True),
+            ]).alias("ownership_start_date"),
         )
-        rows = own.unionByName(joint_primary).unionByName(joint_second)
-        return conform(rows, "customer_accounts")
+        return conform(df, "customer_accounts")
 
     # ------------------------------------------------------------------ ledgers
     @cached_property
@@ -265,21 +258,16 @@ class Bank:
 
     @cached_property
     def cards(self) -> DataFrame:
-        c = F.col("c_custkey")
-        cust = self.src("customer", "c_custkey")
-        ctype = F.when(c % 3 == 0, "credit").otherwise("debit")
-        main = cust.select(
-            (c * 2).alias("card_id"), c.alias("account_id"), ctype.alias("card_type"),
-            F.when(c % 11 == 0, "blocked").otherwise("active").alias("status"),
-        )
-        on_second = cust.where(c % 12 == 0).select(
-            (c * 2).alias("card_id"), (c + S).alias("account_id"), ctype.alias("card_type"), F.lit("active").alias("status"),
-        )
-        prepaid = cust.where(c % 7 == 0).select(
-            (c * 2 + 1).alias("card_id"), c.alias("account_id"), F.lit("prepaid").alias("card_type"),
-            F.lit("active").alias("status"),
+        # Kinds: the main card, the same card on the second account, a prepaid card.
+        c, kind = F.col("c_custkey"), F.col("_kind")
+        rows = self.src("customer", "c_custkey").withColumn("_kind", _kinds(F.lit(True), c % 12 == 0, c % 7 == 0))
+        df = rows.select(
+            F.when(kind == 2, c * 2 + 1).otherwise(c * 2).alias("card_id"),
+            F.when(kind == 1, c + S).otherwise(c).alias("account_id"),
+            F.when(kind == 2, "prepaid").when(c % 3 == 0, "credit").otherwise("debit").alias("card_type"),
+            F.when((kind == 0) & (c % 11 == 0), "blocked").otherwise("active").alias("status"),
         )
-        return conform(main.unionByName(on_second).unionByName(prepaid), "cards")
+        return conform(df, "cards")
 
     @cached_property
     def fees(self) -> DataFrame:

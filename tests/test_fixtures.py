@@ -286,6 +286,27 @@ def test_case_insensitive_grouping_option(spark):
     assert PLANS["q062_loans_above_type_avg_rate"](h.bank, case_insensitive=False).collect() == []
 
 
+def test_accents_and_case_are_one_text(spark):
+    """As under MySQL 8's default collation: é, É, e and E are one letter in groups, DISTINCT and joins."""
+    t = [tx(i, 10, kind, amt, datetime(2023, 1, 1 + i)) for i, (kind, amt) in enumerate([("dépôt", "10.00"), ("DEPOT", "20.00"), ("Dépot", "60.00"), ("x", "-1.00"), (None, "3.00")])]
+    f = Fixture(spark, transactions=t, accounts=[acct(10)])
+    assert {(r["transaction_type"], r["total_impact"]) for r in f.run("q025_transaction_types_by_impact")} == {("DEPOT", 90.0), ("x", -1.0), (None, 3.0)}
+    assert {(r["transaction_type"], r["avg_transaction_size"]) for r in f.run("q011_avg_size_by_transaction_type")} == {("DEPOT", 30.0), ("x", 1.0), (None, 3.0)}
+    ca = [(c, 10, date(2020, 1, 1)) for c in (1, 2, 3, 4)]
+    customers = [(1, "Zoé", "A", None), (2, "ZOE", "a", None), (3, "Ann", "B", None), (4, "zoe", "Á", None)]
+    cards = [(i, 10, kind, "active") for i, kind in enumerate(["Débit", "debit", "DEBIT", "credit"])]
+    g = Fixture(spark, customer_accounts=ca, customers=customers, cards=cards)
+    assert [(r["owners"], r["owner_count"]) for r in g.run("q028_multi_owner_account_owner_list")] == [("Zoé A, Ann B", 4)]
+    assert {r["distinct_card_types"] for r in g.run("q048_customers_multiple_card_types")} == {2}
+    loans = [
+        (i, 1, 10, kind, D(rate), D(1000), date(2020, 1, 1), None, 0, "active")
+        for i, kind, rate in [(1, "Prêt", "4.00"), (2, "pret", "6.00"), (3, "PRÉT", "8.00"), (4, "Auto", "1.00")]
+    ]
+    h = Fixture(spark, loans=loans)
+    assert {(r["loan_type"], r["avg_interest_rate"]) for r in h.run("q014_loan_type_averages")} == {("Auto", 1.0), ("PRÉT", 6.0)}
+    assert [r["loan_id"] for r in h.run("q062_loans_above_type_avg_rate")] == [3]
+
+
 @pytest.fixture(scope="module")
 def empty(spark):
     return Fixture(spark)

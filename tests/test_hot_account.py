@@ -23,12 +23,12 @@ hot = F.col("id") % 3 == 0
 rows = spark.range({ROWS}).select("id", F.when(hot, 0).otherwise(F.col("id") % 900 + 1).alias("acc"),
     F.when(hot, F.lit("2024-01-01 00:00:00")).otherwise(F.concat(F.lit("2024-02-01 "), F.lpad((F.col("id") % 24).cast("string"), 2, "0"), F.lit(":00:00")))
     .cast("timestamp_ntz").alias("ts"), F.lit(1).cast("decimal(18,2)").alias("amt"))
-order = [F.col("ts").asc(), F.col("id").asc()]
+at = {{"ts": "ts", "row_id": "id"}}
 x = ledger.by_time(rows, "acc", "ts", "id", limit={LIMIT}, ids_per_leaf={LIMIT})
-run = ledger.running_sums(x, "acc", order, {{"run": F.col("amt")}})
+run = ledger.running_sums(x, "acc", {{"run": F.col("amt")}}, **at)
 print(run.where("acc = 0").agg(F.max("run"), F.count("run")).first())
-prev = ledger.previous_order_value(x, "acc", order, "ts", "prev")
-last = ledger.preceding_rows_sum_count(x, "acc", order, F.col("amt"), 10, "s", "n")
+prev = ledger.previous_values(x, "acc", {{"prev": ("ts", 1)}}, **at)
+last = ledger.preceding_rows_sum_count(x, "acc", "amt", 10, "s", "n", **at)
 print(prev.where("prev is not null").count(), last.agg(F.sum("n")).first()[0])
 """
 

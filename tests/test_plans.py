@@ -72,3 +72,68 @@ def test_type_filters_reach_the_staged_files(spark, sf_dir, tmp_path, key):
     with contextlib.redirect_stdout(out):
         df.explain()
     assert re.search(r"PushedFilters: \[[^]]*EqualTo\(type_lc,", out.getvalue()), out.getvalue()
+
+
+@pytest.fixture(scope="module")
+def staged_plans(spark, sf_dir, tmp_path_factory):
+    """Plans over staged tables with broadcasts off; without adaptive execution, so that explain()
+    shows which exchanges are read twice."""
+    path = str(tmp_path_factory.mktemp("staged"))
+    Bank(spark, sf_dir).write_staged(path)
+    bank = Bank.from_staged(spark, path)
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+
+    def text(key):
+        try:
+            spark.conf.set("spark.sql.adaptive.enabled", "false")
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+            out = io.StringIO()
+            with contextlib.redirect_stdout(out):
+                plan_functions()[key](bank).explain()
+            return out.getvalue()
+        finally:
+            for k, v in kept.items():
+                spark.conf.set(k, v)
+
+    return text
+
+
+def shuffles(p):
+    return len(re.findall(r"^[^A-Z]*Exchange (?:hash|range|Single)", p, re.M))
+
+
+def scans(p, table):
+    return len(re.findall(rf"FileScan parquet .*/{table}\]", p))
+
+
+@pytest.mark.parametrize("key", ["q067_running_balance", "q073_cumulative_deposit_withdrawal", "q080_gap_between_transactions", "q085_transaction_spikes"])
+def test_ledger_windows_read_the_ledger_twice(staged_plans, key):
+    p = staged_plans(key)
+    assert scans(p, "transactions") == 2 and shuffles(p) <= 5, p
+
+
+@pytest.mark.parametrize(("key", "table"), [("q061_customers_top5pct_tx_count", "transactions"), ("q084_customers_top10pct_account_count", "customer_accounts"), ("q098_customers_top5pct_value", "transactions")])
+def test_top_buckets_read_their_input_at_most_twice(staged_plans, key, table):
+    assert scans(staged_plans(key), table) <= 2
+
+
+@pytest.mark.parametrize("key", ["q032_branches_staffed_without_transactions", "q046_customers_without_interest", "q055_joint_owners_no_activity"])
+def test_mapped_sources_are_not_copied_into_joins(spark, sf_dir, key):
+    """Semi and anti joins over the mapped tables read each source once for each use of a table."""
+    p = plan(spark, sf_dir, key)
+    for column, most in (("o_orderkey|o_custkey", 1), ("event_id|user_id", 1), ("c_custkey", 4)):
+        assert len(re.findall(rf"FileScan parquet \[(?:{column})", p)) <= most, p
+
+
+UNIQUE = {"account_id", "customer_id", "branch_id", "transaction_id", "employee_id", "card_id", "ym", "transaction_type", "loan_type"}
+
+
+def test_final_sorts_end_in_a_unique_key(spark, sf_dir):
+    """A sort key with few values would send all rows of a value to one task."""
+    found = 0
+    for key in QUERIES:
+        for order in re.findall(r"rangepartitioning\((.*), \d+\)", plan(spark, sf_dir, key)):
+            found += 1
+            last = re.findall(r"(\w+)#\d+L? (?:ASC|DESC)", order)[-1]
+            assert last in UNIQUE, (key, order)
+    assert found > 25
