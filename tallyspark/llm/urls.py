@@ -2,16 +2,20 @@
 
 A rule is a host with a path prefix; it fits its host and every subdomain when the url's path
 starts with the rule's, and the longest fitting rule decides. Where none fits, the vocabulary
-does: one automaton over all terms reads host and path once; a hit counts only between
-borders (no ASCII letter or digit beside it); one strict term, or different soft
-terms whose weights reach ``soft_limit``, block the url.
-
-Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule
-and is allowed; repeated rows are judged alike.
+does: one automaton over all terms reads the whole url once, query, fragment and urls without a
+scheme included, with its percent escapes decoded; a hit counts only between borders (no ASCII
+letter or digit beside it). One strict term, or different soft terms whose weights add up to
+``soft_limit``, block the url. Forms of one word are one term, and no soft term reaches the limit
+alone.
+
+Defined results: a null url is empty; a url without ``://`` has an empty host and path and fits no
+rule; repeated rows are judged alike; an empty table gives no rows; long urls are read whole; an
+escape of a byte beyond ASCII, or of a control character, is a border; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import ahocorasick
@@ -29,24 +33,25 @@ RULES = (
     ("allow", "org", "/fr/"),
 )
 #: Terms that reject alone, and soft terms by weight: common url words of adult, gambling, pharmacy,
-#: credit, piracy, malware and advertising sites, listed by subject and not from any table. No soft term
-#: reaches the limit alone and any two do, so a url goes on one strict term or on two or more
-#: different soft ones.
+#: credit, piracy, malware and advertising sites, listed by subject and not from any table. A term is
+#: its forms, joined by "/". Weight 3: words of such sites that hardly stand elsewhere, enough with any other term;
+#: 2: words that two of make such a site; 1: words of ordinary shops and banks too.
 STRICT = (
-    "porn", "porno", "pornhub", "xxx", "xnxx", "xvideos", "hentai", "milf", "camgirl", "camgirls", "escort", "escorts",
+    "porn/porno/pornhub", "xxx", "xnxx", "xvideos", "hentai", "milf", "camgirl/camgirls", "escort/escorts",
     "casino", "viagra", "cialis", "levitra", "spam", "malware", "phishing", "ransomware", "warez",
 )
-_SOFT_WORDS = (
-    "adult adults sex sexy sexual nude nudes naked erotic erotica fetish webcam webcams cam cams hookup hookups dating "
-    "bet bets bettor betting gamble gambling poker slot slots roulette blackjack bingo jackpot lottery lotto sportsbook wager "
-    "pill pills pharmacy drugstore steroid steroids prescription meds tablets "
-    "loan loans payday lender lenders credit debt mortgage forex "
-    "keygen crack cracked cracks serial torrent torrents hack hacks hacked cheat cheats nulled "
-    "free cheap cheapest discount bonus win winner prize giveaway coupon coupons replica "
-    "ad ads advert adverts adserver banner banners popup popups click clicks affiliate track tracker tracking"
-)
-SOFT = {term: 2 for term in _SOFT_WORDS.split()}
-SOFT_LIMIT = 3
+_SOFT_WORDS = {
+    3: "adult/adults sexy nude/nudes/naked erotic/erotica fetish hookup/hookups bet/bets/bettor/betting gamble/gambling poker "
+    "roulette blackjack jackpot sportsbook wager pill/pills steroid/steroids payday keygen torrent/torrents nulled",
+    2: "sex/sexual webcam/webcams cam/cams dating slot/slots bingo lottery/lotto pharmacy/drugstore meds crack/cracked/cracks "
+    "serial/serials hack/hacks/hacked cheat/cheats replica/replicas ad/ads/advert/adverts adserver popup/popups "
+    "click/clicks track/tracker/tracking",
+    1: "free cheap/cheapest discount/discounts bonus win/winner prize/prizes giveaway coupon/coupons prescription tablets "
+    "loan/loans lender/lenders credit debt mortgage forex banner/banners affiliate",
+}
+SOFT = {term: weight for weight, terms in _SOFT_WORDS.items() for term in terms.split()}
+SOFT_LIMIT = 4
+ESCAPE = re.compile("%([0-9A-Fa-f]{2})")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -69,24 +74,27 @@ def fitting_rule(rules: tuple[tuple[str, str, str], ...], host: Column, path: Co
 
 def automaton(strict: tuple[str, ...], soft: dict[str, int]) -> ahocorasick.Automaton:
     auto = ahocorasick.Automaton()
-    for term in strict:
-        auto.add_word(term, (term, True, 0))
-    for term, weight in soft.items():
-        if term not in strict:
-            auto.add_word(term, (term, False, weight))
+    for term, weight in [*soft.items(), *[(t, None) for t in strict]]:
+        for form in term.split("/"):
+            auto.add_word(form, (len(form), term, weight))
     auto.make_automaton()
     return auto
 
 
+def decoded(url: str) -> str:
+    """Percent escapes of printable ASCII as their characters, of other bytes as a space; once."""
+    return ESCAPE.sub(lambda m: chr(int(m[1], 16)) if 32 <= int(m[1], 16) < 127 else " ", url) if "%" in url else url
+
+
 def hits(auto: ahocorasick.Automaton, text: str) -> tuple[int, int]:
     """Different strict terms, and the summed weight of different soft terms, between borders."""
     strict, soft, last = set(), {}, len(text) - 1
-    for end, (term, is_strict, weight) in auto.iter(text):
-        start = end - len(term) + 1
+    for end, (size, term, weight) in auto.iter(text):
+        start = end - size + 1
         before, after = text[start - 1] if start else "", text[end + 1] if end < last else ""
         if (before.isascii() and before.isalnum()) or (after.isascii() and after.isalnum()):
             continue
-        if is_strict:
+        if weight is None:
             strict.add(term)
         else:
             soft[term] = weight
@@ -103,17 +111,16 @@ def judge(
     """page_id, host, path, rule, verdict, strict_hits, soft_weight of every page."""
     soft = SOFT if soft is None else soft
     host, path = host_and_path(F.col("url").cast("string"))
-    parts = pages.select("page_id", host.alias("host"), path.alias("path"))
+    url = F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url")
+    parts = pages.select("page_id", host.alias("host"), path.alias("path"), url)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         auto = automaton(strict, soft)
         for b in batches:
-            found = [
-                hits(auto, (h + p).translate(_FOLD)) for h, p in zip(b["host"].to_pylist(), b["path"].to_pylist(), strict=True)
-            ]
+            found = [hits(auto, decoded(u).translate(_FOLD)) for u in b["url"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array([x[0] for x in found], pa.int32()), pa.array([x[1] for x in found], pa.int32())],
-                names=[*b.schema.names, "strict_hits", "soft_weight"],
+                [*b.columns[:3], pa.array([x[0] for x in found], pa.int32()), pa.array([x[1] for x in found], pa.int32())],
+                names=["page_id", "host", "path", "strict_hits", "soft_weight"],
             )
 
     kind = parts.schema["page_id"].dataType.simpleString()
@@ -127,31 +134,35 @@ def judge(
 
 
 def _vocabulary_sql() -> str:
-    rows = [f"('{t}', true, 0)" for t in STRICT] + [f"('{t}', false, {w})" for t, w in SOFT.items()]
-    return ", ".join(rows)
+    rows = [(form, term, weight) for term, weight in [*SOFT.items(), *[(t, 0) for t in STRICT]] for form in term.split("/")]
+    return ", ".join(map(repr, rows))
 
 
 SQL = f"""
 WITH u AS (
-    SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+    SELECT page_id, coalesce(url, '') AS url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), p AS (
-    SELECT page_id,
+    SELECT page_id, url,
            coalesce(translate(regexp_extract(rest, '^([^/?#]*)', 1, 's'), '{UPPER}', '{LOWER}'), '') AS host,
            coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1, 's'), '') AS path
     FROM u
 ), rules(verdict, h, start) AS (
     VALUES {", ".join(repr(r) for r in RULES)}
-), terms(term, strict, weight) AS (
+), terms(form, term, weight) AS (
     VALUES {_vocabulary_sql()}
 ), best AS (
     SELECT page_id, max_by(h || start, length(h || start)) AS rule, max_by(verdict, length(h || start)) AS verdict
     FROM (SELECT DISTINCT page_id, host, path FROM p) JOIN rules
       ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, start)
     GROUP BY page_id
+), plain AS (
+    SELECT DISTINCT page_id, translate(string_split(url, '%')[1] || array_to_string(list_transform(string_split(url, '%')[2:], lambda x:
+        CASE WHEN regexp_matches(x, '^([2-6][0-9A-Fa-f]|7[0-9A-Ea-e])') THEN chr(CAST('0x' || x[1:2] AS INTEGER)) || x[3:]
+             WHEN regexp_matches(x, '^[0-9A-Fa-f][0-9A-Fa-f]') THEN ' ' || x[3:] ELSE '%' || x END), ''), '{UPPER}', '{LOWER}') AS t
+    FROM p
 ), found AS (
-    SELECT page_id, count(*) FILTER (WHERE strict) AS strict_hits, sum(weight) AS soft_weight
-    FROM (SELECT DISTINCT page_id, translate(host || path, '{UPPER}', '{LOWER}') AS t FROM p) JOIN terms
-      ON regexp_matches(t, '(^|[^a-z0-9])' || term || '([^a-z0-9]|$)')
+    SELECT page_id, count(*) FILTER (WHERE weight = 0) AS strict_hits, sum(weight) AS soft_weight
+    FROM (SELECT DISTINCT page_id, term, weight FROM plain JOIN terms ON regexp_matches(t, '(^|[^a-z0-9])' || form || '([^a-z0-9]|$)'))
     GROUP BY page_id
 )
 SELECT page_id, host, path, best.rule,
