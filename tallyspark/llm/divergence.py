@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from tallyspark.llm.common import LOWER, UPPER, staged
 
 MIN_DOCS = 3
-FIRST = 4
+FIRST = 8
 BITS = 1 << 26
 ENTRIES = 400_000
 BLOCK = 512
