@@ -7,7 +7,8 @@ the smallest (doc_id, text hash, position), and every later one is removed: the
 later occurrence covers go, and what remains is joined again. Only hashes and positions are
 shuffled to find the windows; texts travel once, to meet the lines to be cut.
 
-Defined results: null text has no lines and stays null; null doc_ids come last; documents of
+Defined results: an empty table gives no rows; a text of any length is read whole, in time linear in its lines; other
+columns are kept in ``_doc``, whatever their names; null text has no lines and stays null; null doc_ids come last; documents of
 fewer than three such lines never change; rows with an equal doc_id and text are one document
 written twice (they share one fate). A document all of whose lines go keeps its row, with an empty text.
 """
@@ -59,7 +60,7 @@ def covered_lines(docs: DataFrame) -> DataFrame:
     # Written, so that both sides of the join are exchanged for it and a hot window can be split.
     first = staged(first, "line-windows")
     later = w.join(first, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2"))).where(place > F.col("_first"))
-    return later.select("_id", "_th", F.explode("at").alias("i")).groupBy("_id", "_th").agg(F.collect_set("i").alias("_cut"))
+    return later.select("_id", "_th", F.explode("at").alias("i")).groupBy("_id", "_th").agg(F.sort_array(F.collect_set("i")).alias("_cut"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -69,7 +70,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     joined = rows.join(
         cut, F.col("doc_id").eqNullSafe(F.col("_cid")) & F.xxhash64(F.col("_text")).eqNullSafe(F.col("_cth")), "left"
     )
-    left = F.expr("array_join(filter(split(_text, '\\n', -1), (x, i) -> not array_contains(_cut, i)), '\\n')")
+    # A mask of the lines up to the last one cut, from the gaps between cut positions: linear in the lines.
+    gaps = "transform(_cut, (c, k) -> concat(array_repeat(false, c - if(k = 0, -1, _cut[k - 1]) - 1), array(true)))"
+    left = F.expr(f"array_join(zip_with(split(_text, '\\n', -1), flatten({gaps}), (x, m) -> if(coalesce(m, false), NULL, x)), '\\n')")
     fields = [
         F.when(F.col("_cut").isNull(), F.col("_text")).otherwise(left).alias("text") if c == "text" else F.col("_doc").getField(c).alias(c)
         for c in docs.columns
