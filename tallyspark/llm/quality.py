@@ -6,14 +6,15 @@ features; a feature's value is its count over the square root of all counts. Wei
 follow-the-regularised-leader updates, one labelled text at a time, and a score is the
 logistic function of a sparse dot product.
 
-Training reads at most ``SAMPLE`` labelled documents (those with the smallest hash of doc_id; an
+Training reads at most ``SAMPLE`` labelled documents (those with the smallest hash of doc_id, one row an id; an
 equal share of each label's rows is not forced) outside the held-out fold, and only their text and
-label. Features are made by many tasks; one task applies the updates, and the weights (2**BITS
+label. Features are made and counted by many tasks; one task applies the updates, and the weights (2**BITS
 floats, a fixed size) are broadcast. Every whole text is scored.
 
 Defined results: null text is an empty text; a text without tokens scores the bias alone; a null
 doc_id is held out; labels that are null, or that contradict each other, are not learnt from; without
-labels every score is 0.5.
+labels every score is 0.5; an empty table gives no rows; a text of any length is scored whole; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -103,7 +104,8 @@ def counted(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
-    """doc_id, text and y of the rows to learn from: at most ``sample`` of them (``SAMPLE``)."""
+    """doc_id, text and y of the rows to learn from: at most ``sample`` of them, one for each id (of
+    repeated ids the text with the smallest hash)."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(
         F.min(label).alias("y"), F.max(label).alias("_y")
     )
@@ -113,7 +115,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, sample: int)
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(sample)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "y")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select("doc_id", text.alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    return rows.groupBy("doc_id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("doc_id", "text", "y")
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, bits: int = BITS, epochs: int = 3) -> np.ndarray:
@@ -123,15 +127,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
         for b in batches:
             for i, j, data, off in V.blocks(b["text"]):
                 found, at = features(data, off, bits)
-                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(found, pa.int32()))
-                yield pa.RecordBatch.from_arrays([b["doc_id"][i:j], b["y"][i:j].cast(pa.int32()), lists], names=["doc_id", "y", "f"])
+                examples = [counted(found[p:q]) for p, q in zip(at, at[1:], strict=False)]
+                lists = [pa.array([e[k] for e in examples], pa.list_(kind)) for k, kind in enumerate((pa.int32(), pa.float64()))]
+                yield pa.RecordBatch.from_arrays([b["doc_id"][i:j], b["y"][i:j].cast(pa.int32()), *lists], names=["doc_id", "y", "f", "x"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[int, int, np.ndarray, np.ndarray]] = []
         for b in batches:
-            at, flat = b["f"].offsets.to_numpy(), b["f"].values.to_numpy()
             for k, (doc, y) in enumerate(zip(b["doc_id"].to_pylist(), b["y"].to_pylist(), strict=True)):
-                f, x = counted(flat[at[k] : at[k + 1]])
+                f, x = (b[c][k].values.to_numpy() for c in ("f", "x"))
                 rows.append((doc, y, np.append(f, 1 << bits), np.append(x, 1.0)))
         rows.sort(key=lambda r: (r[0], r[1], len(r[2])))
         model = Ftrl(1 << bits)
@@ -142,7 +146,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
         w = model.weights().astype(np.float32)
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary())], names=["w"])
 
-    found = labelled_sample(docs, labels, label, sample).mapInArrow(extract, "doc_id long, y int, f array<int>")
+    found = labelled_sample(docs, labels, label, sample).mapInArrow(
+        extract, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, y int, f array<int>, x array<double>"
+    )
     row = found.repartition(1).mapInArrow(fit, "w binary").first()
     return np.frombuffer(row["w"], dtype=np.float32) if row else np.zeros((1 << bits) + 1, np.float32)
 

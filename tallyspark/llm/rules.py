@@ -2,14 +2,15 @@
 
 Base rules come from counts of the whole text: too few words, or too many words inside three-word
 windows that the text repeats. What passes them is judged by a logistic regression over hashed
-word n-grams (words and neighbours) and hashed character n-grams (4 bytes, and the coarse shape of 6
-neighbouring characters), trained on labelled rows by Adagrad and calibrated by Platt's sigmoid
+word n-grams (words and neighbours) and hashed character n-grams (from every character on the ``GRAM``
+next, and the coarse shapes of the ``SHAPES`` next; what is left of them at a text's end), trained on labelled rows by Adagrad and calibrated by Platt's sigmoid
 on a fold it has not seen; a document stays when the probability of label 1 reaches
 ``THRESHOLD``. Scoring runs in Arrow batches.
 
-Training reads at most ``SAMPLE`` labelled rows outside the held-out fold (crc32 of doc_id modulo 5
-is 0). Defined results: null text has no words and fails the base rules; repeated rows are judged
-alike; without labels of both kinds the probability is 0.5 for every text.
+Training reads at most ``SAMPLE`` labelled documents, one row an id, outside the held-out fold (crc32 of doc_id modulo 5
+is 0); their features are made by many tasks and learnt from by one. Defined results: null text has no words and fails the base
+rules; repeated rows are judged alike; without labels of both kinds the probability is 0.5 for every text; an empty table gives
+no rows; texts of any length are read whole; other columns are kept in ``_doc``, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from tallyspark.llm.common import packed
 from tallyspark.llm.quality import labelled_sample, pairs, sigmoid
 
 BITS = 18
+GRAM, SHAPES = 4, 6
 SAMPLE = 5_000
 THRESHOLD = 0.3
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -97,31 +99,31 @@ def word_features(h: np.ndarray, at: np.ndarray, bits: int) -> tuple[np.ndarray,
     return out, 2 * at
 
 
-def char_features(data: np.ndarray, off: np.ndarray, bits: int) -> np.ndarray:
-    """One feature per byte in the upper half: the four bytes from it, or every second byte the
-    shape of the six from it (shorter at a text's end)."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint32)
-    n, half = len(data), 1 << (bits - 1)
-    quad = padded[:n] | padded[1 : n + 1] << 8 | padded[2 : n + 2] << 16 | padded[3 : n + 3] << 24
-    s = _SHAPE[padded]
-    shape = np.zeros(n, dtype=np.uint32)
-    for k in range(6):
-        shape = shape * np.uint32(6) + s[k : n + k]
-    in_text = np.arange(n) - np.repeat(off[:-1], np.diff(off))
-    grams = np.where(in_text & 1, shape + np.uint32(0x5BD1E995), quad) * np.uint32(2654435761)
-    out = ((grams ^ (grams >> np.uint32(15))) * np.uint32(2246822519) >> np.uint32(33 - bits)).astype(np.int32) + half
-    near_end = np.zeros(n, dtype=bool)  # grams that would reach into the next text
-    for k in range(1, 7):
-        p = off[1:] - k
-        near_end[p[p >= off[:-1]]] = True
-    out[near_end] = half
-    return out
+def char_features(data: np.ndarray, off: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two features per character (code point) in the upper half: the ``GRAM`` characters from it, and the
+    shapes of the ``SHAPES`` characters from it, fewer at the text's end; and where each document's begin."""
+    start = np.flatnonzero((data & 0xC0) != 0x80)
+    at = np.searchsorted(start, off)
+    n, sizes = len(start), np.diff(at)
+    last, text_end = np.repeat(at[1:], sizes), np.repeat(off[1:], sizes)
+    following = np.concatenate([start, np.full(GRAM, len(data), dtype=start.dtype)])[GRAM:]
+    gram = V.Spans(data).hash(start, np.minimum(following, text_end))
+    kinds = np.concatenate([_SHAPE[data[start]].astype(np.uint64) + np.uint64(1), np.zeros(SHAPES, np.uint64)])
+    shape = np.zeros(n, dtype=np.uint64)
+    for k in range(SHAPES):
+        shape = shape * np.uint64(8) + np.where(np.arange(k, n + k) < last, kinds[k : n + k], np.uint64(0))
+    out = np.empty(2 * n, dtype=np.int32)
+    shift, half = np.uint64(65 - bits), 1 << (bits - 1)
+    out[0::2] = (gram >> shift).astype(np.int32) + half
+    out[1::2] = (V.mix(shape + np.uint64(0x5BD1E995)) >> shift).astype(np.int32) + half
+    return out, 2 * at
 
 
 def _scaled_sums(w: np.ndarray, data: np.ndarray, off: np.ndarray, h: np.ndarray, at: np.ndarray, bits: int) -> np.ndarray:
     f, fa = word_features(h, at, bits)
     words = V.sums(w[f].astype(np.float64), fa) / np.sqrt(np.maximum(1, np.diff(fa)))
-    chars = V.sums(w[char_features(data, off, bits)].astype(np.float64), off) / np.sqrt(np.maximum(1, np.diff(off)))
+    c, ca = char_features(data, off, bits)
+    chars = V.sums(w[c].astype(np.float64), ca) / np.sqrt(np.maximum(1, np.diff(ca)))
     return words + chars
 
 
@@ -129,7 +131,7 @@ def _example(data: np.ndarray, off: np.ndarray, bits: int) -> tuple[np.ndarray,
     """Features and values of a one-document block."""
     start, end, at = V.words(data, off)
     f, _ = word_features(V.Spans(data).hash(start, end), at, bits)
-    c = char_features(data, off, bits)
+    c, _ = char_features(data, off, bits)
     fw, cw = np.unique(f, return_counts=True)
     fc, cc = np.unique(c, return_counts=True)
     x = np.concatenate([cw / np.sqrt(max(1, len(f))), cc / np.sqrt(max(1, len(c)))])
@@ -137,7 +139,9 @@ def _example(data: np.ndarray, off: np.ndarray, bits: int) -> tuple[np.ndarray,
 
 
 def _fit(rows: list[tuple[int, int, np.ndarray, np.ndarray]], bits: int, epochs: int) -> tuple[np.ndarray, float, float, float]:
-    """Weights, bias, and the slope and shift of the calibration."""
+    """Weights, bias, and the slope and shift of the calibration; zeros unless both labels occur."""
+    if len({r[1] for r in rows}) < 2:
+        return np.zeros(1 << bits, np.float32), 0.0, 1.0, 0.0
     rows.sort(key=lambda r: (r[0], r[1], len(r[2])))
     fold = np.arange(len(rows)) % 4 == 0  # held back for the calibration
     w, seen, bias, bias_seen, rate = np.zeros(1 << bits, np.float32), np.full(1 << bits, 1e-3, np.float32), 0.0, 1e-3, 0.3
@@ -170,17 +174,25 @@ def _fit(rows: list[tuple[int, int, np.ndarray, np.ndarray]], bits: int, epochs:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, bits: int = BITS, epochs: int = 2) -> np.ndarray:
     """2**bits weights, then bias, slope and shift."""
 
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j, data, off in V.blocks(b["text"], 1):  # a block per document
+                f, x = _example(data, off, bits)
+                columns = [b["doc_id"][i:j], b["y"][i:j].cast(pa.int32()), pa.array([f], pa.list_(pa.int32())), pa.array([x], pa.list_(pa.float32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "y", "f", "x"])
+
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = []
         for b in batches:
-            docs_, ys = b["doc_id"].to_pylist(), b["y"].to_pylist()
-            for i, _, data, off in V.blocks(b["text"], 1):  # a block per document
-                rows.append((docs_[i], ys[i], *_example(data, off, bits)))
-        w, *rest = _fit(rows, bits, epochs) if rows else (np.zeros(1 << bits, np.float32), 0.0, 1.0, 0.0)
+            for k, (doc, y) in enumerate(zip(b["doc_id"].to_pylist(), b["y"].to_pylist(), strict=True)):
+                rows.append((doc, y, b["f"][k].values.to_numpy(), b["x"][k].values.to_numpy()))
+        w, *rest = _fit(rows, bits, epochs)
         model = np.concatenate([w, rest]).astype(np.float32)
         yield pa.RecordBatch.from_arrays([pa.array([model.tobytes()], pa.binary())], names=["w"])
 
-    row = labelled_sample(docs, labels, label, sample).repartition(1).mapInArrow(fit, "w binary").first()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = labelled_sample(docs, labels, label, sample).mapInArrow(extract, f"doc_id {kind}, y int, f array<int>, x array<float>")
+    row = found.repartition(1).mapInArrow(fit, "w binary").first()
     return np.frombuffer(row["w"], dtype=np.float32) if row else np.append(np.zeros((1 << bits) + 1), [1.0, 0.0]).astype(np.float32)
 
 

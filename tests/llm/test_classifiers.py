@@ -1,3 +1,4 @@
+import re
 import zlib
 
 import brute
@@ -43,8 +44,8 @@ def test_block_borders_do_not_matter():
             a, at = quality.features(data, off)
             f += [tuple(a[i:j]) for i, j in zip(at, at[1:], strict=False)]
             counts, (h, wat) = rules.measures(data, off)
-            c = rules.char_features(data, off, 18)
-            g += [(*(int(v[k]) for v in counts.values()), tuple(h[wat[k] : wat[k + 1]]), tuple(c[off[k] : off[k + 1]])) for k in range(len(off) - 1)]
+            c, cat = rules.char_features(data, off, 18)
+            g += [(*(int(v[k]) for v in counts.values()), tuple(h[wat[k] : wat[k + 1]]), tuple(c[cat[k] : cat[k + 1]])) for k in range(len(off) - 1)]
         if size == 1:
             first = f, g
         assert (f, g) == first
@@ -115,3 +116,128 @@ def test_no_labels_and_empty_tables(spark):
     empty = spark.createDataFrame([], brute.COLUMNS)
     assert quality.score(empty, quality.train(empty, none)).collect() == []
     assert rules.judge(empty, rules.train(empty, none)).collect() == []
+
+
+def plain_mix(x):
+    x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) % 2**64
+    x = ((x ^ x >> 27) * 0x94D049BB133111EB) % 2**64
+    return x ^ x >> 31
+
+
+def plain_hash(raw):
+    """vectext's span hash of some bytes, in Python integers."""
+    h = sum(int(V._TABLE[0][c]) * pow(V._BASE[0], i, 2**64) for i, c in enumerate(raw)) % 2**64
+    return plain_mix(h ^ ((len(raw) << 40) % 2**64))
+
+
+def plain_char_features(text, bits=18):
+    def kind(ch):
+        b = ch.encode()[0]
+        return 1 if ch in " \t\n\v\f\r" else 2 if 65 <= b <= 90 else 3 if 97 <= b <= 122 else 4 if 48 <= b <= 57 else 5 if b > 127 else 6
+
+    kinds, out = [kind(c) for c in text] + [0] * 6, []
+    for i in range(len(text)):
+        shape = sum(kinds[i + k] * 8 ** (5 - k) for k in range(6))
+        for h in (plain_hash(text[i : i + 4].encode()), plain_mix(shape + 0x5BD1E995)):
+            out.append((h >> (65 - bits)) + (1 << (bits - 1)))
+    return out
+
+
+def test_character_features_equal_plain_python():
+    texts = ["Ab 9é日本語!\n\tx", "", "x", "日", "The quick brown fox 123", "a\u0301😀😀b"]
+    data, off = V.buffer(pa.array(texts))
+    got, at = rules.char_features(data, off, 18)
+    assert [got[i:j].tolist() for i, j in zip(at, at[1:], strict=False)] == [plain_char_features(t) for t in texts]
+
+
+def test_a_shifted_text_shares_nearly_all_character_features():
+    text = " ".join(brute.passage(3, 40))
+    sets = [set(plain_char_features(t)) for t in (text, "é" + text, "xy" + text)]
+    assert all(len(sets[0] & s) >= 0.95 * len(sets[0]) for s in sets[1:])
+
+
+def plain_token_features(text, bits=18):
+    out, before = [], 7
+    for t in [t for w in brute.words(text) for t in re.findall("[0-9A-Za-z\x80-\U0010ffff]+|[^0-9A-Za-z\x80-\U0010ffff]+", w)]:
+        h = plain_hash(t.encode())
+        pair = 0xA5A5A5A5A5A5A5A5 if before == h else plain_mix((before * 0x9E3779B97F4A7C15 + h) % 2**64)
+        out += [h >> (64 - bits), pair >> (64 - bits)]
+        before = h
+    return out
+
+
+def test_token_features_and_ftrl_equal_plain_python():
+    texts, labels = ["Ab, cd!! é1 ab ab ab", "", "one two #3", "one one two"] * 3, [1, 0, 0, 1] * 3
+    data, off = V.buffer(pa.array(texts))
+    got, at = quality.features(data, off)
+    assert [got[i:j].tolist() for i, j in zip(at, at[1:], strict=False)] == [plain_token_features(t) for t in texts]
+    model, z, n = quality.Ftrl(1 << 18), {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= model.l1:
+            return 0.0
+        return -(z[i] - np.sign(z[i]) * model.l1) / ((model.beta + n[i] ** 0.5) / model.alpha + model.l2)
+
+    for t, y in zip(texts, labels, strict=True):
+        found = plain_token_features(t)
+        x = {f: found.count(f) / max(1, len(found)) ** 0.5 for f in found} | {1 << 18: 1.0}
+        f, v = quality.counted(np.array(found, np.int32))
+        model.learn(np.append(f, 1 << 18), np.append(v, 1.0), y)
+        p = 1 / (1 + np.exp(-sum(weight(i) * c for i, c in x.items())))
+        for i, c in x.items():
+            g, old, seen = (p - y) * c, weight(i), n.get(i, 0.0)
+            n[i] = seen + g * g
+            z[i] = z.get(i, 0.0) + g - (n[i] ** 0.5 - seen**0.5) / model.alpha * old
+    assert np.allclose(model.weights(np.array(list(z))), [weight(i) for i in z])
+
+
+def test_adagrad_and_calibration_equal_plain_python():
+    rng = np.random.default_rng(2)
+    rows = []
+    for k in range(80):
+        f = rng.choice(64, size=6, replace=False).astype(np.int32)
+        x = rng.random(6).astype(np.float32)
+        rows.append((k, int(x[f < 32].sum() > x[f >= 32].sum()) if k % 7 else int(rng.integers(2)), f, x))
+    w, bias, slope, shift = rules._fit(list(rows), 6, 2)
+    want, seen, b, b_seen = [0.0] * 64, [1e-3] * 64, 0.0, 1e-3
+    learn = [k for k in range(80) if k % 4]
+    for epoch in range(2):
+        for k in np.random.Generator(np.random.PCG64(epoch)).permutation(learn):
+            _, y, f, x = rows[k]
+            g = 1 / (1 + np.exp(-(sum(want[i] * v for i, v in zip(f, x, strict=True)) + b))) - y
+            for i, v in zip(f, x, strict=True):
+                step = g * v + 1e-6 * want[i]
+                seen[i] += step * step
+                want[i] -= 0.3 * step / seen[i] ** 0.5
+            b_seen += g * g
+            b -= 0.3 * g / b_seen**0.5
+    assert np.allclose(w, want, atol=1e-4) and abs(bias - b) < 1e-4
+    # The calibration is the minimum of the logistic loss on the fold: a grid around it is no better.
+    fold = [rows[k] for k in range(0, 80, 4)]
+    m, y = np.array([float(w[f] @ x) + bias for _, _, f, x in fold]), np.array([r[1] for r in fold], float)
+    goal = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
+
+    def loss(a, s):
+        p = 1 / (1 + np.exp(-(a * m + s)))
+        return -(goal * np.log(p) + (1 - goal) * np.log(1 - p)).sum()
+
+    assert loss(slope, shift) <= min(loss(slope + i / 50, shift + j / 50) for i in range(-5, 6) for j in range(-5, 6)) + 1e-3
+
+
+def test_sample_bounds_rows_and_one_kind_gives_one_half(spark):
+    rows, labels = labelled(120)
+    many = [(k % 60, f"{t} {k}", *r) for k, (_, t, *r) in enumerate(rows * 5)]
+    docs, known = spark.createDataFrame(many, brute.COLUMNS), spark.createDataFrame(labels, LABELS)
+    for n in (7, 1000):
+        taken = quality.labelled_sample(docs, known, "quality", n).collect()
+        assert 0 < len(taken) == len({r["doc_id"] for r in taken}) <= n
+    ones = spark.createDataFrame([(k, 1, 0) for k in range(60)], LABELS)
+    assert {r["probability"] for r in rules.judge(docs, rules.train(docs, ones)).collect()} == {0.5}
+
+
+def test_string_ids(spark):
+    rows, labels = labelled(60)
+    docs = spark.createDataFrame(rows, brute.COLUMNS).withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id")))
+    known = spark.createDataFrame(labels, LABELS).withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id")))
+    assert quality.score(docs, quality.train(docs, known)).count() == 60
+    assert rules.judge(docs, rules.train(docs, known)).count() == 60
