@@ -31,6 +31,21 @@ def staged(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``staged`` wrote and nothing reads any more. Only folders inside the shared
+    folder go; Spark Connect sessions, which have no file system at hand, keep them."""
+    for df in tables:
+        spark = df.sparkSession
+        root = ensure_checkpoint_dir(spark).rstrip("/")
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        if not hasattr(spark, "_jvm"):
+            return
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            if folder.split(":", 1)[-1].lstrip("/").startswith(root.split(":", 1)[-1].lstrip("/") + "/"):
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -13,20 +13,21 @@ text). An entry is
 
 A batch of documents gives a sorted run (level 0). A run is merge-scanned against all levels for
 keys that occur again, and levels of equal rank are merged, so a family of b batches has at
-most log2(b) + 1 levels and an entry is rewritten log2(b) times. Matches tell, of each entry
+most log2(b) + 1 levels and an entry is rewritten log2(b) times; levels that were merged are deleted. Matches tell, of each entry
 whose key repeats, whether its whole union repeats (``full``) or its key has several unions
 (``mixed``), where only some of the windows may repeat.
 
 Documents then look their own entries up. Full unions are removed as they are. Of mixed ones the
-bytes of the unions (under 2 * length) are brought together by key and windows compared by 64-bit
-fingerprints inside the key: one task for a key's different unions, or, beyond ``HOT`` unions of
+bytes of the unions (under 2 * length) are brought together by key, each different union once, and windows compared by
+64-bit fingerprints inside the key: one task for a key's different unions, or, beyond ``HOT`` unions of
 one key, one row for each window, so that no task holds a hot key. Positions are judged on
 the input text.
 
 Equality rests on the key's and the union's or window's fingerprints together (over 100 bits).
 
 Defined results: null text is an empty text; texts shorter than ``length`` never change; a null
-doc_id is a document like any other; rows with equal doc_id and text are two documents whose texts
+doc_id is a document like any other; ids may be of any type; an empty table gives no rows; texts of any length are
+read whole; other columns are ignored; rows with equal doc_id and text are two documents whose texts
 repeat each other; periodic text repeats itself where windows overlap.
 """
 
@@ -43,11 +44,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyspark.llm import vectext as V
-from tallyspark.llm.common import staged
+from tallyspark.llm.common import discard, staged
 
 LENGTH, GRAM, MARGIN = 200, 16, 8
 #: Unions of one key that one task compares; keys with more are compared window by window.
-HOT = 20_000
+HOT = 1_000
+BATCHES = 3
 FULL, PARTNER, SINGLE = 0, 1, 2
 
 
@@ -85,7 +87,8 @@ def _identified(docs: DataFrame) -> DataFrame:
     """doc_id, (did, th) which name the document without nulls, text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(
-        "doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")).alias("did"),
+        "doc_id", (F.xxhash64("doc_id") if isinstance(docs.schema["doc_id"].dataType, T.StringType)
+                   else F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long"))).alias("did"),
         F.xxhash64(F.col("doc_id").isNull(), text).alias("th"), text.alias("text"),
     )
 
@@ -121,8 +124,14 @@ class SuffixFamily:
             (rank, a), (_, b) = self.levels.pop(), self.levels.pop()
             merged = a.union(b).groupBy("key", "w").agg(F.sum("n").alias("n")).sortWithinPartitions("key", "w")
             self.levels.append((rank + 1, staged(merged, "suffix-level")))
+            discard(a, b)
         return matches
 
+    def discard(self) -> None:
+        """Delete the family's tables; what ``repeated`` returned stays."""
+        discard(*[level for _, level in self.levels], *self.found)
+        self.levels, self.found = [], []
+
     def _scan(self, run: DataFrame) -> DataFrame:
         every = run.withColumn("new", F.lit(1))
         for _, level in self.levels:
@@ -210,7 +219,7 @@ def _assembled(rows: DataFrame, length: int, with_kept: bool) -> DataFrame:
     """
     fields = [
         T.StructField("part", T.StringType()), rows.schema["doc_id"], T.StructField("did", T.LongType()), T.StructField("th", T.LongType()), *_RESULT,
-        T.StructField("z", T.BinaryType()), T.StructField("key", T.LongType()), T.StructField("hot", T.BooleanType()),
+        T.StructField("z", T.BinaryType()), T.StructField("key", T.LongType()), T.StructField("w", T.LongType()), T.StructField("hot", T.BooleanType()),
         T.StructField("single", T.BooleanType()), T.StructField("at", T.LongType()), T.StructField("bytes", T.BinaryType()),
     ]
     schema = T.StructType(fields)
@@ -246,18 +255,18 @@ def _assembled(rows: DataFrame, length: int, with_kept: bool) -> DataFrame:
                         sent.add(name)
                     piece = text[start[e] : end[e]]
                     size += len(piece)
-                    out.append(("edge", None, int(dids[k]), int(ths[k]), None, None, None, None, None, None, int(field["key"][i]),
+                    out.append(("edge", None, int(dids[k]), int(ths[k]), None, None, None, None, None, None, int(field["key"][i]), int(field["w"][i]),
                                 bool(field["hot"][i]), single, int(field["at"][i]), piece))
                 whole = kind != SINGLE
                 if whole.all():
                     r = _result(text, start, end, with_kept)
                     size += len(text) if with_kept else 0
-                    out.append(("done", ids[k], None, None, *r, None, None, None, None, None, None))
+                    out.append(("done", ids[k], None, None, *r, None, None, None, None, None, None, None))
                 else:
                     a, z_ = merged_spans(start[whole], end[whole])
                     size += len(z)
                     spans = np.stack([a, z_], axis=1).ravel().tolist()
-                    out.append(("open", ids[k], int(dids[k]), int(ths[k]), None, None, spans, None, None, z, None, None, None, None, None))
+                    out.append(("open", ids[k], int(dids[k]), int(ths[k]), None, None, spans, None, None, z, None, None, None, None, None, None))
                 if size > 4 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out, strict=True), arrow, strict=True)], names=names)
                     out, size = [], 0
@@ -268,7 +277,7 @@ def _assembled(rows: DataFrame, length: int, with_kept: bool) -> DataFrame:
 
 
 def _windows(b: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a batch of edges: row of each window, its start in the document, its fingerprint in its key."""
+    """Of a batch of edges: row of each window, its start in the document, its fingerprint."""
     data, off = V.buffer(b["bytes"])
     data, off = data[off[0] : off[-1]], off - off[0]
     count = np.diff(off) - length + 1
@@ -277,7 +286,25 @@ def _windows(b: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np
     at = off[:-1][row] + nth
     _, start, _ = _unpacked(b["at"].to_numpy(), length)
     h = V.Spans(data, 1).hash(at, at + length)
-    return row, start[row] + nth, V.mix(h + V.mix(b["key"].to_numpy().view(np.uint64))[row])
+    return row, start[row] + nth, h
+
+
+def _repeated_in_key(key: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """For each window, whether its key has another of the same fingerprint."""
+    order = np.lexsort((name, key))
+    same = (key[order[1:]] == key[order[:-1]]) & (name[order[1:]] == name[order[:-1]])
+    out = np.zeros(len(key), dtype=bool)
+    out[order[1:]] = same
+    out[order[:-1]] |= same
+    return out
+
+
+def _different(edges: DataFrame) -> DataFrame:
+    """The edges with each partner union once, whatever number of tasks gave it."""
+    one = F.any_value(F.struct("did", "th", "at", "bytes"))
+    partners = edges.where("not single").groupBy("key", "w", "hot", "single").agg(one.alias("e")).select("key", "hot", "single", "e.*")
+    columns = ["key", "hot", "single", "did", "th", "at", "bytes"]
+    return edges.where("single").select(*columns).unionByName(partners.select(*columns))
 
 
 def _compared(edges: DataFrame, length: int) -> DataFrame:
@@ -286,7 +313,7 @@ def _compared(edges: DataFrame, length: int) -> DataFrame:
 
     def compare(b: pa.RecordBatch) -> pa.RecordBatch:
         row, start, name = _windows(b, length)
-        hit = V.repeated(name) & b["single"].to_numpy(zero_copy_only=False)[row]
+        hit = _repeated_in_key(b["key"].to_numpy()[row], name) & b["single"].to_numpy(zero_copy_only=False)[row]
         row, start = row[hit], start[hit]
         # Runs of neighbouring windows of one row are one span.
         new = np.append(True, (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1))[: len(row)]
@@ -342,7 +369,7 @@ def _compared_by_window(edges: DataFrame, length: int) -> DataFrame:
     return hit.select("did", "th", "a", (F.col("a") + length).alias("z"))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = 2, hot: int = HOT, with_kept: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, hot: int = HOT, with_kept: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (starts and ends of removed runs), kept_sha256 and ``kept``
     (the remaining bytes, unless switched off) of every row."""
     if not 2 * MARGIN + GRAM < length < 4096:
@@ -353,6 +380,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = 2, hot:
     for k in range(batches):
         family.add(rows.where(F.expr(f"pmod(th, {int(batches)}) = {k}")) if batches > 1 else rows)
     known = family.repeated(hot)
+    family.discard()
 
     match = _located(rows, length).join(
         known.select(F.col("key").alias("_k"), F.col("w").alias("_w"), "kind", "hot"), (F.col("key") == F.col("_k")) & (F.col("w") == F.col("_w"))
@@ -373,7 +401,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = 2, hot:
     joined = small.join(lists, (F.col("did") == F.col("_d")) & (F.col("th") == F.col("_t")), "left").withColumn("m", F.coalesce("m", empty))
     parts = staged(_assembled(joined.select("doc_id", "did", "th", "z", "m"), length, with_kept), "suffix-documents", "part")
 
-    edges = parts.where("part = 'edge'")
+    edges = _different(parts.where("part = 'edge'"))
     spans = _compared(edges.where("not hot"), length).union(_compared_by_window(edges.where("hot"), length))
     per_doc = spans.groupBy(F.col("did").alias("_d"), F.col("th").alias("_t")).agg(F.array_distinct(F.collect_list(F.struct("a", "z"))).alias("cut"))
     open_ = parts.where("part = 'open'").join(per_doc, (F.col("did") == F.col("_d")) & (F.col("th") == F.col("_t")), "left")
