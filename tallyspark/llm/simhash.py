@@ -13,7 +13,8 @@ beyond ``HOT_BUCKET`` is cut again by its other bits before. A task gives a span
 bucket's links (fewer rows than fingerprints); alternating stars join those to components.
 
 Defined results: null and empty texts have fingerprint zero and link to each other; null doc_ids
-rank last in a component (all null: component_id is null); repeated rows link.
+rank last in a component (all null: component_id is null); repeated rows link; an empty table gives no rows; texts of any
+length are read whole; other columns are ignored, or kept by ``near_dedup`` whatever their names.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ from tallyspark.llm.components import connected
 
 SHINGLE, DISTANCE, SEED = 3, 3, 42
 HOT_BUCKET = 50_000
+#: Shingles that are hashed at once.
+AT_ONCE = 100_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -49,7 +52,8 @@ def block_fingerprints(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE
     keep = ~space
     behind = end[end < len(data)]
     keep[behind] = True
-    place = np.concatenate([[0], np.cumsum(keep)])
+    place = np.zeros(len(keep) + 1, dtype=np.int32 if len(keep) < 2**31 else np.int64)
+    np.cumsum(keep, out=place[1:])
     line = _LOWER[data]
     line[space] = 32
     line = line[keep].tobytes()
@@ -60,13 +64,16 @@ def block_fingerprints(data: np.ndarray, off: np.ndarray, shingle: int = SHINGLE
     begins = np.flatnonzero((k + shingle <= at[1:][doc]) | ((n[doc] < shingle) & (k == at[:-1][doc])))
     ends = np.minimum(begins + shingle, at[1:][doc[begins]]) - 1
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(line[a:b], SEED) for a, b in zip(first[begins].tolist(), last[ends].tolist(), strict=True)], dtype=np.uint64)
-    of = doc[begins]
-    here = np.flatnonzero(np.diff(of, prepend=-1))
-    total = np.diff(np.append(here, len(of)))
-    bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    counts = np.add.reduceat(bits, here, axis=0, dtype=np.int32)
-    out[of[here]] = np.packbits(2 * counts > total[:, None], axis=1, bitorder="little").view("<u8").ravel()
+    total = np.bincount(doc[begins], minlength=len(out))
+    counts = np.zeros((len(out), 64), dtype=np.int64)
+    for i in range(0, len(begins), AT_ONCE):  # a long text's shingles are never all in memory
+        some, until = begins[i : i + AT_ONCE], ends[i : i + AT_ONCE]
+        h = np.array([digest(line[a:b], SEED) for a, b in zip(first[some].tolist(), last[until].tolist(), strict=True)], dtype=np.uint64)
+        of = doc[some]
+        here = np.flatnonzero(np.diff(of, prepend=-1))
+        bits = np.unpackbits(h.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts[of[here]] += np.add.reduceat(bits, here, axis=0, dtype=np.int64)
+    out[:] = np.packbits(2 * counts > total[:, None], axis=1, bitorder="little").view("<u8").ravel()
     return out
 
 

@@ -25,6 +25,19 @@ def test_fingerprints_and_components(spark):
     assert {r["doc_id"] for r in kept.collect()} == {least.get(c) for c in roots}
 
 
+def test_shingles_are_hashed_in_parts(monkeypatch):
+    import pyarrow as pa
+
+    from tallyspark.llm import vectext as V
+
+    texts = [r[1] for r in brute.awkward_documents()]
+    data, off = V.buffer(pa.array(texts))
+    want = [brute.fingerprint(t) for t in texts]
+    for size in (1, 7, 100_000):
+        monkeypatch.setattr(simhash, "AT_ONCE", size)
+        assert simhash.block_fingerprints(data, off).tolist() == want
+
+
 def close_prints(n, seed):
     """Random fingerprints and neighbours of them at 1 to 5 bits."""
     r = random.Random(seed)
@@ -70,6 +83,19 @@ def test_long_chain_of_components(spark):
     assert found == {**{k: 0 for k in range(1, 301)}, 1001: 1000}
 
 
+def test_a_star_and_its_rounds_are_deleted(spark):
+    """A hub with many leaves is one component; only the last round's table stays."""
+    import os
+
+    from tallyspark.llm.common import shared_path
+
+    edges = spark.createDataFrame([(5000, k) for k in range(2000)], "u long, v long")
+    found = {r["u"]: r["v"] for r in connected(edges, "star-test").collect()}
+    assert found == {**{k: 0 for k in range(1, 2000)}, 5000: 0}
+    folder = os.path.dirname(shared_path(spark, "x"))
+    assert sum(f.startswith("star-test") for f in os.listdir(folder)) == 1
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], brute.COLUMNS)
     assert simhash.simhash_components(docs).collect() == [] and simhash.near_dedup(docs).collect() == []
