@@ -15,7 +15,8 @@ source's permuted blocks, disjoint from every other shard's; rows are shuffled i
 Any number of sources passes. Sources are numbered and their targets found by prefix sums over
 ranges of sources. The tree deals to groups of sources first and then inside each group
 (``FANOUT`` members at a level), which draws from the same distribution; a row holds the
-quotas of one group. Sources with many documents are cut into parts before any shuffle.
+quotas of one group. Every source is cut into ``PARTS`` parts by the hash of its documents before any shuffle, so a
+document's place does not depend on other sources. Blocks, parts and shards are parameters, the same at every size.
 
 Defined results: null text or no word has size 0 and nothing is taken; null and empty source
 are two sources; equal rows are placed one after the other; an empty table gives no rows.
@@ -30,11 +31,10 @@ from tallyspark.llm.common import packed, staged, word_count
 
 #: Members of a group of the splitting tree; a source's or group's number div FANOUT is its group's.
 FANOUT = 256
-#: Documents of a source that are placed together; more, and the source is cut into parts.
-PART = 4_000
-#: At most so many sources are cut (their part counts are broadcast): those above 1 / MOST_CUT of all documents.
-MOST_CUT = 200_000
-#: Output shards at least, so the tree deals at every size.
+#: Parts of a source's line; a part is placed by one window.
+PARTS = 4_096
+#: Words of a block. A source has fewer than PRIME blocks: 10**12 words at this size, more with larger blocks.
+BLOCK = 512
 SHARDS = 64
 #: A prime above every block count, so k * PRIME modulo n permutes 0..n-1.
 PRIME = 2_147_483_647
@@ -197,7 +197,8 @@ def dealt(quota: DataFrame, n: int, shards: int, seed: int, fanout: int = FANOUT
     while fanout**depth < n:
         depth += 1
     total = quota.agg(F.sum("quota").cast("long").alias("t")).where("t is not null")
-    rooms = total.select(F.lit(0).cast("long").alias("group"), _even("t", shards).alias("room"))
+    # Written: a literal group would make the join below a cross join.
+    rooms = staged(total.select(F.lit(0).cast("long").alias("group"), _even("t", shards).alias("room")), "mix-rooms")
     for level in range(depth - 1, -1, -1):
         members = quota.groupBy(F.expr(f"sid div {fanout**level}L").alias("m")).agg(F.sum("quota").alias("quota"))
         vectors = members.groupBy(F.expr(f"m div {fanout}L").alias("group")).agg(
@@ -218,25 +219,18 @@ class Mix:
 
     def __init__(
         self, docs: DataFrame, seed: int = 11, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: int = 2,
-        shards: int | None = None, keep_documents: bool = False, sized: DataFrame | None = None,
+        shards: int = SHARDS, keep_documents: bool = False, sized: DataFrame | None = None, block: int = BLOCK, parts: int = PARTS,
     ) -> None:
         narrow = staged(measured(docs, seed), "mix-sizes") if sized is None else sized
         per = staged(targets(narrow, weights, share, most), "mix-targets")
-        total, self.n_sources, n_docs = per.agg(
-            F.coalesce(F.sum("source_size"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum("n_docs"), F.lit(0))
-        ).first()
-        self.seed, self.most = seed, most
-        self.block = max(512, -(-total // (1 << 22)))  # at most about 4 million blocks a pass
-        self.shards = shards or min(1024, max(SHARDS, int(share * total) // 16_000_000 + 1))
-        self.sources = staged(quotas(per, self.block, seed, most), "mix-quotas")
-        crowded = self.sources.where(F.col("n_docs") > max(PART, n_docs // MOST_CUT))
-        cut = F.broadcast(
-            crowded.select(_key(F.col("source")).alias("_key"), F.ceil(F.col("n_docs") / F.lit(PART)).cast("long").alias("_parts"))
-        )
+        self.n_sources, largest = per.agg(F.count(F.lit(1)), F.coalesce(F.max("source_size"), F.lit(0))).first()
+        if largest > block * (PRIME - 1):
+            raise ValueError(f"a source has {largest} words: blocks must be larger than {block}")
+        self.seed, self.most, self.block, self.shards = seed, most, block, shards
+        self.sources = staged(quotas(per, block, seed, most), "mix-quotas")
 
         def in_parts(rows: DataFrame) -> DataFrame:
-            rows = rows.withColumn("_key", _key(F.col("source"))).join(cut, "_key", "left")
-            return rows.withColumn("_part", F.expr("if(_parts is null, 0L, pmod(_h, _parts))")).drop("_parts")
+            return rows.withColumns({"_key": _key(F.col("source")), "_part": F.expr(f"pmod(_h, {int(parts)}L)")})
 
         if keep_documents:
             rows = docs.select(packed(docs), "doc_id", "source", word_count(F.col("text")).alias("size"))

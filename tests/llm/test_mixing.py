@@ -155,3 +155,34 @@ def test_default_shards_are_dealt_by_the_tree(spark):
     ends = np.array([r["ends"] for r in mix.runs().collect()])
     dealt = np.diff(ends, axis=1, prepend=0)
     assert (dealt >= 0).all() and np.ptp(dealt.sum(axis=0)) <= 1
+
+
+def test_what_is_taken_does_not_depend_on_other_sources(spark):
+    """A source whose target is its own cap gives the same words whatever the other sources hold."""
+    own = [(k, " ".join(brute.passage(k, 30 + k % 50)), "en", "a", 0) for k in range(120)]
+    runs = []
+    for others in (300, 4_000):
+        rows = own + [(10_000 + k, " ".join(["w"] * 200), "en", f"z{k % 3}", 0) for k in range(others)]
+        mix = mixing.Mix(spark.createDataFrame(rows, brute.COLUMNS))
+        assert (mix.block, mix.shards) == (mixing.BLOCK, mixing.SHARDS)
+        runs.append({r["doc_id"]: r["taken"] for r in mix.taken().where("doc_id < 1000").collect()})
+    assert runs[0] == runs[1] and sum(runs[0].values()) == 2 * sum(len(r[1].split()) for r in own)
+
+
+def test_block_size_bounds_a_source(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PRIME", 7)
+    docs = spark.createDataFrame([(1, "w " * 100, "en", "a", 0)], brute.COLUMNS)
+    with pytest.raises(ValueError, match="blocks must be larger"):
+        mixing.Mix(docs, block=10)
+    assert mixing.Mix(docs, block=100).taken().first()["taken"] == 150
+
+
+def test_no_cross_join(spark):
+    import contextlib
+    import io
+
+    docs = spark.createDataFrame([(k, "a b c", "en", f"s{k % 3}", 0) for k in range(20)], brute.COLUMNS)
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        mixing.Mix(docs).taken().explain()
+    assert "NestedLoopJoin" not in out.getvalue() and "CartesianProduct" not in out.getvalue()
