@@ -13,7 +13,8 @@ floats, a fixed size) are broadcast. Every whole text is scored.
 
 Defined results: null text is an empty text; a text without tokens scores the bias alone; a null
 doc_id is held out; labels that are null, or that contradict each other, are not learnt from; without
-labels every score is 0.5; an empty table gives no rows; a text of any length is scored whole; other columns are
+labels every score is 0.5; an empty table gives no rows; a text of any length is scored whole, a
+long one in parts; other columns are
 ignored.
 """
 
@@ -31,6 +32,8 @@ from tallyspark.llm import vectext as V
 BITS = 18
 SAMPLE = 8_000
 FOLDS, THRESHOLD = 5, 0.3
+#: Stands for the token before the first.
+START = np.uint64(7)
 _ALNUM = np.zeros(256, dtype=bool)
 _ALNUM[np.r_[48:58, 65:91, 97:123, 128:256]] = True
 
@@ -64,12 +67,26 @@ def features(data: np.ndarray, off: np.ndarray, bits: int = BITS) -> tuple[np.nd
     h = V.Spans(data).hash(start, end)
     before = np.empty_like(h)
     before[1:] = h[:-1]
-    before[at[:-1][at[:-1] < at[1:]]] = np.uint64(7)
-    pair = pairs(before, h)
+    before[at[:-1][at[:-1] < at[1:]]] = START
+    return _numbers(before, h, bits), 2 * at
+
+
+def _numbers(before: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
     out = np.empty(2 * len(h), dtype=np.int32)
     out[0::2] = (h >> np.uint64(64 - bits)).astype(np.int32)
-    out[1::2] = (pair >> np.uint64(64 - bits)).astype(np.int32)
-    return out, 2 * at
+    out[1::2] = (pairs(before, h) >> np.uint64(64 - bits)).astype(np.int32)
+    return out
+
+
+def long_features(data: np.ndarray, bits: int = BITS, size: int = V.BLOCK) -> Iterator[np.ndarray]:
+    """The same of one long text, part by part: memory follows the part, not the text."""
+    last = START
+    for part in V.parts(data, size):
+        start, end, _ = tokens(part, np.array([0, len(part)]))
+        if len(start):
+            h = V.Spans(part).hash(start, end)
+            yield _numbers(np.append(last, h[:-1]), h, bits)
+            last = h[-1]
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -126,8 +143,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, data, off in V.blocks(b["text"]):
-                found, at = features(data, off, bits)
-                examples = [counted(found[p:q]) for p, q in zip(at, at[1:], strict=False)]
+                if len(data) > V.BLOCK:  # one long text
+                    examples = [counted(np.concatenate([np.zeros(0, np.int32), *long_features(data, bits)]))]
+                else:
+                    found, at = features(data, off, bits)
+                    examples = [counted(found[p:q]) for p, q in zip(at, at[1:], strict=False)]
                 lists = [pa.array([e[k] for e in examples], pa.list_(kind)) for k, kind in enumerate((pa.int32(), pa.float64()))]
                 yield pa.RecordBatch.from_arrays([b["doc_id"][i:j], b["y"][i:j].cast(pa.int32()), *lists], names=["doc_id", "y", "f", "x"])
 
@@ -162,8 +182,12 @@ def score(docs: DataFrame, weights: np.ndarray, bits: int = BITS, threshold: flo
         w = sent.value
         for b in batches:
             for i, j, data, off in V.blocks(b["text"]):
-                found, at = features(data, off, bits)
-                dot = V.sums(w[found].astype(np.float64), at) / np.sqrt(np.maximum(1, np.diff(at)))
+                if len(data) > V.BLOCK:  # one long text
+                    sums = [(w[f].astype(np.float64).sum(), len(f)) for f in long_features(data, bits)]
+                    dot = np.array([sum(s for s, _ in sums) / np.sqrt(max(1, sum(n for _, n in sums)))])
+                else:
+                    found, at = features(data, off, bits)
+                    dot = V.sums(w[found].astype(np.float64), at) / np.sqrt(np.maximum(1, np.diff(at)))
                 p = sigmoid(dot + float(w[-1]))
                 yield pa.RecordBatch.from_arrays([b["doc_id"][i:j], pa.array(p)], names=["doc_id", "score"])
 

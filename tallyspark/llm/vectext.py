@@ -3,7 +3,7 @@
 An Arrow column of texts is one byte buffer with offsets. Word bounds, hashes of any span and
 per-document sums come from a few passes over that buffer, with no Python loop over words.
 Buffers are handled in blocks of whole documents of about ``BLOCK`` bytes, so a task's memory
-does not follow the batch size; a longer document makes a block of its own.
+does not follow the batch size; a longer document makes a block of its own, which ``parts`` can cut.
 
 Span hashes: H[i] is the prefix sum of T[byte] * P**i modulo 2**64, T being a fixed random
 table; (H[e] - H[s]) * P**-s depends on the bytes of [s, e) alone. ``mix`` spreads the bits.
@@ -91,6 +91,24 @@ def blocks(texts: pa.Array, size: int = BLOCK) -> Iterator[tuple[int, int, np.nd
         i = j
 
 
+def parts(data: np.ndarray, size: int = BLOCK) -> Iterator[np.ndarray]:
+    """One long text in parts of about ``size`` bytes that end behind white space, so no word is cut (a
+    longer word stays whole)."""
+    at = 0
+    while len(data) - at > size:
+        end = at + size
+        while end < len(data):
+            found = np.flatnonzero(_SPACE[data[end : end + size]])
+            if len(found):
+                end += int(found[0]) + 1
+                break
+            end += size
+        yield data[at : min(end, len(data))]
+        at = min(end, len(data))
+    if at < len(data):
+        yield data[at:]
+
+
 def bounds(inside: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the maximal runs of True that do not cross a document's border."""
     first, last = inside.copy(), inside.copy()

@@ -241,3 +241,32 @@ def test_string_ids(spark):
     known = spark.createDataFrame(labels, LABELS).withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id")))
     assert quality.score(docs, quality.train(docs, known)).count() == 60
     assert rules.judge(docs, rules.train(docs, known)).count() == 60
+
+
+def test_long_texts_in_parts_have_the_same_features(spark):
+    for text in ["Ab, cd!! é1 ab ab ab  x\n" * 40, "word" * 100, " " * 300, "a" * 90 + " " + "b!" * 200 + " c", ""]:
+        data, off = V.buffer(pa.array([text]))
+        want = quality.features(data, off)[0].tolist()
+        for size in (1, 7, 64, 10_000):
+            assert b"".join(bytes(p) for p in V.parts(data, size)) == text.encode()
+            assert [f for part in quality.long_features(data, size=size) for f in part.tolist()] == want
+    rows, labels = labelled(60)
+    long = " ".join(brute.passage(7, 60_000))  # over one block
+    docs = spark.createDataFrame([*rows, (61, long, "en", "s", 0), (62, long.upper() + "!!", "en", "s", 0)], brute.COLUMNS)
+    w = quality.train(docs, spark.createDataFrame([*labels, (61, 1, 0), (62, 0, 0)], LABELS))
+    data, off = V.buffer(pa.array([long]))
+    assert len(data) > V.BLOCK
+    at, x = quality.counted(quality.features(data, off)[0])
+    score = quality.score(docs, w).where("doc_id = 61").first()["score"]
+    assert score == pytest.approx(1 / (1 + np.exp(-(w[at].astype(float) @ x + float(w[-1])))), abs=1e-6)
+
+
+def test_fifty_megabytes_within_five_hundred():
+    import tracemalloc
+
+    data = np.frombuffer(b"some words, of 12 letters! " * 1_900_000, dtype=np.uint8)
+    tracemalloc.start()
+    n = sum(len(f) for f in quality.long_features(data))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 20_000_000 and peak < 500 << 20
