@@ -27,7 +27,7 @@ Equality rests on the key's and the union's or window's fingerprints together (o
 
 Defined results: null text is an empty text; texts shorter than ``length`` never change; a null
 doc_id is a document like any other; ids may be of any type; an empty table gives no rows; texts of any length are
-read whole; other columns are ignored; rows with equal doc_id and text are two documents whose texts
+read whole, long ones in parts; other columns are ignored; rows with equal doc_id and text are two documents whose texts
 repeat each other; periodic text repeats itself where windows overlap.
 """
 
@@ -93,12 +93,25 @@ def _identified(docs: DataFrame) -> DataFrame:
     )
 
 
-def _indexed(docs: DataFrame, length: int) -> DataFrame:
+def _blocks(texts: pa.Array, length: int, block: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First row, position of the first byte in it, bytes and offsets of blocks of texts. A long text comes in
+    parts that overlap by ``length`` - 1 bytes, so every window lies in one of them; its windows choose
+    the same suffixes, and a union that a border cuts is two unions of one key."""
+    for i, _, data, off in V.blocks(texts, block):
+        if len(data) <= block + length:
+            yield i, 0, data, off
+            continue
+        for a in range(0, len(data) - length + 1, block):
+            part = data[a : a + block + length - 1]
+            yield i, a, part, np.array([0, len(part)])
+
+
+def _indexed(docs: DataFrame, length: int, block: int) -> DataFrame:
     """(key, w) of every entry."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for _, _, data, off in V.blocks(b["text"]):
+            for _, _, data, off in _blocks(b["text"], length, block):
                 key, w, *_ = entries(data, off, length)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(w)], names=["key", "w"])
 
@@ -108,14 +121,14 @@ def _indexed(docs: DataFrame, length: int) -> DataFrame:
 class SuffixFamily:
     """Levels (rank, sorted run) and the matches found so far."""
 
-    def __init__(self, spark: SparkSession, length: int = LENGTH) -> None:
-        self.spark, self.length = spark, length
+    def __init__(self, spark: SparkSession, length: int = LENGTH, block: int = V.BLOCK) -> None:
+        self.spark, self.length, self.block = spark, length, block
         self.levels: list[tuple[int, DataFrame]] = []
         self.found: list[DataFrame] = []
 
     def add(self, docs: DataFrame) -> DataFrame:
         """Index a batch; its matches: (key, w, full) of every entry whose key the batch repeats."""
-        run = _indexed(docs, self.length).groupBy("key", "w").agg(F.count(F.lit(1)).alias("n"))
+        run = _indexed(docs, self.length, self.block).groupBy("key", "w").agg(F.count(F.lit(1)).alias("n"))
         run = staged(run.sortWithinPartitions("key", "w"), "suffix-run")
         matches = staged(self._scan(run), "suffix-matches")
         self.found.append(matches)
@@ -157,16 +170,16 @@ class SuffixFamily:
         )
 
 
-def _located(rows: DataFrame, length: int) -> DataFrame:
+def _located(rows: DataFrame, length: int, block: int) -> DataFrame:
     """did, th, key, w and ``at``: position, and bytes to the last and to the first window's start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             did, th = b["did"].to_numpy(), b["th"].to_numpy()
-            for i, _, data, off in V.blocks(b["text"]):
+            for i, behind, data, off in _blocks(b["text"], length, block):
                 key, w, at, first, last = entries(data, off, length)
                 doc = np.searchsorted(off, at, side="right") - 1
-                packed = ((at - off[doc]) << 24) | (last << 12) | first
+                packed = ((at - off[doc] + behind) << 24) | (last << 12) | first
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(did[i + doc]), pa.array(th[i + doc]), pa.array(key), pa.array(w), pa.array(packed)], names=["did", "th", "key", "w", "at"]
                 )
@@ -369,20 +382,20 @@ def _compared_by_window(edges: DataFrame, length: int) -> DataFrame:
     return hit.select("did", "th", "a", (F.col("a") + length).alias("z"))
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, hot: int = HOT, with_kept: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, hot: int = HOT, with_kept: bool = True, block: int = V.BLOCK) -> DataFrame:
     """doc_id, n_bytes, n_removed, spans (starts and ends of removed runs), kept_sha256 and ``kept``
     (the remaining bytes, unless switched off) of every row."""
     if not 2 * MARGIN + GRAM < length < 4096:
         raise ValueError(f"length must lie between {2 * MARGIN + GRAM} and 4096")
     spark = docs.sparkSession
     rows = _identified(docs)
-    family = SuffixFamily(spark, length)
+    family = SuffixFamily(spark, length, block)
     for k in range(batches):
         family.add(rows.where(F.expr(f"pmod(th, {int(batches)}) = {k}")) if batches > 1 else rows)
     known = family.repeated(hot)
     family.discard()
 
-    match = _located(rows, length).join(
+    match = _located(rows, length, block).join(
         known.select(F.col("key").alias("_k"), F.col("w").alias("_w"), "kind", "hot"), (F.col("key") == F.col("_k")) & (F.col("w") == F.col("_w"))
     )
     # One list per document, bounded by the document.

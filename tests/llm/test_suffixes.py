@@ -78,6 +78,30 @@ def test_partner_unions_are_compared_once(spark):
     assert after.where("not single").count() == before.where("not single").select("key", "w").distinct().count() > 0
 
 
+@pytest.mark.parametrize("block", [150, 2_000])
+def test_long_texts_in_parts(spark, block):
+    rows = brute.awkward_documents()
+    rows += [(500 + k, " ".join(brute.passage(80 + k // 2, 900))[k * 7 :], "en", "s", 0) for k in range(4)]
+    docs = spark.createDataFrame(rows, brute.COLUMNS)
+    want = brute.removed([r[1] for r in rows], 200)
+    for hot in (1_000, 2):
+        got = suffixes.remove_repeats(docs, hot=hot, block=block, with_kept=False).collect()
+        assert result(got) == sorted(str((r[0], *w)) for r, w in zip(rows, want, strict=True))
+
+
+def test_fifty_megabytes_within_five_hundred():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    text = pa.array([" ".join(brute.passage(9, 20_000)) * 450])
+    tracemalloc.start()
+    n = sum(len(suffixes.entries(data, off)[0]) for _, _, data, off in suffixes._blocks(text, 200, 1 << 18))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 100_000 and peak < 500 << 20
+
+
 def test_string_ids(spark):
     rows = brute.awkward_documents()
     docs = spark.createDataFrame(rows, brute.COLUMNS).withColumn("doc_id", F.concat(F.lit("id-"), F.col("doc_id")))
