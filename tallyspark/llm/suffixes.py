@@ -48,7 +48,7 @@ from tallyspark.llm.common import discard, staged
 
 LENGTH, GRAM, MARGIN = 200, 16, 8
 #: Unions of one key that one task compares; keys with more are compared window by window.
-HOT = 1_000
+HOT = 20_000
 BATCHES = 3
 FULL, PARTNER, SINGLE = 0, 1, 2
 
