@@ -1,8 +1,7 @@
 """Sharding (operator 5) along a Hilbert curve, under the law ``rows``.
 
 Each of a row's metadata dimensions (language, source, size, doc_id) is quantised into
-2**``bits`` cells by whole values at the quantiles of a sample of ``SAMPLE`` rows (those with the smallest
-hashes; every row is placed), so cells hold similar shares and keep the dimension's order. The cell's index on the Hilbert curve orders the rows, and
+2**``bits`` cells by whole values at the exact quantiles of all rows, so cells hold similar shares and keep the dimension's order. The cell's index on the Hilbert curve orders the rows, and
 the order is cut into runs whose row counts differ by at most one. Neighbours on the curve are
 neighbours in every dimension, so a shard (and each file of it) spans short ranges of all of
 them and min/max statistics prune reads on any.
@@ -17,6 +16,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 from tallyspark.llm.common import packed, running_total, staged
 
 BITS = 3
-SAMPLE = 20_000
+#: Rows for which a dimension gets a further range of its values, and ranges at least.
+PER_RANGE, MIN_RANGES = 100_000, 8
 DIMS = ["_lang", "_source", "size", "doc_id"]
 
 
@@ -59,19 +60,37 @@ def hilbert_index(axes: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def cuts(rows: DataFrame, dims: list[str], bits: int = BITS, sample: int = SAMPLE) -> dict[str, list]:
-    """For each dimension at most 2**bits - 1 increasing values: where its cells after the first begin."""
-    # About twice the sample by hash first, so that no task sends more than its share of it to the driver.
-    share = min(1.0, 2 * sample / max(1, rows.count()))
-    some = rows.select("_h", *dims).where(F.expr("pmod(_h, 1048576)") < max(1, round(share * 1048576)))
-    taken = some.orderBy("_h", *dims).limit(sample).collect()  # a bounded sample of narrow rows
-    found = {}
-    for d in dims:
-        known = sorted(r[d] for r in taken if r[d] is not None)
-        values = [None] * (len(taken) - len(known)) + known
-        at = [values[i * len(values) >> bits] for i in range(1, 1 << bits)] if values else []
-        found[d] = sorted({v for v in at if v is not None})
-    return found
+def quantiles(rows: DataFrame, dim: str, parts: int, ranges: int) -> list:
+    """The different values, increasing and without null, at the positions ``i * n // parts`` (i from 1) of all
+    ``n`` rows in the order of ``dim``, null first.
+
+    A value is one row with its count, however often it occurs. ``ranges`` ranges of values are added up
+    on their own; only those that hold a position are read again, to find it.
+    """
+    value = F.col("v").asc_nulls_first()
+    counts = rows.groupBy(F.col(dim).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    ranged = staged(counts.repartitionByRange(ranges, value).withColumn("r", F.spark_partition_id()), "shard-values")
+    totals = [(r["r"], r["n"]) for r in ranged.groupBy("r").agg(F.sum("n").alias("n")).collect()]  # a row per range
+    totals.sort()
+    starts = list(accumulate((n for _, n in totals), initial=0))
+    found, held = F.lit(False), set()
+    for at in {i * starts[-1] // parts for i in range(1, parts)} if totals else ():
+        k = bisect_right(starts, at) - 1
+        r, at = totals[k][0], at - starts[k]
+        held.add(r)
+        found = found | ((F.col("r") == r) & (F.col("b") <= at) & (F.col("b") + F.col("n") > at))
+    if not held:
+        return []
+    before = F.sum("n").over(Window.partitionBy("r").orderBy(value)) - F.col("n")
+    placed = ranged.where(F.col("r").isin(list(held))).withColumn("b", before)
+    return [r["v"] for r in placed.where(found & F.col("v").isNotNull()).orderBy("r", "b").collect()]  # under ``parts`` rows
+
+
+def cuts(rows: DataFrame, dims: list[str], bits: int = BITS, per_range: int = PER_RANGE) -> dict[str, list]:
+    """For each dimension at most 2**bits - 1 increasing values, the quantiles of all rows: where its
+    cells after the first begin."""
+    ranges = MIN_RANGES + rows.count() // per_range
+    return {d: quantiles(rows, d, 1 << bits, ranges) for d in dims}
 
 
 def cells(values: list, cut: list) -> np.ndarray:
@@ -79,9 +98,9 @@ def cells(values: list, cut: list) -> np.ndarray:
     return np.array([0 if v is None else bisect_right(cut, v) for v in values], dtype=np.int64)
 
 
-def curve_cells(rows: DataFrame, dims: list[str], bits: int = BITS, sample: int = SAMPLE) -> DataFrame:
+def curve_cells(rows: DataFrame, dims: list[str], bits: int = BITS) -> DataFrame:
     """Adds ``_cell``, the Hilbert index of the quantised columns ``dims``."""
-    bounds = cuts(rows, dims, bits, sample)
+    bounds = cuts(rows, dims, bits)
     names = rows.columns
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -71,3 +71,31 @@ def test_string_ids_and_dotted_columns(spark):
     named = docs.withColumns({"doc_id": F.concat(F.lit("id-"), F.col("doc_id")), "a.b": F.lit(1), "_cell": F.lit(2)})
     out = sharding.hilbert_shards(named, 5).collect()
     assert len(out) == docs.count() and len({(r["shard"], r["slot"]) for r in out}) == len(out)
+
+
+def test_quantiles_are_of_all_rows(spark):
+    """More rows than the 20,000 of the former sample, in an order in which no sample hits all bounds."""
+    n = 50_000
+    docs = spark.range(n).selectExpr(
+        "id * 7919 % 1000003 AS doc_id", "repeat('x', cast(id * id % 977 AS int)) AS text", "if(id % 5 = 0, NULL, 'en') AS lang",
+        "concat('s', id * id % 4001) AS source",
+    )
+    rows = [(r["doc_id"], r["lang"], r["source"], len(r["text"]) + 1) for r in docs.collect()]
+    axes = []
+    for values in ([r[1] for r in rows], [r[2] for r in rows], [r[3] for r in rows], [r[0] for r in rows]):
+        known = sorted(v for v in values if v is not None)
+        ranked = [None] * (n - len(known)) + known
+        bounds = sorted({v for i in range(1, 8) if (v := ranked[i * n // 8]) is not None})
+        axes.append([0 if v is None else sum(b <= v for b in bounds) for v in values])
+    want = {r[0]: int(c) for r, c in zip(rows, sharding.hilbert_index(np.array(axes), 3), strict=True)}
+    assert {r["doc_id"]: r["cell"] for r in sharding.hilbert_shards(docs).collect()} == want
+
+
+def test_quantiles_in_narrow_ranges(spark):
+    values = [None] * 40 + [7] * 300 + list(range(100, 400)) + [-5, -5, 2]
+    rows = spark.createDataFrame([(v,) for v in values], "x long")
+    ranked = sorted(values, key=lambda v: (v is not None, v or 0))
+    for parts, ranges in ((8, 1), (64, 100)):
+        want = sorted({v for i in range(1, parts) if (v := ranked[i * len(values) // parts]) is not None})
+        assert sharding.quantiles(rows, "x", parts, ranges) == want
+    assert sharding.quantiles(rows.where("x is null"), "x", 8, 3) == sharding.quantiles(rows.limit(0), "x", 8, 3) == []
