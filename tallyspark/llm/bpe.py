@@ -1,16 +1,17 @@
 """Byte-level BPE encoding and decoding (operator 8) by corpus-level merge replay.
 
 A task takes a block of documents as its corpus: the different pieces (pattern matches) of all its
-texts, each once, as one line of byte tokens. An inverted index leads from a pair of neighbouring
-tokens to the places where it stands; merges are replayed over the whole corpus in the order of
-their ranks, the lowest first, and a merge updates its two neighbours only, whose new pairs
-join the index. Texts are then put together from their pieces' ids. Pieces that a task has
+texts, each once, as one line of byte tokens. An inverted index leads from the pairs of neighbouring
+tokens of a band of ranks to the places where they stand; merges are replayed over the whole corpus in the order of
+these bands, the lowest first, and inside a band in rounds: each piece that has places in the band
+merges at its lowest rank, all pieces at once. A merge updates its two neighbours only, whose new pairs
+join the index. Pieces above ``LONG`` bytes, for which rounds would be many, are replayed rank by rank instead. Texts are then put together from their pieces' ids. Pieces that a task has
 replayed stay known to it (up to a bounded number); blocks share nothing else, so there is no
 shuffle and no broadcast, and a lost task is simply run again.
 
 A vocabulary may give a longer token a lower rank than one of its parts, so a merge can create a
-pair of a lower rank than its own; the rest of that piece then waits until the lower one is done,
-as it would in an encoder that looks at one piece at a time.
+pair of a lower rank than its own. It is then its piece's lowest in the next round; rank by rank, the rest of
+the piece waits until the lower one is done, as it would in an encoder that looks at one piece at a time.
 
 Defined results: null text is an empty text (no ids, no bytes); equal rows give equal ids.
 """
@@ -34,6 +35,8 @@ from tallyspark.llm.common import packed
 
 #: Text replayed together (a corpus whose index stays in a core's cache), and the pieces a task remembers.
 CORPUS_BYTES, REMEMBERED = 1 << 19, 400_000
+#: Bytes of the longest piece that is replayed in rounds, and bits of a rank within its band.
+LONG, BAND_BITS = 64, 12
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -46,6 +49,20 @@ def load_ranks(path: str) -> dict[bytes, int]:
 NEVER = 1 << 30
 
 
+class PairRanks(dict):
+    """The token that a pair (left << 24 | right) merges into, which is also the merge's rank; NEVER without one."""
+
+    def __init__(self, ranks: dict[bytes, int], token: dict[int, bytes]) -> None:
+        self.ranks, self.token = ranks, token
+
+    def __missing__(self, pair: int) -> int:
+        rank = self[pair] = self.ranks.get(self.token[pair >> 24] + self.token[pair & 0xFFFFFF], NEVER)
+        return rank
+
+    def of(self, pairs: np.ndarray) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, pairs.tolist()), np.int64, len(pairs))
+
+
 class MergeReplay:
     """Replays the merges of one vocabulary over sets of pieces."""
 
@@ -55,23 +72,22 @@ class MergeReplay:
         self.decimal = {i: str(i).encode() for i in self.token}
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         self.byte_pair = np.array([[ranks.get(bytes([a, b]), NEVER) for b in range(256)] for a in range(256)], dtype=np.int64)
-        self.known: dict[int, int] = {}
+        self.known = PairRanks(ranks, self.token)
 
     def pair_rank(self, a: int, b: int) -> int:
-        """The token that a pair merges into, which is also the merge's rank; NEVER without one."""
-        rank = self.known[a << 24 | b] = self.ranks.get(self.token[a] + self.token[b], NEVER)
-        return rank
+        return self.known[a << 24 | b]
 
     def encode(self, pieces: list[bytes]) -> list[list[int]]:
         """The ids of each piece."""
         whole = [self.ranks.get(p) for p in pieces]
-        ids = iter(self._replayed([p for p, w in zip(pieces, whole, strict=True) if w is None]))
-        return [next(ids) if w is None else [w] for w in whole]
+        rest = [p for p, w in zip(pieces, whole, strict=True) if w is None]
+        short = iter(self.in_rounds([p for p in rest if len(p) <= LONG]))
+        long = iter(self._replayed([p for p in rest if len(p) > LONG]))
+        return [[w] if w is not None else next(short if len(p) <= LONG else long) for p, w in zip(pieces, whole, strict=True)]
 
-    def _replayed(self, pieces: list[bytes]) -> list[list[int]]:
-        if not pieces:
-            return []
-        # One line of byte tokens for all pieces; -1 stands before, between and behind them.
+    def _line(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One line of byte tokens for all pieces, where -1 stands before, between and behind them; where
+        these borders are; and the rank at which the pair that begins at a place merges."""
         raw = np.frombuffer(b"\0" + b"\0".join(pieces) + b"\0", dtype=np.uint8)
         border = np.concatenate([[0], np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1)])
         tokens = self.byte[raw]
@@ -80,6 +96,72 @@ class MergeReplay:
         first[:-1] = self.byte_pair[raw[:-1], raw[1:]]
         first[border] = NEVER
         first[border[1:] - 1] = NEVER
+        return tokens, border, first
+
+    @staticmethod
+    def _ids(line: np.ndarray, border: np.ndarray) -> list[list[int]]:
+        """The tokens that are left of each piece."""
+        live = np.flatnonzero(line >= 0)
+        flat, at = line[live].tolist(), np.searchsorted(live, border).tolist()
+        return [flat[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+    def in_rounds(self, pieces: list[bytes], band_bits: int = BAND_BITS) -> list[list[int]]:
+        """The ids of pieces of at most 65,535 bytes: merges replayed by bands of ranks, in a round one of each piece."""
+        if not pieces:
+            return []
+        line, border, rank_at = self._line(pieces)
+        piece = np.cumsum(line == -1) - 1  # of each place
+        after, before = np.arange(1, len(line) + 1), np.arange(-1, len(line) - 1)
+        index: dict[int, list[np.ndarray]] = {}  # band: places
+        queue: list[int] = []
+
+        def add(places: np.ndarray) -> None:
+            bands = rank_at[places] >> band_bits
+            order = np.argsort(bands, kind="stable")
+            places, bands = places[order], bands[order]
+            cuts = np.flatnonzero(np.diff(bands, prepend=-1)).tolist()
+            for a, b in zip(cuts, [*cuts[1:], len(places)], strict=False):
+                band = int(bands[a])
+                if band not in index:
+                    index[band] = []
+                    heapq.heappush(queue, band)
+                index[band].append(places[a:b])
+
+        add(np.flatnonzero(rank_at < NEVER))
+        while queue:
+            band = heapq.heappop(queue)
+            places = np.concatenate(index.pop(band))
+            while True:
+                places = places[rank_at[places] >> band_bits <= band]  # others were taken by a neighbour's merge
+                if not len(places):
+                    break
+                # Of each piece the lowest rank, and its first place.
+                of = piece[places]
+                keys = np.sort(of << 40 | rank_at[places] << 16 | places - border[of])
+                of = keys >> 40
+                here = border[of] + (keys & 0xFFFF)
+                lowest = np.diff(of, prepend=-1) != 0
+                i, places = here[lowest], here[~lowest]
+                rank, j, h = rank_at[i], after[i], before[i]
+                k = after[j]
+                line[i], line[j], after[i], before[k], rank_at[j] = rank, -2, k, i, NEVER
+                right, left = line[k], line[h]
+                r, l = right >= 0, left >= 0  # noqa: E741
+                rank_at[i] = NEVER
+                rank_at[i[r]] = self.known.of(rank[r] << 24 | right[r])
+                rank_at[h[l]] = self.known.of(left[l] << 24 | rank[l])
+                new = np.concatenate([i[r], h[l]])
+                bands = rank_at[new]
+                new, bands = new[bands < NEVER], bands[bands < NEVER] >> band_bits
+                places = np.concatenate([places, new[bands <= band]])
+                add(new[bands > band])
+        return self._ids(line, border)
+
+    def _replayed(self, pieces: list[bytes]) -> list[list[int]]:
+        """The ids of each piece: merges replayed rank by rank, at all places of a rank in turn."""
+        if not pieces:
+            return []
+        tokens, border, first = self._line(pieces)
         # The inverted index: where the pairs of a merge stand, by its rank.
         places = np.flatnonzero(first < NEVER)
         places = places[np.argsort(first[places], kind="stable")]
@@ -141,10 +223,7 @@ class MergeReplay:
                 else:
                     index[rank] = held
                     heapq.heappush(queue, rank)
-        left_over = np.array(line, dtype=np.int64)
-        live = np.flatnonzero(left_over >= 0)
-        flat, at = left_over[live].tolist(), np.searchsorted(live, border).tolist()
-        return [flat[a:b] for a, b in zip(at, at[1:], strict=False)]
+        return self._ids(np.array(line, dtype=np.int64), border)
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join([self.token[i] for i in ids])

@@ -52,6 +52,20 @@ def test_a_merge_may_make_a_pair_of_lower_rank():
     assert bpe.MergeReplay(ranks).encode(pieces) == [plain(p) for p in pieces]
 
 
+def test_rounds_do_not_grow_with_the_pieces():
+    """Bands of ranks give the ids of the replay rank by rank, in steps whose number the pieces do not set."""
+    ranks = {bytes([b]): b for b in range(256)} | {b"abc": 256, b"bc": 300, b"ab": 257, b"cab": 258, b"abab": 259, b"aa": 310, b"aaa": 301}
+    r = random.Random(9)
+    pieces = list({"".join(r.choice("abc") for _ in range(r.randint(1, 14))).encode() for _ in range(3000)}) + [b"a" * 64, b"abc" * 21]
+    replay = bpe.MergeReplay(ranks)
+    want, steps = replay._replayed(pieces), []
+    for bits in (0, 3, 12):
+        assert replay.in_rounds(pieces, bits) == want
+    of, replay.known.of = replay.known.of, lambda pairs: steps.append(len(pairs)) or of(pairs)
+    assert replay.in_rounds(pieces) == want and len(steps) <= 2 * 64 < sum(map(len, pieces)) / 100
+    assert replay.in_rounds([]) == []
+
+
 def test_documents_and_round_trip(spark, reference):
     rows = brute.awkward_documents()
     docs = spark.createDataFrame(rows, brute.COLUMNS).withColumns({"ids": F.lit("clash"), "n_tokens": F.lit(1), "a.b": F.lit(3)})
