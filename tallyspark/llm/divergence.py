@@ -13,8 +13,8 @@ count reaches the threshold.
 
 Tasks learn which prefixes survive from a bitmap of ``BITS`` bits, whose size does not follow the
 data. A prefix that only shares a bit with a survivor goes one level further and fails there on the
-exact count, so the result does not depend on ``BITS``. Counts are added up inside tasks, at most ``ENTRIES`` at a time, before
-they are shuffled; no row leaves a task for each word.
+exact count, so the result does not depend on ``BITS``. Counts are added up inside tasks, over blocks of whole documents of about
+``WORDS_AN_ENTRY`` * ``ENTRIES`` words, before they are shuffled; no row leaves a task for each word.
 
 Divergences use integers only. For the pairs of sources, kept terms are dealt to blocks of about
 ``BLOCK`` terms, each block adds up all pairs of its language's sources, and the sums meet by pair:
@@ -28,11 +28,11 @@ ties rank by item; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import zlib
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,7 +41,7 @@ from tallyspark.llm.common import LOWER, UPPER, staged
 MIN_DOCS = 3
 FIRST = 8
 BITS = 1 << 26
-ENTRIES = 400_000
+ENTRIES, WORDS_AN_ENTRY = 400_000, 6
 BLOCK = 512
 TOP_TERMS = 200
 SCALE = 1_000_000_000
@@ -80,31 +80,35 @@ def _rows(b: pa.RecordBatch) -> Iterator[tuple[str, str, bytes]]:
         yield lang, source, texts[i].as_py()
 
 
+class Survivors(dict):
+    """Whether the bit of a language's prefix is set; a prefix is hashed once."""
+
+    def __init__(self, lang: str, alive: bytes, bits: int) -> None:
+        self.lang, self.alive, self.bits = lang, alive, bits
+
+    def __missing__(self, prefix: bytes) -> bool:
+        bit = prefix_hash(self.lang, prefix) % self.bits
+        found = self[prefix] = bool(self.alive[bit >> 3] >> (bit & 7) & 1)
+        return found
+
+
 def refine(state: DataFrame, alive: bytes, bits: int, length: int) -> DataFrame:
     """Rows of ``state`` cut to their terms of more than ``length`` bytes whose prefix of that length
     has its bit set; rows without such a term go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple[str, bytes], bool] = {}
-
-        def survives(lang: str, prefix: bytes) -> bool:
-            bit = prefix_hash(lang, prefix) % bits
-            known[lang, prefix] = found = bool(alive[bit >> 3] >> (bit & 7) & 1)
-            return found
-
+        known: dict[str, Survivors] = {}
         for b in batches:
             out: list[tuple[str, str, bytes]] = []
             size = 0
             for lang, source, text in _rows(b):
-                left = []
+                left: list[bytes] = []
                 for part in words(text):
-                    for w in part:
-                        if len(w) > length:
-                            p = w[:length]
-                            found = known.get((lang, p))
-                            if found or found is None and survives(lang, p):
-                                left.append(w)
-                    if len(known) > ENTRIES:
+                    if lang not in known:
+                        known[lang] = Survivors(lang, alive, bits)
+                    survives = known[lang]
+                    left += [w for w in part if len(w) > length and survives[w[:length]]]
+                    if sum(map(len, known.values())) > ENTRIES:
                         known.clear()
                 if left:
                     out.append((lang, source, b" ".join(left)))
@@ -128,44 +132,70 @@ def level_counts(state: DataFrame, length: int) -> DataFrame:
     prefixes of that length (source null) of the longer terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        docs: dict[tuple[str, str], Counter] = defaultdict(Counter)
-        found: dict[tuple[str, str], Counter] = defaultdict(Counter)
-        prefixes: dict[str, Counter] = defaultdict(Counter)
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, source), counts in docs.items():
-                n = found[lang, source]
-                yield _counted(lang, source, list(counts), True, list(counts.values()), [n[t] for t in counts])
-            for lang, counts in prefixes.items():
-                yield _counted(lang, None, list(counts), False, list(counts.values()), [0] * len(counts))
-            for held in (docs, found, prefixes):
-                held.clear()
-
-        def held_entries() -> int:
-            return sum(map(len, docs.values())) + sum(map(len, prefixes.values()))
-
         for b in batches:
-            for k, (lang, source, text) in enumerate(_rows(b)):
-                distinct: set[bytes] = set()
+            parts, sizes, groups, held = [], [], [], 0
+            for lang, source, text in _rows(b):
+                n = 0
                 for part in words(text):
-                    short = [w for w in part if len(w) <= length]
-                    found[lang, source].update(short)
-                    distinct.update(part)
-                docs[lang, source].update([w for w in distinct if len(w) <= length])
-                prefixes[lang].update({w[:length] for w in distinct if len(w) > length})
-                if (k % 64 == 0 or len(distinct) > 10_000) and held_entries() > ENTRIES:
-                    yield from flush()
-        yield from flush()
+                    parts.append(pa.array(part, pa.binary()))
+                    n += len(part)
+                sizes.append(n)
+                groups.append((lang, source))
+                held += n
+                if held > WORDS_AN_ENTRY * ENTRIES:
+                    yield from _block_counts(parts, sizes, groups, length)
+                    parts, sizes, groups, held = [], [], [], 0
+            if held:
+                yield from _block_counts(parts, sizes, groups, length)
 
     sums = [F.sum(c).cast("long").alias(c) for c in ("docs", "occurrences")]
     return state.mapInArrow(run, _COUNTS).groupBy("lang", "source", "item", "complete").agg(*sums)
 
 
-def _counted(lang: str, source: str | None, items: list[bytes], complete: bool, docs: list[int], n: list[int]) -> pa.RecordBatch:
+def _block_counts(parts: list[pa.Array], sizes: list[int], groups: list[tuple[str, str]], length: int) -> Iterator[pa.RecordBatch]:
+    """The counts of a block of documents: its terms ``parts``, and the number of terms and (lang, source) of each."""
+    terms = pa.chunked_array(parts, pa.binary()).combine_chunks().dictionary_encode()
+    code, different = terms.indices.to_numpy().astype(np.int64), terms.dictionary
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    long = pc.binary_length(different).to_numpy() > length
+    is_long = long[code]
+
+    places: dict[tuple[str, str], int] = {}
+    group = np.array([places.setdefault(g, len(places)) for g in groups])
+    at, item, docs, occurrences = _distinct(group, code[~is_long], doc[~is_long], len(different))
+    for k, (lang, source) in enumerate(places):
+        a, b = np.searchsorted(at, [k, k + 1])
+        if a < b:
+            yield _counted(lang, source, different.take(pa.array(item[a:b])), True, docs[a:b], occurrences[a:b])
+
+    cut = pc.binary_slice(different.filter(pa.array(long)), 0, length).dictionary_encode()
+    prefix = np.zeros(len(different), dtype=np.int64)
+    prefix[long] = cut.indices.to_numpy()
+    langs: dict[str, int] = {}
+    group = np.array([langs.setdefault(lang, len(langs)) for lang, _ in groups])
+    at, item, docs, _ = _distinct(group, prefix[code[is_long]], doc[is_long], len(cut.dictionary))
+    for k, lang in enumerate(langs):
+        a, b = np.searchsorted(at, [k, k + 1])
+        if a < b:
+            yield _counted(lang, None, cut.dictionary.take(pa.array(item[a:b])), False, docs[a:b], np.zeros(b - a, np.int64))
+
+
+def _distinct(group: np.ndarray, item: np.ndarray, doc: np.ndarray, items: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(group, item, documents, occurrences) of the items that stand in documents, in the order of group and item."""
+    n = len(group)  # documents of the block
+    keys = np.sort((group[doc] * items + item) * n + doc)
+    pair = keys // n
+    start = np.flatnonzero(np.diff(pair, prepend=-1))
+    occurrences = np.diff(start, append=len(keys))
+    docs = np.add.reduceat((np.diff(keys, prepend=-1) != 0).astype(np.int64), start) if len(start) else np.zeros(0, np.int64)
+    return pair[start] // max(1, items), pair[start] % max(1, items), docs, occurrences
+
+
+def _counted(lang: str, source: str | None, items: pa.Array, complete: bool, docs: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     k = len(items)
     columns = [
-        pa.array([lang] * k, pa.string()), pa.array([source] * k, pa.string()), pa.array(items, pa.binary()),
-        pa.array([complete] * k, pa.bool_()), pa.array(docs, pa.int64()), pa.array(n, pa.int64()),
+        pa.repeat(pa.scalar(lang, pa.string()), k), pa.repeat(pa.scalar(source, pa.string()), k), items,
+        pa.repeat(pa.scalar(complete), k), pa.array(docs, pa.int64()), pa.array(n, pa.int64()),
     ]
     return pa.RecordBatch.from_arrays(columns, names=["lang", "source", "item", "complete", "docs", "occurrences"])
 

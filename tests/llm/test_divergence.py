@@ -83,6 +83,23 @@ def test_counts_are_flushed(spark, monkeypatch):
     assert want == {tuple(r) for r in divergence.level_counts(state, 6).collect()}
 
 
+def test_a_block_is_counted_at_once():
+    """A block's terms leave it once a (lang, source) and its prefixes once a language, with documents and occurrences."""
+    texts = ["a bb a ccccdd", "bb ccccdd cccc ccccee", "", "a é ccccee a", "ééé bb", "a"]
+    groups = [("en", "s"), ("en", "t"), ("en", "u"), ("en", "s"), ("de", "s"), ("", "")]
+    split = [list(divergence.words(t.encode())) for t in texts]
+    want = {}
+    for (lang, source), parts in zip(groups, split, strict=True):
+        own = Counter(w for p in parts for w in p)
+        for key, n in [((lang, source, w, True), n) for w, n in own.items() if len(w) <= 4] + [((lang, None, w, False), 0) for w in {w[:4] for w in own if len(w) > 4}]:
+            d, o = want.get(key, (0, 0))
+            want[key] = (d + 1, o + n)
+    sizes = [sum(map(len, parts)) for parts in split]
+    batches = divergence._block_counts([divergence.pa.array(p, divergence.pa.binary()) for parts in split for p in parts], sizes, groups, 4)
+    got = [tuple(r.values()) for b in batches for r in b.to_pylist()]
+    assert len(got) == len(want) and {r[:4]: r[4:] for r in got} == want
+
+
 def test_empty_table(spark):
     assert divergence.audit(spark.createDataFrame([], brute.COLUMNS)).collect() == []
 
